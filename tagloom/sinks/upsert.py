@@ -1,0 +1,198 @@
+"""Keyed upsert into a partitioned copy-on-write table (K4)."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from math import ceil
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from urllib.parse import unquote
+
+from tagloom.functions.names import quoted
+from tagloom.operators.shape import descending, latest_per_key, total_order
+from tagloom.scratch import staged as stage
+
+_INCOMING, _PLACE, _FILE, _FILES, _RANK = (
+    f"__tagloom_{name}" for name in ("incoming", "place", "file", "files", "upsert_rank")
+)
+
+
+def upsert(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    precombine: str,
+    partition_by: Sequence[str] = ("year", "month", "day"),
+    *,
+    staged: bool = False,
+    unique: bool = False,
+    rows_per_file: int = 1_000_000,
+    max_listed: int = 10_000,
+) -> None:
+    """Merge ``df`` into the Parquet table at ``path``.
+
+    Per (partition, key) one row stays: the one with the greatest ``precombine``, NULL
+    being lowest; on a tie the incoming row wins. A key whose partition changed is thus
+    kept in both partitions. Columns new in ``df`` are added, columns it lacks become
+    NULL in its rows; a column of another type than the stored one is refused. A NULL
+    key ends the job.
+
+    How it runs: the batch is reduced to one row per key and written once (skipped with
+    ``staged``, for a DataFrame that is a plain scan of files already; ``unique`` says
+    that it holds one row per key). Partitions it does not touch are not read. Stored
+    and incoming rows meet in one shuffle, by partition and a hash of the key, which
+    also lays out the files: a partition gets one file per ``rows_per_file`` rows, so a
+    partition that holds most of the table is merged by many tasks. Up to
+    ``max_listed`` touched partitions are named in the read's partition filter; above
+    that they are found by a semi join.
+
+    One writer at a time. Files are swapped partition by partition when the job
+    commits, so a driver lost in that moment leaves some partitions old and some new;
+    running the same batch again completes it.
+    """
+    for name in (*keys, precombine, *partition_by):
+        if name not in df.columns:
+            raise ValueError(f"upsert needs column {name!r}; columns are {df.columns}")
+    if not keys:
+        raise ValueError("upsert needs at least one key column")
+    spark = df.sparkSession
+    batch = df if unique else latest_per_key(df, [*partition_by, *keys], precombine)
+    if not staged:
+        batch = stage(batch, "upsert")
+
+    partitions = T.StructType([df.schema[name] for name in partition_by])
+    touched = _rows_per_place(batch, partition_by)
+    layout = _open(spark, path, partitions)
+    listed = touched.limit(max_listed + 1).collect()
+    if len(listed) <= max_listed:
+        stored, sizes, total = _listed_places(spark, path, layout, partitions, listed, rows_per_file)
+    else:
+        stored, sizes, total = _joined_places(spark, path, layout, partitions, touched, rows_per_file)
+
+    checked = batch.withColumns({k: _never_null(k) for k in keys}).withColumn(_INCOMING, F.lit(1))
+    union = checked
+    if stored is not None:
+        _check_types(stored.schema, batch.schema)
+        union = stored.withColumn(_INCOMING, F.lit(0)).unionByName(checked, allowMissingColumns=True)
+    groups = [F.col(quoted(name)) for name in partition_by]
+    if sizes is not None:
+        hashed = F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.col(_FILES))
+        union = (
+            union.withColumn(_PLACE, _place(partition_by))
+            .join(sizes, _PLACE)
+            .withColumn(_FILE, hashed)
+            .drop(_PLACE, _FILES)
+        )
+        groups.append(F.col(_FILE))
+    # the window is partitioned by these columns and the keys, so it needs no shuffle of its own
+    together = union.repartition(total, *groups)
+    rest = total_order(together, but=(*partition_by, *keys, precombine, _INCOMING, _FILE))
+    window = Window.partitionBy(*groups, *[F.col(quoted(k)) for k in keys]).orderBy(
+        *descending([precombine, _INCOMING, *rest])
+    )
+    winners = together.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1)
+    (
+        winners.drop(_RANK, _FILE, _INCOMING)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+
+
+def _place(partition_by: Sequence[str]) -> Column:
+    """A partition's values as one text, NULLs told apart from texts."""
+    return F.to_json(F.array(*[F.col(quoted(name)).cast("string") for name in partition_by]))
+
+
+def _rows_per_place(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    names = [F.col(quoted(name)) for name in partition_by]
+    rows = df.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select(_place(partition_by).alias(_PLACE), "rows")
+
+
+def _open(spark: SparkSession, path: str, partitions: T.StructType) -> DataFrame | None:
+    """The table's partition columns; None before the first write."""
+    try:
+        return spark.read.schema(partitions).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _stored_places(layout: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows and folder per stored partition, from file footers alone."""
+    names = [F.col(quoted(name)) for name in partition_by]
+    found = layout.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("stored_rows"),
+        F.regexp_replace(F.min("_metadata.file_path"), "/[^/]*$", "").alias("folder"),
+    )
+    return found.select(_place(partition_by).alias(_PLACE), "stored_rows", "folder")
+
+
+def _listed_places(spark, path, layout, partitions, listed, rows_per_file):
+    """Stored rows, files per partition and files in all, for partitions known by name."""
+    rows = {r[_PLACE]: r["rows"] for r in listed}
+    stored = None
+    if layout is not None and rows:
+        place = _place(partitions.names)
+        found = _stored_places(layout.where(place.isin(list(rows))), partitions.names).collect()
+        for r in found:
+            rows[r[_PLACE]] += r["stored_rows"]
+        if found:
+            reader = spark.read.option("basePath", path)
+            folders = [unquote(r["folder"]) for r in found]
+            merged = reader.option("mergeSchema", True).parquet(*folders).schema
+            stored = reader.schema(_with_partitions(merged, partitions)).parquet(*folders)
+    files = {place: max(1, ceil(n / rows_per_file)) for place, n in rows.items()}
+    total = max(1, sum(files.values()))
+    if total <= len(files):
+        return stored, None, max(1, total)
+    sizes = spark.createDataFrame(list(files.items()), f"{_PLACE} string, {_FILES} int")
+    # one short row per listed partition, and their number is limited
+    return stored, F.broadcast(sizes), total
+
+
+def _joined_places(spark, path, layout, partitions, touched, rows_per_file):
+    """The same for more partitions than one wants to name: everything stays in Spark."""
+    counted = touched.withColumn("stored_rows", F.lit(0))
+    stored = None
+    if layout is not None:
+        found = _stored_places(layout, partitions.names).select(_PLACE, "stored_rows")
+        counted = touched.join(found, _PLACE, "left")
+        merged = spark.read.option("mergeSchema", True).parquet(path).schema
+        stored = (
+            spark.read.schema(_with_partitions(merged, partitions))
+            .parquet(path)
+            .withColumn(_PLACE, _place(partitions.names))
+            .join(touched.select(_PLACE), _PLACE, "left_semi")
+            .drop(_PLACE)
+        )
+    rows = F.col("rows") + F.coalesce("stored_rows", F.lit(0))
+    sizes = counted.select(_PLACE, F.ceil(rows / rows_per_file).cast("int").alias(_FILES))
+    total = sizes.agg(F.sum(_FILES)).first()[0]
+    return stored, sizes, int(total)
+
+
+def _with_partitions(schema: T.StructType, partitions: T.StructType) -> T.StructType:
+    data = [f for f in schema.fields if f.name not in set(partitions.names)]
+    return T.StructType(data + partitions.fields)
+
+
+def _check_types(stored: T.StructType, batch: T.StructType) -> None:
+    have = {f.name: f.dataType.simpleString() for f in stored.fields}
+    wrong = {
+        f.name: (have[f.name], f.dataType.simpleString())
+        for f in batch.fields
+        if f.name in have and have[f.name] != f.dataType.simpleString()
+    }
+    if wrong:
+        raise ValueError(f"columns stored with another type (stored, incoming): {wrong}")
+
+
+def _never_null(key: str) -> Column:
+    return F.coalesce(F.col(quoted(key)), F.raise_error(F.lit(f"record key {key} is NULL")))
