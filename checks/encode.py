@@ -29,6 +29,11 @@ def cents(value: Column | str) -> Column:
     return number((F.col(value) if isinstance(value, str) else value).cast("decimal(15,2)"))
 
 
+def minor_units(value: str) -> Column:
+    """``{N: ...}`` of an amount in hundredths, a whole number."""
+    return number(F.floor(F.col(value) * 100 + 0.5))
+
+
 def flag(value: Column) -> Column:
     """``{BOOL: ...}``."""
     return _present(value, lambda v: F.struct(v.alias("BOOL")))

@@ -3,9 +3,11 @@
 _CENTS = "CAST(CAST({} AS DECIMAL(15,2)) AS VARCHAR)"
 
 _MEASURES = """
-SELECT l_orderkey, l_partkey, 'quantity' AS kind, l_quantity AS amount FROM lineitem
-UNION ALL SELECT l_orderkey, l_partkey, 'price', l_extendedprice FROM lineitem
-UNION ALL SELECT l_orderkey, l_partkey, 'discount', l_discount FROM lineitem
+SELECT l_orderkey, l_partkey, kind, CAST(floor(measure * 100 + 0.5) AS BIGINT) AS amount FROM (
+  SELECT l_orderkey, l_partkey, 'quantity' AS kind, l_quantity AS measure FROM lineitem
+  UNION ALL SELECT l_orderkey, l_partkey, 'price', l_extendedprice FROM lineitem
+  UNION ALL SELECT l_orderkey, l_partkey, 'discount', l_discount FROM lineitem
+)
 """
 
 _DAYS = """
@@ -85,7 +87,7 @@ ORACLES: dict[str, str] = {
         FROM orders""",
     "flatten_list_of_maps": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS order_key, CAST(l_partkey AS VARCHAR) AS part_key,
-               kind AS "measureKind", {_CENTS.format("amount")} AS amount
+               kind AS "measureKind", CAST(amount AS VARCHAR) AS amount
         FROM ({_MEASURES})""",
     "flatten_union_tags": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
@@ -125,7 +127,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT o_orderkey, 2, o_orderstatus FROM orders
         UNION ALL SELECT o_orderkey, 3, o_orderpriority FROM orders""",
     "align_list_of_maps": f"""
-        SELECT l_orderkey AS order_key, l_partkey AS part_key, kind AS measure_kind, amount,
+        SELECT l_orderkey AS order_key, l_partkey AS part_key, kind AS measure_kind,
+               CAST(amount AS DOUBLE) AS amount,
                CAST(NULL AS VARCHAR) AS unit
         FROM ({_MEASURES})""",
     "align_json_array": """

@@ -98,7 +98,7 @@ def scan_dated_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("ts").alias("year"),
         F.date_format("ts", "MM").alias("month"),
         F.date_format("ts", "dd").alias("day"),
-        F.date_format("ts", "HH").alias("hour"),
+        F.when(F.hour("ts") < 12, "00").otherwise("12").alias("hour"),
     ).hint("rebalance", "year", "month", "day", "hour").write.partitionBy("year", "month", "day", "hour").json(base)
     template = base + "/year={process_year}/month={process_month}/day={process_day}/{process_hour}"
     declared = schema_from_spec(
@@ -223,16 +223,16 @@ def _measures(df: DataFrame) -> DataFrame:
         orderKey=tag.number("l_orderkey"),
         partKey=tag.number("l_partkey"),
         measures=tag.listed(
-            tag.mapped(measureKind=tag.text(F.lit("quantity")), amount=tag.cents("l_quantity")),
-            tag.mapped(measureKind=tag.text(F.lit("price")), amount=tag.cents("l_extendedprice")),
-            tag.mapped(measureKind=tag.text(F.lit("discount")), amount=tag.cents("l_discount")),
+            tag.mapped(measureKind=tag.text(F.lit("quantity")), amount=tag.minor_units("l_quantity")),
+            tag.mapped(measureKind=tag.text(F.lit("price")), amount=tag.minor_units("l_extendedprice")),
+            tag.mapped(measureKind=tag.text(F.lit("discount")), amount=tag.minor_units("l_discount")),
         ),
     )
 
 
 def flatten_list_of_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flatten_tagged(_measures(tag.table(spark, sf_dir, "lineitem")), "Item")
-    return flat.select("order_key", "part_key", F.inline("measures"))
+    return flat.select("order_key", "part_key", F.inline_outer("measures"))
 
 
 def flatten_union_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -450,7 +450,7 @@ def align_list_of_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
             },
         ]
     )
-    return align(items, schema).select("order_key", "part_key", F.inline("measures"))
+    return align(items, schema).select("order_key", "part_key", F.inline_outer("measures"))
 
 
 def align_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,7 +471,7 @@ def align_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
             },
         ]
     )
-    return align(events, schema).select("event_id", F.inline("notes"))
+    return align(events, schema).select("event_id", F.inline_outer("notes"))
 
 
 # --- time columns ----------------------------------------------------------------------

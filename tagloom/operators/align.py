@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tagloom.functions.names import MAP_TAG, NULL_TAG, match_key, quoted
 from tagloom.functions.times import epoch_seconds
-from tagloom.operators.untag import is_tagged, same_type, untagged
+from tagloom.operators.untag import is_tagged, map_element, same_type, scalar_fields, untagged
 from tagloom.schema import source_path
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
@@ -61,7 +61,7 @@ def _aligned(value: Column, have: T.DataType, want: T.DataType, strict: bool, ne
     if isinstance(want, T.StructType) and isinstance(have, T.StructType):
         return _rebuilt(value, have, want, strict)
     if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
-        return _elements(value, have.elementType, want.elementType, strict)
+        return _elements(value, have, want.elementType, strict)
     if nested and isinstance(want, T.TimestampType) and not isinstance(have, _NESTED):
         return F.coalesce(epoch_seconds(value.cast("string")), cast_to(value, have, want, strict))
     return cast_to(value, have, want, strict)
@@ -75,29 +75,80 @@ def _from_tagged(value: Column, have: T.StructType, want: T.DataType, strict: bo
     return _aligned(rewrite(value), kind, want, strict, True)
 
 
-def _rebuilt(value: Column, have: T.StructType, want: T.StructType, strict: bool) -> Column:
-    exact = {f.name: f for f in have.fields}
-    loose = {match_key(f.name): f for f in reversed(have.fields)}
-    fields = []
+def _matches(have: list[str], want: T.StructType) -> dict[str, str]:
+    """Which of the names ``have`` each wanted field comes from, where one does."""
+    loose = {match_key(name): name for name in reversed(have)}
+    found = {}
     for target in want.fields:
         origin = source_path(target)[-1]
-        found = exact.get(origin) or exact.get(target.name) or loose.get(match_key(target.name))
-        if found is None:
-            part = F.lit(None).cast(target.dataType)
-        else:
-            part = _aligned(value.getField(found.name), found.dataType, target.dataType, strict, True)
-        fields.append(part.alias(target.name))
-    return F.when(value.isNotNull(), F.struct(*fields))
+        exact = next((name for name in (origin, target.name) if name in have), None)
+        found[target.name] = exact or loose.get(match_key(target.name))
+    return {name: source for name, source in found.items() if source is not None}
+
+
+def _fields(value: Column, have: T.StructType, want: T.StructType, strict: bool) -> Column:
+    found = _matches(have.names, want)
+    return F.struct(
+        *[
+            _aligned(value.getField(found[f.name]), have[found[f.name]].dataType, f.dataType, strict, True).alias(f.name)
+            if f.name in found
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in want.fields
+        ]
+    )
 
 
-def _elements(value: Column, have: T.DataType, want: T.DataType, strict: bool) -> Column:
+def _rebuilt(value: Column, have: T.StructType, want: T.StructType, strict: bool) -> Column:
+    return F.when(value.isNotNull(), _fields(value, have, want, strict))
+
+
+def _elements(value: Column, have: T.ArrayType, want: T.DataType, strict: bool) -> Column:
+    element = have.elementType
+    if same_type(element, want):
+        return value
+    if isinstance(want, T.StructType):
+        if isinstance(element, T.StringType):
+            text = _text_type(want)
+            parsed = F.transform(value, lambda x: F.from_json(x, text))
+            return _elements(parsed, T.ArrayType(text), want, strict)
+        zipped = _zipped(value, have, want, strict)
+        if zipped is not None:
+            return zipped
+        inside, body = map_element(element)
+        if body is not None:
+            return F.transform(value, lambda x: _fields(inside(x), body, want, strict))
+    return F.transform(value, lambda x: _aligned(x, element, want, strict, True))
+
+
+def _zipped(value: Column, have: T.ArrayType, want: T.StructType, strict: bool) -> Column | None:
+    """A list of maps rebuilt from arrays of its fields, where each field can be cast as
+    a whole array (see :func:`scalar_fields` for why); None where it cannot."""
+    fields = scalar_fields(have)
+    found = _matches(list(fields or ()), want)
+    if not found:
+        return None
+    arrays = []
+    for target in want.fields:
+        if target.name not in found:
+            # zipping fills up the shorter array with NULLs
+            arrays.append(F.array().cast(T.ArrayType(target.dataType)).alias(target.name))
+            continue
+        kind, take = fields[found[target.name]]
+        if isinstance(target.dataType, (*_NESTED, T.TimestampType)):
+            return None
+        arrays.append(_cast_array(take(value), kind, target.dataType, strict).alias(target.name))
+    return F.arrays_zip(*arrays)
+
+
+def _cast_array(value: Column, have: T.DataType, want: T.DataType, strict: bool) -> Column:
+    """:func:`cast_to` for all elements at once."""
     if same_type(have, want):
         return value
-    if isinstance(have, T.StringType) and isinstance(want, T.StructType):
-        text = _text_type(want)
-        parsed = F.transform(value, lambda x: F.from_json(x, text))
-        return F.transform(parsed, lambda x: _aligned(x, text, want, strict, True))
-    return F.transform(value, lambda x: _aligned(x, have, want, strict, True))
+    if strict:
+        return value.cast(T.ArrayType(want))
+    if isinstance(have, T.StringType) and isinstance(want, T.IntegralType):
+        value = value.try_cast("array<decimal(38,18)>")
+    return value.try_cast(T.ArrayType(want))
 
 
 def _from_json(value: Column, want: T.DataType, strict: bool) -> Column:

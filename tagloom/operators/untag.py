@@ -8,6 +8,7 @@ the result is one JVM expression per column.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,11 +44,63 @@ def untagged(kind: T.DataType) -> Rewrite:
 
 
 def array_of_untagged(kind: T.ArrayType) -> Rewrite:
-    """Array of structs without tags; arrays of scalars stay as they are."""
+    """Array of structs without tags; arrays of scalars stay as they are.
+
+    An element that is no map, in a list of maps, becomes a struct of NULLs.
+    """
     if not isinstance(kind.elementType, (T.StructType, T.ArrayType)):
         return kind, lambda value: value
-    element, rewrite = untagged(kind.elementType)
-    return T.ArrayType(element), lambda value: F.transform(value, lambda x: rewrite(x))
+    fields = scalar_fields(kind)
+    if fields is not None:
+        return _zipped(fields)
+    inside, body = map_element(kind.elementType)
+    element, rewrite = _struct(body, False) if body is not None else untagged(kind.elementType)
+    return T.ArrayType(element), lambda value: F.transform(value, lambda x: rewrite(inside(x)))
+
+
+def map_element(kind: T.DataType) -> tuple[Callable[[Column], Column], T.StructType | None]:
+    """How to get from a list element (or a whole list) to the struct of its attributes,
+    and that struct's type; no type if the element is not simply a map."""
+    if not is_tagged(kind):
+        return lambda x: x, kind if isinstance(kind, T.StructType) else None
+    typed = [f for f in kind.fields if f.name != NULL_TAG]
+    if [f.name for f in typed] == [MAP_TAG] and isinstance(typed[0].dataType, T.StructType):
+        return lambda x: x.getField(MAP_TAG), typed[0].dataType
+    return lambda x: x, None
+
+
+def scalar_fields(kind: T.ArrayType) -> dict[str, tuple[T.DataType, Callable[[Column], Column]]] | None:
+    """The fields of a list of maps if all of them are scalars under one tag, None
+    otherwise: per name the scalar's type, and how to get the array of them.
+
+    Taking fields out of a whole array and zipping them again is compiled code, unlike
+    ``transform``, whose lambda is interpreted for every element: about ten times as fast.
+    """
+    inside, body = map_element(kind.elementType)
+    if body is None or len(body) == 0:
+        return None
+    fields: dict[str, tuple[T.DataType, Callable[[Column], Column]]] = {}
+    for field in body.fields:
+        scalar, steps = field.dataType, [field.name]
+        if is_tagged(scalar):
+            typed = [f for f in scalar.fields if f.name != NULL_TAG]
+            if len(typed) != 1:
+                return None
+            scalar = typed[0].dataType
+            steps.append(typed[0].name)
+        if isinstance(scalar, (T.StructType, T.ArrayType, T.MapType)):
+            return None
+        fields[field.name] = scalar, lambda value, steps=steps: reduce(Column.getField, steps, inside(value))
+    return fields
+
+
+def _zipped(fields: dict[str, tuple[T.DataType, Callable[[Column], Column]]]) -> Rewrite:
+    def rewrite(value: Column) -> Column:
+        arrays = [(n, k, take(value)) for n, (k, take) in fields.items()]
+        texts = [(n, a if isinstance(k, T.StringType) else a.cast("array<string>")) for n, k, a in arrays]
+        return F.arrays_zip(*[array.alias(name) for name, array in texts])
+
+    return T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in fields])), rewrite
 
 
 def merged_type(kinds: list[T.DataType]) -> T.DataType:
@@ -95,12 +148,12 @@ def _text(kind: T.DataType) -> Rewrite:
     return T.StringType(), lambda value: value.cast("string")
 
 
-def _struct(kind: T.StructType) -> Rewrite:
+def _struct(kind: T.StructType, keep_null: bool = True) -> Rewrite:
     rewrites = [(f.name, *untagged(f.dataType)) for f in kind.fields]
     result = T.StructType([T.StructField(name, k) for name, k, _ in rewrites])
 
     def rewrite(value: Column) -> Column:
-        fields = [fn(value.getField(name)).alias(name) for name, _, fn in rewrites]
-        return F.when(value.isNotNull(), F.struct(*fields))
+        fields = F.struct(*[fn(value.getField(name)).alias(name) for name, _, fn in rewrites])
+        return F.when(value.isNotNull(), fields) if keep_null else fields
 
     return result, rewrite

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import types as T
 
-from tagloom.functions.names import LIST_TAG, MAP_TAG, NULL_TAG
+from tagloom.functions.names import LIST_TAG, MAP_TAG
 
 # Declared type names and the Spark types they stand for.
 _PLAIN_TYPES: dict[str, T.DataType] = {
@@ -109,18 +109,21 @@ def _tagged_node(children: dict[str, Any], fields: list[T.StructField]) -> T.Str
 
 
 def _tags_for(kind: T.DataType, json_elements: bool) -> dict[str, T.DataType]:
+    """Tags under which values of a declared type can arrive (a NULL tag is no value)."""
     text, flag = T.StringType(), T.BooleanType()
     if isinstance(kind, T.StructType):
         nested = [(source_path(f)[-1], f) for f in kind.fields]
-        body = T.StructType([T.StructField(name, _tagged_node({}, [f])) for name, f in nested])
-        return {MAP_TAG: body, NULL_TAG: flag}
+        return {MAP_TAG: T.StructType([T.StructField(name, _tagged_node({}, [f])) for name, f in nested])}
     if isinstance(kind, T.ArrayType):
         if isinstance(kind.elementType, T.StructType) and not json_elements:
-            element = _tags_for(kind.elementType, False)
-            return {LIST_TAG: _array_of(element), NULL_TAG: flag}
-        scalars = {"S": text, "N": text, "BOOL": flag, NULL_TAG: flag}
-        return {"SS": T.ArrayType(text), "NS": T.ArrayType(text), LIST_TAG: _array_of(scalars), NULL_TAG: flag}
-    return {"S": text, "N": text, "BOOL": flag, NULL_TAG: flag, "B": text}
+            return {LIST_TAG: _array_of(_tags_for(kind.elementType, False))}
+        elements = {"S": text, "N": text, "BOOL": flag}
+        return {"SS": T.ArrayType(text), "NS": T.ArrayType(text), LIST_TAG: _array_of(elements)}
+    if isinstance(kind, T.StringType):
+        return {"S": text, "N": text, "BOOL": flag, "B": text}
+    if isinstance(kind, T.BooleanType):
+        return {"BOOL": flag, "S": text}
+    return {"N": text, "S": text}
 
 
 def _array_of(tags: dict[str, T.DataType]) -> T.ArrayType:

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil
+from operator import and_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from urllib.parse import unquote
 
 from tagloom.functions.names import quoted
 from tagloom.operators.shape import descending, latest_per_key, total_order
 from tagloom.scratch import staged as stage
 
-_INCOMING, _PLACE, _FILE, _FILES, _RANK = (
-    f"__tagloom_{name}" for name in ("incoming", "place", "file", "files", "upsert_rank")
+_INCOMING, _FILE, _FILES, _ROWS, _STORED, _RANK = (
+    f"__tagloom_{name}" for name in ("incoming", "file", "files", "rows", "stored_rows", "upsert_rank")
 )
 
 
@@ -64,13 +66,13 @@ def upsert(
         batch = stage(batch, "upsert")
 
     partitions = T.StructType([df.schema[name] for name in partition_by])
-    touched = _rows_per_place(batch, partition_by)
+    touched = _rows_per_partition(batch, partition_by)
     layout = _open(spark, path, partitions)
     listed = touched.limit(max_listed + 1).collect()
     if len(listed) <= max_listed:
-        stored, sizes, total = _listed_places(spark, path, layout, partitions, listed, rows_per_file)
+        stored, sizes, total = _listed(spark, path, layout, partitions, listed, rows_per_file)
     else:
-        stored, sizes, total = _joined_places(spark, path, layout, partitions, touched, rows_per_file)
+        stored, sizes, total = _joined(spark, path, layout, partitions, touched, rows_per_file)
 
     checked = batch.withColumns({k: _never_null(k) for k in keys}).withColumn(_INCOMING, F.lit(1))
     union = checked
@@ -80,12 +82,7 @@ def upsert(
     groups = [F.col(quoted(name)) for name in partition_by]
     if sizes is not None:
         hashed = F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.col(_FILES))
-        union = (
-            union.withColumn(_PLACE, _place(partition_by))
-            .join(sizes, _PLACE)
-            .withColumn(_FILE, hashed)
-            .drop(_PLACE, _FILES)
-        )
+        union = _same_partition(union, sizes, partition_by).withColumn(_FILE, hashed).drop(_FILES)
         groups.append(F.col(_FILE))
     # the window is partitioned by these columns and the keys, so it needs no shuffle of its own
     together = union.repartition(total, *groups)
@@ -103,15 +100,19 @@ def upsert(
     )
 
 
-def _place(partition_by: Sequence[str]) -> Column:
-    """A partition's values as one text, NULLs told apart from texts."""
-    return F.to_json(F.array(*[F.col(quoted(name)).cast("string") for name in partition_by]))
+def _rows_per_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.groupBy(*[F.col(quoted(name)) for name in partition_by]).agg(F.count(F.lit(1)).alias(_ROWS))
 
 
-def _rows_per_place(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    names = [F.col(quoted(name)) for name in partition_by]
-    rows = df.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"))
-    return rows.select(_place(partition_by).alias(_PLACE), "rows")
+def _same_partition(
+    left: DataFrame, right: DataFrame, partition_by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on the partition columns, NULL being a partition of its own; of ``right``
+    only the other columns stay."""
+    renamed = {name: f"__tagloom_right_{i}" for i, name in enumerate(partition_by)}
+    other = right.withColumnsRenamed(renamed)
+    same = [F.col(quoted(a)).eqNullSafe(F.col(b)) for a, b in renamed.items()]
+    return left.join(other, reduce(and_, same), how).drop(*renamed.values())
 
 
 def _open(spark: SparkSession, path: str, partitions: T.StructType) -> DataFrame | None:
@@ -124,58 +125,63 @@ def _open(spark: SparkSession, path: str, partitions: T.StructType) -> DataFrame
         raise
 
 
-def _stored_places(layout: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def _stored_partitions(layout: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows and folder per stored partition, from file footers alone."""
     names = [F.col(quoted(name)) for name in partition_by]
-    found = layout.groupBy(*names).agg(
-        F.count(F.lit(1)).alias("stored_rows"),
-        F.regexp_replace(F.min("_metadata.file_path"), "/[^/]*$", "").alias("folder"),
+    # by file first: counting needs no sort, finding the folder then sees one row per file
+    files = layout.groupBy(*names, F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias(_ROWS)
     )
-    return found.select(_place(partition_by).alias(_PLACE), "stored_rows", "folder")
+    folder = F.regexp_replace(F.min("file"), "/[^/]*$", "")
+    return files.groupBy(*names).agg(F.sum(_ROWS).alias(_STORED), folder.alias("folder"))
 
 
-def _listed_places(spark, path, layout, partitions, listed, rows_per_file):
+def _listed(spark, path, layout, partitions, listed, rows_per_file):
     """Stored rows, files per partition and files in all, for partitions known by name."""
-    rows = {r[_PLACE]: r["rows"] for r in listed}
+    names = partitions.names
+    rows = {tuple(r[name] for name in names): r[_ROWS] for r in listed}
     stored = None
     if layout is not None and rows:
-        place = _place(partitions.names)
-        found = _stored_places(layout.where(place.isin(list(rows))), partitions.names).collect()
+        place = _place(partitions)
+        wanted = spark.createDataFrame(list(rows), partitions).select(place.alias("place")).collect()
+        in_listed = place.isin([r["place"] for r in wanted])
+        found = _stored_partitions(layout.where(in_listed), names).collect()
         for r in found:
-            rows[r[_PLACE]] += r["stored_rows"]
+            rows[tuple(r[name] for name in names)] += r[_STORED]
         if found:
             reader = spark.read.option("basePath", path)
             folders = [unquote(r["folder"]) for r in found]
             merged = reader.option("mergeSchema", True).parquet(*folders).schema
             stored = reader.schema(_with_partitions(merged, partitions)).parquet(*folders)
-    files = {place: max(1, ceil(n / rows_per_file)) for place, n in rows.items()}
+    files = {partition: max(1, ceil(n / rows_per_file)) for partition, n in rows.items()}
     total = max(1, sum(files.values()))
     if total <= len(files):
-        return stored, None, max(1, total)
-    sizes = spark.createDataFrame(list(files.items()), f"{_PLACE} string, {_FILES} int")
+        return stored, None, total
+    schema = T.StructType([*partitions.fields, T.StructField(_FILES, T.IntegerType())])
+    sizes = spark.createDataFrame([(*partition, n) for partition, n in files.items()], schema)
     # one short row per listed partition, and their number is limited
     return stored, F.broadcast(sizes), total
 
 
-def _joined_places(spark, path, layout, partitions, touched, rows_per_file):
+def _place(partitions: T.StructType) -> Column:
+    """A partition's values as one text, NULLs told apart from texts. Only evaluated per
+    partition, by the read's partition filter."""
+    return F.to_json(F.array(*[F.col(quoted(name)).cast("string") for name in partitions.names]))
+
+
+def _joined(spark, path, layout, partitions, touched, rows_per_file):
     """The same for more partitions than one wants to name: everything stays in Spark."""
-    counted = touched.withColumn("stored_rows", F.lit(0))
-    stored = None
+    names = partitions.names
+    counted, stored = touched.withColumn(_STORED, F.lit(0)), None
     if layout is not None:
-        found = _stored_places(layout, partitions.names).select(_PLACE, "stored_rows")
-        counted = touched.join(found, _PLACE, "left")
+        found = _stored_partitions(layout, names).drop("folder")
+        counted = _same_partition(touched, found, names, "left")
         merged = spark.read.option("mergeSchema", True).parquet(path).schema
-        stored = (
-            spark.read.schema(_with_partitions(merged, partitions))
-            .parquet(path)
-            .withColumn(_PLACE, _place(partitions.names))
-            .join(touched.select(_PLACE), _PLACE, "left_semi")
-            .drop(_PLACE)
-        )
-    rows = F.col("rows") + F.coalesce("stored_rows", F.lit(0))
-    sizes = counted.select(_PLACE, F.ceil(rows / rows_per_file).cast("int").alias(_FILES))
-    total = sizes.agg(F.sum(_FILES)).first()[0]
-    return stored, sizes, int(total)
+        whole = spark.read.schema(_with_partitions(merged, partitions)).parquet(path)
+        stored = _same_partition(whole, touched.drop(_ROWS), names)
+    rows = F.col(_ROWS) + F.coalesce(_STORED, F.lit(0))
+    sizes = counted.select(*map(quoted, names), F.ceil(rows / rows_per_file).cast("int").alias(_FILES))
+    return stored, sizes, int(sizes.agg(F.sum(_FILES)).first()[0])
 
 
 def _with_partitions(schema: T.StructType, partitions: T.StructType) -> T.StructType:

@@ -1,0 +1,187 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.operators import align, flatten_tagged
+from tagloom.schema import schema_from_spec
+
+
+def rows(df):
+    return [row.asDict(recursive=True) for row in df.collect()]
+
+
+def declared(*columns):
+    return schema_from_spec(list(columns))
+
+
+def column(name, kind, **more):
+    return {"Name": name, "Type": kind, **more}
+
+
+def test_output_schema_is_the_declared_one(frame):
+    schema = declared(column("b", "bigint"), column("a", "varchar"), column("c", "date"), column("d", "array", ArrayType="varchar"))
+    aligned = align(frame([("1", "x", "extra")], "a string, b string, z string"), schema)
+    assert aligned.schema.simpleString() == schema.simpleString()
+    assert rows(aligned) == [{"b": None, "a": "1", "c": None, "d": None}]
+
+
+def test_number_texts(frame):
+    df = frame([(t,) for t in ("12", " 12 ", "12.9", "-12.9", "1E3", "3000000000", "x", "", None)], "n string")
+    aligned = align(df.select("n", F.col("n").alias("m"), F.col("n").alias("d")), declared(column("n", "integer"), column("m", "bigint"), column("d", "double")))
+    assert [tuple(r.values()) for r in rows(aligned)] == [
+        (12, 12, 12.0),
+        (12, 12, 12.0),
+        (12, 12, 12.9),
+        (-12, -12, -12.9),
+        (1000, 1000, 1000.0),
+        (None, 3000000000, 3e9),
+        (None, None, None),
+        (None, None, None),
+        (None, None, None),
+    ]
+
+
+def test_other_scalars(frame):
+    df = frame(
+        [("12.345", "true", "2024-02-29", "2024-02-29 01:02:03", "1.5"), ("x", "maybe", "2023-02-29", "soon", "y")],
+        "a string, b string, c string, d string, e string",
+    )
+    schema = declared(
+        column("a", "decimal", Precision=5, Scale=2), column("b", "boolean"), column("c", "date"), column("d", "timestamp"), column("e", "float")
+    )
+    aligned = align(df, schema)
+    assert rows(aligned.withColumn("d", F.col("d").cast("string"))) == [
+        {"a": Decimal("12.35"), "b": True, "c": dt.date(2024, 2, 29), "d": "2024-02-29 01:02:03", "e": 1.5},
+        {"a": None, "b": None, "c": None, "d": None, "e": None},
+    ]
+
+
+def test_strict_ends_the_job(frame):
+    df = frame([("x",)], "n string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        align(df, declared(column("n", "integer")), strict=True).collect()
+
+
+def test_struct_is_rebuilt_and_null_stays_null(frame):
+    df = frame(
+        [((1, ("x", "y"), "drop"),), (None,)],
+        "s struct<custId: int, inner: struct<code: string, extra: string>, other: string>",
+    )
+    schema = declared(
+        column("s", "row", Columns=[column("cust_id", "varchar"), column("inner", "row", Columns=[column("code", "varchar")]), column("gone", "bigint")])
+    )
+    aligned = align(df, schema)
+    assert aligned.schema.simpleString() == schema.simpleString()
+    assert rows(aligned) == [{"s": {"cust_id": "1", "inner": {"code": "x"}, "gone": None}}, {"s": None}]
+
+
+ITEMS = declared(
+    column(
+        "items",
+        "array",
+        Columns=[
+            column("unit_price", "double"),
+            column("qty", "bigint"),
+            column("sku", "varchar"),
+            column("on_sale", "boolean"),
+            column("missing", "decimal", Precision=6, Scale=2),
+        ],
+    )
+)
+
+
+def test_tagged_list_of_maps(exported):
+    df = exported(
+        {"items": {"L": [{"M": {"unitPrice": {"N": "1.5"}, "QTY": {"N": "2.0"}, "sku": {"S": "a"}, "onSale": {"BOOL": True}}}, {"NULL": True}]}},
+        {"items": {"L": [{"M": {"unitPrice": {"N": "bad"}, "QTY": {"N": "bad"}}}]}},
+        {"items": {"L": []}},
+        {"x": {"S": "1"}},
+    )
+    nothing = {"unit_price": None, "qty": None, "sku": None, "on_sale": None, "missing": None}
+    expected = [
+        [{"unit_price": 1.5, "qty": 2, "sku": "a", "on_sale": True, "missing": None}, nothing],
+        [nothing],
+        [],
+        None,
+    ]
+    # the list itself, as an array of still tagged elements
+    direct = align(df.select(F.col("Item.items.L").alias("items")), ITEMS)
+    assert direct.schema.simpleString() == ITEMS.simpleString()
+    assert [r["items"] for r in rows(direct)] == expected
+    # the tagged attribute
+    assert [r["items"] for r in rows(align(df.select("Item.items"), ITEMS))] == expected
+    # what flattening makes of it
+    assert [r["items"] for r in rows(align(flatten_tagged(df, "Item"), ITEMS))] == expected
+
+
+def test_union_tags_in_a_list_of_maps(exported):
+    df = exported({"items": {"L": [{"M": {"qty": {"N": "1"}, "sku": {"S": "a"}}}, {"M": {"qty": {"S": "2"}, "sku": {"N": "7"}}}]}})
+    for source in (df.select(F.col("Item.items.L").alias("items")), flatten_tagged(df, "Item")):
+        assert [(i["qty"], i["sku"]) for i in rows(align(source, ITEMS))[0]["items"]] == [(1, "a"), (2, "7")]
+
+
+def test_nothing_matches_in_a_list(frame):
+    df = frame([([("x",), ("y",)],)], "items array<struct<other: string>>")
+    assert [i["qty"] for i in rows(align(df, ITEMS))[0]["items"]] == [None, None]
+
+
+def test_time_in_a_list_is_epoch_seconds_or_text(exported):
+    df = exported({"l": {"L": [{"M": {"at": {"N": "1700000000"}}}, {"M": {"at": {"S": "2024-01-02T03:04:05Z"}}}, {"M": {"at": {"S": "x"}}}]}})
+    schema = declared(column("l", "array", Columns=[column("at", "timestamp")]))
+    for source in (df.select(F.col("Item.l.L").alias("l")), flatten_tagged(df, "Item")):
+        at = align(source, schema).select(F.transform("l", lambda x: x["at"].cast("string")).alias("at"))
+        assert at.first()["at"] == ["2023-11-14 22:13:20", "2024-01-02 03:04:05", None]
+
+
+def test_maps_and_lists_inside_elements(exported):
+    df = exported(
+        {"l": {"L": [{"M": {"in": {"M": {"a": {"N": "1"}}}, "tags": {"SS": ["x"]}, "subs": {"L": [{"M": {"b": {"N": "2"}}}]}}}]}}
+    )
+    schema = declared(
+        column(
+            "l",
+            "array",
+            Columns=[
+                column("in", "row", Columns=[column("a", "bigint")]),
+                column("tags", "array", ArrayType="varchar"),
+                column("subs", "array", Columns=[column("b", "integer")]),
+            ],
+        )
+    )
+    for source in (df.select(F.col("Item.l.L").alias("l")), flatten_tagged(df, "Item")):
+        aligned = align(source, schema)
+        assert aligned.schema.simpleString() == schema.simpleString()
+        assert rows(aligned)[0]["l"] == [{"in": {"a": 1}, "tags": ["x"], "subs": [{"b": 2}]}]
+
+
+def test_array_of_json_texts(frame):
+    df = frame([(['{"k": 1, "n": "a"}', '{"k": "2"}', "not json", None],), (None,)], "j array<string>")
+    schema = declared(column("j", "array", Columns=[column("k", "bigint"), column("n", "varchar")]))
+    aligned = align(df, schema)
+    assert aligned.schema.simpleString() == schema.simpleString()
+    assert [[(e["k"], e["n"]) for e in r["j"]] if r["j"] is not None else None for r in rows(aligned)] == [
+        [(1, "a"), (2, None), (None, None), (None, None)],
+        None,
+    ]
+
+
+def test_scalar_or_list_text_is_parsed(exported):
+    df = exported({"p": {"S": "plain"}}, {"p": {"L": [{"M": {"q": {"N": "1"}}}]}})
+    schema = declared(column("p", "array", Columns=[column("q", "bigint")]))
+    assert [r["p"] for r in rows(align(flatten_tagged(df, "Item"), schema))] == [None, [{"q": 1}]]
+
+
+def test_declared_row_is_filled(exported):
+    df = exported({"homeAddress": {"M": {"zipCode": {"N": "76"}, "open": {"BOOL": True}}}}, {"k": {"S": "1"}})
+    schema = declared(column("home_address", "row", Columns=[column("zip_code", "integer"), column("open", "boolean")]))
+    assert rows(align(flatten_tagged(df, "Item", schema), schema)) == [
+        {"home_address": {"zip_code": 76, "open": True}},
+        {"home_address": None},
+    ]
+
+
+def test_plain_arrays_are_cast_element_by_element(frame):
+    df = frame([([1, 2],)], "a array<int>")
+    assert rows(align(df, declared(column("a", "array", ArrayType="varchar")))) == [{"a": ["1", "2"]}]
