@@ -88,11 +88,13 @@ def with_metadata(df: DataFrame, spec: ExportSpec, context: RunContext) -> DataF
 def build(
     spark: SparkSession, spec: ExportSpec, context: RunContext, hook: Hook | None = None
 ) -> DataFrame | None:
-    """Scan, transform and add metadata; None if the source has no rows."""
+    """Scan, transform and add metadata; None if the source has no rows to take."""
     source = load_source(spark, spec.source, context, spec.read_schema)
     if hook is not None:
         source = hook(source)
-    if is_empty(source):
+    # change files of nothing but deletes have no new images at all
+    only_deletes = context.incremental and context.root not in source.columns
+    if only_deletes or is_empty(source):
         return None
     return with_metadata(transform(source, spec, context), spec, context)
 
@@ -112,6 +114,9 @@ def run_job(
     Writes ``table`` (replacing it), and from its files the declared extra output and
     the upsert into ``curated_path``.
     """
+    work = spec.processing
+    if curated_path and not (work.record_keys and work.precombine_key):
+        raise ValueError("an upsert needs key_columns and a precombine_key")
     result = build(spark, spec, context, hook)
     if result is None:
         return None
@@ -126,9 +131,6 @@ def run_job(
             options=spec.output.options,
         )
     if curated_path:
-        work = spec.processing
-        if not work.record_keys or not work.precombine_key:
-            raise ValueError("an upsert needs key_columns and a precombine_key")
         upsert(
             written,
             curated_path,
