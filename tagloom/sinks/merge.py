@@ -17,8 +17,8 @@ from tagloom.functions.names import quoted
 from tagloom.operators.shape import descending, latest_per_key, total_order
 from tagloom.scratch import staged as stage
 
-_INCOMING, _FILE, _FILES, _ROWS, _STORED, _RANK = (
-    f"__tagloom_{name}" for name in ("incoming", "file", "files", "rows", "stored_rows", "upsert_rank")
+_INCOMING, _FILE, _FILES, _PLACE, _ROWS, _STORED, _RANK = (
+    f"__tagloom_{name}" for name in ("incoming", "file", "files", "place", "rows", "stored_rows", "upsert_rank")
 )
 
 
@@ -68,7 +68,7 @@ def upsert(
     partitions = T.StructType([df.schema[name] for name in partition_by])
     touched = _rows_per_partition(batch, partition_by)
     layout = _open(spark, path, partitions)
-    listed = touched.limit(max_listed + 1).collect()
+    listed = touched.withColumn(_PLACE, _place(partition_by)).limit(max_listed + 1).collect()
     if len(listed) <= max_listed:
         stored, sizes, total = _listed(spark, path, layout, partitions, listed, rows_per_file)
     else:
@@ -142,9 +142,7 @@ def _listed(spark, path, layout, partitions, listed, rows_per_file):
     rows = {tuple(r[name] for name in names): r[_ROWS] for r in listed}
     stored = None
     if layout is not None and rows:
-        place = _place(partitions)
-        wanted = spark.createDataFrame(list(rows), partitions).select(place.alias("place")).collect()
-        in_listed = place.isin([r["place"] for r in wanted])
+        in_listed = _place(names).isin([r[_PLACE] for r in listed])
         found = _stored_partitions(layout.where(in_listed), names).collect()
         for r in found:
             rows[tuple(r[name] for name in names)] += r[_STORED]
@@ -163,10 +161,10 @@ def _listed(spark, path, layout, partitions, listed, rows_per_file):
     return stored, F.broadcast(sizes), total
 
 
-def _place(partitions: T.StructType) -> Column:
+def _place(partition_by: Sequence[str]) -> Column:
     """A partition's values as one text, NULLs told apart from texts. Only evaluated per
     partition, by the read's partition filter."""
-    return F.to_json(F.array(*[F.col(quoted(name)).cast("string") for name in partitions.names]))
+    return F.to_json(F.array(*[F.col(quoted(name)).cast("string") for name in partition_by]))
 
 
 def _joined(spark, path, layout, partitions, touched, rows_per_file):
