@@ -139,3 +139,9 @@ def test_ingestion_instant_is_now_by_default(frame):
     df = add_metadata(frame([(1,)], "a int"), dt.date(2025, 4, 6))
     lag = df.select(F.unix_seconds(F.current_timestamp()) - F.unix_seconds("momento_ingestion")).first()[0]
     assert lag == pytest.approx(5 * 3600, abs=5)
+
+
+def test_null_date_has_a_partition_of_its_own(frame):
+    df = frame([(None,)], "created_at timestamp")
+    row = add_metadata(df, dt.date(2025, 4, 6)).first()
+    assert (row["year"], row["month"], row["day"]) == (None, "null", "null")
