@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 
 from tagloom.functions.names import quoted
 
+# Patterns of the notations that differ from ISO.
+_DIGITS = r"^\d{10,}$"
+_OFFSET_AND_BRACKET = r"([-+]\d{2}:\d{2})\[UTC[-+]\d{2}:\d{2}\]$"
+_BRACKET_ONLY = r"\[UTC([-+]\d{2}:\d{2})\]$"
+
 # Largest epoch values whose microseconds still fit a 64-bit integer.
 _MAX_MILLIS = 9_223_372_036_854_775
 _MAX_SECONDS = 9_223_372_036_854
@@ -45,13 +50,11 @@ def parse_any(text: Column) -> Column:
     """
     digits = F.length(text)
     number = text.try_cast("bigint")
-    own_offset = r"([-+]\d{2}:\d{2})\[UTC[-+]\d{2}:\d{2}\]$"
-    bracket_only = r"\[UTC([-+]\d{2}:\d{2})\]$"
-    unbracketed = F.regexp_replace(F.regexp_replace(text, own_offset, "$1"), bracket_only, "$1")
+    unbracketed = F.regexp_replace(F.regexp_replace(text, _OFFSET_AND_BRACKET, "$1"), _BRACKET_ONLY, "$1")
     # one regex separates digits from texts; the bracket rewrite runs only where a bracket is
     return (
         F.when(
-            text.rlike(r"^\d{10,}$"),
+            text.rlike(_DIGITS),
             F.when(digits == 10, epoch_seconds(number))
             .when(digits >= 16, F.timestamp_micros(number))
             .when(digits >= 13, epoch_millis(number)),

@@ -18,7 +18,6 @@ Path = tuple[str, ...]
 
 @dataclass(frozen=True)
 class _Leaf:
-    name: str
     path: Path
     kind: T.DataType
     value: Column
@@ -49,7 +48,8 @@ def flatten_tagged(
     walk = _Walk(schema)
     groups: dict[str, list[_Leaf]] = {}
     for leaf in walk.attributes(df.schema[root].dataType, F.col(quoted(root)), ()):
-        groups.setdefault(leaf.name, []).append(leaf)
+        for name in walk.names(leaf.path):
+            groups.setdefault(name, []).append(leaf)
     if on_collision == "error":
         clashes = {n: sorted({x.path for x in g}) for n, g in groups.items() if len({x.path for x in g}) > 1}
         if clashes:
@@ -70,42 +70,47 @@ class _Walk:
 
     def __init__(self, declared: T.StructType | None) -> None:
         fields = declared.fields if declared is not None else []
-        self._names = {source_path(f): f.name for f in fields}
+        self._declared: dict[Path, list[str]] = {}
+        for field in fields:
+            self._declared.setdefault(source_path(field), []).append(field.name)
+        self._taken = {f.name for f in fields if source_path(f) != (f.name,)}
         self._rows = {f.name for f in fields if isinstance(f.dataType, T.StructType)}
 
-    def _name(self, path: Path) -> str:
-        return self._names.get(path) or column_name(path)
+    def names(self, path: Path) -> list[str]:
+        """Columns an attribute goes to: those that name it as their source; else the one
+        its path makes, unless that one names another source."""
+        made = column_name(path)
+        return self._declared.get(path) or ([] if made in self._taken else [made])
 
     def attributes(self, struct: T.StructType, value: Column, path: Path) -> Iterator[_Leaf]:
         for field in struct.fields:
             yield from self._attribute(field.dataType, value.getField(field.name), (*path, field.name))
 
     def _attribute(self, kind: T.DataType, value: Column, path: Path) -> Iterator[_Leaf]:
-        name = self._name(path)
         if is_tagged(kind):
             typed = [f for f in kind.fields if f.name != NULL_TAG]
             if not typed:
-                yield _Leaf(name, path, T.NullType(), value)
+                yield _Leaf(path, T.NullType(), value)
             for field in typed:
                 under = value.getField(field.name)
                 if field.name == MAP_TAG and isinstance(field.dataType, T.StructType):
-                    yield from self._map(name, field, under, path)
+                    yield from self._map(field, under, path)
                 else:
                     result, rewrite = untag_field(field)
-                    yield _Leaf(name, path, result, rewrite(under))
+                    yield _Leaf(path, result, rewrite(under))
         elif isinstance(kind, T.StructType):
             yield from self.attributes(kind, value, path)
         else:
             result, rewrite = array_of_untagged(kind) if isinstance(kind, T.ArrayType) else untagged(kind)
-            yield _Leaf(name, path, result, rewrite(value))
+            yield _Leaf(path, result, rewrite(value))
 
-    def _map(self, name: str, field: T.StructField, value: Column, path: Path) -> Iterator[_Leaf]:
+    def _map(self, field: T.StructField, value: Column, path: Path) -> Iterator[_Leaf]:
         below = self.attributes(field.dataType, value, path)
-        if name not in self._rows:
+        if not self._rows.intersection(self.names(path)):
             yield from below
             return
         result, rewrite = untag_field(field)
-        yield _Leaf(name, path, result, rewrite(value))
+        yield _Leaf(path, result, rewrite(value))
         # parts of a declared map that are declared as columns of their own as well
-        declared = set(self._names.values())
-        yield from (leaf for leaf in below if leaf.name in declared)
+        columns = {name for names in self._declared.values() for name in names}
+        yield from (leaf for leaf in below if columns.intersection(self.names(leaf.path)))

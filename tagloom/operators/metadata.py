@@ -6,6 +6,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.functions.names import quoted
 
@@ -32,6 +33,12 @@ def utc_to_local(moment: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.from_utc_timestamp(moment, zone)
 
 
+def _moment(df: DataFrame, name: str) -> Column:
+    column = F.col(quoted(name))
+    # a date column nobody converted: what is no date is NULL, and does not end the job
+    return column.try_cast("date") if isinstance(df.schema[name].dataType, T.StringType) else column
+
+
 def add_metadata(
     df: DataFrame,
     process_date: date,
@@ -43,11 +50,12 @@ def add_metadata(
     """Add ingestion time, run date, and ``year`` (int), ``month``, ``day`` (two digits).
 
     The partition columns come from ``partition_date`` (``created_at`` by default); if
-    there is no such column, from the run date.
+    there is no such column, from the run date. A NULL date gives a NULL year and the
+    texts ``null``.
     """
     run_date = F.lit(process_date.strftime("%Y-%m-%d 00:00:00")).cast("timestamp")
     name = partition_date or DEFAULT_PARTITION_DATE
-    moment = F.col(quoted(name)) if name in df.columns else run_date
+    moment = _moment(df, name) if name in df.columns else run_date
     year, month, day = PARTITION_COLUMNS
     return df.withColumns(
         {

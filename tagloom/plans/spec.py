@@ -137,8 +137,8 @@ class ExportSpec:
 def _processing(config: Mapping[str, Any], schemas: Mapping[str, Any]) -> ProcessingSpec:
     name = config.get("schema_name")
     columns = config.get("schema") or schemas.get(name)
-    if name and schemas and columns is None:
-        raise ValueError(f"no schema called {name!r}; there are {sorted(schemas)}")
+    if name and columns is None:
+        raise ValueError(f"no schema called {name!r} was given; there are {sorted(schemas)}")
     ties = config.get("tiebreak_columns")
     return ProcessingSpec(
         schema=schema_from_spec(columns) if columns is not None else None,

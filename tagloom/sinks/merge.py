@@ -39,8 +39,8 @@ def upsert(
     Per (partition, key) one row stays: the one with the greatest ``precombine``, NULL
     being lowest; on a tie the incoming row wins. A key whose partition changed is thus
     kept in both partitions. Columns new in ``df`` are added, columns it lacks become
-    NULL in its rows; a column of another type than the stored one is refused. A NULL
-    key ends the job.
+    NULL in its rows (the same goes for fields of struct columns); a column of another
+    type than the stored one is refused. A NULL key ends the job.
 
     How it runs: the batch is reduced to one row per key and written once (skipped with
     ``staged``, for a DataFrame that is a plain scan of files already; ``unique`` says
@@ -188,15 +188,23 @@ def _with_partitions(schema: T.StructType, partitions: T.StructType) -> T.Struct
 
 
 def _check_types(stored: T.StructType, batch: T.StructType) -> None:
-    have = {f.name: f.dataType.simpleString() for f in stored.fields}
+    have = {f.name: f.dataType for f in stored.fields}
     wrong = {
-        f.name: (have[f.name], f.dataType.simpleString())
+        f.name: (have[f.name].simpleString(), f.dataType.simpleString())
         for f in batch.fields
-        if f.name in have and have[f.name] != f.dataType.simpleString()
+        if f.name in have and not _fits(have[f.name], f.dataType)
     }
     if wrong:
         raise ValueError(f"columns stored with another type (stored, incoming): {wrong}")
 
 
+def _fits(stored: T.DataType, incoming: T.DataType) -> bool:
+    """Whether two types are the same but for fields only one of them has."""
+    if isinstance(stored, T.StructType) and isinstance(incoming, T.StructType):
+        common = set(stored.names) & set(incoming.names)
+        return all(_fits(stored[n].dataType, incoming[n].dataType) for n in common)
+    return stored.simpleString() == incoming.simpleString()
+
+
 def _never_null(key: str) -> Column:
     return F.coalesce(F.col(quoted(key)), F.raise_error(F.lit(f"record key {key} is NULL")))

@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from tagloom.operators import flatten_tagged
 from tagloom.schema import schema_from_spec, tagged_read_schema
@@ -172,3 +174,70 @@ def test_declared_read_equals_inferred_read(spark, exported, folder):
         assert [r[name] for r in rows(left)] == [r[name] for r in rows(right)]
     assert [r["absent"] for r in rows(left)] == [None] * 3
     assert rows(left)[1]["items"] == [{"qty": "3"}]
+
+
+def test_one_attribute_for_two_columns_and_sources_win(spark, exported, folder):
+    df = exported({"userId": {"N": "1"}, "user_id": {"S": "not this"}})
+    schema = schema_from_spec(
+        [
+            {"Name": "user_id", "Type": "bigint", "Source": "userId"},
+            {"Name": "user_text", "Type": "varchar", "Source": "userId"},
+        ]
+    )
+    declared = spark.read.schema(tagged_read_schema(schema, "Item")).json(folder)
+    for source in (df, declared):
+        assert rows(flatten_tagged(source, "Item", schema)) == [{"user_id": "1", "user_text": "1"}]
+
+
+SCALARS = st.one_of(
+    st.builds(lambda v: {"S": v}, st.text("ab ", max_size=3)),
+    st.builds(lambda v: {"N": str(v)}, st.integers(-9, 9)),
+    st.builds(lambda v: {"BOOL": v}, st.booleans()),
+    st.just({"NULL": True}),
+)
+MAPS = st.builds(lambda v: {"M": v}, st.dictionaries(st.sampled_from(["p", "qR"]), SCALARS, min_size=1))
+RECORDS = st.fixed_dictionaries(
+    {"key": st.builds(lambda v: {"S": v}, st.text("k", min_size=1, max_size=2))},
+    optional={
+        "scalarOne": SCALARS,
+        "two": SCALARS,
+        "home": MAPS,
+        "texts": st.builds(lambda v: {"L": v}, st.lists(SCALARS, min_size=1, max_size=3)),
+        "maps": st.builds(lambda v: {"L": v}, st.lists(MAPS, min_size=1, max_size=3)),
+    },
+)
+
+
+def text(value):
+    """The scalar rule, worked out in Python."""
+    (tag, content), = value.items()
+    return None if tag == "NULL" else str(content).lower() if tag == "BOOL" else content
+
+
+def model(record):
+    flat = {}
+    for name, value in record.items():
+        column = {"scalarOne": "scalar_one"}.get(name, name)
+        if name == "home":
+            for inner, v in value["M"].items():
+                flat[{"p": "home_p", "qR": "home_q_r"}[inner]] = text(v)
+        elif name == "texts":
+            flat[column] = [text(v) for v in value["L"]]
+        elif name == "maps":
+            flat[column] = [{k: text(v) for k, v in e["M"].items()} for e in value["L"]]
+        else:
+            flat[column] = text(value)
+    return flat
+
+
+def without_nulls(value):
+    if isinstance(value, dict):
+        return {k: without_nulls(v) for k, v in value.items() if v is not None}
+    return [without_nulls(v) for v in value] if isinstance(value, list) else value
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(records=st.lists(RECORDS, min_size=1, max_size=4))
+def test_equals_a_model_in_python(exported, records):
+    flat = rows(flatten_tagged(exported(*records), "Item"))
+    assert [without_nulls(r) for r in flat] == [without_nulls(model(r)) for r in records]

@@ -145,3 +145,8 @@ def test_null_date_has_a_partition_of_its_own(frame):
     df = frame([(None,)], "created_at timestamp")
     row = add_metadata(df, dt.date(2025, 4, 6)).first()
     assert (row["year"], row["month"], row["day"]) == (None, "null", "null")
+
+
+def test_unconverted_date_text(frame):
+    df = add_metadata(frame([("2025-10-06T01:02:03Z",), ("soon",)], "created_at string"), dt.date(2025, 4, 6))
+    assert [tuple(r) for r in df.select("year", "month", "day").collect()] == [(2025, "10", "06"), (None, "null", "null")]

@@ -145,3 +145,20 @@ def test_scratch_paths_are_shared_and_new(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     df = staged(spark.range(3).selectExpr("id", "named_struct('a', id) AS s"))
     assert df.count() == 3 and "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_cluster_has_to_name_its_shared_folder():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+    Session.conf = {"spark.checkpoint.dir": "s3a://shared/"}
+    assert scratch_root(Session()) == "s3a://shared"

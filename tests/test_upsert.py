@@ -94,6 +94,13 @@ def test_new_and_absent_columns(spark, folder):
     assert stored(spark, path, "id", "w", "extra") == [("a", "x", None), ("b", None, 7), ("c", "z", None)]
 
 
+def test_new_and_absent_struct_fields(spark, folder):
+    path = folder + "/t"
+    put(spark, path, [("a", 1, ("x", 1), 2024, "01")], "id string, v bigint, s struct<p: string, q: int>, year int, day string")
+    put(spark, path, [("b", 1, ("y", 2.5), 2024, "01")], "id string, v bigint, s struct<p: string, r: double>, year int, day string")
+    assert stored(spark, path, "id", "s.p", "s.q", "s.r") == [("a", "x", 1, None), ("b", "y", None, 2.5)]
+
+
 def test_other_type_is_refused(spark, folder):
     put(spark, folder + "/t", [("a", 1, "x", 2024, "01")])
     with pytest.raises(ValueError, match="w.*string.*int"):
