@@ -108,21 +108,22 @@ ORACLES: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
           FROM events
         ) WHERE rn = 1""",
-    "row_count": 'SELECT count(*) AS "rows" FROM lineitem',
+    "row_count": "SELECT count(*) AS n_rows FROM lineitem",
     "align_cast": """
         SELECT CASE WHEN event_type <> 'error' THEN CAST(user_id AS INTEGER) END AS user_id, event_id, value,
-               CAST(value AS DECIMAL(12,2)) AS amount, ts, CAST(ts AS DATE) AS on_day, value > 10 AS large
+               CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS amount, ts,
+               strftime(ts, '%Y-%m-%d') AS on_day, value > 10 AS large
         FROM events""",
     "align_missing": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(NULL AS VARCHAR) AS o_comment,
-               CAST(NULL AS INTEGER) AS o_clerk, CAST(NULL AS DOUBLE) AS o_rate, CAST(NULL AS DATE) AS o_closed
+               CAST(NULL AS INTEGER) AS o_clerk, CAST(NULL AS DOUBLE) AS o_rate, CAST(NULL AS VARCHAR) AS o_closed
         FROM orders""",
     "align_struct": """
         SELECT o_orderkey, o_custkey AS cust_key, o_orderstatus AS code, CAST(NULL AS VARCHAR) AS segment,
                CAST(1 AS INTEGER) AS n_fields
         FROM orders""",
     "align_array_cast": """
-        SELECT o_orderkey, CAST(0 AS INTEGER) AS at, CAST(o_orderkey AS VARCHAR) AS element FROM orders
+        SELECT o_orderkey, CAST(0 AS INTEGER) AS slot, CAST(o_orderkey AS VARCHAR) AS element FROM orders
         UNION ALL SELECT o_orderkey, 1, CAST(o_custkey AS VARCHAR) FROM orders
         UNION ALL SELECT o_orderkey, 2, o_orderstatus FROM orders
         UNION ALL SELECT o_orderkey, 3, o_orderpriority FROM orders""",

@@ -291,7 +291,7 @@ def latest_per_key_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_count(tag.table(spark, sf_dir, "lineitem"))
+    return row_count(tag.table(spark, sf_dir, "lineitem"), "n_rows")
 
 
 def post_filters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,7 +361,9 @@ def align_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
             {"Name": "large", "Type": "boolean"},
         ]
     )
-    return align(events, schema).withColumn("ts", plain("ts"))
+    # decimals and dates as text, which compares the same in every client
+    texts = {n: F.col(n).cast("string") for n in ("amount", "on_day")}
+    return align(events, schema).withColumns({"ts": plain("ts"), **texts})
 
 
 def align_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,7 +376,8 @@ def align_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
             {"Name": "o_closed", "Type": "date"},
         ]
     )
-    return align(tag.table(spark, sf_dir, "orders"), schema)
+    aligned = align(tag.table(spark, sf_dir, "orders"), schema)
+    return aligned.withColumn("o_closed", F.col("o_closed").cast("string"))
 
 
 def align_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,7 +427,7 @@ def align_array_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     aligned = align(orders, schema)
     return aligned.select(
-        "o_orderkey", F.posexplode(F.concat("numbers", "texts")).alias("at", "element")
+        "o_orderkey", F.posexplode(F.concat("numbers", "texts")).alias("slot", "element")
     )
 
 

@@ -21,6 +21,8 @@ _INCOMING, _FILE, _FILES, _PLACE, _ROWS, _STORED, _RANK = (
     f"__tagloom_{name}" for name in ("incoming", "file", "files", "place", "rows", "stored_rows", "upsert_rank")
 )
 
+_MAX_BROADCAST = 500_000
+
 
 def upsert(
     df: DataFrame,
@@ -170,16 +172,20 @@ def _place(partition_by: Sequence[str]) -> Column:
 def _joined(spark, path, layout, partitions, touched, rows_per_file):
     """The same for more partitions than one wants to name: everything stays in Spark."""
     names = partitions.names
-    counted, stored = touched.withColumn(_STORED, F.lit(0)), None
-    if layout is not None:
-        found = _stored_partitions(layout, names).drop("folder")
-        counted = _same_partition(touched, found, names, "left")
+    found = None if layout is None else _stored_partitions(layout, names).drop("folder")
+    counted = touched.withColumn(_STORED, F.lit(0)) if found is None else _same_partition(touched, found, names, "left")
+    rows = F.col(_ROWS) + F.coalesce(_STORED, F.lit(0))
+    sizes = counted.select(*map(quoted, names), F.ceil(rows / rows_per_file).cast("int").alias(_FILES))
+    total, count = sizes.agg(F.sum(_FILES), F.count(F.lit(1))).first()
+    if count <= _MAX_BROADCAST:
+        # checked: that many short rows at most; else adaptive execution splits hot partitions
+        sizes, touched = F.broadcast(sizes), F.broadcast(touched)
+    stored = None
+    if found is not None:
         merged = spark.read.option("mergeSchema", True).parquet(path).schema
         whole = spark.read.schema(_with_partitions(merged, partitions)).parquet(path)
         stored = _same_partition(whole, touched.drop(_ROWS), names)
-    rows = F.col(_ROWS) + F.coalesce(_STORED, F.lit(0))
-    sizes = counted.select(*map(quoted, names), F.ceil(rows / rows_per_file).cast("int").alias(_FILES))
-    return stored, sizes, int(sizes.agg(F.sum(_FILES)).first()[0])
+    return stored, sizes, int(total)
 
 
 def _with_partitions(schema: T.StructType, partitions: T.StructType) -> T.StructType:
