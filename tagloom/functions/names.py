@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 # The type tags of the export format.
 SCALAR_TAGS = ("S", "N", "BOOL", "B")
@@ -30,3 +31,8 @@ def match_key(name: str) -> str:
 def quoted(name: str) -> str:
     """Column reference to exactly this name, dots and back-quotes included."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def listing(names: Iterable[str], suffix: str = "") -> str:
+    """The names quoted and separated by commas, each followed by ``suffix``."""
+    return ", ".join(quoted(name) + suffix for name in names)

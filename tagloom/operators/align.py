@@ -26,14 +26,27 @@ def align(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFram
     for a timestamp are epoch seconds.
     """
     have = {field.name: field.dataType for field in df.schema.fields}
-    return df.select(
-        *[
-            _aligned(F.col(quoted(f.name)), have[f.name], f.dataType, strict, False).alias(f.name)
-            if f.name in have
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    return df.select(*[_column(f.name, have.get(f.name), f.dataType, strict) for f in schema.fields])
+
+
+def _column(name: str, have: T.DataType | None, want: T.DataType, strict: bool) -> Column:
+    if have is not None and (isinstance(have, _NESTED) or isinstance(want, _NESTED)):
+        return _aligned(F.col(quoted(name)), have, want, strict, False).alias(name)
+    if have is not None:
+        return F.expr(f"{cast_sql(quoted(name), have, want, strict)} AS {quoted(name)}")
+    return F.lit(None).cast(want).alias(name)
+
+
+def cast_sql(value: str, have: T.DataType, want: T.DataType, strict: bool = False) -> str:
+    """:func:`cast_to` as SQL text, for the scalar columns of wide tables."""
+    kind = want.simpleString()
+    if same_type(have, want):
+        return value
+    if strict:
+        return f"CAST({value} AS {kind})"
+    if isinstance(have, T.StringType) and isinstance(want, T.IntegralType):
+        return f"coalesce(try_cast({value} AS {kind}), try_cast(try_cast({value} AS decimal(38,18)) AS {kind}))"
+    return f"try_cast({value} AS {kind})"
 
 
 def cast_to(value: Column, have: T.DataType, want: T.DataType, strict: bool = False) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions.names import MAP_TAG, NULL_TAG, column_name, quoted
-from tagloom.operators.untag import array_of_untagged, is_tagged, merged, untag_field, untagged
+from tagloom.operators.untag import Rewrite, is_tagged, merged, untag_field, untagged
 from tagloom.schema import source_path
 
 Path = tuple[str, ...]
@@ -18,9 +18,12 @@ Path = tuple[str, ...]
 
 @dataclass(frozen=True)
 class _Leaf:
+    """A leaf attribute. Scalars, of which wide tables have thousands, stay SQL text until
+    the projection is made: building each from Column calls costs the driver far more."""
+
     path: Path
     kind: T.DataType
-    value: Column
+    value: str | Column
 
 
 def flatten_tagged(
@@ -47,7 +50,7 @@ def flatten_tagged(
 
     walk = _Walk(schema)
     groups: dict[str, list[_Leaf]] = {}
-    for leaf in walk.attributes(df.schema[root].dataType, F.col(quoted(root)), ()):
+    for leaf in walk.attributes(df.schema[root].dataType, quoted(root), ()):
         for name in walk.names(leaf.path):
             groups.setdefault(name, []).append(leaf)
     if on_collision == "error":
@@ -59,9 +62,19 @@ def flatten_tagged(
 
 def _column(name: str, leaves: list[_Leaf]) -> Column:
     typed = [leaf for leaf in leaves if not isinstance(leaf.kind, T.NullType)]
-    if not typed:
-        return F.lit(None).cast("string").alias(name)
-    return merged([(leaf.kind, leaf.value) for leaf in typed]).alias(name)
+    if all(isinstance(leaf.value, str) for leaf in typed):
+        values = [leaf.value for leaf in typed] or ["CAST(NULL AS STRING)"]
+        one = values[0] if len(values) == 1 else f"coalesce({', '.join(values)})"
+        return F.expr(f"{one} AS {quoted(name)}")
+    columns = [F.expr(leaf.value) if isinstance(leaf.value, str) else leaf.value for leaf in typed]
+    return merged(list(zip([leaf.kind for leaf in typed], columns))).alias(name)
+
+
+def _leaf(path: Path, kind: T.DataType, value: str, rewrite: Rewrite) -> _Leaf:
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        result, expression = rewrite
+        return _Leaf(path, result, expression(F.expr(value)))
+    return _Leaf(path, T.StringType(), value if isinstance(kind, T.StringType) else f"CAST({value} AS STRING)")
 
 
 class _Walk:
@@ -82,35 +95,33 @@ class _Walk:
         made = column_name(path)
         return self._declared.get(path) or ([] if made in self._taken else [made])
 
-    def attributes(self, struct: T.StructType, value: Column, path: Path) -> Iterator[_Leaf]:
+    def attributes(self, struct: T.StructType, value: str, path: Path) -> Iterator[_Leaf]:
         for field in struct.fields:
-            yield from self._attribute(field.dataType, value.getField(field.name), (*path, field.name))
+            under = f"{value}.{quoted(field.name)}"
+            yield from self._attribute(field.dataType, under, (*path, field.name))
 
-    def _attribute(self, kind: T.DataType, value: Column, path: Path) -> Iterator[_Leaf]:
+    def _attribute(self, kind: T.DataType, value: str, path: Path) -> Iterator[_Leaf]:
         if is_tagged(kind):
             typed = [f for f in kind.fields if f.name != NULL_TAG]
             if not typed:
                 yield _Leaf(path, T.NullType(), value)
             for field in typed:
-                under = value.getField(field.name)
+                under = f"{value}.{quoted(field.name)}"
                 if field.name == MAP_TAG and isinstance(field.dataType, T.StructType):
                     yield from self._map(field, under, path)
                 else:
-                    result, rewrite = untag_field(field)
-                    yield _Leaf(path, result, rewrite(under))
+                    yield _leaf(path, field.dataType, under, untag_field(field))
         elif isinstance(kind, T.StructType):
             yield from self.attributes(kind, value, path)
         else:
-            result, rewrite = array_of_untagged(kind) if isinstance(kind, T.ArrayType) else untagged(kind)
-            yield _Leaf(path, result, rewrite(value))
+            yield _leaf(path, kind, value, untagged(kind))
 
-    def _map(self, field: T.StructField, value: Column, path: Path) -> Iterator[_Leaf]:
+    def _map(self, field: T.StructField, value: str, path: Path) -> Iterator[_Leaf]:
         below = self.attributes(field.dataType, value, path)
         if not self._rows.intersection(self.names(path)):
             yield from below
             return
-        result, rewrite = untag_field(field)
-        yield _Leaf(path, result, rewrite(value))
+        yield _leaf(path, field.dataType, value, untag_field(field))
         # parts of a declared map that are declared as columns of their own as well
         columns = {name for names in self._declared.values() for name in names}
         yield from (leaf for leaf in below if columns.intersection(self.names(leaf.path)))

@@ -4,23 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.functions.names import quoted
-from tagloom.operators.align import cast_to
+from tagloom.functions.names import listing, quoted
+from tagloom.operators.align import cast_sql
 
 _RANK = "__tagloom_rank"
 
 
 def keep_keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key columns are all non-null."""
-    if not keys:
-        return df
-    return df.where(reduce(and_, [F.col(quoted(key)).isNotNull() for key in keys]))
+    return df.where(" AND ".join(f"{quoted(key)} IS NOT NULL" for key in keys)) if keys else df
 
 
 def total_order(df: DataFrame, but: Iterable[str] = ()) -> list[str]:
@@ -37,8 +34,9 @@ def _orderable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def descending(names: Iterable[str]) -> list[Column]:
-    return [F.col(quoted(name)).desc_nulls_last() for name in names]
+def descending(names: Iterable[str]) -> str:
+    """The names as an ORDER BY list, greatest first and NULLs last."""
+    return listing(names, " DESC NULLS LAST")
 
 
 def latest_per_key(
@@ -61,22 +59,26 @@ def latest_per_key(
     """
     if not keys or not order_by:
         return df
-    order = F.col(quoted(order_by))
+    order = quoted(order_by)
     if order_type is not None:
-        order = cast_to(order, df.schema[order_by].dataType, order_type)
+        order = cast_sql(order, df.schema[order_by].dataType, order_type)
     if tiebreak is None:
         tiebreak = total_order(df, but=(*keys, *(() if order_type is not None else (order_by,))))
-    window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(
-        order.desc_nulls_last(), *descending(tiebreak)
-    )
-    return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
+    ordering = ", ".join(filter(None, [f"{order} DESC NULLS LAST", descending(tiebreak)]))
+    return best_row(df, keys, ordering)
+
+
+def best_row(df: DataFrame, keys: Sequence[str], ordering: str) -> DataFrame:
+    """The first row per key in the given ORDER BY list."""
+    rank = F.expr(f"row_number() OVER (PARTITION BY {listing(keys)} ORDER BY {ordering})")
+    return df.withColumn(_RANK, rank).where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def surrogate_id(df: DataFrame, keys: Sequence[str], name: str = "id") -> DataFrame:
     """``name`` = the keys joined by ``-``, if there are at least two."""
     if len(keys) < 2:
         return df
-    return df.withColumn(name, F.concat_ws("-", *[F.col(quoted(key)) for key in keys]))
+    return df.withColumn(name, F.concat_ws("-", *map(quoted, keys)))
 
 
 def post_filters(df: DataFrame, conditions: Iterable[str]) -> DataFrame:
@@ -98,12 +100,12 @@ def sql_columns(df: DataFrame, columns: Mapping[str, str] | Iterable[tuple[str,
 
 def select_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The named columns in that order; all of them if none are named (P5)."""
-    return df.select(*[F.col(quoted(name)) for name in names]) if names else df
+    return df.select(*map(quoted, names)) if names else df
 
 
 def sorted_projection(df: DataFrame) -> DataFrame:
     """Columns in alphabetical order."""
-    return df.select(*[F.col(quoted(name)) for name in sorted(df.columns)])
+    return select_columns(df, sorted(df.columns))
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:

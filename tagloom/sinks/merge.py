@@ -9,16 +9,16 @@ from operator import and_
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions.names import quoted
-from tagloom.operators.shape import descending, latest_per_key, total_order
+from tagloom.operators.shape import best_row, descending, latest_per_key, total_order
 from tagloom.scratch import staged as stage
 
-_INCOMING, _FILE, _FILES, _PLACE, _ROWS, _STORED, _RANK = (
-    f"__tagloom_{name}" for name in ("incoming", "file", "files", "place", "rows", "stored_rows", "upsert_rank")
+_INCOMING, _FILE, _FILES, _PLACE, _ROWS, _STORED = (
+    f"__tagloom_{name}" for name in ("incoming", "file", "files", "place", "rows", "stored_rows")
 )
 
 _MAX_BROADCAST = 500_000
@@ -81,20 +81,17 @@ def upsert(
     if stored is not None:
         _check_types(stored.schema, batch.schema)
         union = stored.withColumn(_INCOMING, F.lit(0)).unionByName(checked, allowMissingColumns=True)
-    groups = [F.col(quoted(name)) for name in partition_by]
+    groups = list(partition_by)
     if sizes is not None:
         hashed = F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.col(_FILES))
         union = _same_partition(union, sizes, partition_by).withColumn(_FILE, hashed).drop(_FILES)
-        groups.append(F.col(_FILE))
+        groups.append(_FILE)
     # the window is partitioned by these columns and the keys, so it needs no shuffle of its own
-    together = union.repartition(total, *groups)
+    together = union.repartition(total, *map(quoted, groups))
     rest = total_order(together, but=(*partition_by, *keys, precombine, _INCOMING, _FILE))
-    window = Window.partitionBy(*groups, *[F.col(quoted(k)) for k in keys]).orderBy(
-        *descending([precombine, _INCOMING, *rest])
-    )
-    winners = together.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1)
+    winners = best_row(together, [*groups, *keys], descending([precombine, _INCOMING, *rest]))
     (
-        winners.drop(_RANK, _FILE, _INCOMING)
+        winners.drop(_FILE, _INCOMING)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
