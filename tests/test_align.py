@@ -4,7 +4,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.operators import align, flatten_tagged
+from tagloom.operators import align, cast_to, flatten_tagged
+from tagloom.operators.align import _cast_array, cast_sql
 from tagloom.schema import schema_from_spec
 
 
@@ -185,3 +186,16 @@ def test_declared_row_is_filled(exported):
 def test_plain_arrays_are_cast_element_by_element(frame):
     df = frame([([1, 2],)], "a array<int>")
     assert rows(align(df, declared(column("a", "array", ArrayType="varchar")))) == [{"a": ["1", "2"]}]
+
+
+@pytest.mark.parametrize("want", ["int", "bigint", "double", "float", "boolean", "date", "timestamp", "decimal(9,3)", "string"])
+def test_both_forms_of_the_cast_agree(spark, frame, want):
+    texts = ["1", " 7 ", "12.9", "-3.5", "1E3", "3000000000", "true", "2024-02-29", "2024-02-29 01:02:03", "x", "", None]
+    df = frame([(t,) for t in texts], "t string")
+    kind = frame([], f"c {want}").schema["c"].dataType
+    column = cast_to(F.col("t"), df.schema["t"].dataType, kind)
+    sql = F.expr(cast_sql("`t`", df.schema["t"].dataType, kind))
+    # each element of an array is cast by the same rule, too
+    array = _cast_array(F.array("t"), df.schema["t"].dataType, kind, False)[0]
+    for one, two, three in df.select(column, sql, array).collect():
+        assert one == two == three
