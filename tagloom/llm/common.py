@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tagloom import scratch
 from tagloom.llm.shipping import ship
-from tagloom.scratch import staged  # noqa: F401
 
 _BLOCK = 1 << 21  # bytes of text that are turned into numbers at a time
 
@@ -48,6 +48,20 @@ def arrow_id_type(df: DataFrame) -> pa.DataType:
     return to_arrow_type(df.schema["k_id"].dataType)
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """:func:`tagloom.scratch.staged`, whose shuffle files go as soon as the table is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, None)
+    conf.set(_CLEAN, "true")
+    try:
+        return scratch.staged(df, label)
+    finally:
+        conf.unset(_CLEAN) if before is None else conf.set(_CLEAN, before)
+
+
 # --- texts as bytes -------------------------------------------------------------------------
 
 

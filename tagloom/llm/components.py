@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.scratch import staged
+from tagloom.llm.common import staged
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.llm.common import table
+from tagloom.llm.decontamination import contamination
 from tagloom.llm.ngram_join import jaccard_components
+from tagloom.llm.substring_dedup import repeated_passages_removed
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +18,24 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold 10 consecutive words of benchmark items, and how much of them is to go."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
+    # Spans alternate first word and end: ends minus firsts.
+    hit = F.aggregate(F.transform("spans", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the passages of 35 words that occur elsewhere."""
+    left = repeated_passages_removed(table(spark, sf_dir, "documents"), length=35, keep_text=False)
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op3_ngram_jaccard,)
+    for query in (op3_ngram_jaccard, op5_decontamination, op8_substring_dedup)
 }
