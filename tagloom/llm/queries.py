@@ -10,14 +10,29 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import table
 from tagloom.llm.decontamination import contamination
 from tagloom.llm.ngram_join import jaccard_components
+from tagloom.llm.secret_scan import BASE, secret_spans, span_text
+from tagloom.llm.sharding import jump_shards
 from tagloom.llm.substring_dedup import repeated_passages_removed
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in each document."""
+    found = secret_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
     return jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of each document among 16, and among 17."""
+    return jump_shards(table(spark, sf_dir, "documents"), shards=16)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold 10 consecutive words of benchmark items, and how much of them is to go."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
@@ -37,5 +52,5 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op3_ngram_jaccard, op5_decontamination, op8_substring_dedup)
+    for query in (op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op8_substring_dedup)
 }

@@ -1,3 +1,70 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+#: Assigned secrets, access keys and long hex runs; RE2 reads the patterns as Java does.
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_PEM = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_WEBTOKEN = r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"
+
+
+def _spans(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    return f"""
+      SELECT row_no, {order} AS ord, '{kind}' AS kind, place, place + length(m) AS stop FROM (
+        SELECT row_no, m, g,
+          sum(length(p)) OVER (PARTITION BY row_no ORDER BY i) + coalesce(sum(length(m)) OVER (
+            PARTITION BY row_no ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+        FROM (SELECT row_no,
+            unnest(regexp_split_to_array(body, '{pattern}')[:len(regexp_extract_all(body, '{pattern}'))]) AS p,
+            unnest(regexp_extract_all(body, '{pattern}')) AS m,
+            unnest(regexp_extract_all(body, '{pattern}', {group})) AS g,
+            unnest(range(len(regexp_extract_all(body, '{pattern}')))) AS i
+          FROM texts WHERE regexp_matches(body, '{pattern}')))
+      WHERE length(g) >= {least}"""
+
+
+_SECRETS = f"""
+WITH texts AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS body FROM documents),
+found AS ({" UNION ALL ".join(_spans(*x) for x in (
+    ("assign", 0, _ASSIGN, 2, 6), ("access", 1, "AKIA[A-Z0-9]+", 0, 20), ("hex", 2, "[0-9a-f]{24,}", 0, 24),
+    ("pem", 3, _PEM, 0, 1), ("webtoken", 4, _WEBTOKEN, 0, 30)))}),
+listed AS (
+  SELECT row_no, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    coalesce(string_agg(kind || ':' || place::BIGINT || ':' || stop::BIGINT, ',' ORDER BY place, ord) FILTER (ord < 3), '') AS base,
+    string_agg(kind || ':' || place::BIGINT || ':' || stop::BIGINT, ',' ORDER BY place, ord) AS spans
+  FROM found GROUP BY row_no)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (row_no)
+"""
+
+#: Jump consistent hash by the published congruential sequence; CRC-32 byte by byte.
+_SHARDS = """
+WITH RECURSIVE walk(doc_id, state, held, place) AS (
+  SELECT DISTINCT doc_id, doc_id::HUGEINT, 0::BIGINT, 0::BIGINT FROM documents
+  UNION ALL
+  SELECT doc_id, next, place,
+    floor((place + 1) * (2147483648.0::DOUBLE / ((next // 8589934592) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT *, (state * 2862933555777941757 + 1) % 18446744073709551616 AS next FROM walk WHERE place <= 16)
+),
+shards AS (
+  SELECT doc_id, max(place) FILTER (place < 16)::INT AS shard, max(place) FILTER (place <= 16)::INT AS grown_shard FROM walk GROUP BY doc_id
+),
+crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM range(256) AS bytes(b)
+),
+sized AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+    xor(list_reduce(
+      list_transform(range(strlen(coalesce(text, ''))), lambda i: ('0x' || substr(hex(encode(coalesce(text, ''))), 2 * i + 1, 2))::BIGINT),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32
+  FROM documents, crc_table
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id % 256, text_crc32 % 8, doc_id, text_crc32, size) - 1 AS slot, grown_shard
+FROM sized JOIN shards USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_secret_scan": _SECRETS, "op4_jump_shards": _SHARDS}
