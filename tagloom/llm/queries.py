@@ -13,6 +13,7 @@ from tagloom.llm.ngram_join import jaccard_components
 from tagloom.llm.secret_scan import BASE, secret_spans, span_text
 from tagloom.llm.sharding import jump_shards
 from tagloom.llm.substring_dedup import repeated_passages_removed
+from tagloom.llm.warc import archive_folder, read_warc, write_warc
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives and read back, one row per record."""
+    files = write_warc(table(spark, sf_dir, "pages"), archive_folder(spark))
+    records = read_warc(files, payloads=False)
+    number = F.nullif(F.split_part("record_id", F.lit(":"), F.lit(3)), F.lit("")).cast("long")
+    return records.select(
+        number.alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.split_part("refers_to", F.lit(":"), F.lit(3)).cast("long").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op8_substring_dedup)
+    for query in (op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op8_substring_dedup, op9_warc)
 }
