@@ -13,6 +13,7 @@ from tagloom.llm.ngram_join import jaccard_components
 from tagloom.llm.secret_scan import BASE, secret_spans, span_text
 from tagloom.llm.sharding import jump_shards
 from tagloom.llm.substring_dedup import repeated_passages_removed
+from tagloom.llm.topk import top_k
 from tagloom.llm.warc import archive_folder, read_warc, write_warc
 
 
@@ -62,7 +63,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of each vector whose id is divisible by 20."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op8_substring_dedup, op9_warc)
+    for query in (op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op8_substring_dedup, op9_warc, op10_topk)
 }

@@ -67,4 +67,35 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
 FROM sized JOIN shards USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_secret_scan": _SECRETS, "op4_jump_shards": _SHARDS}
+_TOPK = """
+WITH plain AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM plain q JOIN plain c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+#: Every record goes through an archive in the query; its fields follow from the pages alone.
+_WARC = """
+WITH paid AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM paid)
+SELECT page_id, strlen(body) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '') AS payload_digest,
+  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to
+FROM firsts
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_secret_scan": _SECRETS,
+    "op4_jump_shards": _SHARDS,
+    "op9_warc": _WARC,
+    "op10_topk": _TOPK,
+}
