@@ -11,6 +11,7 @@ from tagloom.llm.common import table
 from tagloom.llm.decontamination import contamination
 from tagloom.llm.ngram_join import jaccard_components
 from tagloom.llm.secret_scan import BASE, secret_spans, span_text
+from tagloom.llm.sentencepiece import encode, model_bytes, tokenizer_path
 from tagloom.llm.sharding import jump_shards
 from tagloom.llm.substring_dedup import repeated_passages_removed
 from tagloom.llm.topk import top_k
@@ -46,6 +47,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    """Ids of each document under the public BPE model with byte fallback, and what they decode to."""
+    model = model_bytes(model_path or tokenizer_path("piece_bpe_32k.model"))
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, decoded=True)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("covered_bytes"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the passages of 35 words that occur elsewhere."""
     left = repeated_passages_removed(table(spark, sf_dir, "documents"), length=35, keep_text=False)
@@ -70,5 +83,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op8_substring_dedup, op9_warc, op10_topk)
+    for query in (op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op6_sentencepiece, op8_substring_dedup, op9_warc, op10_topk)
 }
