@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm import toxicity
 from tagloom.llm.common import table
 from tagloom.llm.decontamination import contamination
 from tagloom.llm.ngram_join import jaccard_components
@@ -18,6 +19,21 @@ from tagloom.llm.topk import top_k
 from tagloom.llm.warc import archive_folder, read_warc, write_warc
 
 
+def held_out() -> Column:
+    """The third of the documents that nothing is learned from."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document after disguised words are restored."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(documents, labels, ~held_out(), sample_rows=20_000)
+    scored = toxicity.score(documents, model)
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "restored"
+    )
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in each document."""
     found = secret_spans(table(spark, sf_dir, "documents"))
@@ -83,5 +99,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op6_sentencepiece, op8_substring_dedup, op9_warc, op10_topk)
+    for query in (op1_toxicity, op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op6_sentencepiece, op8_substring_dedup, op9_warc, op10_topk)
 }
