@@ -22,17 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *carried: str) -> DataFrame:
     """(k_id, k_sig, body): the id, a hash of the text and the text ('' for null).
 
     Id and hash together name a text, so a repeated id is no reason to mix up two texts,
     and rows equal in both have equal results. All other columns are left behind, so
-    their names cannot clash with those an operator makes.
+    their names cannot clash with those an operator makes (but for those ``carried``).
     """
     ship(df.sparkSession)
     body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return df.select(F.col(f"`{id_col}`").alias("k_id"), body.alias("body")).select(
-        "k_id", F.xxhash64("body").alias("k_sig"), "body"
+    return df.select(F.col(f"`{id_col}`").alias("k_id"), body.alias("body"), *carried).select(
+        "k_id", F.xxhash64("body").alias("k_sig"), "body", *carried
     )
 
 
@@ -52,14 +52,28 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """:func:`tagloom.scratch.staged`, whose shuffle files go as soon as the table is written."""
+    """``df`` written below ``spark.checkpoint.dir`` and read back.
+
+    Its shuffle files go as soon as it is written; :func:`drop` deletes the table itself.
+    """
     conf = df.sparkSession.conf
     before = conf.get(_CLEAN, None)
     conf.set(_CLEAN, "true")
+    path = scratch.scratch_path(df.sparkSession, label)
     try:
-        return scratch.staged(df, label)
+        df.write.parquet(path)
     finally:
         conf.unset(_CLEAN) if before is None else conf.set(_CLEAN, before)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete staged tables whose readers have all been written."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 # --- texts as bytes -------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import staged
+from tagloom.llm.common import drop, staged
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -27,14 +27,18 @@ def connected_components(links: DataFrame) -> DataFrame:
         low = staged(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "star-low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = staged(large.where("u > v").distinct(), "star-large")
+        drop(low)
         low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "star-low")
         joined = large.join(low, "u")
+        old = edges
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         edges = staged(small.where("u > v").distinct(), "star")
+        drop(old, low, large)
         after = _digest(edges)
         if after == before:
             break
         before = after
+    # What is left is one star per component.
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import (
-    WHITE, arrow_id_type, blocks, id_type, keyed, lowered, mix, rolling, staged, word_hashes, word_spans,
+    WHITE, arrow_id_type, blocks, drop, id_type, keyed, lowered, mix, rolling, staged, word_hashes, word_spans,
 )
 from tagloom.llm.components import connected_components
 
@@ -169,7 +169,7 @@ def _possible(n1: Column, n2: Column, i1: Column, i2: Column, percent: int) -> C
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85
 ) -> DataFrame:
-    """One row per document: id, n_shingles, component_id.
+    """One row per document: id, n_shingles, component_id, text_hash.
 
     Two documents link when 100 * common >= percent * all of their distinct n-grams of words
     (A-Z lower-cased, split at ASCII white space); ``component_id`` is the smallest id that
@@ -215,6 +215,7 @@ def jaccard_components(
         "ngram-leads",
     )
     shared = staged(prefixes.join(leads, "token"), "ngram-shared")
+    drop(prefixes, leads)
 
     set_schema = pa.schema([("k_id", arrow_id), ("grams", pa.binary())])
     pair_schema = pa.schema([("a", arrow_id), ("b", arrow_id)])
@@ -226,7 +227,9 @@ def jaccard_components(
         both = pairs.join(grams.select(F.col("k_id").alias("a"), F.col("grams").alias("set_a")), "a").join(
             grams.select(F.col("k_id").alias("b"), F.col("grams").alias("set_b")), "b"
         )
-        return both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent, pair_schema), f"a {kind}, b {kind}")
+        linked = staged(both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent, pair_schema), f"a {kind}, b {kind}"), "ngram-linked")
+        drop(grams)
+        return linked
 
     # Round 1: each text with the smallest id of each of its prefix n-grams.
     lead = F.col("lead")
@@ -240,14 +243,17 @@ def jaccard_components(
     own = some.groupBy("k_id").agg(F.count("*").alias("texts")).where("texts > 1").select("k_id")
     several = some.join(own, "k_id", "left_semi").join(names.select("s1", "s2", "n", "node"), ["s1", "s2", "n"])
     tied = several.where("node <> k_id").select(F.col("k_id").alias("a"), F.col("node").alias("b"))
-    links = staged(verified(tried).union(tied).distinct(), "ngram-links")
+    first_links = verified(tried)
+    links = staged(first_links.union(tied).distinct(), "ngram-links")
+    drop(first_links)
     known = staged(connected_components(links), "ngram-components")
 
     # Round 2: pairs between different components.
     placed = shared.select("token", "k_id", "n", "i").join(known.withColumnRenamed("id", "k_id"), "k_id", "left")
-    placed = staged(placed.withColumn("component", F.coalesce("component", "k_id")), "ngram-placed")
+    placed = placed.withColumn("component", F.coalesce("component", "k_id"))
     mixed = staged(placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token"), "ngram-mixed")
     left = staged(placed.join(mixed, "token"), "ngram-left")
+    drop(shared, mixed)
     other = left.select(*(F.col(c).alias(f"{c}2") for c in left.columns))
     crossing = (
         left.join(other, (F.col("token") == F.col("token2")) & (F.col("component") > F.col("component2")))
@@ -255,10 +261,13 @@ def jaccard_components(
         .select(F.greatest("k_id", "k_id2").alias("a"), F.least("k_id", "k_id2").alias("b")).distinct()
     )
     rest = staged(crossing.join(tried, ["a", "b"], "left_anti"), "ngram-crossing")
+    drop(left, tried)
     if rest.limit(1).count():
-        more = staged(verified(rest), "ngram-more")
+        more = verified(rest)
         if more.limit(1).count():
             known = staged(connected_components(links.union(more)), "ngram-components")
+        drop(more)
+    drop(rest, links)
     return _labelled(sets, names, known, id_col)
 
 
@@ -271,5 +280,24 @@ def _labelled(sets: DataFrame, names: DataFrame, known: DataFrame, id_col: str)
         F.col("k_id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("k_id").isNotNull(), F.coalesce("component_id", "k_id")).alias("component_id"),
+        F.col("k_sig").alias("text_hash"),
     )
 
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without near duplicates: of each component the document with the smallest id stays.
+
+    Documents without words and rows without an id stay. Of rows that repeat the id that
+    stays, the one with the smallest text hash does (of equal texts, the smallest row).
+    """
+    placed = staged(jaccard_components(docs, id_col, text_col, n, percent), "ngram-placed")
+    same = placed.where(F.col(id_col) == F.col("component_id"))
+    kept = staged(same.groupBy(F.col(id_col).alias("kept_id")).agg(F.min("text_hash").alias("kept_hash"), F.count("*").alias("kept_rows")), "ngram-kept")
+    key, text_hash = F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    stay = docs.join(kept.hint("shuffle_hash"), (key == F.col("kept_id")) & (text_hash == F.col("kept_hash")), "left_semi")
+    if kept.where("kept_rows > 1").limit(1).count():  # repeated ids: the same rows, one of each
+        row = F.struct(*columns)
+        stay = stay.groupBy(key.alias("kept_id")).agg(F.min(row).alias("row")).select("row.*")
+    return stay.select(*columns).union(docs.where(key.isNull()).select(*columns))
+

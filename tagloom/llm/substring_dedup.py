@@ -25,6 +25,7 @@ from tagloom.llm.common import (
     WHITE,
     arrow_id_type,
     blocks,
+    drop,
     id_type,
     keyed,
     mix,
@@ -189,16 +190,16 @@ def repeated_passages_removed(
         .where("size(starts) > 0"),
         "dedup-windows",
     )
+    drop(again, hits)
     each = windows.select("t1", "t2", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select(
         "t1", "t2", F.col("w.starts").alias("start"), F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2")
     )
     counted = each.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
     repeated = staged(counted, "dedup-repeated")
-    starts = each.join(repeated, ["h1", "h2"]).groupBy("t1", "t2").agg(F.collect_list("start").alias("starts"))
-    spans = staged(
-        anchors.where("copies > 1").select("t1", "t2", "copies").join(staged(starts, "dedup-starts"), ["t1", "t2"], "full"),
-        "dedup-spans",
-    )
+    starts = staged(each.join(repeated, ["h1", "h2"]).groupBy("t1", "t2").agg(F.collect_list("start").alias("starts")), "dedup-starts")
+    drop(windows, repeated)
+    spans = staged(anchors.where("copies > 1").select("t1", "t2", "copies").join(starts, ["t1", "t2"], "full"), "dedup-spans")
+    drop(anchors, starts)
     out = pa.schema([("k_id", arrow_id_type(texts)), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                      ("kept_sha256", pa.string()), ("removed", pa.list_(pa.int64())), ("kept", pa.string())])
     judged = texts.join(spans.hint("shuffle_hash"), ["t1", "t2"], "left").select("k_id", "body", F.coalesce("copies", F.lit(1)).alias("copies"), "starts")
