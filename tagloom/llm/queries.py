@@ -38,13 +38,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in each document."""
     found = secret_spans(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in BASE]
-    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, BASE), F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
-    return jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85).drop("text_hash")
 
 
 def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,11 +100,12 @@ def _candidates(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame | None:
     folded = texts.withColumn("folded", F.lower("body"))
     held = F.array_compact(F.array(*(F.when(F.contains("folded", F.lit(t)), F.lit(t)) for t in triples)))
     postings = staged(folded.select("k_id", "k_sig", held.alias("held")).where("size(held) > 0").select(F.explode("held").alias("triple"), "k_id", "k_sig").distinct(), "trigrams")
-    spark = texts.sparkSession
     # One row per triple of a query: its number is fixed by the rules.
-    parts = spark.createDataFrame(
-        [(t, kind, n, len(query)) for kind, n, query in queries for t in sorted(query)], "triple string, kind string, part int, parts int"
-    )
+    rows = [
+        F.struct(F.lit(t).alias("triple"), F.lit(kind).alias("kind"), F.lit(n).alias("part"), F.lit(len(query)).alias("parts"))
+        for kind, n, query in queries for t in sorted(query)
+    ]
+    parts = texts.sparkSession.range(1).select(F.inline(F.array(*rows)))
     met = postings.join(F.broadcast(parts), "triple").groupBy("k_id", "k_sig", "kind", "part", "parts").agg(F.count("*").alias("held")).where("held = parts")
     return met.groupBy("k_id", "k_sig").agg(F.collect_set("kind").alias("kinds"))
 
@@ -153,6 +154,25 @@ def secret_spans(
       equal results each. An empty table gives no rows. Other columns are not read.
     """
     texts = keyed(docs, id_col, text_col)
+    return _judged(texts, rules).select(F.col("k_id").alias(id_col), "body", "spans")
+
+
+def secrets_masked(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, mark: str = "[secret]"
+) -> DataFrame:
+    """``docs`` with each secret in their texts replaced by ``mark``; all columns and rows are kept.
+
+    Texts without a secret are returned as they are, null ones included.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    framed = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("the_id"), F.col(f"`{text_col}`").alias("the_text"))
+    judged = _judged(keyed(framed, "the_id", "the_text", "row"), rules)
+    text = F.when(F.size("spans") == 0, F.col("row")[text_col]).otherwise(redacted(F.col("body"), F.col("spans"), mark))
+    return judged.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def _judged(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """``texts`` (of :func:`keyed`) with their spans."""
     found = _candidates(texts, rules)
     judged = texts.withColumn("kinds", F.expr("cast(array() as array<string>)"))
     if found is not None:
@@ -164,7 +184,8 @@ def secret_spans(
         indexed = trigram_query(rule.pattern) is not None
         wanted = F.array_contains("kinds", rule.kind) if indexed else F.col("body").rlike(_certain(rule))
         found_spans.append(F.when(wanted, _spans(rule, order)).otherwise(empty))
-    return judged.select(F.col("k_id").alias(id_col), "body", F.array_sort(F.concat(*found_spans)).alias("spans"))
+    carried = [c for c in texts.columns if c not in ("k_id", "k_sig", "body")]
+    return judged.select("k_id", "body", *carried, F.array_sort(F.concat(*found_spans)).alias("spans"))
 
 
 def span_text(spans: Column) -> Column:
