@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tagloom.llm.common import (
     arrow_id_type,
@@ -22,6 +24,7 @@ from tagloom.llm.common import (
     id_type,
     keyed,
     lowered,
+    staged,
     word_hashes,
     word_spans,
     word_table,
@@ -159,9 +162,9 @@ def _search(items: list[tuple[str, str]], length: int, schema: pa.Schema):
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", length: int = 10, broadcast_bytes: int = 8 << 20,
+    item_col: str = "item_id", item_text_col: str = "text", length: int = 10, broadcast_bytes: int = 8 << 20, keyed_rows: bool = False,
 ) -> DataFrame:
-    """One row per document: id, n_words, spans, items.
+    """One row per document: id, n_words, spans, items (with ``keyed_rows`` instead of the id: k_id, k_sig).
 
     Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters. A phrase
     is ``length`` consecutive words of an item; an item with fewer words is one phrase. ``spans``
@@ -203,7 +206,53 @@ def contamination(
         )
         # One row for each row there was: equal rows have equal results.
         found = each.withColumn("spans", merged).withColumn("again", F.explode(F.sequence(F.lit(1), (F.col("rows") / len(parts)).cast("int"))))
-    return found.select(F.col("k_id").alias(id_col), "n_words", "spans", F.array_sort("items").alias("items"))
+    key = ["k_id", "k_sig"] if keyed_rows else [F.col("k_id").alias(id_col)]
+    return found.select(*key, "n_words", "spans", F.array_sort("items").alias("items"))
+
+
+def _cut_rows(row_at: str, schema: pa.Schema):
+    def run(batches):
+        for batch, data, at in blocks(batches):
+            spans = batch.column("spans")
+            texts, raw = [], data.tobytes()
+            for row in range(len(at) - 1):
+                low, high = int(at[row]), int(at[row + 1])
+                cut = spans[row].as_py() or []
+                if not cut:
+                    texts.append(raw[low:high].decode())
+                    continue
+                starts, ends, _ = word_spans(data[low:high], np.array([0, high - low]), _INSIDE)
+                place, parts = low, []
+                for first, end in zip(cut[::2], cut[1::2], strict=True):
+                    parts.append(raw[place : low + int(starts[first])])
+                    place = low + int(ends[end - 1])
+                texts.append(b"".join([*parts, raw[place:high]]).decode())
+            yield pa.RecordBatch.from_arrays([batch.column(row_at), pa.array(texts, pa.string()), spans], schema=schema)
+
+    return run
+
+
+def decontaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", length: int = 10, broadcast_bytes: int = 8 << 20,
+) -> DataFrame:
+    """``docs`` with the removal spans of :func:`contamination` cut out of their texts.
+
+    A span goes from the first byte of its first word to the last byte of its last one; what
+    stands between words around it stays. Texts without a span are returned as they are, null
+    ones included. All columns and rows are kept.
+    """
+    found = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, length, broadcast_bytes, keyed_rows=True)
+    spans = staged(found.where("size(spans) > 0").select("k_id", "k_sig", "spans").dropDuplicates(["k_id", "k_sig"]), "phrase-spans")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    texts = keyed(docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("the_id"), F.col(f"`{text_col}`").alias("the_text")), "the_id", "the_text", "row")
+    told = spans.select(F.col("k_id").alias("s_id"), F.col("k_sig").alias("s_sig"), "spans")
+    joined = texts.join(told, F.col("k_id").eqNullSafe(F.col("s_id")) & (F.col("k_sig") == F.col("s_sig")), "left")
+    schema = StructType([texts.schema["row"], StructField("clean", StringType()), StructField("cut", ArrayType(LongType()))])
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
+    cut = joined.select("row", "body", "spans").mapInArrow(_cut_rows("row", arrow), schema)
+    text = F.when(F.col("cut").isNull(), F.col("row")[text_col]).otherwise(F.col("clean"))
+    return cut.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> list[list[tuple[str, str]]]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import toxicity
+from tagloom.llm import quality, toxicity
 from tagloom.llm.common import table
 from tagloom.llm.decontamination import contamination
 from tagloom.llm.ngram_join import jaccard_components
@@ -78,6 +78,22 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None =
     )
 
 
+def quality_model(documents: DataFrame, labels: DataFrame) -> quality.OrdinalModel:
+    """Grades of the labels: 0 of low quality, 1 good but toxic, 2 good; learned off the held-out third."""
+    rating = F.when(F.col("quality") == 0, 0).when((F.col("quality") == 1) & (F.col("toxic") == 1), 1).when(F.col("quality") == 1, 2)
+    return quality.fit(documents, labels, rating, n_grades=3, usable=~held_out(), sample_rows=4000)
+
+
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of each document and the probabilities of grade 1 or more and of grade 2."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    graded = quality.grade(documents, quality_model(documents, table(spark, sf_dir, "labels")))
+    return graded.select(
+        "doc_id", held_out().alias("held_out"), "expected_grade", F.col("tails")[0].alias("p_grade_1"), F.col("tails")[1].alias("p_grade_2"),
+        (F.col("tails")[0] >= 0.5).alias("kept"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the passages of 35 words that occur elsewhere."""
     left = repeated_passages_removed(table(spark, sf_dir, "documents"), length=35, keep_text=False)
@@ -102,5 +118,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_toxicity, op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op6_sentencepiece, op8_substring_dedup, op9_warc, op10_topk)
+    for query in (op1_toxicity, op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op6_sentencepiece, op7_ordinal_quality, op8_substring_dedup, op9_warc, op10_topk)
 }
