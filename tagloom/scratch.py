@@ -14,10 +14,10 @@ def scratch_root(spark: SparkSession) -> str:
     Where none is named, a local session (tests) gets a fresh one; on a cluster a
     machine-local folder would be lost with its machine, so that is an error.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
     if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
@@ -30,12 +30,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tagloom/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str = "stage") -> DataFrame:
+def staged(df: DataFrame, label: str = "stage", with_path: bool = False) -> DataFrame | tuple[DataFrame, str]:
     """``df`` written once and read back, so that later steps share one result.
 
     Parquet rather than ``checkpoint()``: a later step that needs two columns reads two.
-    As with checkpoint files, keeping or expiring the folder is up to its owner.
+    ``with_path`` returns the folder too, for :func:`discard` once its readers are done;
+    otherwise, as with checkpoint files, keeping or expiring it is up to its owner.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return (table, path) if with_path else table
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders."""
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
 from operator import and_
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,14 +13,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.functions.names import quoted
-from tagloom.operators.shape import best_row, descending, latest_per_key, total_order
+from tagloom.operators.shape import latest_per_key
+from tagloom.scratch import discard, scratch_path
 from tagloom.scratch import staged as stage
 
-_INCOMING, _FILE, _FILES, _PLACE, _ROWS, _STORED = (
-    f"__tagloom_{name}" for name in ("incoming", "file", "files", "place", "rows", "stored_rows")
-)
+_CHUNK, _INCOMING, _MATCHED = (f"__tagloom_{name}" for name in ("chunk", "incoming", "matched"))
 
-_MAX_BROADCAST = 500_000
+#: The table's columns and types, in a file that readers of the folder pass over.
+_SCHEMA_FILE = "_tagloom_schema.json"
+
+# How Spark names the folder of a partition value.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | frozenset(map(chr, range(1, 32)))
+
+
+class UnfinishedCommit(RuntimeError):
+    """Merged partitions are written, but not all of them have replaced the stored ones.
+
+    ``resume_from`` is the folder they are in; giving it to :func:`upsert` finishes the commit.
+    """
+
+    def __init__(self, path: str, resume_from: str) -> None:
+        super().__init__(f"commit to {path} failed; finish it with upsert(..., resume_from={resume_from!r})")
+        self.resume_from = resume_from
 
 
 def upsert(
@@ -34,164 +48,236 @@ def upsert(
     staged: bool = False,
     unique: bool = False,
     rows_per_file: int = 1_000_000,
-    max_listed: int = 10_000,
-) -> None:
-    """Merge ``df`` into the Parquet table at ``path``.
+    partitions_at_once: int = 2_000,
+    resume_from: str | None = None,
+) -> int:
+    """Merge ``df`` into the Parquet table at ``path``; returns the rows merged in (one per key).
 
     Per (partition, key) one row stays: the one with the greatest ``precombine``, NULL
     being lowest; on a tie the incoming row wins. A key whose partition changed is thus
     kept in both partitions. Columns new in ``df`` are added, columns it lacks become
     NULL in its rows (the same goes for fields of struct columns); a column of another
-    type than the stored one is refused. A NULL key ends the job.
+    type than anywhere in the table is refused. A NULL key ends the job. In text partition
+    columns ``''`` is NULL, as a folder cannot tell them apart.
 
     How it runs: the batch is reduced to one row per key and written once (skipped with
     ``staged``, for a DataFrame that is a plain scan of files already; ``unique`` says
-    that it holds one row per key). Partitions it does not touch are not read. Stored
-    and incoming rows meet in one shuffle, by partition and a hash of the key, which
-    also lays out the files: a partition gets one file per ``rows_per_file`` rows, so a
-    partition that holds most of the table is merged by many tasks. Up to
-    ``max_listed`` touched partitions are named in the read's partition filter; above
-    that they are found by a semi join.
-
-    One writer at a time. Files are swapped partition by partition when the job
-    commits, so a driver lost in that moment leaves some partitions old and some new;
-    running the same batch again completes it.
+    that it holds one row per key). Touched partitions are merged ``partitions_at_once``
+    at a time, which only groups the work; of the table only their folders are looked at.
+    A join with the batch's partitions, keys and precombine values drops the stored rows
+    that lose; the incoming rows that win are added; partitions are rebalanced, so small
+    ones are single files and a hot one is written by many tasks.
+
+    All merged partitions are written to a scratch folder first and replace the stored ones
+    in a second write. Spark deletes a partition before it moves the new one into place, so
+    a crash in the second write can leave partitions missing. They are in the scratch
+    folder: :class:`UnfinishedCommit` names it (after a lost driver it is the newest
+    ``upsert-merged-*`` below ``spark.checkpoint.dir``), and ``resume_from`` repeats the second
+    write from it, which needs ``path`` and ``partition_by`` alone and may be done any number
+    of times. Scratch folders are deleted after success. One writer at a time.
     """
+    spark = df.sparkSession
+    if resume_from:
+        return _commit(spark, resume_from, path, partition_by, rows_per_file, None)
     for name in (*keys, precombine, *partition_by):
         if name not in df.columns:
             raise ValueError(f"upsert needs column {name!r}; columns are {df.columns}")
     if not keys:
         raise ValueError("upsert needs at least one key column")
-    spark = df.sparkSession
+    texts = [f.name for f in df.schema.fields if f.name in partition_by and isinstance(f.dataType, T.StringType)]
+    df = df.withColumns({name: F.nullif(F.col(quoted(name)), F.lit("")) for name in texts})
+    table = _stored_schema(spark, path, T.StructType([df.schema[name] for name in partition_by]))
+    _check_types(table, df.schema)
+    table = _widened(table, df.schema, partition_by)
+
     batch = df if unique else latest_per_key(df, [*partition_by, *keys], precombine)
+    temporary = []
     if not staged:
-        batch = stage(batch, "upsert")
-
-    partitions = T.StructType([df.schema[name] for name in partition_by])
-    touched = _rows_per_partition(batch, partition_by)
-    layout = _open(spark, path, partitions)
-    listed = touched.withColumn(_PLACE, _place(partition_by)).limit(max_listed + 1).collect()
-    if len(listed) <= max_listed:
-        stored, sizes, total = _listed(spark, path, layout, partitions, listed, rows_per_file)
-    else:
-        stored, sizes, total = _joined(spark, path, layout, partitions, touched, rows_per_file)
-
-    checked = batch.withColumns({k: _never_null(k) for k in keys}).withColumn(_INCOMING, F.lit(1))
-    union = checked
-    if stored is not None:
-        _check_types(stored.schema, batch.schema)
-        union = stored.withColumn(_INCOMING, F.lit(0)).unionByName(checked, allowMissingColumns=True)
-    groups = list(partition_by)
-    if sizes is not None:
-        hashed = F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.col(_FILES))
-        union = _same_partition(union, sizes, partition_by).withColumn(_FILE, hashed).drop(_FILES)
-        groups.append(_FILE)
-    # the window is partitioned by these columns and the keys, so it needs no shuffle of its own
-    together = union.repartition(total, *map(quoted, groups))
-    rest = total_order(together, but=(*partition_by, *keys, precombine, _INCOMING, _FILE))
-    winners = best_row(together, [*groups, *keys], descending([precombine, _INCOMING, *rest]))
-    (
-        winners.drop(_FILE, _INCOMING)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
-def _rows_per_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    return df.groupBy(*[F.col(quoted(name)) for name in partition_by]).agg(F.count(F.lit(1)).alias(_ROWS))
-
-
-def _same_partition(
-    left: DataFrame, right: DataFrame, partition_by: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Join on the partition columns, NULL being a partition of its own; of ``right``
-    only the other columns stay."""
-    renamed = {name: f"__tagloom_right_{i}" for i, name in enumerate(partition_by)}
-    other = right.withColumnsRenamed(renamed)
-    same = [F.col(quoted(a)).eqNullSafe(F.col(b)) for a, b in renamed.items()]
-    return left.join(other, reduce(and_, same), how).drop(*renamed.values())
-
-
-def _open(spark: SparkSession, path: str, partitions: T.StructType) -> DataFrame | None:
-    """The table's partition columns; None before the first write."""
+        batch, folder = stage(batch, "upsert", with_path=True)
+        temporary.append(folder)
+    groups, chunks = _chunks(batch, partition_by, partitions_at_once)
+    if not chunks:
+        discard(spark, *temporary)
+        return 0
+    if groups > 1:  # each chunk is to read its own rows only
+        folder = scratch_path(spark, "upsert-chunks")
+        numbered = batch.withColumn(_CHUNK, _chunk_of(partition_by, groups))
+        numbered.hint("rebalance", _CHUNK).write.partitionBy(_CHUNK).parquet(folder)
+        batch = spark.read.parquet(folder)
+        temporary.append(folder)
+    merged = scratch_path(spark, "upsert-merged")
+    for chunk, names in chunks.items():
+        incoming = batch.where(F.col(_CHUNK) == chunk).drop(_CHUNK) if groups > 1 else batch
+        checked = incoming.withColumns({k: _never_null(k) for k in keys})
+        stored = _stored_rows(spark, path, names, table)
+        rows = checked if stored is None else _merged(stored, checked, keys, precombine, partition_by)
+        full = rows.unionByName(spark.createDataFrame([], table), allowMissingColumns=True).select(*map(quoted, table.names))
+        (
+            full.hint("rebalance", *map(quoted, partition_by))
+            .write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).parquet(merged)
+        )
+    _keep_schema(spark, path, table)
+    count = batch.count()
+    _commit(spark, merged, path, partition_by, rows_per_file, table)
+    discard(spark, *temporary)
+    return count
+
+
+def _commit(spark, merged: str, path: str, partition_by, rows_per_file: int, table: T.StructType | None) -> int:
+    """Replace the stored partitions by the merged ones; returns their rows."""
+    if table is None:
+        known = _kept_schema(spark, path)
+        if known is None:
+            raise ValueError(f"{path} has no {_SCHEMA_FILE}: nothing was begun that could be resumed")
+        table = known
+    rows = spark.read.schema(table).parquet(merged)
     try:
-        return spark.read.schema(partitions).parquet(path)
+        _swap(rows, path, partition_by, rows_per_file)
+    except Exception as cause:
+        raise UnfinishedCommit(path, merged) from cause
+    count = rows.count()
+    discard(spark, merged)
+    return count
+
+
+def _swap(rows: DataFrame, path: str, partition_by, rows_per_file: int) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).parquet(path)
+
+
+# --- touched partitions ------------------------------------------------------------------
+
+
+def _chunk_of(partition_by: Sequence[str], chunks: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(quoted(name)) for name in partition_by]), F.lit(chunks)).cast("int")
+
+
+def _chunks(batch: DataFrame, partition_by: Sequence[str], at_once: int) -> tuple[int, dict[int, list[str]]]:
+    """Folders of the touched partitions in groups of about ``at_once``, and the number of groups.
+
+    The names of a table's partitions are what its readers list as well.
+    """
+    names = [F.col(quoted(name)) for name in partition_by]
+    touched = batch.select(*names).distinct()
+    chunks = max(1, -(-touched.count() // at_once))
+    texts = [F.col(quoted(name)).cast("string").alias(f"p{i}") for i, name in enumerate(partition_by)]
+    out: dict[int, list[str]] = {}
+    for row in touched.select(_chunk_of(partition_by, chunks).alias("chunk"), *texts).toLocalIterator():
+        folder = "/".join(f"{_escaped(name)}={_folder_value(row[i + 1])}" for i, name in enumerate(partition_by))
+        out.setdefault(row.chunk, []).append(folder)
+    return chunks, dict(sorted(out.items()))
+
+
+def _escaped(text: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+
+
+def _folder_value(value: str | None) -> str:
+    return _NULL_FOLDER if value is None else _escaped(value)
+
+
+def _stored_rows(spark: SparkSession, path: str, folders: list[str], table: T.StructType) -> DataFrame | None:
+    """The stored rows of these partitions, with all columns of the table; None if there are none."""
+    files = _file_system(spark, path)
+    there = [f"{path}/{folder}" for folder in folders if files.exists(_path(spark, f"{path}/{folder}"))]
+    if not there:
+        return None
+    # A path is a pattern to the reader; partition values may hold the pattern's signs.
+    return spark.read.option("basePath", path).schema(table).parquet(*map(_literal, there))
+
+
+def _literal(path: str) -> str:
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+
+
+def _merged(stored: DataFrame, incoming: DataFrame, keys, precombine: str, partition_by) -> DataFrame:
+    """Stored rows that stay and incoming ones that win."""
+    columns = [*partition_by, *keys]
+    new, old = F.col(_INCOMING), F.col(quoted(precombine))
+    narrow = incoming.select(*[F.col(quoted(c)).alias(f"__tagloom_key_{i}") for i, c in enumerate(columns)], F.col(quoted(precombine)).alias(_INCOMING), F.lit(True).alias(_MATCHED))
+    same = reduce(and_, [F.col(quoted(c)).eqNullSafe(F.col(f"__tagloom_key_{i}")) for i, c in enumerate(columns)])
+    stays = F.coalesce(old.isNotNull() & (new.isNull() | (old > new)), F.lit(False))
+    kept = stored.join(narrow, same, "left").where(F.col(_MATCHED).isNull() | stays).select(*map(quoted, stored.columns))
+    beaten = stored.join(narrow, same).where(stays).select(*[F.col(f"__tagloom_key_{i}") for i in range(len(columns))])
+    wins = incoming.join(beaten, same, "left_anti")
+    return kept.unionByName(wins, allowMissingColumns=True)
+
+
+# --- the table's schema ------------------------------------------------------------------
+
+
+def _stored_schema(spark: SparkSession, path: str, partitions: T.StructType) -> T.StructType | None:
+    """Columns of the whole table; None before the first write.
+
+    A table without the schema file (made by another writer) has its footers read, once.
+    """
+    kept = _kept_schema(spark, path)
+    if kept is not None:
+        return kept
+    try:
+        reader = spark.read.option("mergeSchema", True).option("recursiveFileLookup", False)
+        merged = reader.parquet(path).schema
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    return T.StructType([f for f in merged.fields if f.name not in partitions.names] + partitions.fields)
+
+
+def _widened(table: T.StructType | None, batch: T.StructType, partition_by: Sequence[str]) -> T.StructType:
+    """The table's columns and those the batch adds, partition columns last, all nullable."""
+    data = [f for f in (table or batch).fields if f.name not in partition_by]
+    have = {f.name: i for i, f in enumerate(data)}
+    for field in batch.fields:
+        if field.name in have:
+            i = have[field.name]
+            data[i] = T.StructField(field.name, _wider(data[i].dataType, field.dataType))
+        elif field.name not in partition_by:
+            data.append(T.StructField(field.name, field.dataType))
+    return T.StructType([T.StructField(f.name, f.dataType) for f in data] + [T.StructField(n, batch[n].dataType) for n in partition_by])
+
+
+def _wider(stored: T.DataType, incoming: T.DataType) -> T.DataType:
+    if not (isinstance(stored, T.StructType) and isinstance(incoming, T.StructType)):
+        return stored
+    theirs = {f.name: f.dataType for f in incoming.fields}
+    both = [T.StructField(f.name, _wider(f.dataType, theirs[f.name]) if f.name in theirs else f.dataType) for f in stored.fields]
+    return T.StructType(both + [f for f in incoming.fields if f.name not in stored.names])
+
+
+def _kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    files, file = _file_system(spark, path), _path(spark, f"{path}/{_SCHEMA_FILE}")
+    if not files.exists(file):
+        return None
+    stream = files.open(file)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
 
 
-def _stored_partitions(layout: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows and folder per stored partition, from file footers alone."""
-    names = [F.col(quoted(name)) for name in partition_by]
-    # by file first: counting needs no sort, finding the folder then sees one row per file
-    files = layout.groupBy(*names, F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias(_ROWS)
-    )
-    folder = F.regexp_replace(F.min("file"), "/[^/]*$", "")
-    return files.groupBy(*names).agg(F.sum(_ROWS).alias(_STORED), folder.alias("folder"))
-
-
-def _listed(spark, path, layout, partitions, listed, rows_per_file):
-    """Stored rows, files per partition and files in all, for partitions known by name."""
-    names = partitions.names
-    rows = {tuple(r[name] for name in names): r[_ROWS] for r in listed}
-    stored = None
-    if layout is not None and rows:
-        in_listed = _place(names).isin([r[_PLACE] for r in listed])
-        found = _stored_partitions(layout.where(in_listed), names).collect()
-        for r in found:
-            rows[tuple(r[name] for name in names)] += r[_STORED]
-        if found:
-            reader = spark.read.option("basePath", path)
-            folders = [unquote(r["folder"]) for r in found]
-            merged = reader.option("mergeSchema", True).parquet(*folders).schema
-            stored = reader.schema(_with_partitions(merged, partitions)).parquet(*folders)
-    files = {partition: max(1, ceil(n / rows_per_file)) for partition, n in rows.items()}
-    total = max(1, sum(files.values()))
-    if total <= len(files):
-        return stored, None, total
-    schema = T.StructType([*partitions.fields, T.StructField(_FILES, T.IntegerType())])
-    sizes = spark.createDataFrame([(*partition, n) for partition, n in files.items()], schema)
-    # one short row per listed partition, and their number is limited
-    return stored, F.broadcast(sizes), total
-
-
-def _place(partition_by: Sequence[str]) -> Column:
-    """A partition's values as one text, NULLs told apart from texts. Only evaluated per
-    partition, by the read's partition filter."""
-    return F.to_json(F.array(*[F.col(quoted(name)).cast("string") for name in partition_by]))
-
-
-def _joined(spark, path, layout, partitions, touched, rows_per_file):
-    """The same for more partitions than one wants to name: everything stays in Spark."""
-    names = partitions.names
-    found = None if layout is None else _stored_partitions(layout, names).drop("folder")
-    counted = touched.withColumn(_STORED, F.lit(0)) if found is None else _same_partition(touched, found, names, "left")
-    rows = F.col(_ROWS) + F.coalesce(_STORED, F.lit(0))
-    sizes = counted.select(*map(quoted, names), F.ceil(rows / rows_per_file).cast("int").alias(_FILES))
-    total, count = sizes.agg(F.sum(_FILES), F.count(F.lit(1))).first()
-    if count <= _MAX_BROADCAST:
-        # checked: that many short rows at most; else adaptive execution splits hot partitions
-        sizes, touched = F.broadcast(sizes), F.broadcast(touched)
-    stored = None
-    if found is not None:
-        merged = spark.read.option("mergeSchema", True).parquet(path).schema
-        whole = spark.read.schema(_with_partitions(merged, partitions)).parquet(path)
-        stored = _same_partition(whole, touched.drop(_ROWS), names)
-    return stored, sizes, int(total)
-
-
-def _with_partitions(schema: T.StructType, partitions: T.StructType) -> T.StructType:
-    data = [f for f in schema.fields if f.name not in set(partitions.names)]
-    return T.StructType(data + partitions.fields)
-
-
-def _check_types(stored: T.StructType, batch: T.StructType) -> None:
-    have = {f.name: f.dataType for f in stored.fields}
+def _keep_schema(spark: SparkSession, path: str, table: T.StructType) -> None:
+    """Written before the rows are: columns the file lacks would be lost in the next upsert."""
+    files, final = _file_system(spark, path), _path(spark, f"{path}/{_SCHEMA_FILE}")
+    fresh = _path(spark, f"{path}/{_SCHEMA_FILE}.new")
+    out = files.create(fresh, True)
+    out.write(bytearray(table.json().encode()))
+    out.close()
+    files.delete(final, False)
+    files.rename(fresh, final)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _check_types(stored: T.StructType | None, batch: T.StructType) -> None:
+    have = {f.name: f.dataType for f in stored.fields} if stored is not None else {}
     wrong = {
         f.name: (have[f.name].simpleString(), f.dataType.simpleString())
         for f in batch.fields

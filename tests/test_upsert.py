@@ -1,4 +1,6 @@
 import glob
+import os
+import shutil
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -6,8 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tagloom.schema import schema_from_spec
-from tagloom.scratch import scratch_path
-from tagloom.sinks import upsert
+from tagloom.scratch import scratch_path, scratch_root
+from tagloom.sinks import merge, upsert
+from tagloom.sinks.merge import UnfinishedCommit
 from tagloom.sources import read_partitioned
 
 PARTS = schema_from_spec([{"Name": "year", "Type": "integer"}, {"Name": "day", "Type": "varchar"}])
@@ -55,7 +58,7 @@ def test_untouched_partitions_keep_their_files(spark, folder):
     assert len(stored(spark, path)) == 4
 
 
-@pytest.mark.parametrize("more", [{}, {"max_listed": 0}, {"rows_per_file": 2}, {"rows_per_file": 2, "max_listed": 1}])
+@pytest.mark.parametrize("more", [{}, {"partitions_at_once": 1}, {"rows_per_file": 2}, {"rows_per_file": 2, "partitions_at_once": 3}])
 def test_all_ways_of_finding_and_splitting_partitions_agree(spark, folder, more):
     path = folder + "/t"
     first = [(f"k{i}", i % 3, "a", 2024 if i % 2 else None, ["01", None, "a b/c:d", "x=y"][i % 4]) for i in range(40)]
@@ -161,3 +164,78 @@ def test_equals_brute_force_and_twice_is_once(spark, first, second):
     assert stored(spark, path) == expected
     put(spark, path, second)
     assert stored(spark, path) == expected
+
+
+def test_empty_text_and_null_are_one_partition(spark, folder):
+    for at_once in (1, 2000):
+        path = f"{folder}/t{at_once}"
+        put(spark, path, [("a", 1, "x", 2024, None), ("b", 1, "x", 2024, None)])
+        put(spark, path, [("c", 1, "y", 2024, ""), ("b", 2, "y", 2024, "")], partitions_at_once=at_once)
+        assert stored(spark, path, "id", "w", "day") == [("a", "x", None), ("b", "y", None), ("c", "y", None)]
+
+
+def test_other_type_in_an_untouched_partition_is_refused(spark, folder):
+    path = folder + "/t"
+    put(spark, path, [("a", 1, 2.5, 2024, "01")], "id string, v bigint, w double, year int, day string")
+    with pytest.raises(ValueError, match="w.*double.*string"):
+        put(spark, path, [("a", 1, "x", 2024, "02")])
+    assert stored(spark, path, "id", "w") == [("a", 2.5)]
+
+
+def test_other_writers_table_is_taken_over(spark, folder):
+    path = folder + "/t"
+    spark.createDataFrame([("a", 1, 7, 2024, "01")], "id string, v bigint, x int, year int, day string").write.partitionBy("year", "day").parquet(path)
+    spark.createDataFrame([("b", 1, "w", 2024, "02")], DDL).write.mode("append").partitionBy("year", "day").parquet(path)
+    put(spark, path, [("a", 2, "new", 2024, "01"), ("c", 1, "new", 2024, "02")])
+    assert stored(spark, path, "id", "w", "x") == [("a", "new", None), ("b", "w", None), ("c", "new", None)]
+    with pytest.raises(ValueError, match="x.*int.*string"):
+        put(spark, path, [("d", 1, "s", 2025, "09")], "id string, v bigint, x string, year int, day string")
+
+
+def test_commit_that_broke_off_is_resumed(spark, folder, monkeypatch):
+    path = folder + "/t"
+    put(spark, path, [("a", 1, "x", 2024, "01"), ("b", 1, "x", 2024, "01"), ("c", 1, "x", 2024, "02"), ("z", 1, "x", 2023, "01")])
+
+    def crash(*_):
+        # what a crash leaves after Spark deleted a stored partition and before the new one is in place
+        shutil.move(f"{path}/year=2024/day=01", folder + "/lost")
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tagloom.sinks.merge._swap", crash)
+        with pytest.raises(UnfinishedCommit) as broken:
+            put(spark, path, [("b", 2, "y", 2024, "01"), ("d", 1, "y", 2024, "02")])
+    assert [r[0] for r in stored(spark, path)] == ["c", "z"]
+    frame = spark.createDataFrame([], DDL)
+    upsert(frame, path, ["id"], "v", ["year", "day"], resume_from=broken.value.resume_from)
+    assert stored(spark, path, "id", "w") == [("a", "x"), ("b", "y"), ("c", "x"), ("d", "y"), ("z", "x")]
+    assert not os.path.exists(broken.value.resume_from.removeprefix("file:"))
+
+
+def test_scratch_is_emptied(spark, folder):
+    path = folder + "/t"
+    before = set(glob.glob(scratch_root(spark).removeprefix("file:") + "/tagloom/upsert*"))
+    put(spark, path, [("a", 1, "x", 2024, "01"), ("b", 1, "x", 2024, "02")], partitions_at_once=1)
+    put(spark, path, [("a", 2, "x", 2024, "01")])
+    assert set(glob.glob(scratch_root(spark).removeprefix("file:") + "/tagloom/upsert*")) == before
+
+
+def test_null_precombine_is_lowest(spark, folder):
+    path = folder + "/t"
+    put(spark, path, [("a", None, "old", 2024, "01"), ("b", 1, "old", 2024, "01"), ("c", None, "old", 2024, "01")])
+    put(spark, path, [("a", None, "new", 2024, "01"), ("b", None, "new", 2024, "01"), ("c", -5, "new", 2024, "01")])
+    assert stored(spark, path, "id", "w") == [("a", "new"), ("b", "old"), ("c", "new")]
+
+
+def test_only_touched_folders_are_read_and_no_window_is_over_stored_rows(spark, folder, monkeypatch):
+    path = folder + "/t"
+    put(spark, path, [(f"k{i}", 1, "x", 2024, f"{i % 9:02}") for i in range(90)])
+    seen = []
+    merged = merge._merged
+    monkeypatch.setattr(merge, "_merged", lambda stored, *more: (seen.append(stored), merged(stored, *more))[1])
+    put(spark, path, [("k1", 2, "y", 2024, "01")])
+    (rows,) = seen
+    assert {f.split("/day=")[1].split("/")[0] for f in rows.inputFiles()} == {"01"}
+    incoming = spark.createDataFrame([("k1", 2, "y", 2024, "01")], DDL)
+    plan = merged(rows, incoming, ["id"], "v", ["year", "day"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
