@@ -738,7 +738,7 @@ def export_from_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
         sql_transformations=[
             {"name": "paid_cents", "sql": "CAST(ROUND(paid * 100) AS BIGINT)"},
             {"name": "is_large", "sql": "paid_cents > 2000"},
-            {"name": "tstamp", "sql": "COALESCE(CAST(FROM_UNIXTIME(tstamp / 1000000) AS TIMESTAMP_NTZ), TIMESTAMP_NTZ '2000-01-01 00:00:00')"},
+            {"name": "tstamp", "sql": "CAST(FROM_UNIXTIME(tstamp DIV 1000000, 'yyyy-MM-dd HH:mm:ss') AS TIMESTAMP_NTZ)"},
         ],
     )
     df = build(spark, spec, context)

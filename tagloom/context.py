@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from typing import Any
 
+_PLACEHOLDER = re.compile(r"\{[A-Za-z_]\w*\}")
+
 # Run modes and the struct each one's records keep their attributes in.
 FULL, INC = "FULL", "INC"
 ROOTS = {FULL: "Item", INC: "NewImage"}
@@ -55,6 +58,14 @@ class RunContext:
         }
 
 
+def unfilled(value: Any) -> list[str]:
+    """Placeholders left in the texts of ``value``, at any depth."""
+    if isinstance(value, str):
+        return _PLACEHOLDER.findall(value)
+    items = value.values() if isinstance(value, Mapping) else value if isinstance(value, (list, tuple)) else ()
+    return sorted({name for item in items for name in unfilled(item)})
+
+
 def fill(value: Any, placeholders: Mapping[str, str]) -> Any:
     """``value`` with ``{name}`` replaced in every text, at any depth; unknown names stay."""
     if isinstance(value, str):

@@ -6,14 +6,14 @@ import re
 from collections.abc import Iterable
 
 # The type tags of the export format.
-SCALAR_TAGS = ("S", "N", "BOOL", "B")
 SET_TAGS = ("SS", "NS", "BS")
 MAP_TAG = "M"
 LIST_TAG = "L"
 NULL_TAG = "NULL"
-TAGS = frozenset((*SCALAR_TAGS, *SET_TAGS, MAP_TAG, LIST_TAG, NULL_TAG))
+TAGS = frozenset(("S", "N", "BOOL", "B", *SET_TAGS, MAP_TAG, LIST_TAG, NULL_TAG))
 
-_CAPITAL_INSIDE = re.compile(r"(?<=.)([A-Z])", re.DOTALL)
+# Fixed value: capitals that names set off, all but one at the beginning.
+_CAPITAL_INSIDE = re.compile(r"(?<!^)([A-Z])")
 
 
 def column_name(path: tuple[str, ...]) -> str:

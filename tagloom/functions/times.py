@@ -44,8 +44,8 @@ def parse_default(text: Column) -> Column:
 def parse_any(text: Column) -> Column:
     """Text in any of the known notations to TIMESTAMP.
 
-    Digits are epoch values: 10 of them seconds, 13-15 milliseconds, 16 and more
-    microseconds. ``...[UTC-05:00]`` takes the bracketed offset unless the text
+    Digits are epoch values: 10 of them seconds, 13-15 milliseconds, 16-18 microseconds,
+    19 nanoseconds (cut to microseconds). ``...[UTC-05:00]`` takes the bracketed offset unless the text
     has one of its own. Everything else goes through :func:`parse_default`.
     """
     digits = F.length(text)
@@ -56,6 +56,7 @@ def parse_any(text: Column) -> Column:
         F.when(
             text.rlike(_DIGITS),
             F.when(digits == 10, epoch_seconds(number))
+            .when(digits >= 19, F.timestamp_micros(F.call_function("div", number, F.lit(1000))))
             .when(digits >= 16, F.timestamp_micros(number))
             .when(digits >= 13, epoch_millis(number)),
         )

@@ -27,7 +27,7 @@ class _Leaf:
 
 
 def flatten_tagged(
-    df: DataFrame, root: str, schema: T.StructType | None = None, on_collision: str = "coalesce"
+    df: DataFrame, root: str, schema: T.StructType | None = None, on_collision: str = "error"
 ) -> DataFrame:
     """Columns of the tagged struct ``root``: one projection, no row work in Python.
 
@@ -40,8 +40,9 @@ def flatten_tagged(
     With a declared ``schema``, maps it declares as structs stay structs, and columns
     with a source attribute get their declared names.
 
-    Two attributes whose names become the same column are merged the same way
-    (``on_collision="coalesce"``), or refused (``"error"``).
+    Different attributes whose names become one column are refused, naming them
+    (``on_collision="error"``), or merged the same way (``"coalesce"``). With a declared
+    schema that goes for its columns.
     """
     if on_collision not in ("coalesce", "error"):
         raise ValueError(f"on_collision is 'coalesce' or 'error', not {on_collision!r}")
@@ -54,7 +55,9 @@ def flatten_tagged(
         for name in walk.names(leaf.path):
             groups.setdefault(name, []).append(leaf)
     if on_collision == "error":
-        clashes = {n: sorted({x.path for x in g}) for n, g in groups.items() if len({x.path for x in g}) > 1}
+        wanted = set(groups if schema is None else schema.names)
+        paths = {name: sorted({leaf.path for leaf in group}) for name, group in groups.items() if name in wanted}
+        clashes = {name: found for name, found in paths.items() if len(found) > 1}
         if clashes:
             raise ValueError(f"attributes that share a column name: {clashes}")
     return df.select(*[_column(name, group) for name, group in groups.items()])

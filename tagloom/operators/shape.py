@@ -46,13 +46,15 @@ def latest_per_key(
     *,
     order_type: T.DataType | None = None,
     tiebreak: Sequence[str] | None = None,
+    key_types: Mapping[str, T.DataType] | None = None,
 ) -> DataFrame:
     """The row with the greatest ``order_by`` per key; NULLs are lowest.
 
     ``order_type`` is the type to compare ``order_by`` in (a number text sorts as text
     otherwise). Ties go to the greatest ``tiebreak`` columns; by default all other
     columns count, so that a task run again after a lost executor picks the same row.
-    Without keys or an order column, ``df`` as it is.
+    ``key_types`` are types to compare keys in (``7`` and ``07`` are one number); texts that
+    do not fit their type stay apart from each other. Without keys or an order column, ``df`` as it is.
 
     Spark keeps the best row per key before the shuffle as well as after it, so a key
     that holds a large part of the input sends at most one row per map task.
@@ -63,14 +65,20 @@ def latest_per_key(
     if order_type is not None:
         order = cast_sql(order, df.schema[order_by].dataType, order_type)
     if tiebreak is None:
-        tiebreak = total_order(df, but=(*keys, *(() if order_type is not None else (order_by,))))
+        compared = [key for key in keys if key not in (key_types or {})]
+        tiebreak = total_order(df, but=(*compared, *(() if order_type is not None else (order_by,))))
     ordering = ", ".join(filter(None, [f"{order} DESC NULLS LAST", descending(tiebreak)]))
-    return best_row(df, keys, ordering)
+    groups = []
+    for key in keys:
+        kind, text = df.schema[key].dataType, quoted(key)
+        cast = cast_sql(text, kind, key_types[key]) if key_types and key in key_types else text
+        groups += [cast] if cast == text else [cast, f"CASE WHEN {cast} IS NULL THEN {text} END"]
+    return best_row(df, groups, ordering)
 
 
-def best_row(df: DataFrame, keys: Sequence[str], ordering: str) -> DataFrame:
-    """The first row per key in the given ORDER BY list."""
-    rank = F.expr(f"row_number() OVER (PARTITION BY {listing(keys)} ORDER BY {ordering})")
+def best_row(df: DataFrame, groups: Sequence[str], ordering: str) -> DataFrame:
+    """The first row per group of SQL expressions in the given ORDER BY list."""
+    rank = F.expr(f"row_number() OVER (PARTITION BY {', '.join(groups)} ORDER BY {ordering})")
     return df.withColumn(_RANK, rank).where(F.col(_RANK) == 1).drop(_RANK)
 
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.context import RunContext
+from tagloom.functions import to_time_column
+from tagloom.functions.names import quoted
 from tagloom.operators import (
     add_metadata,
     align,
@@ -21,7 +24,7 @@ from tagloom.operators import (
     sql_columns,
     surrogate_id,
 )
-from tagloom.functions import to_time_column
+from tagloom.operators.align import cast_sql
 from tagloom.operators.metadata import DEFAULT_PARTITION_DATE, PARTITION_COLUMNS
 from tagloom.plans.spec import ExportSpec, ProcessingSpec
 from tagloom.sinks import upsert, write_files, write_table
@@ -30,10 +33,12 @@ from tagloom.sources import Hook, load_source
 
 @dataclass(frozen=True)
 class JobResult:
-    """What a run did: rows in the table it wrote, and whether it upserted them."""
+    """What a run did: rows in the table it wrote, whether it upserted them, and how many
+    keys (per partition) it upserted."""
 
     rows: int
     upserted: bool
+    merged: int = 0
 
 
 def transform(df: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame:
@@ -43,13 +48,14 @@ def transform(df: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame
     id, sorted columns, time column, filters, selection, renames, SQL columns.
     """
     work = spec.processing
-    flat = flatten_tagged(df, context.root, work.schema)
+    flat = flatten_tagged(df, context.root, work.schema, work.on_collision)
     latest = latest_per_key(
         _needed(keep_keyed(flat, work.key_columns), work),
         work.key_columns,
         work.order_by_column,
         order_type=_order_type(work),
         tiebreak=work.tiebreak_columns,
+        key_types={key: kind for key, kind in work.key_types.items() if key in flat.columns},
     )
     aligned = align(latest, work.schema) if work.schema is not None else latest
     return (
@@ -92,13 +98,27 @@ def build(
     source = load_source(spark, spec.source, context, spec.read_schema)
     if hook is not None:
         source = hook(source)
-    # change files of nothing but deletes have no new images at all
-    only_deletes = context.incremental and context.root not in source.columns
-    if only_deletes or is_empty(source):
+    if _nothing_in(source, context):
         return None
     return with_metadata(transform(source, spec, context), spec, context)
 
 
+def _nothing_in(source: DataFrame, context: RunContext) -> bool:
+    """Whether no record has an image: no records, or change files of nothing but deletes,
+    which an inferred read has no column for and a declared one NULLs."""
+    if context.root not in source.columns:
+        return context.incremental or is_empty(source)
+    return is_empty(source.where(F.col(quoted(context.root)).isNotNull()))
+
+
+def misfit_keys(source: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame:
+    """Rows whose key is there but does not fit its declared type, with the keys as they came."""
+    work = spec.processing
+    flat = keep_keyed(flatten_tagged(source, context.root, work.schema, work.on_collision), work.key_columns)
+    fits = [f"{cast_sql(quoted(key), flat.schema[key].dataType, kind)} IS NULL" for key, kind in work.key_types.items()]
+    return select_columns(flat, work.key_columns).where(" OR ".join(fits) if fits else "false")
+
+
 def run_job(
     spark: SparkSession,
     spec: ExportSpec,
@@ -108,19 +128,33 @@ def run_job(
     table_path: str | None = None,
     curated_path: str | None = None,
     hook: Hook | None = None,
+    files: int | None = None,
 ) -> JobResult | None:
     """The whole job for one table and run date; None if there was nothing to do.
 
-    Writes ``table`` (replacing it), and from its files the declared extra output and
-    the upsert into ``curated_path``.
+    Writes ``table`` (replacing it, in ``files`` files if given), and from its files the
+    declared extra output and the upsert into ``curated_path``, by the key columns. Before
+    anything is written, keys that do not fit their declared type end the job with their
+    number: as NULLs they would overwrite each other. Only keys that are not declared as
+    texts are looked at, in a pass over the keys alone.
     """
     work = spec.processing
     if curated_path and not (work.record_keys and work.precombine_key):
         raise ValueError("an upsert needs key_columns and a precombine_key")
-    result = build(spark, spec, context, hook)
-    if result is None:
+    source = load_source(spark, spec.source, context, spec.read_schema)
+    if hook is not None:
+        source = hook(source)
+    if _nothing_in(source, context):
         return None
-    written = write_table(result, table, table_path)
+    if work.key_types:
+        misfits = misfit_keys(source, spec, context).count()
+        if misfits:
+            raise ValueError(f"{misfits} rows have keys that do not fit their declared types {work.key_types}")
+    result = with_metadata(transform(source, spec, context), spec, context)
+    missing = [name for name in work.record_keys if name not in result.columns]
+    if curated_path and missing:
+        raise ValueError(f"an upsert needs the key columns {missing}, which the spec's selection leaves out")
+    written = write_table(result, table, table_path, files=files)
     if spec.output.path:
         write_files(
             written,
@@ -130,8 +164,9 @@ def run_job(
             files=spec.output.output_partitions,
             options=spec.output.options,
         )
+    merged = 0
     if curated_path:
-        upsert(
+        merged = upsert(
             written,
             curated_path,
             work.record_keys,
@@ -141,4 +176,4 @@ def run_job(
             unique=bool(work.order_by_column),
         )
     # counted from the footers of the files just written
-    return JobResult(written.count(), bool(curated_path))
+    return JobResult(written.count(), bool(curated_path), merged)

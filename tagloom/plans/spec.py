@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import types as T
 
-from tagloom.context import RunContext, fill
+from tagloom.context import RunContext, fill, unfilled
 from tagloom.schema import schema_from_spec
 
 # Output options of a spec and the writer options they set.
@@ -24,6 +24,16 @@ _WRITER_OPTIONS = {
     "null_value": "nullValue",
 }
 
+# Options of a CSV output that the spec does not set.
+_CSV_DEFAULTS = {
+    "header": True,
+    "delimiter": ",",
+    "quote": '"',
+    "escape": '"',
+    "encoding": "UTF-8",
+    "compression": "none",
+}
+
 
 @dataclass(frozen=True)
 class ProcessingSpec:
@@ -39,6 +49,7 @@ class ProcessingSpec:
     select_columns: tuple[str, ...] = ()
     rename_columns: tuple[tuple[str, str], ...] = ()
     sql_transformations: tuple[tuple[str, str], ...] = ()
+    on_collision: str = "error"
 
     def renamed(self, name: str) -> str:
         """``name`` as it is called after the renames."""
@@ -48,10 +59,15 @@ class ProcessingSpec:
 
     @property
     def record_keys(self) -> tuple[str, ...]:
-        """Columns that identify a row of the finished table: the joined id of several
-        keys, or the one key there is."""
-        names = ("id",) if len(self.key_columns) > 1 else self.key_columns
-        return tuple(map(self.renamed, names))
+        """Columns that identify a row of the finished table: the keys as they are called
+        after the renames. The joined id does not: ``a-b`` and ``c``, ``a`` and ``b-c`` have one."""
+        return tuple(map(self.renamed, self.key_columns))
+
+    @property
+    def key_types(self) -> dict[str, T.DataType]:
+        """Declared types of the keys that are not texts."""
+        fields = self.schema.fields if self.schema is not None else []
+        return {f.name: f.dataType for f in fields if f.name in self.key_columns and not isinstance(f.dataType, T.StringType)}
 
 
 @dataclass(frozen=True)
@@ -104,6 +120,10 @@ class ExportSpec:
             raise ValueError("empty spec")
         if context is not None:
             data = fill(dict(data), context.placeholders())
+            # A reader takes braces for a pattern: a misspelt name would match nothing, or too much.
+            left = unfilled([data.get("source_config"), (data.get("output_config") or {}).get("path_template")])
+            if left:
+                raise ValueError(f"placeholders without a value: {left}")
         source = data.get("source_config")
         if not source:
             raise ValueError("the spec has no source_config")
@@ -140,6 +160,8 @@ def _processing(config: Mapping[str, Any], schemas: Mapping[str, Any]) -> Proces
     if name and columns is None:
         raise ValueError(f"no schema called {name!r} was given; there are {sorted(schemas)}")
     ties = config.get("tiebreak_columns")
+    if config.get("on_collision", "error") not in ("error", "coalesce"):
+        raise ValueError(f"on_collision is 'error' or 'coalesce', not {config['on_collision']!r}")
     return ProcessingSpec(
         schema=schema_from_spec(columns) if columns is not None else None,
         key_columns=_names(config, "key_columns"),
@@ -151,6 +173,7 @@ def _processing(config: Mapping[str, Any], schemas: Mapping[str, Any]) -> Proces
         select_columns=_names(config, "select_columns"),
         rename_columns=_pairs(config, "rename_columns", "old_name", "new_name"),
         sql_transformations=_pairs(config, "sql_transformations", "name", "sql"),
+        on_collision=config.get("on_collision", "error"),
     )
 
 
@@ -174,8 +197,11 @@ def _output(config: Mapping[str, Any]) -> OutputSpec:
     unknown = set(options) - set(_WRITER_OPTIONS)
     if unknown:
         raise ValueError(f"unknown output options {sorted(unknown)}")
+    data_format = config.get("format", "csv")
+    if data_format == "csv":
+        options = _CSV_DEFAULTS | dict(options)
     return OutputSpec(
-        data_format=config.get("format", "csv"),
+        data_format=data_format,
         path=config.get("path_template", ""),
         options={_WRITER_OPTIONS[k]: v for k, v in options.items() if v is not None},
         save_mode=config.get("save_mode", "overwrite"),

@@ -17,6 +17,8 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        if named.startswith(("file:", "/")) and not context.master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir is local to a machine: {named}")
         return named.rstrip("/")
     if not context.getCheckpointDir():
         if not context.master.startswith("local"):

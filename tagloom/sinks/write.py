@@ -7,6 +7,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
+from tagloom.functions.names import quoted
+
 
 def write_table(
     df: DataFrame,
@@ -24,7 +26,8 @@ def write_table(
     if "." in table:
         database = table.rsplit(".", 1)[0]
         if not spark.catalog.databaseExists(database):
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            parts = ".".join(quoted(part) for part in database.split("."))
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {parts}")
     writer = _writer(df, data_format, mode, files, options)
     if path:
         writer = writer.option("path", path)

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tagloom.context import RunContext, fill
+from tagloom.context import RunContext, fill, unfilled
 from tagloom.schema import tagged_read_schema
 
 Hook = Callable[[DataFrame], DataFrame]
@@ -25,7 +25,9 @@ def read_tagged(
 
     With a declared ``schema`` the files are read once, as the types it implies for the
     struct ``root``; without one Spark infers the types, which reads them twice
-    (``options={"samplingRatio": ...}`` shortens the first pass).
+    (``options={"samplingRatio": ...}`` shortens the first pass). Lines that are no JSON
+    become NULLs, which the key filter removes; ``options={"mode": "FAILFAST"}`` ends the
+    read at the first one instead.
     """
     reader = spark.read.options(**dict(options or {}))
     if schema is not None:
@@ -78,7 +80,10 @@ def table_exists(spark: SparkSession, database: str | None, table: str) -> bool:
 
 def dated_path(template: str, context: RunContext) -> str:
     """``template`` with the run date and the other placeholders filled in."""
-    return fill(template, context.placeholders())
+    path = fill(template, context.placeholders())
+    if unfilled(path):
+        raise ValueError(f"placeholders without a value in a path: {unfilled(path)}")
+    return path
 
 
 def read_dated(
@@ -101,7 +106,7 @@ def load_source(
 ) -> DataFrame:
     """One source from its description: ``connection_type`` of ``s3_path`` (files, with
     ``s3_details``) or ``catalog`` (``catalog_details``); or the short form with
-    ``origin`` of ``s3`` (``bucket``, ``prefix``) or ``catalog`` (``database``,
+    ``origin`` of ``s3`` (``bucket``, ``prefix``, ``scheme`` if not ``s3``) or ``catalog`` (``database``,
     ``table_name``). Mode and run date come from ``context`` (S3, S7, S10)."""
     source = fill(dict(source), context.placeholders())
     kind = source.get("connection_type") or source.get("origin")
@@ -127,7 +132,8 @@ def _file_source(source: Mapping[str, Any], context: RunContext) -> tuple[str, s
     if "origin" in source:
         if not source.get("bucket") or not source.get("prefix"):
             raise ValueError("a file source needs a bucket and a prefix")
-        return f"s3://{source['bucket']}/{source['prefix']}", source.get("format", "json"), {}
+        scheme = source.get("scheme", "s3")
+        return f"{scheme}://{source['bucket']}/{source['prefix']}", source.get("format", "json"), {}
     details = source.get("s3_details")
     if not details:
         raise ValueError("a source of connection_type 's3_path' needs s3_details")
@@ -152,10 +158,12 @@ def load_sources(
     sources: Mapping[str, Mapping[str, Any]],
     context: RunContext,
     hooks: Mapping[str, Hook] | None = None,
+    schemas: Mapping[str, T.StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    """Named sources, each passed through the hook of its name if there is one."""
-    hooks = hooks or {}
+    """Named sources, each read with the declared schema and passed through the hook of its
+    name, if there is one (S7, S8)."""
+    hooks, schemas = hooks or {}, schemas or {}
     return {
-        name: load_source(spark, source, context).transform(hooks.get(name, lambda df: df))
+        name: load_source(spark, source, context, schemas.get(name)).transform(hooks.get(name, lambda df: df))
         for name, source in sources.items()
     }

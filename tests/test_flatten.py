@@ -116,7 +116,7 @@ def test_attributes_named_like_tags_or_with_dots(exported):
 
 def test_colliding_names_merge_or_are_refused(exported):
     df = exported({"cardId": {"S": "new"}}, {"card_id": {"S": "old"}})
-    assert [r["card_id"] for r in rows(flatten_tagged(df, "Item"))] == ["new", "old"]
+    assert [r["card_id"] for r in rows(flatten_tagged(df, "Item", on_collision="coalesce"))] == ["new", "old"]
     with pytest.raises(ValueError, match="card_id"):
         flatten_tagged(df, "Item", on_collision="error")
 

@@ -170,7 +170,7 @@ def test_epoch_partition_date(spark, folder):
 
 def test_time_fallback_expression(spark, folder):
     lay_out(folder, full=[record("b1", "7", 1, 1760544780006)])
-    sql = "COALESCE(FROM_UNIXTIME(version / 1000), TIMESTAMP '2000-01-01 00:00:00')"
+    sql = "CASE WHEN version > 0 THEN FROM_UNIXTIME(version DIV 1000) END"
     df = build(spark, make(folder, sql_transformations=[{"name": "version", "sql": sql}]), FULL)
     assert df.select(F.col("version").cast("string")).first()[0] == "2025-10-15 16:13:00"
 
@@ -199,7 +199,7 @@ def test_job_writes_table_and_upserts(spark, folder):
             table_path=folder + "/analytics",
             curated_path=folder + "/curated",
         )
-        assert (result.rows, result.upserted) == (count, True)
+        assert (result.rows, result.upserted, result.merged) == (count, True, count)
         assert spark.table("tagloom_test.accounts").count() == count
         assert spark.read.option("header", True).option("sep", "|").csv(folder + "/csv").count() == count
     curated = read_partitioned(spark, folder + "/curated", DAYS)
@@ -238,8 +238,8 @@ def test_record_keys():
         return ExportSpec.from_dict(spec_dict("/x", **processing), schemas={"accounts_final": COLUMNS}).processing.record_keys
 
     rename = [{"old_name": "branch", "new_name": "office"}, {"old_name": "id", "new_name": "key"}]
-    assert keys() == ("id",)
-    assert keys(rename_columns=rename) == ("key",)
+    assert keys() == ("branch", "account")
+    assert keys(rename_columns=rename) == ("office", "account")
     assert keys(key_columns=["branch"]) == ("branch",)
     assert keys(key_columns=["branch"], rename_columns=rename) == ("office",)
 
@@ -249,7 +249,9 @@ def test_output_options():
     data["output_config"] |= {"format": "csv", "path_template": "/out/{process_date}", "options": {"delimiter": ";", "date_format": "dd/MM/yyyy", "quote": None}, "save_mode": "append", "output_partitions": 3}
     out = ExportSpec.from_dict(data, FULL, {"accounts_final": COLUMNS}).output
     assert (out.data_format, out.path, out.save_mode, out.output_partitions) == ("csv", "/out/2025-04-16", "append", 3)
-    assert out.options == {"sep": ";", "dateFormat": "dd/MM/yyyy"}
+    assert out.options == {
+        "sep": ";", "dateFormat": "dd/MM/yyyy", "header": True, "escape": '"', "encoding": "UTF-8", "compression": "none"
+    }
 
 
 @pytest.mark.parametrize(
@@ -291,3 +293,92 @@ processing_config:
     spec = ExportSpec.from_yaml(text, RunContext.of("2025-04-16", env="dev"))
     assert spec.source["catalog_details"]["database_template"] == "db_dev"
     assert spec.processing.key_columns == ("branch",)
+
+
+KEYED = [{"Name": "branch", "Type": "varchar"}, {"Name": "account", "Type": "bigint"}, *COLUMNS[2:]]
+
+
+def job(spark, folder, records, columns, context=FULL, **processing):
+    lay_out(folder, **{"inc" if context.incremental else "full": records})
+    spec = ExportSpec.from_dict(spec_dict(folder, **processing), context, {"accounts_final": columns})
+    name = "tagloom_test.t" + os.path.basename(folder).replace("-", "_")
+    return run_job(spark, spec, context, table=name, table_path=folder + "/a", curated_path=folder + "/c")
+
+
+def curated(spark, folder, *names):
+    return sorted(tuple(r) for r in read_partitioned(spark, folder + "/c", DAYS).select(*names).collect())
+
+
+def test_keys_with_one_joined_id_stay_apart(spark, folder):
+    result = job(spark, folder, [record("a-b", "c", 1, 1), record("a", "b-c", 2, 1)], COLUMNS)
+    assert (result.rows, result.merged) == (2, 2)
+    assert curated(spark, folder, "branch", "account", "id") == [("a", "b-c", "a-b-c"), ("a-b", "c", "a-b-c")]
+
+
+@pytest.mark.parametrize("keys", [["branch", "account"], ["account"]])
+def test_keys_that_do_not_fit_end_the_job_before_it_writes(spark, folder, keys):
+    records = [record("a", "abc", 1, 1), record("a", "xyz", 2, 1), record("a", "7", 3, 1)]
+    with pytest.raises(ValueError, match="2 rows have keys"):
+        job(spark, folder, records, KEYED, key_columns=keys)
+    assert not os.path.exists(folder + "/a") and not os.path.exists(folder + "/c")
+
+
+def test_keys_are_compared_in_their_declared_type(spark, folder):
+    result = job(spark, folder, [record("a", "7", 1, 1), record("a", "07", 2, 2), record("a", "8", 3, 1)], KEYED)
+    assert result.rows == 2
+    assert curated(spark, folder, "account", "balance") == [(7, 2.0), (8, 3.0)]
+
+
+@pytest.mark.parametrize("read", ["inferred", "declared"])
+def test_change_files_of_deletes_alone_keep_the_table(spark, folder, read):
+    job(spark, folder, [record("a", "7", 1, 1)], COLUMNS)
+    lay_out(folder, inc=[None, None])
+    spec = spec_dict(folder)
+    spec["source_config"]["read_schema"] = read
+    spec = ExportSpec.from_dict(spec, INC, {"accounts_final": COLUMNS})
+    name = "tagloom_test.t" + os.path.basename(folder).replace("-", "_")
+    assert run_job(spark, spec, INC, table=name, table_path=folder + "/a", curated_path=folder + "/c") is None
+    assert spark.table(name).count() == 1 and len(curated(spark, folder, "branch")) == 1
+
+
+@pytest.mark.parametrize("read", ["inferred", "declared"])
+def test_different_attributes_of_one_name(spark, folder, read):
+    extra = {"cardInfo": {"M": {"x": {"S": "one"}}}, "card_info_x": {"S": "two"}}
+    lay_out(folder, full=[record("a", "7", 1, 1) | extra])
+    columns = [*COLUMNS, {"Name": "card_info_x", "Type": "varchar"}]
+
+    def made(**more):
+        spec = spec_dict(folder, **more)
+        spec["source_config"]["read_schema"] = read
+        return build(spark, ExportSpec.from_dict(spec, FULL, {"accounts_final": columns}), FULL)
+
+    if read == "inferred":
+        with pytest.raises(ValueError, match="cardInfo.*card_info_x|card_info_x.*cardInfo"):
+            made()
+        assert made(on_collision="coalesce").first()["card_info_x"] in ("one", "two")
+    else:  # a declared column is the attribute of its name, and no other is read
+        assert made().first()["card_info_x"] == "two"
+
+
+def test_files_of_the_table_and_csv_defaults(spark, folder):
+    lay_out(folder, full=[record("a", str(i), 1, 1) | {"note": {"S": 'say "so", then'}} for i in range(20)])
+    spec = spec_dict(folder)
+    spec["output_config"] |= {"path_template": folder + "/csv"}
+    spec = ExportSpec.from_dict(spec, FULL, {"accounts_final": COLUMNS})
+    run_job(spark, spec, FULL, table="tagloom_test.files", table_path=folder + "/a", files=3)
+    assert len([f for f in os.listdir(folder + "/a") if f.endswith(".parquet")]) == 3
+    back = spark.read.option("header", True).option("escape", '"').csv(folder + "/csv")
+    assert back.count() == 20 and {r["note"] for r in back.select("note").collect()} == {'say "so", then'}
+
+
+def test_unknown_placeholder_in_a_path(folder):
+    spec = spec_dict(folder)
+    spec["source_config"]["s3_details"]["path_template_full"] = folder + "/{proces_date}/x"
+    with pytest.raises(ValueError, match="proces_date"):
+        ExportSpec.from_dict(spec, FULL, {"accounts_final": COLUMNS})
+
+
+def test_undeclared_key_selection_is_refused_before_writing(spark, folder):
+    with pytest.raises(ValueError, match="account"):
+        job(spark, folder, [record("a", "7", 1, 1)], COLUMNS, select_columns=["branch", "version", "created_at"])
+    assert not os.path.exists(folder + "/a")
