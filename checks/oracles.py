@@ -55,6 +55,10 @@ FROM stored WHERE event_type = 'signup' AND day <= '20'
 ORACLES: dict[str, str] = {
     "scan_tagged_json": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+    "flatten_collision_coalesce": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS key,
+               CASE WHEN o_orderkey % 3 = 0 THEN 'old ' ELSE '' END || o_orderstatus AS order_status
+        FROM orders""",
     "scan_dated_partition": """
         SELECT event_id, event_type FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""",
@@ -187,6 +191,17 @@ ORACLES: dict[str, str] = {
     "sink_format": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "upsert_merge": _UPSERTED,
     "upsert_idempotent": _UPSERTED,
+    "upsert_many_partitions": _UPSERTED,
+    "upsert_null_partition": """
+        SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN value + 1 ELSE value END AS value,
+               CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS version,
+               CASE WHEN event_type NOT IN ('error', 'view') THEN event_type END AS kind
+        FROM events""",
+    "export_key_collision": """
+        SELECT 'p-q-' || (o_orderkey // 2) AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'p-q' ELSE 'p' END AS head,
+               CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'q-' END || (o_orderkey // 2) AS tail, o_orderkey AS order_key
+        FROM orders""",
+    "sink_declared_output": f"SELECT id, event_id, amount, detail_note FROM ({_EXPORTED})",
     "export_full": _EXPORTED,
     "export_incremental": _EXPORTED,
     "export_from_spec": f"""

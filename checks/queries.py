@@ -248,6 +248,19 @@ def flatten_union_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_tagged(item, "Item")
 
 
+def flatten_collision_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two attributes that make one column name, merged on request."""
+    orders = tag.table(spark, sf_dir, "orders")
+    old = F.col("o_orderkey") % 3 == 0
+    item = _tagged(
+        orders,
+        key=tag.number("o_orderkey"),
+        orderStatus=tag.text(F.when(~old, F.col("o_orderstatus"))),
+        order_status=tag.text(F.when(old, F.concat(F.lit("old "), F.col("o_orderstatus")))),
+    )
+    return flatten_tagged(item, "Item", on_collision="coalesce")
+
+
 def flatten_null_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tag.table(spark, sf_dir, "orders")
     is_low = F.col("o_orderpriority") == "5-LOW"
@@ -642,6 +655,27 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, sf_dir, 2)
 
 
+def upsert_many_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with eight partitions merged at a time, so in several groups."""
+    events = _dated_events(spark, sf_dir)
+    path = scratch_path(spark, "upsert")
+    upsert(events, path, ["event_id"], "version", staged=True, unique=True, partitions_at_once=8)
+    upsert(_corrections(events), path, ["event_id"], "version", partitions_at_once=8)
+    return read_partitioned(spark, path, DAYS)
+
+
+def upsert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL and empty text are one partition: stored rows under either meet incoming ones."""
+    kind = F.when(F.col("event_type") == "view", "").when(F.col("event_type") != "error", F.col("event_type"))
+    events = tag.table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.lit(1).alias("version"), kind.alias("kind"))
+    path = scratch_path(spark, "upsert")
+    upsert(events, path, ["event_id"], "version", ["kind"])
+    errors = events.where("event_type = 'error'")
+    newer = errors.withColumns({"version": F.lit(2), "value": F.col("value") + 1, "kind": F.lit("")})
+    upsert(newer, path, ["event_id"], "version", ["kind"])
+    return read_partitioned(spark, path, T.StructType([T.StructField("kind", T.StringType())]))
+
+
 # --- composed jobs -----------------------------------------------------------------------
 
 EVENT_COLUMNS = [
@@ -681,7 +715,7 @@ def _event_export(spark: SparkSession, sf_dir: str, root: str, folder: str, chan
     return tag.export(events, root, folder, present=has_user if root == "NewImage" else None, **values)
 
 
-def event_spec(base: str, context: RunContext, read_schema: str = "declared", **processing) -> ExportSpec:
+def event_spec(base: str, context: RunContext, read_schema: str = "declared", output: dict | None = None, **processing) -> ExportSpec:
     """The spec of the event export below ``base``."""
     dated = "year={process_year}/month={process_month}/day={process_day}"
     return ExportSpec.from_dict(
@@ -702,11 +736,51 @@ def event_spec(base: str, context: RunContext, read_schema: str = "declared", **
                 "precombine_key": "tstamp",
                 **processing,
             },
+            "output_config": output or {},
         },
         context,
     )
 
 
+def sink_declared_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extra output of a job whose spec names no options, read back as it is written by default."""
+    base = _event_export(spark, sf_dir, "Item", FULL_FOLDER)
+    context = RunContext(date(2024, 1, 31), "FULL", ingested_at=INGESTED)
+    path = scratch_path(spark, "output")
+    spec = event_spec(base, context, output={"path_template": path})
+    run_job(spark, spec, context, table="output_" + path.rsplit("-", 1)[1], table_path=scratch_path(spark, "analytics"))
+    back = read_format(spark, "csv", path, {"header": "true", "escape": '"'})
+    return back.select("id", F.col("event_id").cast("bigint"), F.col("amount").cast("double"), "detail_note")
+
+
+KEY_COLUMNS = [
+    {"Name": "head", "Type": "varchar"},
+    {"Name": "tail", "Type": "varchar"},
+    {"Name": "order_key", "Type": "bigint"},
+    {"Name": "seen_at", "Type": "timestamp"},
+]
+
+
+def export_key_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose two keys make one joined id in pairs: every order stays."""
+    even, pair = F.col("o_orderkey") % 2 == 0, F.floor(F.col("o_orderkey") / 2).cast("string")
+    base = tag.export(
+        tag.table(spark, sf_dir, "orders"),
+        "Item",
+        FULL_FOLDER,
+        head=tag.text(F.when(even, "p-q").otherwise("p")),
+        tail=tag.text(F.when(even, pair).otherwise(F.concat(F.lit("q-"), pair))),
+        order_key=tag.number("o_orderkey"),
+        seen_at=tag.text(wall_text("o_orderdate")),
+    )
+    context = RunContext(date(2024, 1, 31), "FULL", ingested_at=INGESTED)
+    keyed = {"schema": KEY_COLUMNS, "key_columns": ["head", "tail"], "order_by_column": "order_key", "tiebreak_columns": None}
+    spec = event_spec(base, context, partition_date="seen_at", precombine_key="order_key", **keyed)
+    curated = scratch_path(spark, "curated")
+    run_job(spark, spec, context, table="keys_" + curated.rsplit("-", 1)[1], table_path=scratch_path(spark, "analytics"), curated_path=curated)
+    return read_partitioned(spark, curated, DAYS).select("id", "head", "tail", "order_key")
+
+
 def _without_zones(df: DataFrame) -> DataFrame:
     return df.withColumns({n: plain(n) for n in ("created_at", "momento_ingestion", "job_process_date")})
 
@@ -776,6 +850,7 @@ QUERIES: dict[str, Query] = {
     "flatten_scalar_set": flatten_scalar_set,
     "flatten_list_of_maps": flatten_list_of_maps,
     "flatten_union_tags": flatten_union_tags,
+    "flatten_collision_coalesce": flatten_collision_coalesce,
     "flatten_null_tag": flatten_null_tag,
     "filter_keys_not_null": filter_keys_not_null,
     "latest_per_key": latest_per_key_query,
@@ -804,8 +879,12 @@ QUERIES: dict[str, Query] = {
     "sink_format": sink_format,
     "upsert_merge": upsert_merge,
     "upsert_idempotent": upsert_idempotent,
+    "upsert_many_partitions": upsert_many_partitions,
+    "upsert_null_partition": upsert_null_partition,
     "export_full": export_full,
     "export_incremental": export_incremental,
     "export_from_spec": export_from_spec,
     "export_to_upsert": export_to_upsert,
+    "export_key_collision": export_key_collision,
+    "sink_declared_output": sink_declared_output,
 }
