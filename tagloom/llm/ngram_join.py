@@ -11,7 +11,7 @@ Any global order gives exact results. This one ranks an n-gram by the count of i
 2**18, summed over all texts, so the table that every task needs has a fixed size.
 
 Groups of near copies are not expanded into all pairs. Texts with equal sets are one node.
-In a first round each text meets the smallest id of each prefix n-gram only. In the second,
+In a first round each text meets the lead of each prefix n-gram only. In the second,
 pairs are formed between different components of the links found so far, which leaves no
 link between two components unseen: what is skipped is connected already.
 """
@@ -160,10 +160,13 @@ def _verify(percent: int, schema: pa.Schema):
 
 
 def _possible(n1: Column, n2: Column, i1: Column, i2: Column, percent: int) -> Column:
-    """Length and positional filter of two sets that share an n-gram at these positions."""
+    """Length and positional filter of two sets that share an n-gram at these positions.
+
+    The n-gram is taken for the first one they share, so no more than what follows in either
+    set can be common. A pair that links passes at the n-gram that is its first.
+    """
     small, large = F.least(n1, n2), F.greatest(n1, n2)
-    most = F.least(i1, i2) + 1 + F.least(n1 - i1, n2 - i2) - 1
-    return (100 * small >= percent * large) & ((100 + percent) * most >= percent * (n1 + n2))
+    return (100 * small >= percent * large) & ((100 + percent) * F.least(n1 - i1, n2 - i2) >= percent * (n1 + n2))
 
 
 def jaccard_components(
@@ -210,12 +213,19 @@ def jaccard_components(
         node_texts.select("k_id", "body").mapInArrow(_prefixes(n, percent, ranks, prefix_schema), f"token long, k_id {kind}, n int, i int"),
         "ngram-prefixes",
     )
+    met = staged(
+        prefixes.groupBy("token").agg(F.min("k_id").alias("low"), F.max("k_id").alias("high")).where("low < high").select("token"), "ngram-met"
+    )
+    shared = staged(prefixes.join(met, "token"), "ngram-shared")
+    drop(prefixes, met)
+    # An n-gram's lead is the text that has most of its prefix in common with others: among
+    # copies with edits of their own, the one nearest to what was copied.
+    common = F.count("*") / F.first(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    standing = shared.groupBy("k_id").agg(common.alias("common"))
     leads = staged(
-        prefixes.groupBy("token").agg(F.min(F.struct("k_id", "n", "i")).alias("lead"), F.max("k_id").alias("top")).where("lead.k_id < top").select("token", "lead"),
+        shared.join(standing, "k_id").groupBy("token").agg(F.min_by(F.struct("k_id", "n", "i"), F.struct(-F.col("common"), "k_id")).alias("lead")),
         "ngram-leads",
     )
-    shared = staged(prefixes.join(leads, "token"), "ngram-shared")
-    drop(prefixes, leads)
 
     set_schema = pa.schema([("k_id", arrow_id), ("grams", pa.binary())])
     pair_schema = pa.schema([("a", arrow_id), ("b", arrow_id)])
@@ -231,10 +241,10 @@ def jaccard_components(
         drop(grams)
         return linked
 
-    # Round 1: each text with the smallest id of each of its prefix n-grams.
+    # Round 1: each text with the lead of each of its prefix n-grams.
     lead = F.col("lead")
     tried = staged(
-        shared.where(F.col("k_id") > lead["k_id"])
+        shared.join(leads, "token").where(F.col("k_id") != lead["k_id"])
         .where(_possible(F.col("n"), lead["n"], F.col("i"), lead["i"], percent))
         .select(F.col("k_id").alias("a"), lead["k_id"].alias("b")).distinct(),
         "ngram-pairs",
@@ -260,8 +270,9 @@ def jaccard_components(
         .where(_possible(F.col("n"), F.col("n2"), F.col("i"), F.col("i2"), percent))
         .select(F.greatest("k_id", "k_id2").alias("a"), F.least("k_id", "k_id2").alias("b")).distinct()
     )
-    rest = staged(crossing.join(tried, ["a", "b"], "left_anti"), "ngram-crossing")
-    drop(left, tried)
+    done = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    rest = staged(crossing.join(done, ["a", "b"], "left_anti"), "ngram-crossing")
+    drop(left, tried, leads)
     if rest.limit(1).count():
         more = verified(rest)
         if more.limit(1).count():
