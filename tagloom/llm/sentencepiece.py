@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,7 +34,7 @@ SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ "
 
 _NEVER = 1 << 30  # order of pairs that do not merge
-_WORDS_KEPT = 400_000  # words looked up again; a full table starts anew
+_WORDS_KEPT = 1_000_000  # words looked up again; a full table starts anew
 
 
 # --- the model file --------------------------------------------------------------------------
@@ -292,9 +293,13 @@ class Model:
 
     def numbers(self, text: str) -> list[int]:
         """Ids of a stretch of normalised text."""
+        parts, ids = self.merged(text), self.ids
+        out = [ids.get(piece, -1) for piece in parts]
+        if -1 not in out:
+            return out
         out = []
-        for piece in self.merged(text):
-            i = self.ids.get(piece)
+        for piece in parts:
+            i = ids.get(piece)
             if i is not None:
                 out.append(i)
             elif self.byte_fallback:
@@ -306,7 +311,7 @@ class Model:
     def stretch(self, word: str, known: dict[str, bytes], mark: str) -> bytes:
         if len(known) >= _WORDS_KEPT:
             known.clear()
-        out = np.array(self.numbers(mark + word), np.int32).tobytes()
+        out = array("i", self.numbers(mark + word)).tobytes()
         if len(word) <= 64:
             known[word] = out
         return out
