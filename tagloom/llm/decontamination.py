@@ -221,7 +221,7 @@ def _cut_rows(row_at: str, schema: pa.Schema):
                 if not cut:
                     texts.append(raw[low:high].decode())
                     continue
-                starts, ends, _ = word_spans(data[low:high], np.array([0, high - low]), _INSIDE)
+                starts, ends, _ = word_spans(lowered(data[low:high]), np.array([0, high - low]), _INSIDE)
                 place, parts = low, []
                 for first, end in zip(cut[::2], cut[1::2], strict=True):
                     parts.append(raw[place : low + int(starts[first])])
