@@ -1,0 +1,53 @@
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tagloom.llm.sharding import jump_shards, jump_walk
+
+DDL = "doc_id bigint, text string, shard int, slot string"
+
+
+def jump(key, n):
+    """The published algorithm."""
+    key &= (1 << 64) - 1
+    b, j = -1, 0
+    while j < n:
+        b = j
+        key = (key * 2862933555777941757 + 1) & ((1 << 64) - 1)
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_walk_is_the_published_one(spark):
+    keys = [0, 1, 2, 10, -1, -(2**63), 2**63 - 1, 0xDEADBEEF, *range(1000, 1400)]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    for n in (1, 2, 16, 40):
+        for k, w in df.select("k", jump_walk(F.col("k"), n).alias("w")).collect():
+            assert (w.shard, w.grown) == (jump(k, n), jump(k, n + 1)), (k, n)
+
+
+def test_rows(spark):
+    rows = [(i, f"text {i}", 9, "clash") for i in range(300)] + [(7, "text 7", 0, ""), (7, "other", 0, ""), (None, None, 0, ""), (None, "", 0, ""), (-5, "é" * 1000, 0, "")]
+    got = jump_shards(spark.createDataFrame(rows, DDL)).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _, _ in rows)
+    for r in got:
+        assert r.law == "key" and r.shard == jump(r.doc_id or 0, 16)
+        assert r.grown_shard in (r.shard, 16) and r.grown_shard == jump(r.doc_id or 0, 17)
+    for shard in range(16):
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    moved = sum(r.grown_shard == 16 for r in got)
+    assert 0 < moved < len(got) / 6
+
+
+def test_text_keys_and_empty_tables(spark):
+    df = spark.createDataFrame([(f"k{i}", "x") for i in range(50)], "doc_id string, text string")
+    a, b = ({r.doc_id: r.shard for r in jump_shards(df).collect()} for _ in range(2))
+    assert a == b and len(set(a.values())) > 8
+    assert jump_shards(df.limit(0)).collect() == []
+
+
+def test_plan_has_no_python(spark):
+    plan = jump_shards(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
