@@ -93,7 +93,77 @@ SELECT page_id, strlen(body) AS payload_bytes,
 FROM firsts
 """
 
+#: Windows of words as texts; a word is hit if a window that occurs starts at most a window before it.
+_CONTAMINATION = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
+),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM (
+    SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)
+),
+doc_words AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+starts AS (SELECT row_no, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM (
+  SELECT row_no, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, (SELECT DISTINCT n FROM windows))),
+found AS (SELECT s.row_no, s.n, s.i, item_id FROM starts s JOIN windows USING (n, phrase)),
+hits AS (SELECT row_no, count(DISTINCT p) AS n_hit FROM (SELECT row_no, unnest(range(i, i + n)) AS p FROM found) GROUP BY row_no),
+items AS (SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT row_no, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY row_no)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (row_no) LEFT JOIN items USING (row_no)
+"""
+
+_PASSAGES = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+starts AS (SELECT row_no, i, md5(array_to_string(w[i:i + 34], ' ')) AS seen
+  FROM (SELECT row_no, w, unnest(range(1, len(w) - 33)) AS i FROM doc_words WHERE len(w) >= 35)),
+again AS (SELECT row_no, i FROM (SELECT *, count(*) OVER (PARTITION BY seen) AS c FROM starts) WHERE c > 1),
+words AS (SELECT row_no, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM doc_words),
+judged AS (
+  SELECT row_no, i, word, count(again.i) OVER (PARTITION BY row_no ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM words LEFT JOIN again USING (row_no, i)
+),
+kept AS (SELECT row_no, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS rest FROM judged GROUP BY row_no)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM doc_words LEFT JOIN kept USING (row_no)
+"""
+
+#: All pairs that share a shingle, and all that links lead to.
+_COMPONENTS = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+shingles AS (
+  SELECT DISTINCT row_no, array_to_string(w[i:i + 3], ' ') AS shingle
+  FROM (SELECT row_no, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc_words WHERE len(w) > 0)
+),
+sizes AS (SELECT row_no, count(*) AS n FROM shingles GROUP BY row_no),
+shared AS (
+  SELECT a.row_no AS x, b.row_no AS y, count(*) AS common FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row_no < b.row_no GROUP BY ALL
+),
+links AS (
+  SELECT d.doc_id AS x, e.doc_id AS y FROM shared JOIN sizes p ON p.row_no = x JOIN sizes q ON q.row_no = y
+  JOIN doc_words d ON d.row_no = x JOIN doc_words e ON e.row_no = y
+  WHERE 100 * common >= 85 * (p.n + q.n - common) AND d.doc_id IS NOT NULL AND e.doc_id IS NOT NULL
+),
+steps AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reached(x, y) AS (SELECT x, y FROM steps UNION SELECT reached.x, steps.y FROM reached JOIN steps ON reached.y = steps.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, (SELECT min(y) FROM reached WHERE x = doc_id)) AS component_id
+FROM doc_words LEFT JOIN sizes USING (row_no)
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard": _COMPONENTS,
+    "op5_decontamination": _CONTAMINATION,
+    "op8_substring_dedup": _PASSAGES,
     "op2_secret_scan": _SECRETS,
     "op4_jump_shards": _SHARDS,
     "op9_warc": _WARC,

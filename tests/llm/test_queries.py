@@ -1,0 +1,101 @@
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from checks.compare import _rows, oracle_connection
+from tagloom.llm.common import staged
+from tagloom.llm.queries import QUERIES, held_out, quality_model
+from tagloom.llm.sentencepiece import tokenizer_path
+from tagloom.llm.sql import ORACLES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    pytest.importorskip("duckdb")
+    return oracle_connection(SF_DIR)
+
+
+def test_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_equals_its_sql(spark, oracle, name):
+    df = QUERIES[name](spark, SF_DIR)
+    result = oracle.execute(ORACLES[name])
+    columns = [c[0] for c in result.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert _rows(df.columns, df.collect()) == _rows(columns, result.fetchall())
+
+
+def test_toxicity_of_the_table(spark):
+    rows = QUERIES["op1_toxicity"](spark, SF_DIR).collect()
+    assert len({r.doc_id for r in rows}) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+
+
+def test_pieces_of_the_table(spark):
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    for r in QUERIES["op6_sentencepiece"](spark, SF_DIR).collect():
+        ids = library.encode(texts[r.doc_id])
+        assert (r.n_tokens, r.covered_bytes) == (len(ids), len(texts[r.doc_id].encode()))
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_quality_of_held_out_documents(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    graded = QUERIES["op7_ordinal_quality"](spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").collect()
+    good = [r for r in graded if r.quality == 1]
+    assert sum(r.kept for r in good) >= 0.99 * len(good)
+    assert sum(r.kept == (r.quality == 1) for r in graded) >= 0.93 * len(graded)
+
+
+def test_pipeline(spark):
+    """Each stage against what its decision should be, on a small table with planted cases."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
+    clean = docs.join(spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1 AND toxic = 0"), "doc_id").where("n_chars > 600").orderBy("doc_id").first()
+    planted = [(10_001, clean.text), (10_002, clean.text + " end"), (10_003, "Begin here. " + item + " And on it goes with more."), (10_004, clean.text[:300] + ' password = "hunter22x" ' + clean.text[300:]), (10_005, None), (10_006, "")]
+    extra = spark.createDataFrame([(i, t, "en", "planted", len(t) if t else 0) for i, t in planted], docs.schema)
+    now, seen = docs.union(extra), {}
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "benchmark", "secrets", "encode"]
+    for name, stage in corpus_pipeline.STAGES:
+        before, now = now, staged(stage(spark, now, SF_DIR), "pipeline-test")
+        seen[name] = {r.doc_id: r for r in now.collect()}
+        if name != "encode":
+            assert now.columns == before.columns
+    assert clean.doc_id in seen["quality"] and {10_001, 10_002} <= set(seen["quality"])
+    assert clean.doc_id in seen["near_duplicates"] and not {10_001, 10_002} & set(seen["near_duplicates"])
+    if 10_003 in seen["benchmark"]:
+        cut = seen["benchmark"][10_003]
+        assert item not in cut.text and cut.text.startswith("Begin here. ") and cut.n_chars == len(cut.text)
+    for i, r in seen["secrets"].items():
+        assert "hunter22x" not in (r.text or "")
+    assert set(seen["encode"]) == set(seen["secrets"]) == set(seen["benchmark"]) == set(seen["near_duplicates"])
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    for i, r in seen["encode"].items():
+        assert r.ids == library.encode(seen["secrets"][i].text or "") and r.n_tokens == len(r.ids)
+
+
+def test_pipeline_of_an_empty_table(spark):
+    now = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        now = stage(spark, now, SF_DIR)
+    assert now.collect() == []
+
+
+def test_held_out_rows_are_not_learned_from(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
+    a = quality_model(docs, labels)
+    flipped = labels.withColumn("quality", F.when(held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert (a.weights == quality_model(docs, flipped).weights).all()
