@@ -159,10 +159,14 @@ def _chunks(batch: DataFrame, partition_by: Sequence[str], at_once: int) -> tupl
     """
     names = [F.col(quoted(name)) for name in partition_by]
     touched = batch.select(*names).distinct()
-    chunks = max(1, -(-touched.count() // at_once))
     texts = [F.col(quoted(name)).cast("string").alias(f"p{i}") for i, name in enumerate(partition_by)]
+    # One job where one group holds all of them.
+    rows, chunks = touched.select(F.lit(0).alias("chunk"), *texts).limit(at_once + 1).collect(), 1
+    if len(rows) > at_once:
+        chunks = -(-touched.count() // at_once)
+        rows = touched.select(_chunk_of(partition_by, chunks).alias("chunk"), *texts).toLocalIterator()
     out: dict[int, list[str]] = {}
-    for row in touched.select(_chunk_of(partition_by, chunks).alias("chunk"), *texts).toLocalIterator():
+    for row in rows:
         folder = "/".join(f"{_escaped(name)}={_folder_value(row[i + 1])}" for i, name in enumerate(partition_by))
         out.setdefault(row.chunk, []).append(folder)
     return chunks, dict(sorted(out.items()))
