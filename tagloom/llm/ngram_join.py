@@ -199,7 +199,7 @@ def jaccard_components(
     counts = np.zeros(1 << _BITS, np.int64)
     for row in passed.where("bin IS NOT NULL").groupBy("bin").agg(F.sum("c").alias("c")).toLocalIterator():
         counts[row.bin] = row.c  # at most 2**18 rows, whatever the input
-    # Steps of a quarter of a power of two tell shared n-grams from single ones in a full bin.
+    # Steps of an eighth of a power of two tell shared n-grams from single ones in a full bin.
     ranks = np.minimum(255, np.log2(counts + 1) * 8).astype(np.uint8).tobytes()
 
     # One node per distinct set, named by its smallest id.
