@@ -39,7 +39,7 @@ LOOK_ALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t",
 }
 #: Characters put between the letters of a word.
-BETWEEN = " .-_*"
+BETWEEN = " .-_*/\\,~"
 
 _BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of word beginnings: inflected words share them
 _CLASSES = 28  # 0 is no letter, 1-26 are a-z, 27 is a byte of a non-ASCII character
@@ -51,11 +51,27 @@ _SIGNS = np.zeros(256, bool)
 _SIGNS[[ord(c) for c in LOOK_ALIKES]] = True
 _DIGITS = np.zeros(256, bool)
 _DIGITS[48:58] = True
+_INSIDE = _LETTERS | _SIGNS | _DIGITS
+_MEANT = np.arange(256, dtype=np.uint8)  # the first letter that a digit or sign is written for
+for _char, _letters in LOOK_ALIKES.items():
+    _MEANT[ord(_char)] = ord(_letters[0])
 _TOKEN = re.compile(rb"[a-z\x80-\xff0-9@$!|+]+")
 _SPACED = re.compile(rb"[a-z0-9@$!|](?:[ .\-_*][a-z0-9@$!|](?![a-z0-9\x80-\xff]))+")
+#: Single characters with any separators between them; short groups with separators but no spaces between them.
+_SPELLED = re.compile(rb"(?<![a-z0-9@$!|+\x80-\xff])[a-z0-9@$!|+](?:[ .\-_*/\\,~]{1,3}[a-z0-9@$!|+](?![a-z0-9@$!|+\x80-\xff])){2,}")
+_PARTED = re.compile(rb"(?<![a-z0-9@$!|+\x80-\xff])[a-z0-9@$!|+]{1,4}(?:[.\-_*/\\,~]{1,3}[a-z0-9@$!|+]{1,4}(?![a-z0-9@$!|+\x80-\xff]))+")
+_SHORT = 4  # characters of a group that may be part of a word
+_EDGE = b"!|+$@"  # signs that may be letters or stand beside a word
+_EDGES = {_EDGE[i : i + 1] for i in range(len(_EDGE))}
+_WORD = re.compile(rb"[a-z\x80-\xff]+")
+_TWO_LETTERS = re.compile(rb"[a-z].*[a-z]", re.S)
 
 # Log-probabilities of the channel.
 _AS_IS, _DISGUISED, _DROPPED, _REPEATED = 0.0, math.log(0.2), math.log(0.1), math.log(0.08)
+#: Of a sign beside a word that stays one: signs that end sentences or lists, and others.
+_MARK, _ODD_MARK, _SAME_MARK = math.log(0.5), math.log(0.002), math.log(0.05)
+#: Of a blank between groups of letters that stands within a word.
+_JOINED = math.log(0.001)
 
 
 # --- the character model ---------------------------------------------------------------------
@@ -94,7 +110,8 @@ class CharacterModel:
         p1 = (one + 1) / (one.sum() + _CLASSES)
         p2 = (two + 5 * p1) / (two.sum(axis=1, keepdims=True) + 5)
         p3 = (three + 5 * p2) / (three.sum(axis=2, keepdims=True) + 5)
-        self.log = np.log(p3).tolist()
+        self.table = np.log(p3)
+        self.log = self.table.tolist()
         same = np.array([p2[c, c] for c in range(_CLASSES)])
         #: Letters that are hardly ever doubled.
         self.rare_double = same < 0.004
@@ -114,37 +131,58 @@ def character_model(docs: DataFrame, text_col: str = "text") -> CharacterModel:
 # --- decoding --------------------------------------------------------------------------------
 
 
-def viterbi(token: bytes, model: CharacterModel) -> bytes:
-    """The likeliest letters behind a disguised stretch (in lower case); spaces stay where words end."""
+def viterbi(token: bytes, model: CharacterModel, edges: str = "both", parted: bool = False, join: bool = False) -> bytes:
+    """The likeliest letters behind a disguised stretch (in lower case); spaces stay where words end.
+
+    Signs at its ends are letters, or stay as they are (``edges``: both, letters or signs).
+    Separators are dropped or become spaces; where they are ``parted`` groups of letters, not
+    single ones, they are dropped or stay as they are. With ``join`` all are dropped.
+    """
     log = model.log
+    lead = len(token) - len(token.lstrip(_EDGE))
+    trail = len(token.rstrip(_EDGE))
     # State: the last two restored classes and the last source byte; value: score and restored bytes.
     states: dict[tuple[int, int, int], tuple[float, bytes]] = {(0, 0, 0): (0.0, b"")}
-    for byte in token:
+    for i, byte in enumerate(token):
         char = chr(byte)
+        edge = i < lead or i >= trail
         options: list[tuple[int | None, float]] = []
         if byte >= 128 or "a" <= char <= "z":
             options.append((byte, _AS_IS))
-        elif char in LOOK_ALIKES:
+        elif char in LOOK_ALIKES and not (edge and edges == "signs"):
             options += [(ord(letter), _DISGUISED) for letter in LOOK_ALIKES[char]]
         if char in BETWEEN:
-            options += [(None, _DROPPED / 4), (32, _DROPPED * 2)]
+            if join:
+                options.append((None, _DROPPED))
+            else:
+                options += [(None, _JOINED if byte == 32 else _DROPPED), (byte, _AS_IS)] if parted else [(None, _DROPPED / 4), (32, _DROPPED * 2)]
+        if edge and edges != "letters":
+            options.append((byte, _ODD_MARK if char in "$@" or (char == "!" and i < lead) else _MARK))
         after: dict[tuple[int, int, int], tuple[float, bytes]] = {}
         for (two, one, source), (score, text) in states.items():
             for letter, cost in options:
                 if letter is None:
                     found = (two, one, 0), score + cost, text
+                elif edge and letter == byte:
+                    # A sign beside a word: it ends the word before, if there is one.
+                    again = not one and source == byte
+                    found = (0, 0, byte), score + (max(cost, _SAME_MARK) if again else cost) + (log[two][one][0] if one else 0.0), text + token[i : i + 1]
                 else:
                     c = int(_CLASS[letter])
                     key = (one if c else 0, c, byte)
                     found = key, score + cost + log[two if one else 0][one][c], text + bytes((letter,))
                 if found[0] not in after or after[found[0]][0] < found[1]:
                     after[found[0]] = found[1:]
-            if source == byte and char not in BETWEEN:
-                key = (two, one, byte)
-                if key not in after or after[key][0] < score + _REPEATED:
-                    after[key] = score + _REPEATED, text
+            # Signs at an end are doubled letters rather than repeated ones.
+            if source == byte and char not in BETWEEN and not (edge and (edges == "letters" or not one)):
+                key, cost = (two, one, byte), _REPEATED * (2 if edge else 1)
+                if key not in after or after[key][0] < score + cost:
+                    after[key] = score + cost, text
         states = after or states
-    ends = [(score + log[two if one else 0][one][0], text) for (two, one, _), (score, text) in states.items()]
+    ends = [
+        (score + (0.0 if text[-1:] and text[-1] in _EDGE else log[two if one else 0][one][0]), text)
+        for (two, one, _), (score, text) in states.items()
+    ]
     return max(ends)[1]
 
 
@@ -153,61 +191,176 @@ def _suspects(data: np.ndarray, at: np.ndarray, rare: np.ndarray) -> np.ndarray:
     n = len(data)
     letter, sign, digit = _LETTERS[data], _SIGNS[data], _DIGITS[data]
     found = np.zeros(n, bool)
-    found[:-1] |= sign[:-1] & letter[1:]
-    found[1:] |= letter[:-1] & digit[1:]
+    linked = _linked(n, at)
+    found[:-1] |= sign[:-1] & letter[1:] & linked
+    found[1:] |= letter[:-1] & (digit | sign)[1:] & linked
     same = np.zeros(n, bool)
     ascii_letter = letter & (data < 128)
-    same[:-1] = (data[:-1] == data[1:]) & ascii_letter[:-1]
+    same[:-1] = (data[:-1] == data[1:]) & ascii_letter[:-1] & linked
     found[:-1] |= same[:-1] & (same[1:] | rare[data[:-1]])
     alone = letter | digit | sign
     inside = letter | digit
-    alone[1:] &= ~inside[:-1]
-    alone[:-1] &= ~inside[1:]
+    alone[1:] &= ~(inside[:-1] & linked)
+    alone[:-1] &= ~(inside[1:] & linked)
     if n > 4:
         found[:-4] |= alone[:-4] & alone[2:-2] & alone[4:] & ~inside[1:-3] & ~inside[3:-1]
     return np.flatnonzero(found)
 
 
+def _linked(n: int, at: np.ndarray) -> np.ndarray:
+    """Whether each byte but the last is followed by one of the same text."""
+    linked = np.ones(max(n - 1, 0), bool)
+    firsts = at[(at > 0) & (at < n)]
+    linked[firsts - 1] = False
+    return linked
+
+
+def _joinable(data: np.ndarray, at: np.ndarray, table: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of short words with single spaces between them that make a likelier word together.
+
+    A space is judged by the trigrams around it, joined against split; each word has a letter.
+    """
+    starts, ends, first = word_spans(data, at, _INSIDE)
+    if len(starts) < 2:
+        return []
+    sizes = ends - starts
+    left, right = starts[:-1], starts[1:]
+    pair = (right - ends[:-1] == 1) & (data[ends[:-1] % len(data)] == 32)
+    pair &= (sizes[:-1] <= _SHORT) & (sizes[1:] <= _SHORT) & (sizes[:-1] + sizes[1:] >= 3)
+    letters = np.concatenate(([0], np.cumsum(_LETTERS[data])))
+    worded = letters[ends] > letters[starts]
+    pair &= worded[:-1] & worded[1:]
+    pair &= data[ends[:-1] - 1] != ord("!")  # it ends a sentence there
+    heads = first[1:-1]
+    pair[heads[(heads > 0) & (heads < len(starts))] - 1] = False  # words of two texts
+    at_ = np.flatnonzero(pair)
+    classes = _CLASS[_MEANT[data]]
+    left, right, stop = left[at_], right[at_], ends[1:][at_]
+    a = classes[ends[:-1][at_] - 1]
+    b = np.where(sizes[at_] > 1, classes[np.maximum(ends[:-1][at_] - 2, 0)], 0)
+    c = classes[right]
+    d = np.where(sizes[1:][at_] > 1, classes[np.minimum(right + 1, len(data) - 1)], 0)
+    gain = table[b, a, c] + table[a, c, d] - table[b, a, 0] - table[0, 0, c] - table[0, c, d]
+    good = (gain + _JOINED > 0) & (a > 0) & (c > 0)
+    out: list[tuple[int, int]] = []
+    for start, end in zip(left[good].tolist(), stop[good].tolist(), strict=True):
+        if out and start < out[-1][1]:
+            out[-1] = out[-1][0], end
+        else:
+            out.append((start, end))
+    return out
+
+
 @dataclass
 class Restorer:
     model: CharacterModel
-    known: dict[bytes, bytes] = field(default_factory=dict)
+    known: dict[tuple[bytes, bool], tuple[bytes, tuple[bytes, ...]]] = field(default_factory=dict)
 
-    def stretches(self, data: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, bytes]]:
-        """(text, start, end, restored) of each disguised stretch; ``data`` is in lower case."""
+    def _readings(self, token: bytes, parted: bool) -> tuple[bytes, tuple[bytes, ...]]:
+        """The best reading of a stretch, and the words of it and other readings that are not written there.
+
+        Where signs at the ends may be letters or not, and separators parts of a word or not, the
+        trigrams cannot always tell: the words of either reading count.
+        """
+        got = self.known.get((token, parted))
+        if got is None:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            best = viterbi(token, self.model, parted=parted)
+            readings = [best]
+            edges = ("letters", "signs") if token[:1] in _EDGES or token[-1:] in _EDGES else ("both",)
+            if len(edges) > 1 or parted:
+                readings += [viterbi(token, self.model, edge, parted, join) for edge in edges for join in ((False, True) if parted else (False,))]
+            written = set(_WORD.findall(token))
+            words = _WORD.findall(best)
+            for other in readings[1:]:
+                words += set(_WORD.findall(other)).difference(words)
+            got = self.known[token, parted] = best, tuple(w for w in words if w not in written)
+        return got
+
+    def _candidates(self, data: np.ndarray, at: np.ndarray, raw: bytes) -> list[tuple[int, int, bool]]:
+        """(start, end, parted) of stretches with separators in them, without overlaps."""
+        spans = [(start, end, True) for start, end in _joinable(data, at, self.model.table)]
+        for low, high in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            text = raw[low:high]
+            for pattern, parted in ((_SPELLED, False), (_PARTED, True)):
+                for match in pattern.finditer(text):
+                    if _TWO_LETTERS.search(match[0]) and match.end() - match.start() > 3:
+                        spans.append((low + match.start(), low + match.end(), parted))
+        spans.sort(key=lambda s: (s[0], -s[1], s[2]))
+        out: list[tuple[int, int, bool]] = []
+        for start, end, parted in spans:
+            if out and start < out[-1][1]:
+                # Stretches that meet are one; it is parted unless one of single letters is all of it.
+                if end > out[-1][1]:
+                    out[-1] = out[-1][0], end, True
+            else:
+                out.append((start, end, parted))
+        return out
+
+    def _found(self, data: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, bytes, tuple[bytes, ...]]]:
+        """(text, start, end, restored, words to add) of each stretch that may be disguised."""
+        if not len(data):
+            return []
         rare = np.zeros(256, bool)
         rare[97:123] = self.model.rare_double[1:27]
+        raw = data.tobytes()
+        spans = self._candidates(data, at, raw)
+        firsts = np.array([s[0] for s in spans], np.int64)
+        lasts = np.array([s[1] for s in spans], np.int64)
         places = _suspects(data, at, rare)
-        if not len(places):
-            return []
+        if len(spans):
+            around = np.searchsorted(firsts, places, "right") - 1
+            places = places[(around < 0) | (places >= lasts[around])]
+        places = np.concatenate((places, firsts))
+        numbers = np.concatenate((np.full(len(places) - len(spans), -1), np.arange(len(spans))))
+        order = np.argsort(places, kind="stable")
+        places, numbers = places[order], numbers[order]
         rows = np.searchsorted(at, places, "right") - 1
-        raw = data.tobytes()
-        out, done = [], 0
-        for place, row in zip(places.tolist(), rows.tolist(), strict=True):
-            if place < done:
-                continue
+        out, done, next_ = [], 0, 0
+        for place, row, number in zip(places.tolist(), rows.tolist(), numbers.tolist(), strict=True):
             low, high = int(at[row]), int(at[row + 1])
-            start = place
-            while start > max(low, done) and _TOKEN.match(raw, start - 1, start):
-                start -= 1
-            spaced = _SPACED.match(raw, place, high)
-            plain = _TOKEN.match(raw, start, high)
-            if spaced and spaced.end() - place >= 5 and (not plain or plain.end() - start <= 2):
-                start, end = place, spaced.end()
+            parted = False
+            if number >= 0:
+                start, end, parted = spans[number]
+                next_ = number + 1
             else:
-                end = plain.end()
-            token = raw[start:end].strip(b"!|+$@")
-            if not token:
-                done = end
-                continue
-            restored = self.known.get(token)
-            if restored is None:
-                if len(self.known) > 100_000:
-                    self.known.clear()
-                restored = self.known[token] = viterbi(token, self.model)
-            begin = raw.index(token, start)
-            out.append((row, begin, begin + len(token), restored))
+                if place < done:
+                    continue
+                high = min(high, spans[next_][0]) if next_ < len(spans) else high
+                start = place
+                while start > max(low, done) and _TOKEN.match(raw, start - 1, start):
+                    start -= 1
+                spaced = _SPACED.match(raw, place, high)
+                plain = _TOKEN.match(raw, start, high)
+                if spaced and spaced.end() - place >= 5 and (not plain or plain.end() - start <= 2):
+                    start, end = place, spaced.end()
+                else:
+                    end = plain.end()
             done = end
+            token = raw[start:end]
+            if not token.strip(_EDGE):
+                continue
+            restored, words = self._readings(token, parted)
+            out.append((row, start, end, restored, words))
+        return out
+
+    def stretches(self, data: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, bytes]]:
+        """(text, start, end, restored) of each disguised stretch; ``data`` is in lower case.
+
+        Stretches likeliest read as they are written are none; signs at an end that are not
+        letters are outside.
+        """
+        return self._disguised(data, self._found(data, at))
+
+    def _disguised(self, data: np.ndarray, found: list) -> list[tuple[int, int, int, bytes]]:
+        out = []
+        for row, start, end, restored, _ in found:
+            if restored == data[start:end].tobytes():
+                continue
+            core = restored.strip(_EDGE)
+            before = len(restored) - len(restored.lstrip(_EDGE))
+            out.append((row, start + before, end - (len(restored) - before - len(core)), core))
         return out
 
     def features(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,12 +371,13 @@ class Restorer:
         """
         data = lowered(data)
         rows, hashes = _features(data, at)
-        restored = self.stretches(data, at)
-        counts = np.bincount(np.array([r[0] for r in restored], np.int64), minlength=len(at) - 1)
-        if restored:
-            texts = [r[3] for r in restored]
+        found = self._found(data, at)
+        counts = np.bincount(np.array([r[0] for r in self._disguised(data, found)], np.int64), minlength=len(at) - 1)
+        found = [r for r in found if r[4]]
+        if found:
+            texts = [b" ".join(r[4]) for r in found]
             bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-            owner = np.array([r[0] for r in restored], np.int64)
+            owner = np.array([r[0] for r in found], np.int64)
             more, extra = _features(np.frombuffer(b"".join(texts), np.uint8), bounds)
             rows, hashes = np.concatenate((rows, owner[more])), np.concatenate((hashes, extra))
         return rows, hashes, counts

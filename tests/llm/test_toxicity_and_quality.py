@@ -129,3 +129,35 @@ def test_grades_of_texts(spark):
     assert quality.grade(odd, fitted).count() == 4 and quality.grade(odd.limit(0), fitted).collect() == []
     one = quality.fit(docs, ratings.where("rating = 1"), F.col("rating"), 3, F.lit(True))
     assert quality.grade(odd, one).first().expected_grade == pytest.approx(1, abs=1e-6)
+
+
+EDGE_OR_PARTED = [
+    (b"!diot", b"idiot"), (b"$cumbag", b"scumbag"), (b"scumba9", b"scumbag"), (b"!d!ot!", b"idiot"), (b"mo.ron", b"moron"), (b"id-iot", b"idiot"),
+    (b"i  d  i  o  t", b"idiot"), (b"i/d/i/o/t", b"idiot"), (b"m0.r0n", b"moron"), (b"mo ron", b"moron"), (b"m oron", b"moron"),
+]
+
+
+@pytest.mark.parametrize("written, meant", EDGE_OR_PARTED)
+def test_signs_at_the_ends_and_parted_words_form_one_stretch(model, written, meant):
+    text = b"tariden " + written + b" seluden"
+    found = toxicity.Restorer(model.characters).stretches(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert [r[3] for r in found] == [meant], found
+
+
+def test_disguises_at_the_ends_and_parted_words_are_scored(spark, model):
+    plain = "tariden seluden "
+    df = spark.createDataFrame([(i, plain + (w.decode() + " ") * 4) for i, (w, _) in enumerate(EDGE_OR_PARTED)] + [(99, plain * 3)], "doc_id int, text string")
+    scores = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    assert [i for i, score in sorted(scores.items()) if (score >= 0.7) != (i < 99)] == [], sorted(scores.items())
+
+
+def test_trailing_signs_that_are_letters():
+    rows = ["an ass is a dumbass and a class pass mass "] * 20
+    data = np.frombuffer("".join(rows).encode(), np.uint8)
+    at = np.arange(0, len(data) + 1, len(rows[0]))
+    restorer = toxicity.Restorer(toxicity.CharacterModel(toxicity._trigrams(data, at)))
+    for written, meant in ((b"a$$", b"ass"), (b"dumb@$$", b"dumbass"), (b"dumb@$$!", b"dumbass"), (b"@ss", b"ass")):
+        assert [r[3] for r in restorer.stretches(np.frombuffer(written, np.uint8), np.array([0, len(written)]))] == [meant]
+    # A sign that is not a letter stays, and neighbours in a batch make no stretch.
+    text = b"pass!$5"
+    assert restorer.stretches(np.frombuffer(text, np.uint8), np.array([0, 5, 7])) == []
