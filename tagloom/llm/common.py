@@ -40,6 +40,15 @@ def same_key(left: DataFrame, right: DataFrame) -> Column:
     return left["k_id"].eqNullSafe(right["k_id"]) & (left["k_sig"] == right["k_sig"])
 
 
+def one_of_each_id(texts: DataFrame, *carried: str) -> DataFrame:
+    """One row per id of :func:`keyed` texts: that of the smallest hash of a text; ``carried`` follow from the id.
+
+    Each task sends at most one row per id, so a repeated id is no hot spot.
+    """
+    first = F.min_by("body", "k_sig").alias("body")
+    return texts.groupBy("k_id").agg(first, *(F.max(c).alias(c) for c in carried))
+
+
 def id_type(df: DataFrame) -> str:
     return df.schema["k_id"].dataType.simpleString()
 

@@ -26,6 +26,7 @@ from tagloom.llm.common import (
     blocks,
     keyed,
     mix,
+    one_of_each_id,
     word_hashes,
     word_spans,
 )
@@ -148,14 +149,15 @@ def fit(
 
     ``usable`` says which of its rows may be learned from; rows without id or grade are passed
     over, repeated ids have their highest grade. The ``sample_rows`` with the smallest hash of
-    their id are used: their ids are broadcast, their features (8 KB each) reach the driver.
+    their id are used: their ids are broadcast, their features (8 KB each) reach the driver. Of
+    an id with several rows the text with the smallest hash is used, once.
     Without two different grades every text has the only grade there is (or 0).
     """
     rated = ratings.where(usable).select(F.col(id_col).alias("k_id"), grade.cast("int").alias("grade")).where("k_id IS NOT NULL")
     rated = rated.where(F.col("grade").between(0, n_grades - 1)).groupBy("k_id").agg(F.max("grade").alias("grade"))
     place = F.xxhash64("k_id")
     sample = rated.orderBy(place, "k_id").limit(sample_rows).withColumn("place", place)
-    texts = keyed(docs, id_col, text_col).join(F.broadcast(sample), "k_id").select("place", "grade", "body")
+    texts = one_of_each_id(keyed(docs, id_col, text_col).join(F.broadcast(sample), "k_id"), "place", "grade").select("place", "grade", "body")
     rows = texts.mapInArrow(_example_rows, "place long, grade int, x binary").toPandas()
     rows = rows.sort_values(["place", "grade", "x"])  # the same order, whichever task came first
     grades = rows["grade"].to_numpy().astype(np.int64)

@@ -25,8 +25,11 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from tagloom.llm.common import (
     blocks,
+    drop,
     keyed,
     lowered,
+    one_of_each_id,
+    staged,
     word_hashes,
     word_spans,
     word_table,
@@ -499,7 +502,8 @@ def fit(
     ``labels`` holds id and label (1 toxic, 0 not; other values and nulls are passed over);
     ``usable`` says which of its rows may be learned from. Of these, the ``sample_rows`` with the
     smallest hash of their id are used: their ids are broadcast, and their counts of telling
-    words reach the driver. A word or word beginning is telling if its evidence is at least
+    words reach the driver. Of an id with several rows the text with the smallest hash is used,
+    once; an id without a row counts for nothing. A word or word beginning is telling if its evidence is at least
     ``least_evidence``; at most ``words`` of them make the model. Without toxic or without clean
     examples none has a weight.
     """
@@ -508,8 +512,16 @@ def fit(
     marked = marked.groupBy(F.col(id_col).alias("k_id")).agg(F.max(label_col).alias("toxic"))
     sample = marked.orderBy(F.xxhash64("k_id"), "k_id").limit(sample_rows)
     texts = keyed(docs, id_col, text_col)
-    learned = texts.join(F.broadcast(sample), "k_id").select("body", "toxic")
-    counts = {int(r.toxic): r["count"] for r in sample.groupBy("toxic").count().collect()}
+    learned = staged(one_of_each_id(texts.join(F.broadcast(sample), "k_id"), "toxic").select("body", "toxic"), "toxicity-sample")
+    try:
+        return _fitted(characters, learned, words, least_evidence)
+    finally:
+        drop(learned)
+
+
+def _fitted(characters: CharacterModel, learned: DataFrame, words: int, least_evidence: float) -> ToxicityModel:
+    """The model of labelled texts (body, toxic)."""
+    counts = {int(r.toxic): r["count"] for r in learned.groupBy("toxic").count().collect()}
     n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)
     bias = math.log((n_toxic + 0.5) / (n_clean + 0.5))
     none = ToxicityModel(characters, np.zeros(0, np.uint64), np.zeros(0), min(bias, -1.0))

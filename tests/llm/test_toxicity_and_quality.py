@@ -161,3 +161,24 @@ def test_trailing_signs_that_are_letters():
     # A sign that is not a letter stays, and neighbours in a batch make no stretch.
     text = b"pass!$5"
     assert restorer.stretches(np.frombuffer(text, np.uint8), np.array([0, 5, 7])) == []
+
+
+def test_repeated_ids_are_learned_from_once(spark, monkeypatch):
+    """Rows that repeat ids change no model, and at most one row per sampled id is learned from."""
+    rows, labels = corpus(150)
+    docs = spark.createDataFrame(rows, DDL)
+    again = docs.union(spark.createDataFrame([rows[0]] * 300 + [rows[1]] * 200, DDL)).repartition(8)
+    marks = spark.createDataFrame(labels + [(10_000 + i, 0) for i in range(100)], "doc_id bigint, toxic int")
+    seen = []
+    learn = quality.learn
+    monkeypatch.setattr(quality, "learn", lambda x, grades, n: seen.append(len(x)) or learn(x, grades, n, epochs=2))
+    once, more = (quality.fit(d, marks, F.col("toxic"), 2, F.lit(True)) for d in (docs, again))
+    assert seen == [150, 150] and (once.weights == more.weights).all()
+    characters = toxicity.character_model(docs)
+    monkeypatch.setattr(toxicity, "character_model", lambda *_: characters)
+    once, more = (toxicity.fit(d, marks, F.lit(True)) for d in (docs, again))
+    assert len(once.hashes) and (once.hashes == more.hashes).all() and once.bias == pytest.approx(more.bias)
+    assert once.weights == pytest.approx(more.weights)
+    # Ids without a document are no examples.
+    alone = toxicity.fit(docs, marks.where("doc_id < 10000"), F.lit(True))
+    assert (alone.hashes == once.hashes).all() and alone.bias == pytest.approx(once.bias)
