@@ -137,8 +137,17 @@ def _spans(rule: Rule, order: int) -> Column:
 
 
 def _certain(rule: Rule) -> str:
-    """A quick test that a text has a match that counts, for rules of one class of characters."""
-    return re.sub(r"\+$", f"{{{rule.least}}}", rule.pattern)
+    """A quick test that no text with a match that counts fails.
+
+    If the pattern is one repeated class of characters and all of a match counts, so many in a
+    row decide; any other pattern is searched for as it is.
+    """
+    parts = list(_parser.parse(rule.pattern))
+    if rule.group == 0 and len(parts) == 1 and parts[0][0] is sre.MAX_REPEAT and rule.pattern.endswith("+"):
+        part = list(parts[0][1][2])
+        if len(part) == 1 and part[0][0] is sre.IN:
+            return re.sub(r"\+$", f"{{{rule.least}}}", rule.pattern)
+    return rule.pattern
 
 
 def secret_spans(

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tagloom.llm.secret_scan import RULES, secret_spans, secrets_masked, trigram_query
+from tagloom.llm.secret_scan import RULES, Rule, secret_spans, secrets_masked, trigram_query
 
 PYTHON = {rule.kind: re.compile(rule.pattern) for rule in RULES}
 
@@ -69,3 +69,12 @@ def test_plan_has_no_python(spark, folder):
     df.write.parquet(folder + "/t")
     plan = secret_spans(spark.read.parquet(folder + "/t"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_least_counts_the_whole_match_of_any_rule(spark):
+    """A pattern without trigrams that is not one class alone is not made stricter."""
+    texts = ["a sk" + "1" * 18 + " b", "sk" + "1" * 17, "x" + "7" * 6, "ab" * 12]
+    rules = (Rule("k", "sk[0-9]+", 0, 20), Rule("g", "x([0-9])+", 1, 1), Rule("two", "[ab][ab]+", 0, 24), Rule("one", "[ab]+", 0, 24))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_spans(df, rules=rules).collect()}
+    assert got == {0: [("k", 2, 22)], 1: [], 2: [("g", 0, 7)], 3: [("two", 0, 24), ("one", 0, 24)]}
