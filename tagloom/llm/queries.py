@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from tagloom.llm import quality, toxicity
 from tagloom.llm.common import table
 from tagloom.llm.decontamination import contamination
+from tagloom.llm.merkle import folded, manifest, proof_text
 from tagloom.llm.ngram_join import jaccard_components
+from tagloom.llm.periodic_runs import periodic_runs
 from tagloom.llm.secret_scan import BASE, secret_spans, span_text
 from tagloom.llm.sentencepiece import encode, model_bytes, tokenizer_path
 from tagloom.llm.sharding import jump_shards
+from tagloom.llm.stream_dedup import exact_duplicates
 from tagloom.llm.substring_dedup import repeated_passages_removed
 from tagloom.llm.topk import top_k
 from tagloom.llm.warc import archive_folder, read_warc, write_warc
@@ -116,7 +119,47 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot and root of each document, and whether its tampered row still folds to the root."""
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proven = manifest(table(spark, sf_dir, "documents"), claimed={"text": tampered})
+    back = folded(F.coalesce("claim", "leaf"), F.col("proof"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("proof")), 256).alias("proof_sha256"), back.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the documents with equal texts stays."""
+    found = exact_duplicates(spark, f"{sf_dir}/documents.parquet")
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+def with_repetitions(documents: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth document, by the checksum of its id, goes on repeating a stretch of its words."""
+    rows = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    rows = rows.withColumn("words", F.when(F.expr("h % 10 = 0"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")))
+    rows = rows.withColumn("a", F.expr("int(try_mod(h div 10, size(words)))"))
+    rows = rows.withColumn("p", F.expr("1 + int((size(words) - a) div (3 + (h div 10) % 8))"))
+    again = F.expr("array_join(transform(words, (w, i) -> CASE WHEN i < a THEN w ELSE words[a + (i - a) % p] END), ' ')")
+    return rows.select("doc_id", F.when(F.expr("size(words) > 0"), again).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of each document, and what is left without their repetitions."""
+    found = periodic_runs(with_repetitions(table(spark, sf_dir, "documents")), least=12, keep_text=False)
+    # The longest run; of equally long ones the first, then that of the smaller period.
+    best = F.expr("array_max(transform(runs, r -> named_struct('length', r.length, 'start', -r.start, 'period', -r.period)))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.sha2(listed, 256).alias("runs_sha256"), "collapsed_sha256", best.alias("best")
+    ).select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_toxicity, op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op6_sentencepiece, op7_ordinal_quality, op8_substring_dedup, op9_warc, op10_topk)
+    for query in (op1_toxicity, op2_secret_scan, op3_ngram_jaccard, op4_jump_shards, op5_decontamination, op6_sentencepiece, op7_ordinal_quality, op8_substring_dedup, op9_warc, op10_topk, op11_merkle_manifest, op12_stream_dedup, op13_periodic_runs)
 }

@@ -160,6 +160,118 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, (SELECT min(y) FROM r
 FROM doc_words LEFT JOIN sizes USING (row_no)
 """
 
+#: CRC-32 of the decimal digits of an id, byte by byte.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM range(256) AS bytes(b)
+)"""
+_CRC_ID = """CASE WHEN doc_id IS NOT NULL THEN xor(list_reduce(list_transform(range(length(doc_id::VARCHAR)), lambda i: ascii(substr(doc_id::VARCHAR, i + 1, 1))::BIGINT),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) END"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+#: Trees level by level; a step of a proof is its siblings with a mark in the node's place.
+_MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (
+  SELECT row_no, doc_id, source, leaf, claim, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, row_no) - 1 AS place
+  FROM (SELECT row_number() OVER () AS row_no, doc_id, source, {_leaf("text")} AS leaf,
+      {_leaf(f"CASE WHEN ({_CRC_ID}) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS claim FROM documents, crc_table)
+),
+nodes(source, lvl, pos, digest, n) AS (
+  SELECT source, 0, place, leaf, count(*) OVER (PARTITION BY source) FROM leaves
+  UNION ALL
+  SELECT source, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY source, lvl, pos // 3
+),
+subroots AS (SELECT source, lvl AS lifts, digest, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1),
+upper(lvl, pos, digest, n) AS (
+  SELECT 0, pos, digest, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM upper WHERE n > 1 GROUP BY lvl, pos // 3
+),
+steps AS (
+  SELECT source, lvl, pos, list_reduce(list_transform(run, lambda d, i: CASE WHEN i = pos % 3 + 1 THEN '*' ELSE d END), lambda x, y: x || y) AS step
+  FROM (SELECT *, list(digest) OVER (PARTITION BY source, lvl, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run FROM nodes WHERE n > 1)
+),
+upper_steps AS (
+  SELECT lvl, pos, list_reduce(list_transform(run, lambda d, i: CASE WHEN i = pos % 3 + 1 THEN '*' ELSE d END), lambda x, y: x || y) AS step
+  FROM (SELECT *, list(digest) OVER (PARTITION BY lvl, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run FROM upper WHERE n > 1)
+),
+own AS (
+  SELECT row_no, list(step ORDER BY lvl) AS proof FROM leaves l JOIN steps s
+  ON l.source IS NOT DISTINCT FROM s.source AND s.pos = l.place // (3 ** s.lvl)::BIGINT GROUP BY row_no
+),
+above AS (
+  SELECT r.source, list(step ORDER BY lvl) AS proof FROM subroots r JOIN upper_steps s ON s.pos = r.pos // (3 ** s.lvl)::BIGINT GROUP BY r.source
+),
+proven AS (
+  SELECT doc_id, leaf, claim, r.digest AS subroot, (SELECT digest FROM upper WHERE n = 1) AS root,
+    coalesce(own.proof, []) || coalesce(above.proof, []) AS proof
+  FROM leaves l JOIN subroots r ON l.source IS NOT DISTINCT FROM r.source LEFT JOIN own USING (row_no)
+  LEFT JOIN above ON l.source IS NOT DISTINCT FROM above.source
+),
+done AS (
+  SELECT *, list_reduce(proof, lambda d, s: sha256(replace(s, '*', d)), claim) AS folded_root FROM proven
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(proof, ''), '*', '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM done
+"""
+
+_COPIES = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+#: Stretches of words equal to those q further on, found where six words are; of two stretches
+#: one inside the other, that of the smaller period is the run.
+_RUNS = rf"""
+WITH {_CRC_TABLE},
+given AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w, {_CRC_ID} AS h FROM documents, crc_table
+),
+placed AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM given),
+sized AS (SELECT *, 1 + (len(w) - a) // (3 + (h // 10) % 8) AS p FROM placed),
+docs AS (
+  SELECT row_no, doc_id, CASE WHEN a IS NULL THEN w ELSE list_transform(range(len(w)), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM sized
+),
+grams AS (
+  SELECT row_no, i, array_to_string(w[i + 1:i + 6], ' ') AS gram FROM (SELECT row_no, w, unnest(range(len(w) - 5)) AS i FROM docs WHERE len(w) >= 12)
+),
+pairs AS (SELECT x.row_no, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.row_no = y.row_no AND x.gram = y.gram AND x.i < y.i),
+islands AS (
+  SELECT row_no, q, min(i) AS start, count(*) + 5 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY row_no, q ORDER BY i) AS island FROM pairs) GROUP BY row_no, q, island
+),
+wide AS (SELECT row_no, start, length, q AS period FROM islands WHERE length >= greatest(12, 2 * q)),
+runs AS (
+  SELECT * FROM wide r WHERE NOT EXISTS (
+    SELECT 1 FROM wide s WHERE s.row_no = r.row_no AND s.period < r.period AND s.start <= r.start AND s.start + s.length >= r.start + r.length)
+),
+listed AS (
+  SELECT row_no, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+    list({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period)[1] AS best
+  FROM runs GROUP BY row_no
+),
+gone AS (SELECT DISTINCT row_no, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT row_no, string_agg(word, ' ' ORDER BY i) AS rest FROM (SELECT row_no, unnest(range(len(w))) AS i, unnest(w) AS word FROM docs) ANTI JOIN gone USING (row_no, i)
+  GROUP BY row_no
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+  1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (row_no) LEFT JOIN kept USING (row_no)
+"""
+
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard": _COMPONENTS,
     "op5_decontamination": _CONTAMINATION,
@@ -168,4 +280,7 @@ ORACLES: dict[str, str] = {
     "op4_jump_shards": _SHARDS,
     "op9_warc": _WARC,
     "op10_topk": _TOPK,
+    "op11_merkle_manifest": _MERKLE,
+    "op12_stream_dedup": _COPIES,
+    "op13_periodic_runs": _RUNS,
 }
