@@ -59,18 +59,20 @@ def text_set(*elements: Column) -> Column:
     return F.struct(F.array(*[e.cast("string") for e in elements]).alias("SS"))
 
 
-def export(df: DataFrame, root: str, folder: str, present: Column | None = None, **values: Column) -> str:
+def export(
+    df: DataFrame, root: str, folder: str, present: Column | None = None, written: Column | None = None, keys: Column | None = None, **values: Column
+) -> str:
     """Write ``df`` as export records below a fresh scratch path and return that path.
 
     ``folder`` is the part of the path below it; records have the key and write-time
-    structs an export has, which nothing should read. Where ``present`` is false the
-    root is left out, as in the change record of a delete.
+    structs an export has (``keys``, ``written``), which nothing should read but where deletes are
+    applied. Where ``present`` is false the root is left out, as in the change record of a delete.
     """
     image = attributes(**values)
     base = scratch_path(df.sparkSession, "export")
     df.select(
-        F.struct(F.struct(F.lit("0").alias("N")).alias("WriteTimestampMicros")).alias("Metadata"),
-        F.struct(F.struct(F.lit("unread").alias("S")).alias("key")).alias("Keys"),
+        F.struct(F.struct((F.lit("0") if written is None else written.cast("string")).alias("N")).alias("WriteTimestampMicros")).alias("Metadata"),
+        (F.struct(F.struct(F.lit("unread").alias("S")).alias("key")) if keys is None else keys).alias("Keys"),
         (image if present is None else F.when(present, image)).alias(root),
     ).write.json(f"{base}/{folder}" if folder else base)
     return base

@@ -197,6 +197,26 @@ ORACLES: dict[str, str] = {
                CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS version,
                CASE WHEN event_type NOT IN ('error', 'view') THEN event_type END AS kind
         FROM events""",
+    "upsert_widened": f"""
+        SELECT event_id, CASE WHEN day(ts) <= 10 THEN 2 ELSE 1 END::BIGINT AS version,
+               CASE WHEN day(ts) <= 10 THEN value + 1 ELSE value::FLOAT::DOUBLE END AS value,
+               CASE WHEN day(ts) <= 10 THEN floor(value::DECIMAL(16,4) * 100) ELSE value::DECIMAL(9,2) * 100 END::BIGINT AS cents,
+               CASE WHEN day(ts) <= 10 THEN user_id + 1099511627776 ELSE user_id END AS mark, {_DAYS}
+        FROM events""",
+    "upsert_deletes": f"""
+        SELECT event_id, event_type, CASE WHEN event_id % 5 = 1 THEN value + 1 ELSE value END::DECIMAL(15,2)::DOUBLE AS amount,
+               epoch_us(ts) - CASE WHEN event_id % 5 = 1 THEN 7 ELSE 0 END AS tstamp,
+               epoch_us(ts) + CASE WHEN event_id % 5 = 1 THEN 200 ELSE 0 END AS change_micros, {_DAYS}
+        FROM events WHERE event_id % 5 = 1 OR (event_id % 5 IN (3, 4) AND event_id % 97 <> 0)""",
+    "job_metrics": """
+        SELECT mode, metric, n::BIGINT AS n FROM (
+          SELECT 'FULL' AS mode, count(*) AS records, count(*) AS images, count(*) FILTER (event_id % 97 <> 0) AS keyed, 0 AS deletes,
+                 count(*) FILTER (event_id % 97 <> 0) AS rows, count(*) FILTER (event_id % 97 <> 0) AS merged, 0 AS deleted FROM events
+          UNION ALL
+          SELECT 'INC', count(*) FILTER (event_id % 5 < 4) + count(*) FILTER (event_id % 5 IN (1, 2)), count(*) FILTER (event_id % 5 IN (1, 2)),
+                 count(*) FILTER (event_id % 5 IN (1, 2)), count(*) FILTER (event_id % 5 < 4), count(*) FILTER (event_id % 5 = 1),
+                 count(*) FILTER (event_id % 5 = 1), count(*) FILTER (event_id % 5 < 3 AND event_id % 97 <> 0) FROM events
+        ) UNPIVOT (n FOR metric IN (records, images, keyed, deletes, rows, merged, deleted))""",
     "export_key_collision": """
         SELECT 'p-q-' || (o_orderkey // 2) AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'p-q' ELSE 'p' END AS head,
                CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'q-' END || (o_orderkey // 2) AS tail, o_orderkey AS order_key

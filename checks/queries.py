@@ -27,10 +27,10 @@ from tagloom.operators import (
     surrogate_id,
     utc_to_local,
 )
-from tagloom.plans import ExportSpec, build, run_job
+from tagloom.plans import ExportSpec, JobResult, build, run_job
 from tagloom.schema import schema_from_spec
 from tagloom.scratch import scratch_path
-from tagloom.sinks import upsert, write_files, write_partitioned, write_table
+from tagloom.sinks import read_upserted, upsert, write_files, write_partitioned, write_table
 from tagloom.sources import (
     load_sources,
     read_catalog,
@@ -676,6 +676,20 @@ def upsert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_partitioned(spark, path, T.StructType([T.StructField("kind", T.StringType())]))
 
 
+def upsert_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days up to the 10th come again in wider types; the files of the others are read as these."""
+    events = _dated_events(spark, sf_dir)
+    narrow = {"value": "float", "version": "int", "cents": "decimal(9,2)", "marks": "array<int>"}
+    wide = {"value": "double", "version": "bigint", "cents": "decimal(16,4)", "marks": "array<bigint>"}
+    both = events.withColumns({"cents": F.col("value"), "marks": F.array("user_id")})
+    path = scratch_path(spark, "upsert")
+    upsert(both.select("*").withColumns({n: F.col(n).cast(t) for n, t in narrow.items()}), path, ["event_id"], "version")
+    newer = both.where("day <= '10'").withColumns({"version": F.lit(2), "value": F.col("value") + 1, "marks": F.array(F.col("user_id") + (1 << 40))})
+    upsert(newer.withColumns({n: F.col(n).cast(t) for n, t in wide.items()}), path, ["event_id"], "version")
+    read = read_upserted(spark, path).select("event_id", "version", "value", "cents", F.col("marks")[0].alias("mark"), *DAYS.names)
+    return read.withColumn("cents", (F.col("cents") * 100).cast("bigint"))
+
+
 # --- composed jobs -----------------------------------------------------------------------
 
 EVENT_COLUMNS = [
@@ -781,6 +795,52 @@ def export_key_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_partitioned(spark, curated, DAYS).select("id", "head", "tail", "order_key")
 
 
+def _feed(spark: SparkSession, sf_dir: str, root: str, folder: str) -> str:
+    """Events as a snapshot, or changes to them, by event_id modulo 5: deleted (0); deleted, then
+    written again with a lower order value (1); changed, then deleted (2); a delete from before
+    the snapshot (3); none (4). Some records of the snapshot have no key."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    events = tag.table(spark, sf_dir, "events").withColumns({"at": at, "amount": F.col("value"), "order": at, "here": F.lit(True), "keyed": F.col("event_id") % 97 != 0})
+    if root == "NewImage":
+        kind = F.col("event_id") % 5
+        plus = {"amount": F.col("amount") + 1}
+        gone = events.where(kind < 4).withColumns({"here": F.lit(False), "at": F.when(kind == 3, at - 100).otherwise(at + 100)})
+        again = events.where(kind == 1).withColumns({"at": at + 200, "order": at - 7, **plus})
+        before = events.where(kind == 2).withColumns({"at": at + 50, "order": at + 50, **plus})
+        events = gone.union(again).union(before).withColumn("keyed", F.lit(True))
+    return tag.export(
+        events, root, folder, present=F.col("here"), written=F.col("at"), keys=tag.attributes(eventId=tag.number("event_id")),
+        userId=tag.number("user_id"), eventType=tag.text("event_type"), eventId=tag.number(F.when(F.col("keyed"), F.col("event_id"))),
+        detail=tag.mapped(amount=tag.cents("amount")), tstamp=tag.number("order"), createdAt=tag.text(wall_text("ts")),
+    )
+
+
+def _fed(spark: SparkSession, sf_dir: str, read_schema: str) -> tuple[str, dict[str, JobResult]]:
+    """A snapshot job and an incremental one that applies deletes; the upserted table and what each did."""
+    curated, done = scratch_path(spark, "curated"), {}
+    by_event = {"key_columns": ["event_id"], "tiebreak_columns": None, "deletes": "apply"}
+    for mode, root, folder in (("FULL", "Item", FULL_FOLDER), ("INC", "NewImage", INC_FOLDER)):
+        base = _feed(spark, sf_dir, root, folder)
+        context = RunContext(date(2024, 1, 31), mode, ingested_at=INGESTED)
+        spec = event_spec(base, context, read_schema, partition_date="created_at", **by_event)
+        name = "feed_" + base.rsplit("-", 1)[1]
+        done[mode] = run_job(spark, spec, context, table=name, table_path=scratch_path(spark, "analytics"), curated_path=curated)
+    return curated, done
+
+
+def upsert_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes of a change feed leave the upserted table, with the order of changes kept."""
+    curated, _ = _fed(spark, sf_dir, "declared")
+    return read_upserted(spark, curated).select("event_id", "event_type", "amount", "tstamp", "change_micros", *DAYS.names)
+
+
+def job_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two jobs counted on the way, as rows."""
+    _, done = _fed(spark, sf_dir, "inferred")
+    names = ("records", "images", "keyed", "deletes", "rows", "merged", "deleted")
+    return spark.createDataFrame([(mode, name, getattr(job, name)) for mode, job in done.items() for name in names], "mode string, metric string, n bigint")
+
+
 def _without_zones(df: DataFrame) -> DataFrame:
     return df.withColumns({n: plain(n) for n in ("created_at", "momento_ingestion", "job_process_date")})
 
@@ -881,6 +941,9 @@ QUERIES: dict[str, Query] = {
     "upsert_idempotent": upsert_idempotent,
     "upsert_many_partitions": upsert_many_partitions,
     "upsert_null_partition": upsert_null_partition,
+    "upsert_widened": upsert_widened,
+    "upsert_deletes": upsert_deletes,
+    "job_metrics": job_metrics,
     "export_full": export_full,
     "export_incremental": export_incremental,
     "export_from_spec": export_from_spec,

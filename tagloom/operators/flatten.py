@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +27,7 @@ class _Leaf:
 
 
 def flatten_tagged(
-    df: DataFrame, root: str, schema: T.StructType | None = None, on_collision: str = "error"
+    df: DataFrame, root: str, schema: T.StructType | None = None, on_collision: str = "error", extra: Sequence[Column] = ()
 ) -> DataFrame:
     """Columns of the tagged struct ``root``: one projection, no row work in Python.
 
@@ -42,7 +42,7 @@ def flatten_tagged(
 
     Different attributes whose names become one column are refused, naming them
     (``on_collision="error"``), or merged the same way (``"coalesce"``). With a declared
-    schema that goes for its columns.
+    schema that goes for its columns. ``extra`` columns of ``df`` are added to the projection.
     """
     if on_collision not in ("coalesce", "error"):
         raise ValueError(f"on_collision is 'coalesce' or 'error', not {on_collision!r}")
@@ -60,7 +60,7 @@ def flatten_tagged(
         clashes = {name: found for name, found in paths.items() if len(found) > 1}
         if clashes:
             raise ValueError(f"attributes that share a column name: {clashes}")
-    return df.select(*[_column(name, group) for name, group in groups.items()])
+    return df.select(*[_column(name, group) for name, group in groups.items()], *extra)
 
 
 def _column(name: str, leaves: list[_Leaf]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.context import RunContext
@@ -25,45 +25,87 @@ from tagloom.operators import (
     surrogate_id,
 )
 from tagloom.operators.align import cast_sql
+from tagloom.operators.changes import CHANGED, change_time, deleted_keys, gone_name, outliving, tombstones
 from tagloom.operators.metadata import DEFAULT_PARTITION_DATE, PARTITION_COLUMNS
 from tagloom.plans.spec import ExportSpec, ProcessingSpec
-from tagloom.sinks import upsert, write_files, write_table
+from tagloom.scratch import discard, staged
+from tagloom.sinks import apply_changes, read_upserted, write_files, write_table
+from tagloom.sinks.merge import Merged, is_upserted
 from tagloom.sources import Hook, load_source
 
+_IMAGE = "__tagloom_image"
+
 
 @dataclass(frozen=True)
 class JobResult:
-    """What a run did: rows in the table it wrote, whether it upserted them, and how many
-    keys (per partition) it upserted."""
+    """What a run did.
+
+    ``rows`` in the table it wrote, whether it ``upserted`` them, how many keys (per partition)
+    it ``merged`` and how many stored rows its deletes removed (``deleted``). Counted while
+    the export was read: its ``records``, those with an image (``images``) and with all keys
+    (``keyed``), and the records of deletes (``deletes``, where they are applied).
+    """
 
     rows: int
     upserted: bool
     merged: int = 0
+    deleted: int = 0
+    records: int = 0
+    images: int = 0
+    keyed: int = 0
+    deletes: int = 0
 
 
 def transform(df: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame:
     """Export records to finished rows, lazily.
 
-    In this order: flatten, keep rows with all keys, latest row per key, align, joined
-    id, sorted columns, time column, filters, selection, renames, SQL columns.
+    In this order: flatten, keep rows with all keys (that no later delete removes, where
+    deletes are applied), latest row per key, align, joined id, sorted columns, time
+    column, filters, selection, renames, SQL columns.
     """
+    return _finished(_flattened(df, spec, context), spec, context)
+
+
+def _flattened(df: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame:
+    """One projection of all records: the columns of images, whether there is one, and where
+    deletes are applied the time of the change and the keys of deleted items."""
+    work, there = spec.processing, context.root in df.columns
+    extra = [F.col(quoted(context.root)).isNotNull().alias(_IMAGE) if there else F.lit(False).alias(_IMAGE)]
+    if work.applies_deletes:
+        extra.append(change_time(df))
+        if context.incremental:
+            extra += deleted_keys(df, context.root, work.key_columns, work.schema)
+    if not there and work.applies_deletes:
+        return df.select(*extra)
+    flat = flatten_tagged(df, context.root, work.schema, work.on_collision, extra)
+    if work.applies_deletes and flat.columns.count(CHANGED) > 1:
+        raise ValueError(f"an attribute has the name {CHANGED!r}, which deletes need for the time of the change")
+    return _needed(flat, work)
+
+
+def _finished(flat: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame:
     work = spec.processing
-    flat = flatten_tagged(df, context.root, work.schema, work.on_collision)
+    images = keep_keyed(flat.drop(_IMAGE), work.key_columns)
+    if work.applies_deletes and context.incremental:
+        images = outliving(images, tombstones(flat, work.key_columns, work.key_types), work.key_columns, work.key_types)
     latest = latest_per_key(
-        _needed(keep_keyed(flat, work.key_columns), work),
+        images,
         work.key_columns,
         work.order_by_column,
         order_type=_order_type(work),
         tiebreak=work.tiebreak_columns,
-        key_types={key: kind for key, kind in work.key_types.items() if key in flat.columns},
+        key_types={key: kind for key, kind in work.key_types.items() if key in images.columns},
     )
-    aligned = align(latest, work.schema) if work.schema is not None else latest
+    aligned = align(latest, work.row_schema) if work.row_schema is not None else latest
+    selected = work.select_columns
+    if selected and work.applies_deletes and CHANGED not in selected:
+        selected = (*selected, CHANGED)
     return (
         aligned.transform(surrogate_id, work.key_columns)
         .transform(sorted_projection)
         .transform(to_time_column, work.partition_date)
         .transform(post_filters, work.post_read_filters)
-        .transform(select_columns, work.select_columns)
+        .transform(select_columns, selected)
         .transform(rename_columns, work.rename_columns)
         .transform(sql_columns, work.sql_transformations)
     )
@@ -73,7 +115,8 @@ def _needed(df: DataFrame, work: ProcessingSpec) -> DataFrame:
     """Only what aligning keeps, so that undeclared columns are not shuffled."""
     if work.schema is None:
         return df
-    wanted = {*work.schema.names, *work.key_columns, *(work.tiebreak_columns or ()), work.order_by_column}
+    own = {_IMAGE, CHANGED, *map(gone_name, range(len(work.key_columns)))}
+    wanted = {*work.schema.names, *work.key_columns, *(work.tiebreak_columns or ()), work.order_by_column, *own}
     return select_columns(df, [name for name in df.columns if name in wanted])
 
 
@@ -95,7 +138,8 @@ def build(
     spark: SparkSession, spec: ExportSpec, context: RunContext, hook: Hook | None = None
 ) -> DataFrame | None:
     """Scan, transform and add metadata; None if the source has no rows to take."""
-    source = load_source(spark, spec.source, context, spec.read_schema)
+    keys = spec.processing.key_columns if spec.processing.applies_deletes else ()
+    source = load_source(spark, spec.source, context, spec.read_schema, keys)
     if hook is not None:
         source = hook(source)
     if _nothing_in(source, context):
@@ -111,12 +155,31 @@ def _nothing_in(source: DataFrame, context: RunContext) -> bool:
     return is_empty(source.where(F.col(quoted(context.root)).isNotNull()))
 
 
-def misfit_keys(source: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame:
-    """Rows whose key is there but does not fit its declared type, with the keys as they came."""
-    work = spec.processing
-    flat = keep_keyed(flatten_tagged(source, context.root, work.schema, work.on_collision), work.key_columns)
-    fits = [f"{cast_sql(quoted(key), flat.schema[key].dataType, kind)} IS NULL" for key, kind in work.key_types.items()]
-    return select_columns(flat, work.key_columns).where(" OR ".join(fits) if fits else "false")
+def _watched(flat: DataFrame, work: ProcessingSpec, observation: Observation) -> DataFrame:
+    """Rows with all keys and deletes, every record counted on the way.
+
+    Misfits are keys that are there but do not fit their declared type.
+    """
+    keys = [key for key in work.key_columns if key in flat.columns]
+    gone = [gone_name(i) for i in range(len(work.key_columns)) if gone_name(i) in flat.columns]
+    keyed = " AND ".join(f"{quoted(key)} IS NOT NULL" for key in keys) if keys or not work.key_columns else "false"
+    deleted = " AND ".join(f"{name} IS NOT NULL" for name in gone) or "false"
+    given = {key: key for key in keys} | dict(zip(work.key_columns, gone))
+    unfit = [
+        f"{quoted(name)} IS NOT NULL AND {cast_sql(quoted(name), flat.schema[name].dataType, kind)} IS NULL"
+        for key, kind in work.key_types.items()
+        for name in {key, given.get(key, key)}
+        if name in flat.columns
+    ]
+    counts = {
+        "records": F.count(F.lit(1)),
+        "images": F.count_if(F.col(_IMAGE)),
+        "keyed": F.count_if(F.expr(f"{_IMAGE} AND ({keyed or 'true'})")),
+        "deletes": F.count_if(F.expr(deleted)),
+        "misfits": F.count_if(F.expr(f"(({keyed or 'true'}) OR {deleted}) AND ({' OR '.join(unfit) or 'false'})")),
+    }
+    counted = flat.observe(observation, *[count.alias(name) for name, count in counts.items()])
+    return counted.where(f"({_IMAGE} AND ({keyed or 'true'})) OR ({deleted})").drop(_IMAGE)
 
 
 def run_job(
@@ -132,25 +195,49 @@ def run_job(
 ) -> JobResult | None:
     """The whole job for one table and run date; None if there was nothing to do.
 
-    Writes ``table`` (replacing it, in ``files`` files if given), and from its files the
-    declared extra output and the upsert into ``curated_path``, by the key columns. Before
-    anything is written, keys that do not fit their declared type end the job with their
-    number: as NULLs they would overwrite each other. Only keys that are not declared as
-    texts are looked at, in a pass over the keys alone.
+    The export is parsed once: its flattened records are written to scratch and counted on the
+    way. Nothing else is written if none has an image, or if keys do not fit their
+    declared type, which ends the job with their number: as NULLs they would overwrite each
+    other. Then ``table`` is written (replaced, in ``files`` files if given), and from its
+    files the declared extra output and the upsert into ``curated_path``, by the key columns.
+    Where the spec says ``deletes: apply``, rows of deleted items leave ``curated_path``.
     """
     work = spec.processing
     if curated_path and not (work.record_keys and work.precombine_key):
         raise ValueError("an upsert needs key_columns and a precombine_key")
-    source = load_source(spark, spec.source, context, spec.read_schema)
+    source = load_source(spark, spec.source, context, spec.read_schema, work.key_columns if work.applies_deletes else ())
     if hook is not None:
         source = hook(source)
-    if _nothing_in(source, context):
+    if context.root not in source.columns and not work.applies_deletes and _nothing_in(source, context):
         return None
-    if work.key_types:
-        misfits = misfit_keys(source, spec, context).count()
+    observation = Observation()
+    flat, folder = staged(_watched(_flattened(source, spec, context), work, observation), "job", with_path=True)
+    try:
+        counts = dict(observation.get)
+        misfits = counts.pop("misfits")
         if misfits:
             raise ValueError(f"{misfits} rows have keys that do not fit their declared types {work.key_types}")
-    result = with_metadata(transform(source, spec, context), spec, context)
+        if not counts["images"] and not counts["deletes"]:
+            return None
+        return _written(spark, flat, counts, spec, context, table, table_path, curated_path, files)
+    finally:
+        discard(spark, folder)
+
+
+def _written(spark, flat: DataFrame, counts: dict[str, int], spec: ExportSpec, context: RunContext, table, table_path, curated_path, files) -> JobResult | None:
+    """All writes of :func:`run_job`, from the flattened records."""
+    work = spec.processing
+    changed = work.renamed(CHANGED) if work.applies_deletes else None
+    deletes = None
+    if work.applies_deletes and context.incremental:
+        deletes = tombstones(flat, work.key_columns, work.key_types).toDF(*work.record_keys, changed)
+    if not counts["images"]:
+        if not curated_path or not is_upserted(spark, curated_path):
+            return None
+        none = read_upserted(spark, curated_path).limit(0)
+        done = apply_changes(none, deletes, curated_path, work.record_keys, work.renamed(work.precombine_key), PARTITION_COLUMNS, changed=changed)
+        return JobResult(0, True, 0, done.deleted, **counts)
+    result = with_metadata(_finished(flat.withColumn(_IMAGE, F.lit(True)), spec, context), spec, context)
     missing = [name for name in work.record_keys if name not in result.columns]
     if curated_path and missing:
         raise ValueError(f"an upsert needs the key columns {missing}, which the spec's selection leaves out")
@@ -164,16 +251,19 @@ def run_job(
             files=spec.output.output_partitions,
             options=spec.output.options,
         )
-    merged = 0
+    done = Merged(0)
     if curated_path:
-        merged = upsert(
+        done = apply_changes(
             written,
+            deletes,
             curated_path,
             work.record_keys,
             work.renamed(work.precombine_key),
             PARTITION_COLUMNS,
+            changed=changed,
+            outlived=True,
             staged=True,
             unique=bool(work.order_by_column),
         )
     # counted from the footers of the files just written
-    return JobResult(written.count(), bool(curated_path), merged)
+    return JobResult(written.count(), bool(curated_path), done.rows, done.deleted, **counts)

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import types as T
 
 from tagloom.context import RunContext, fill, unfilled
+from tagloom.operators.changes import CHANGED
 from tagloom.schema import schema_from_spec
 
 # Output options of a spec and the writer options they set.
@@ -50,6 +51,18 @@ class ProcessingSpec:
     rename_columns: tuple[tuple[str, str], ...] = ()
     sql_transformations: tuple[tuple[str, str], ...] = ()
     on_collision: str = "error"
+    deletes: str = "ignore"
+
+    @property
+    def applies_deletes(self) -> bool:
+        return self.deletes == "apply"
+
+    @property
+    def row_schema(self) -> T.StructType | None:
+        """The declared schema, with the time of the change where deletes are applied."""
+        if self.schema is None or not self.applies_deletes:
+            return self.schema
+        return T.StructType([*self.schema.fields, T.StructField(CHANGED, T.LongType())])
 
     def renamed(self, name: str) -> str:
         """``name`` as it is called after the renames."""
@@ -162,6 +175,10 @@ def _processing(config: Mapping[str, Any], schemas: Mapping[str, Any]) -> Proces
     ties = config.get("tiebreak_columns")
     if config.get("on_collision", "error") not in ("error", "coalesce"):
         raise ValueError(f"on_collision is 'error' or 'coalesce', not {config['on_collision']!r}")
+    if config.get("deletes", "ignore") not in ("ignore", "apply"):
+        raise ValueError(f"deletes is 'ignore' or 'apply', not {config['deletes']!r}")
+    if config.get("deletes") == "apply" and not config.get("key_columns"):
+        raise ValueError("deletes are applied by key: the spec needs key_columns")
     return ProcessingSpec(
         schema=schema_from_spec(columns) if columns is not None else None,
         key_columns=_names(config, "key_columns"),
@@ -174,6 +191,7 @@ def _processing(config: Mapping[str, Any], schemas: Mapping[str, Any]) -> Proces
         rename_columns=_pairs(config, "rename_columns", "old_name", "new_name"),
         sql_transformations=_pairs(config, "sql_transformations", "name", "sql"),
         on_collision=config.get("on_collision", "error"),
+        deletes=config.get("deletes", "ignore"),
     )
 
 

@@ -21,6 +21,9 @@ _PLAIN_TYPES: dict[str, T.DataType] = {
     "boolean": T.BooleanType(),
 }
 
+# What a record has besides its image.
+METADATA, KEYS, WRITTEN = "Metadata", "Keys", "WriteTimestampMicros"
+
 SOURCE = "source"
 JSON_TEXT = "json"
 
@@ -75,11 +78,12 @@ def source_path(field: T.StructField) -> tuple[str, ...]:
     return tuple((field.metadata or {}).get(SOURCE) or (field.name,))
 
 
-def tagged_read_schema(declared: T.StructType, root: str) -> T.StructType:
+def tagged_read_schema(declared: T.StructType, root: str, keys: Iterable[str] = ()) -> T.StructType:
     """Schema to read an export with, so that no inference pass over the files is needed.
 
     Each attribute becomes a struct of the tags its declared type can arrive under;
-    attributes that are not declared are not even parsed.
+    attributes that are not declared are not even parsed. With the names of ``keys`` the
+    records' key struct and write time are read as well.
     """
     tree: dict[str, Any] = {}
     for field in declared.fields:
@@ -88,7 +92,13 @@ def tagged_read_schema(declared: T.StructType, root: str) -> T.StructType:
         for part in parents:
             node = node.setdefault(part, ({}, []))[0]
         node.setdefault(last, ({}, []))[1].append(field)
-    return T.StructType([T.StructField(root, _attributes(tree))])
+    image = T.StructField(root, _attributes(tree))
+    named = [field for field in declared.fields if field.name in set(keys)]
+    if not named:
+        return T.StructType([image])
+    parts = T.StructType([T.StructField(source_path(f)[-1], _tagged_node({}, [f])) for f in named])
+    written = T.StructType([T.StructField(WRITTEN, T.StructType([T.StructField("N", T.StringType())]))])
+    return T.StructType([T.StructField(METADATA, written), T.StructField(KEYS, parts), image])
 
 
 def _attributes(tree: dict[str, Any]) -> T.StructType:

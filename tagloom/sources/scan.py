@@ -13,6 +13,8 @@ from tagloom.schema import tagged_read_schema
 
 Hook = Callable[[DataFrame], DataFrame]
 
+_SELF_DESCRIBING = ("parquet", "orc", "avro")
+
 
 def read_tagged(
     spark: SparkSession,
@@ -20,6 +22,7 @@ def read_tagged(
     root: str | None = None,
     schema: T.StructType | None = None,
     options: Mapping[str, Any] | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """JSON-lines export files.
 
@@ -27,13 +30,14 @@ def read_tagged(
     struct ``root``; without one Spark infers the types, which reads them twice
     (``options={"samplingRatio": ...}`` shortens the first pass). Lines that are no JSON
     become NULLs, which the key filter removes; ``options={"mode": "FAILFAST"}`` ends the
-    read at the first one instead.
+    read at the first one instead. ``keys`` are declared columns to read from the records'
+    key struct as well, with the time of the change.
     """
     reader = spark.read.options(**dict(options or {}))
     if schema is not None:
         if root is None:
             raise ValueError("a read schema needs the name of the root struct")
-        reader = reader.schema(tagged_read_schema(schema, root))
+        reader = reader.schema(tagged_read_schema(schema, root, keys))
     return reader.json(paths)
 
 
@@ -103,18 +107,25 @@ def load_source(
     source: Mapping[str, Any],
     context: RunContext,
     schema: T.StructType | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """One source from its description: ``connection_type`` of ``s3_path`` (files, with
     ``s3_details``) or ``catalog`` (``catalog_details``); or the short form with
     ``origin`` of ``s3`` (``bucket``, ``prefix``, ``scheme`` if not ``s3``) or ``catalog`` (``database``,
-    ``table_name``). Mode and run date come from ``context`` (S3, S7, S10)."""
+    ``table_name``). Mode and run date come from ``context`` (S3, S7, S10). JSON is read with
+    the tagged form of a declared ``schema`` (and ``keys``, see :func:`read_tagged`), other
+    formats with the schema itself, unless their files describe themselves and hold tagged records."""
     source = fill(dict(source), context.placeholders())
     kind = source.get("connection_type") or source.get("origin")
     if kind in ("s3_path", "s3"):
         path, data_format, options = _file_source(source, context)
         if data_format == "json":
-            return read_tagged(spark, path, context.root, schema, options)
-        return read_format(spark, data_format, path, options)
+            return read_tagged(spark, path, context.root, schema, options, keys)
+        if schema is not None and data_format in _SELF_DESCRIBING:
+            found = read_format(spark, data_format, path, options)
+            if context.root in found.columns:
+                return found
+        return read_format(spark, data_format, path, options, schema)
     if kind == "catalog":
         details = source.get("catalog_details") or (source if "origin" in source else None)
         if not details or not details.get("table_name"):

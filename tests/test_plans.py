@@ -382,3 +382,107 @@ def test_undeclared_key_selection_is_refused_before_writing(spark, folder):
     with pytest.raises(ValueError, match="account"):
         job(spark, folder, [record("a", "7", 1, 1)], COLUMNS, select_columns=["branch", "version", "created_at"])
     assert not os.path.exists(folder + "/a")
+
+
+# --- deletes and counts ------------------------------------------------------------------
+
+
+def feed(folder, kind, root, records):
+    """Records of (keys, time, image or None), as a change feed writes them."""
+    path = f"{folder}/{kind}/day=16/" + ("001/data" if kind == "full" else "hour=07/data")
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/part-{len(os.listdir(path))}.json", "w", encoding="utf-8") as file:
+        for (branch, account), at, image in records:
+            written = {"Metadata": {"WriteTimestampMicros": {"N": str(at)}}} if at is not None else {}
+            file.write(json.dumps(written | {"Keys": {"branch": {"S": branch}, "account": {"N": account}}} | ({root: image} if image else {})) + "\n")
+
+
+def applied(spark, folder, context, read, columns=KEYED, **processing):
+    data = spec_dict(folder, deletes="apply", **processing)
+    data["source_config"]["read_schema"] = read
+    name = "tagloom_test.t" + os.path.basename(folder).replace("-", "_")
+    spec = ExportSpec.from_dict(data, context, {"accounts_final": columns})
+    return run_job(spark, spec, context, table=name, table_path=folder + "/a", curated_path=folder + "/c")
+
+
+@pytest.mark.parametrize("read", ["inferred", "declared"])
+def test_deletes_of_a_change_feed(spark, folder, read):
+    """Deleted, deleted and written again with a lower version, deleted in another number text, and a late delete."""
+    old = "2025-10-07 00:00:00"
+    feed(folder, "full", "Item", [(("a", str(i)), 100, record("a", str(i), i, 5, old if i == 1 else "2025-10-06 00:00:00")) for i in (1, 2, 3, 4)])
+    full = applied(spark, folder, FULL, read)
+    assert (full.rows, full.merged, full.deleted, full.records, full.images, full.keyed, full.deletes) == (4, 4, 0, 4, 4, 4, 0)
+    feed(folder, "incremental", "NewImage", [
+        (("a", "1"), 150, None), (("a", "2"), 150, record("a", "2", 20, 9)), (("a", "2"), 160, None), (("a", "2"), 170, record("a", "2", 21, 1)),
+        (("a", "03"), 150, None), (("a", "4"), 90, None), (("z", "9"), 150, None),
+    ])
+    for deleted in (3, 0):
+        inc = applied(spark, folder, INC, read)
+        assert (inc.rows, inc.merged, inc.deleted, inc.records, inc.images, inc.keyed, inc.deletes) == (1, 1, deleted, 7, 2, 2, 5)
+        assert curated(spark, folder, "account", "balance", "change_micros") == [(2, 21.0, 170), (4, 4.0, 100)]
+    assert not os.path.exists(folder + "/c/year=2025/month=10/day=07")
+
+
+@pytest.mark.parametrize("read", ["inferred", "declared"])
+def test_change_files_of_deletes_alone_are_applied(spark, folder, read):
+    feed(folder, "full", "Item", [(("a", "1"), None, record("a", "1", 1, 1)), (("a", "2"), 100, record("a", "2", 1, 1))])
+    applied(spark, folder, FULL, read)
+    feed(folder, "incremental", "NewImage", [(("a", "1"), 1, None), (("a", "2"), 1, None)])
+    result = applied(spark, folder, INC, read)
+    assert (result.rows, result.upserted, result.deleted, result.deletes) == (0, True, 1, 2)
+    assert curated(spark, folder, "account", "change_micros") == [(2, 100)]
+    assert spark.table("tagloom_test.t" + os.path.basename(folder).replace("-", "_")).count() == 2
+
+
+def test_deletes_without_a_table_yet(spark, folder):
+    feed(folder, "incremental", "NewImage", [(("a", "1"), 1, None)])
+    assert applied(spark, folder, INC, "declared") is None and not os.path.exists(folder + "/c")
+
+
+def test_deleted_keys_that_do_not_fit_end_the_job(spark, folder):
+    feed(folder, "incremental", "NewImage", [(("a", "x"), 1, None), (("a", "1"), 1, record("a", "1", 1, 1))])
+    with pytest.raises(ValueError, match="1 rows have keys"):
+        applied(spark, folder, INC, "declared")
+
+
+def test_change_time_is_kept_through_selection_and_renames(spark, folder):
+    feed(folder, "full", "Item", [(("a", "1"), 7, record("a", "1", 1, 1))])
+    work = {"select_columns": ["branch", "account", "version", "created_at"], "rename_columns": [{"old_name": "change_micros", "new_name": "changed"}, {"old_name": "account", "new_name": "number"}]}
+    applied(spark, folder, FULL, "declared", **work)
+    assert curated(spark, folder, "number", "changed") == [(1, 7)]
+    feed(folder, "incremental", "NewImage", [(("a", "1"), 8, None), (("b", "1"), 8, record("b", "1", 1, 1))])
+    assert applied(spark, folder, INC, "declared", **work).deleted == 1
+    assert curated(spark, folder, "branch", "changed") == [("b", 8)]
+
+
+def test_deletes_need_keys_and_a_free_name(spark, folder):
+    with pytest.raises(ValueError, match="'sometimes'"):
+        make("/x", deletes="sometimes")
+    with pytest.raises(ValueError, match="key_columns"):
+        make("/x", deletes="apply", key_columns=[])
+    feed(folder, "full", "Item", [(("a", "1"), 7, record("a", "1", 1, 1) | {"changeMicros": {"N": "1"}})])
+    with pytest.raises(ValueError, match="change_micros"):
+        applied(spark, folder, FULL, "inferred")
+    lay_out(folder + "/no", inc=[record("a", "1", 1, 1)])
+    with pytest.raises(ValueError, match="no key attribute"):
+        run_job(spark, make(folder + "/no", INC, deletes="apply", key_columns=["branch", "version"]), INC, table="tagloom_test.never2")
+
+
+def test_export_is_parsed_once(spark, folder):
+    """Whatever a job counts and checks: one job's stages read JSON, all others Parquet."""
+    lay_out(folder, full=[record("a", str(i), 1, 1) for i in range(50)])
+    data = spec_dict(folder)
+    data["source_config"]["read_schema"] = "declared"
+    spec = ExportSpec.from_dict(data, FULL, {"accounts_final": KEYED})
+    read = spark.sparkContext.accumulator(0)
+
+    def hook(df):
+        @F.udf("boolean")
+        def seen(_):
+            read.add(1)
+            return True
+
+        return df.where(seen(F.col("Item.branch.S")))
+
+    result = run_job(spark, spec, FULL, table="tagloom_test.once", table_path=folder + "/a", curated_path=folder + "/c", hook=hook)
+    assert (result.rows, result.records, read.value) == (50, 50, 50)

@@ -162,3 +162,19 @@ def test_a_cluster_has_to_name_its_shared_folder():
         scratch_root(Session())
     Session.conf = {"spark.checkpoint.dir": "s3a://shared/"}
     assert scratch_root(Session()) == "s3a://shared"
+
+
+def test_declared_schema_of_other_formats(spark, folder):
+    """CSV is read with the declared types; files that hold tagged records keep their own."""
+    schema = schema_from_spec([{"Name": "a", "Type": "bigint"}, {"Name": "b", "Type": "varchar"}])
+    spark.createDataFrame([(1, "07")], schema).write.csv(folder + "/csv")
+    spark.createDataFrame([(1, "07", 2.5)], "a int, b string, c double").write.orc(folder + "/orc")
+    spark.createDataFrame([((("x",),),)], "Item struct<a:struct<S:string>>").write.parquet(folder + "/tagged")
+
+    def load(name, data_format):
+        details = {"path_template_full": f"{folder}/{name}", "data_format": data_format}
+        return load_source(spark, {"connection_type": "s3_path", "s3_details": details}, RunContext.of("2025-01-01"), schema)
+
+    assert load("csv", "csv").schema.simpleString() == "struct<a:bigint,b:string>" and load("csv", "csv").first() == (1, "07")
+    assert load("orc", "orc").columns == ["a", "b"] and load("orc", "orc").first() == (1, "07")
+    assert load("tagged", "parquet").columns == ["Item"]

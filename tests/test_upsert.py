@@ -1,15 +1,17 @@
 import glob
 import os
 import shutil
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.schema import schema_from_spec
 from tagloom.scratch import scratch_path, scratch_root
-from tagloom.sinks import merge, upsert
+from tagloom.sinks import apply_changes, merge, read_upserted, upsert
 from tagloom.sinks.merge import UnfinishedCommit
 from tagloom.sources import read_partitioned
 
@@ -239,3 +241,116 @@ def test_only_touched_folders_are_read_and_no_window_is_over_stored_rows(spark,
     incoming = spark.createDataFrame([("k1", 2, "y", 2024, "01")], DDL)
     plan = merged(rows, incoming, ["id"], "v", ["year", "day"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+# --- deletes -----------------------------------------------------------------------------
+
+CHANGES = "id string, v bigint, w string, t bigint, year int, day string"
+
+
+def change(spark, path, rows, deletes, ddl=CHANGES, **more):
+    gone = spark.createDataFrame(deletes, "id string, t bigint")
+    return apply_changes(spark.createDataFrame(rows, ddl), gone, path, ["id"], "v", ["year", "day"], changed="t", **more)
+
+
+def test_deletes_in_any_partition_by_time(spark, folder):
+    path = folder + "/t"
+    change(spark, path, [("a", 1, "x", 10, 2024, "01"), ("b", 1, "x", 10, 2024, "01"), ("c", 1, "x", 10, 2024, "02"), ("c", 1, "x", 30, 2024, "03"), ("d", 1, "x", None, 2024, "04")], [])
+    done = change(spark, path, [], [("a", 11), ("c", 20), ("b", 10), ("d", 1), ("never", 99), (None, 50)])
+    assert (done.rows, done.deleted) == (0, 3)
+    assert stored(spark, path, "id", "t", "day") == [("b", 10, "01"), ("c", 30, "03")]
+
+
+def test_delete_then_new_row_in_one_batch(spark, folder):
+    """The stored and the older incoming row no longer compete, though their precombine is greater."""
+    path = folder + "/t"
+    change(spark, path, [("a", 9, "stored", 10, 2024, "01")], [])
+    batch = [("a", 8, "before", 15, 2024, "01"), ("a", 1, "after", 25, 2024, "01")]
+    for _ in range(2):
+        change(spark, path, batch, [("a", 20), ("a", 12)])
+        assert stored(spark, path, "v", "w") == [(1, "after")]
+    change(spark, path, [("a", 9, "late", 30, 2024, "01")], [("a", 28)])
+    assert stored(spark, path, "v", "w") == [(9, "late")]
+
+
+def test_partition_without_rows_is_removed(spark, folder):
+    for at_once in (1, 2000):
+        path = f"{folder}/t{at_once}"
+        change(spark, path, [("a", 1, "x", 10, 2024, "01"), ("b", 1, "x", 10, 2024, "02"), ("c", 1, "x", 10, 2024, None)], [])
+        done = change(spark, path, [("d", 1, "y", 20, 2024, "02")], [("a", 20), ("b", 20), ("c", 20)], partitions_at_once=at_once)
+        assert (done.rows, done.deleted) == (1, 3)
+        assert stored(spark, path, "id", "day") == [("d", "02")] and len(glob.glob(path + "/year=*/day=*")) == 1
+
+
+def test_deletes_without_times_precede_the_batch(spark, folder):
+    path = folder + "/t"
+    put(spark, path, [("a", 5, "old", 2024, "01"), ("b", 5, "old", 2024, "02")])
+    gone = spark.createDataFrame([("a",), ("b",), ("b",)], "id string")
+    apply_changes(spark.createDataFrame([("a", 1, "new", 2024, "01")], DDL), gone, path, ["id"], "v", ["year", "day"])
+    assert stored(spark, path, "id", "v", "w") == [("a", 1, "new")]
+
+
+def test_deletes_of_a_new_table_and_untouched_files(spark, folder):
+    path = folder + "/t"
+    assert change(spark, path, [], [("a", 1)]).deleted == 0 and not os.path.exists(path)
+    change(spark, path, [(f"k{i}", 1, "x", 10, 2024, f"{i % 4:02}") for i in range(40)], [("k3", 9), ("k4", 11)])
+    before = modified(path)
+    assert len(stored(spark, path)) == 39
+    change(spark, path, [], [("k5", 11)])
+    assert {f.split("/day=")[1].split("/")[0] for f in before - modified(path)} == {"01"}
+
+
+def test_two_keys_one_of_them_frequent(spark, folder):
+    """A key that holds a third of the batch, deleted half way."""
+    path, ddl = folder + "/t", "k string, n bigint, v bigint, t bigint, year int, day string"
+    rows = [("hot", 1, i, i, 2024, "01") for i in range(300)] + [(f"k{i % 5}", i, 1, 5, 2024, "01") for i in range(600)]
+    gone = spark.createDataFrame([("hot", 1, 150), ("k1", 1, 9), ("k1", 2, 9)], "k string, n bigint, t bigint")
+    done = apply_changes(spark.createDataFrame(rows, ddl), gone, path, ["k", "n"], "v", ["year", "day"], changed="t")
+    assert done.rows == 600 and stored(spark, path, "k", "v")[:1] == [("hot", 299)]
+    assert ("k1", 1) not in stored(spark, path, "k", "n") and ("k2", 2) in stored(spark, path, "k", "n")
+
+
+# --- wider types ---------------------------------------------------------------------------
+
+OLD = "id string, v int, w float, p decimal(5,2), q int, s struct<a:int,b:string>, l array<int>, year int, day string"
+NEW = "id string, v bigint, w double, p decimal(9,4), q decimal(12,2), s struct<a:bigint,c:string>, l array<bigint>, year int, day string"
+
+
+def test_wider_types_are_taken_over(spark, folder):
+    path = folder + "/t"
+    old = [("a", 1, 0.5, Decimal("1.25"), 7, (1, "x"), [1], 2024, "01"), ("b", 1, 0.5, None, 7, None, None, 2024, "02")]
+    put(spark, path, old, OLD)
+    put(spark, path, [("a", 2**40, 0.1, Decimal("1.0001"), Decimal("5.25"), (2**40, "c"), [2**40], 2024, "01"), ("c", 1, 0.1, None, None, None, None, 2024, "01")], NEW)
+    got = {r.id: r for r in read_upserted(spark, path).collect()}
+    assert (got["a"].v, got["a"].w, got["a"].p, got["a"].q, got["a"].l) == (2**40, 0.1, Decimal("1.0001"), Decimal("5.25"), [2**40])
+    assert got["a"].s.asDict() == {"a": 2**40, "b": None, "c": "c"}
+    assert (got["b"].v, got["b"].w, got["b"].q) == (1, 0.5, Decimal("7.00"))
+    with pytest.raises(ValueError, match="v.*bigint.*int"):
+        put(spark, path, old, OLD)
+
+
+@pytest.mark.parametrize(
+    "stored_type, incoming, wider",
+    [
+        ("int", "bigint", True), ("bigint", "int", False), ("smallint", "int", True), ("float", "double", True), ("double", "float", False),
+        ("int", "double", True), ("bigint", "double", False), ("int", "float", False), ("float", "bigint", False), ("int", "string", False),
+        ("decimal(5,2)", "decimal(6,2)", True), ("decimal(5,2)", "decimal(6,3)", True), ("decimal(5,2)", "decimal(6,4)", False), ("decimal(5,2)", "decimal(4,2)", False),
+        ("int", "decimal(10,0)", True), ("int", "decimal(10,1)", False), ("bigint", "decimal(20,0)", True), ("decimal(5,2)", "double", False), ("int", "int", False),
+    ],
+)
+def test_lattice_of_types(stored_type, incoming, wider):
+    a, b = (T.StructType.fromDDL(f"x {t}")["x"].dataType for t in (stored_type, incoming))
+    assert merge.wider_type(a, b) is wider
+
+
+def test_partition_columns_are_not_widened(spark, folder):
+    put(spark, folder + "/t", [("a", 1, "x", 2024, "01")])
+    with pytest.raises(ValueError, match="year.*int.*bigint"):
+        put(spark, folder + "/t", [("a", 1, "x", 2024, "01")], "id string, v bigint, w string, year bigint, day string")
+
+
+def test_folders_are_found_by_one_listing_of_their_parents(spark, folder):
+    path = folder + "/t"
+    put(spark, path, [("a", 1, "x", 2024, "01"), ("b", 1, "x", 2024, "a:b"), ("c", 1, "x", 2023, None)])
+    names = ["year=2024/day=01", "year=2024/day=a%3Ab", "year=2024/day=02", "year=2022/day=01", "year=2023/day=__HIVE_DEFAULT_PARTITION__"]
+    assert merge._existing(spark, path, names) == [names[0], names[1], names[4]]
