@@ -1,0 +1,105 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from tagloom.llm.periodic_runs import Positions, new_neighbours, periodic_runs, runs_of
+
+DDL = "doc_id bigint, text string, runs int, k_id string"
+
+
+def by_hand(words, least):
+    """All stretches by every distance, without those inside one of a smaller period."""
+    n, wide = len(words), []
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i - start + q >= max(least, 2 * q) and i > start:
+                wide.append((start, i - start + q, q))
+            i += 1
+    inside = lambda r, s: s[2] < r[2] and s[0] <= r[0] and s[0] + s[1] >= r[0] + r[1]
+    return sorted((r for r in wide if not any(inside(r, s) for s in wide)), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, runs):
+    gone = {i for start, length, period in runs for i in range(start + period, start + length)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def repeating(rng, n, letters):
+    words = [rng.randrange(letters) for _ in range(n)]
+    if n and rng.random() < 0.5:
+        a = rng.randrange(n)
+        p = rng.randint(1, max(1, (n - a) // 2))
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    return words
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_runs_by_hand(seed):
+    rng = random.Random(seed)
+    for least in (12, 2, 5, 13):
+        docs = [repeating(rng, rng.choice([0, 1, 11, 12, 40, 120]), rng.choice([1, 2, 3, 9])) for _ in range(4)]
+        first = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
+        words = np.array([w for d in docs for w in d], np.int64)
+        assert runs_of(words, first, least) == [by_hand(d, least) for d in docs]
+
+
+def test_fibonacci_words_have_many_runs():
+    a, b = [0], [0, 1]
+    while len(b) < 600:
+        a, b = b, b + a
+    assert runs_of(np.array(b), np.array([0, len(b)])) == [by_hand(b, 12)]
+
+
+def test_one_word_fills_a_long_text():
+    """A set of 300,000 positions, which each suffix joins alone."""
+    assert runs_of(np.zeros(300_000, np.int64), np.array([0, 300_000])) == [[(0, 300_000, 1)]]
+
+
+def test_ordered_positions():
+    rng = random.Random(3)
+    held, all_ = Positions(5000), [5000]
+    for x in rng.sample([x for x in range(10_000) if x != 5000], 5000):
+        below, above = [y for y in all_ if y < x], [y for y in all_ if y > x]
+        if len(all_) % 50 == 0:
+            assert held.around(x) == (max(below, default=None), min(above, default=None))
+        held.add(x)
+        all_.append(x)
+    assert list(held) == sorted(all_) and held.size == len(all_)
+
+
+def test_new_neighbours_of_merged_sets():
+    """(1, 3) and (8, 9) meet the set 0, 4, 6: neighbours of one side only are not new."""
+    edges = [(0, 4, 9), (4, 6, 9), (1, 3, 8), (8, 9, 8), (3, 6, 7), (9, 0, 6)]
+    assert sorted(new_neighbours(iter(edges))) == sorted([(0, 4, 9), (4, 6, 9), (1, 3, 8), (8, 9, 8), (0, 1, 7), (3, 4, 7), (6, 8, 6)])
+
+
+def test_rows(spark):
+    again = "a b c d e f g " * 3
+    rows = [(1, again + "end", 0, "x"), (1, again + "end", 0, "x"), (None, "a\tb\n" * 50, 1, ""), (2, None, 0, ""), (3, "", 0, ""), (4, " one  two ", 0, "")]
+    rows += [(5, " ".join(f"w{i}" for i in range(2000)) + " " + "z " * 40_000, 0, "")] + [(6, "same " * 11, 0, "")] * 200
+    got = periodic_runs(spark.createDataFrame(rows, DDL).repartition(3)).collect()
+    assert len(got) == len(rows)
+    by_id = {(r.doc_id, r.n_words): r for r in got}
+    for i, text, _, _ in rows:
+        words = (text or "").split()
+        row = by_id[i, len(words)]
+        runs = [tuple(r) for r in row.runs]
+        if len(words) < 1000:
+            assert runs == by_hand(words, 12)
+        assert row.collapsed == " ".join(collapsed(words, runs))
+        assert row.collapsed_sha256 == hashlib.sha256(row.collapsed.encode()).hexdigest()
+    assert [tuple(r) for r in by_id[5, 42_000].runs] == [(2000, 40_000, 1)]
+    assert by_id[None, 100].runs[0].period == 2 and by_id[6, 11].runs == []
+
+
+def test_empty_table_and_text_ids(spark):
+    df = spark.createDataFrame([("k", "a b " * 9)], "doc_id string, text string")
+    assert periodic_runs(df.limit(0)).collect() == []
+    (row,) = periodic_runs(df, keep_text=False).collect()
+    assert (row.doc_id, row.collapsed, [tuple(r) for r in row.runs]) == ("k", None, [(0, 18, 2)])

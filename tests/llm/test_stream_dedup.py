@@ -1,0 +1,98 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.llm import stream_dedup
+from tagloom.llm.stream_dedup import exact_duplicates
+
+DDL = "doc_id bigint, text string, file string, digest int"
+
+
+def matches(got, rows):
+    """Ids, what stays, group sizes; one row of each group is kept, and it has the greatest id."""
+    groups = defaultdict(list)
+    for i, text, *_ in rows:
+        groups[text or ""].append(i)
+    greatest = {t: max((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == Counter((i, greatest[t or ""], len(groups[t or ""])) for i, t, *_ in rows)
+    assert sum(r.kept for r in got) == len(groups) and all(r.doc_id == r.keep_id for r in got if r.kept)
+
+
+def some_rows(seed):
+    rng = random.Random(seed)
+    texts = [None, "", "a", "A", "a ", "é", "é", "a\nb", "long " * 20_000] + [f"t{i}" for i in range(30)]
+    rows = [(rng.choice([None, *range(50)]), rng.choice(texts), "clash", 0) for _ in range(300)]
+    return rows + [(100 + i, "in a third of the rows", "", 0) for i in range(150)] + [(2**60 + i, "large", "", 0) for i in range(3)]
+
+
+def weak(body):
+    """Three digests for all texts: nearly every hit is one of a differing text."""
+    return F.pmod(F.crc32(body), F.lit(3)).cast("string")
+
+
+@pytest.mark.parametrize("digest", [None, weak])
+def test_state_goes_on_with_new_files(spark, folder, digest):
+    path, given = f"{folder}/docs", {"digest": digest} if digest else {}
+    rows = some_rows(1)
+    spark.createDataFrame(rows, DDL).repartition(5).write.parquet(path)
+    once = lambda: exact_duplicates(spark, path, state=f"{folder}/state", files_per_batch=2, **given).collect()
+    matches(once(), rows)
+    matches(once(), rows)
+    more = [(1000, "a", "", 0), (-1, "in a third of the rows", "", 0), (3, "unseen", "", 0), (3, "unseen", "", 0), (None, None, "", 0)]
+    spark.createDataFrame(more, DDL).write.mode("append").parquet(path)
+    matches(once(), rows + more)
+
+
+def test_known_files_are_not_read_again(spark, folder):
+    path, state = f"{folder}/docs", f"{folder}/state"
+    spark.createDataFrame([(1, "a", "", 0)], DDL).coalesce(1).write.parquet(path)
+    for i in range(2):
+        exact_duplicates(spark, path, state=state).collect()
+    spark.createDataFrame([(2, "a", "", 0)], DDL).coalesce(1).write.mode("append").parquet(path)
+    exact_duplicates(spark, path, state=state).collect()
+    linked = spark.read.parquet(f"{state}/links")
+    assert linked.count() == 2 and linked.select("run").distinct().count() == 2
+    first, second = sorted(linked.collect(), key=lambda r: r.copies)
+    assert (second.base_file, second.base_row) == (first.file, first.row) and (second.id, second.copies) == (2, 2)
+
+
+def test_hits_are_checked_by_their_bytes(spark, folder):
+    path = f"{folder}/docs"
+    spark.createDataFrame([(1, "a", "", 0), (2, "a", "", 0), (3, "b", "", 0), (4, "c", "", 0)], DDL).repartition(4).write.parquet(path)
+    same = lambda body: F.when(body == "c", "other").otherwise("same")
+    got = exact_duplicates(spark, path, state=f"{folder}/state", digest=same).collect()
+    matches(got, [(1, "a"), (2, "a"), (3, "b"), (4, "c")])
+    checked = spark.read.schema("digest string, run string").parquet(f"{folder}/state/checked")
+    assert [r.digest for r in checked.collect()] == ["same"]
+
+
+def test_run_that_broke_off_before_its_check(spark, folder, monkeypatch):
+    path, rows = f"{folder}/docs", [(1, "a", "", 0), (2, "b", "", 0), (3, "a", "", 0)]
+    spark.createDataFrame(rows, DDL).repartition(3).write.parquet(path)
+    with monkeypatch.context() as broken:
+        broken.setattr(stream_dedup, "_check", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            exact_duplicates(spark, path, state=f"{folder}/state", digest=weak)
+    matches(exact_duplicates(spark, path, state=f"{folder}/state", digest=weak).collect(), rows)
+
+
+def test_single_file_text_ids_and_empty_tables(spark, folder):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "y"), ("", "y")], "doc_id string, text string")
+    df.coalesce(1).write.parquet(f"{folder}/t")
+    (file,) = [r.f for r in spark.read.parquet(f"{folder}/t").select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
+    got = {(r.doc_id, r.keep_id, r.kept) for r in exact_duplicates(spark, file).collect()}
+    assert got == {("a", "b", False), ("b", "b", True), (None, "", False), ("", "", True)}
+    df.limit(0).write.parquet(f"{folder}/empty")
+    assert exact_duplicates(spark, f"{folder}/empty").collect() == []
+    spark.createDataFrame([(1.5, "x")], "doc_id double, text string").write.parquet(f"{folder}/double")
+    with pytest.raises(TypeError):
+        exact_duplicates(spark, f"{folder}/double")
+
+
+def test_settings_of_the_caller_stay(spark, folder):
+    before = dict(spark.conf.getAll)
+    spark.createDataFrame([(1, "a", "", 0)], DDL).write.parquet(f"{folder}/t")
+    exact_duplicates(spark, f"{folder}/t").collect()
+    assert dict(spark.conf.getAll) == before
