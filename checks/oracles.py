@@ -59,6 +59,13 @@ ORACLES: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS key,
                CASE WHEN o_orderkey % 3 = 0 THEN 'old ' ELSE '' END || o_orderstatus AS order_status
         FROM orders""",
+    "scan_tagged_variant": """
+        SELECT event_id, CASE WHEN event_type = 'click' THEN '' ELSE 'u' END || user_id AS code,
+               CASE WHEN event_type = 'click' THEN event_type END AS detail,
+               CASE WHEN event_type <> 'click' THEN user_id::VARCHAR END AS detail_user,
+               CASE WHEN event_type <> 'click' THEN event_type END AS gap,
+               event_type AS mark_0, user_id::VARCHAR AS mark_1, '{"k":"' || user_id || '"}' AS mark_2
+        FROM events""",
     "scan_dated_partition": """
         SELECT event_id, event_type FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""",

@@ -38,6 +38,7 @@ from tagloom.sources import (
     read_format,
     read_partitioned,
     read_tagged,
+    read_tagged_variant,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +90,28 @@ def scan_tagged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan_tagged_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes under several tags, lists of mixed elements and NULL tags, read without a second parse."""
+    events = tag.table(spark, sf_dir, "events")
+    click, user = F.col("event_type") == "click", F.col("user_id").cast("string")
+    mark = lambda **tags: F.to_json(F.struct(*[v.alias(k) for k, v in tags.items()]))
+    # As text, for elements of differing shapes.
+    listed = F.concat(F.lit("["), F.concat_ws(",", mark(S=F.col("event_type")), mark(N=user), mark(M=F.struct(F.struct(user.alias("N")).alias("k")))), F.lit("]"))
+    item = F.concat_ws(
+        ",",
+        F.concat(F.lit('"eventId":'), mark(N=F.col("event_id").cast("string"))),
+        F.concat(F.lit('"code":'), F.when(click, mark(N=user)).otherwise(mark(S=F.concat(F.lit("u"), user)))),
+        F.concat(F.lit('"detail":'), F.when(click, mark(S=F.col("event_type"))).otherwise(mark(M=F.struct(F.struct(user.alias("N")).alias("user"))))),
+        F.concat(F.lit('"gap":'), F.when(click, F.lit('{"NULL":true}')).otherwise(mark(S=F.col("event_type")))),
+        F.concat(F.lit('"marks":{"L":'), listed, F.lit("}")),
+    )
+    path = scratch_path(spark, "export")
+    events.select(F.concat(F.lit('{"Item":{'), item, F.lit("}}"))).write.text(path)
+    flat = flatten_tagged(read_tagged_variant(spark, path, "Item"), "Item")
+    marks = [F.col("marks")[i].alias(f"mark_{i}") for i in range(3)]
+    return flat.select(F.col("event_id").cast("bigint").alias("event_id"), "code", "detail", "detail_user", "gap", *marks)
+
+
 def scan_dated_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change files of the hours of one day: the day's folders are all that is listed."""
     events = tag.table(spark, sf_dir, "events")
@@ -899,6 +922,7 @@ def export_to_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_tagged_json": scan_tagged_json,
+    "scan_tagged_variant": scan_tagged_variant,
     "scan_dated_partition": scan_dated_partition,
     "scan_catalog": scan_catalog,
     "scan_catalog_pruned": scan_catalog_pruned,

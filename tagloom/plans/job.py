@@ -206,13 +206,15 @@ def run_job(
     if curated_path and not (work.record_keys and work.precombine_key):
         raise ValueError("an upsert needs key_columns and a precombine_key")
     source = load_source(spark, spec.source, context, spec.read_schema, work.key_columns if work.applies_deletes else ())
+    temporary = [source.staged_path] if hasattr(source, "staged_path") else []
     if hook is not None:
         source = hook(source)
-    if context.root not in source.columns and not work.applies_deletes and _nothing_in(source, context):
-        return None
-    observation = Observation()
-    flat, folder = staged(_watched(_flattened(source, spec, context), work, observation), "job", with_path=True)
     try:
+        if context.root not in source.columns and not work.applies_deletes and _nothing_in(source, context):
+            return None
+        observation = Observation()
+        flat, folder = staged(_watched(_flattened(source, spec, context), work, observation), "job", with_path=True)
+        temporary.append(folder)
         counts = dict(observation.get)
         misfits = counts.pop("misfits")
         if misfits:
@@ -221,7 +223,7 @@ def run_job(
             return None
         return _written(spark, flat, counts, spec, context, table, table_path, curated_path, files)
     finally:
-        discard(spark, folder)
+        discard(spark, *temporary)
 
 
 def _written(spark, flat: DataFrame, counts: dict[str, int], spec: ExportSpec, context: RunContext, table, table_path, curated_path, files) -> JobResult | None:

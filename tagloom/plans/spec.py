@@ -111,7 +111,7 @@ class ExportSpec:
 
         ``source_config.read_schema: declared`` saves the inference pass over the files.
         It takes declared columns to be attributes of the same name, unless a column
-        names its ``Source``.
+        names its ``Source``. ``variant`` infers the types too, but parses the files once.
         """
         return self.processing.schema if self.source.get("read_schema") == "declared" else None
 
@@ -140,8 +140,8 @@ class ExportSpec:
         source = data.get("source_config")
         if not source:
             raise ValueError("the spec has no source_config")
-        if source.get("read_schema", "inferred") not in ("inferred", "declared"):
-            raise ValueError(f"read_schema is 'inferred' or 'declared', not {source['read_schema']!r}")
+        if source.get("read_schema", "inferred") not in ("inferred", "declared", "variant"):
+            raise ValueError(f"read_schema is 'inferred', 'declared' or 'variant', not {source['read_schema']!r}")
         processing = _processing(data.get("processing_config") or {}, schemas or {})
         if source.get("read_schema") == "declared" and processing.schema is None:
             raise ValueError("read_schema is 'declared', but the spec declares no schema")

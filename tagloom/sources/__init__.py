@@ -12,6 +12,7 @@ from tagloom.sources.scan import (
     read_tagged,
     table_exists,
 )
+from tagloom.sources.variant import read_tagged_variant
 
 __all__ = [
     "Hook",
@@ -23,5 +24,6 @@ __all__ = [
     "read_format",
     "read_partitioned",
     "read_tagged",
+    "read_tagged_variant",
     "table_exists",
 ]

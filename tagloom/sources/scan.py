@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tagloom.context import RunContext, fill, unfilled
 from tagloom.schema import tagged_read_schema
+from tagloom.sources.variant import read_tagged_variant
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -114,11 +115,14 @@ def load_source(
     ``origin`` of ``s3`` (``bucket``, ``prefix``, ``scheme`` if not ``s3``) or ``catalog`` (``database``,
     ``table_name``). Mode and run date come from ``context`` (S3, S7, S10). JSON is read with
     the tagged form of a declared ``schema`` (and ``keys``, see :func:`read_tagged`), other
-    formats with the schema itself, unless their files describe themselves and hold tagged records."""
+    formats with the schema itself, unless their files describe themselves and hold tagged records.
+    ``read_schema: variant`` reads JSON by :func:`read_tagged_variant`."""
     source = fill(dict(source), context.placeholders())
     kind = source.get("connection_type") or source.get("origin")
     if kind in ("s3_path", "s3"):
         path, data_format, options = _file_source(source, context)
+        if data_format == "json" and source.get("read_schema") == "variant":
+            return read_tagged_variant(spark, path, context.root, options)
         if data_format == "json":
             return read_tagged(spark, path, context.root, schema, options, keys)
         if schema is not None and data_format in _SELF_DESCRIBING:

@@ -329,7 +329,7 @@ def test_keys_are_compared_in_their_declared_type(spark, folder):
     assert curated(spark, folder, "account", "balance") == [(7, 2.0), (8, 3.0)]
 
 
-@pytest.mark.parametrize("read", ["inferred", "declared"])
+@pytest.mark.parametrize("read", ["inferred", "declared", "variant"])
 def test_change_files_of_deletes_alone_keep_the_table(spark, folder, read):
     job(spark, folder, [record("a", "7", 1, 1)], COLUMNS)
     lay_out(folder, inc=[None, None])
@@ -405,7 +405,7 @@ def applied(spark, folder, context, read, columns=KEYED, **processing):
     return run_job(spark, spec, context, table=name, table_path=folder + "/a", curated_path=folder + "/c")
 
 
-@pytest.mark.parametrize("read", ["inferred", "declared"])
+@pytest.mark.parametrize("read", ["inferred", "declared", "variant"])
 def test_deletes_of_a_change_feed(spark, folder, read):
     """Deleted, deleted and written again with a lower version, deleted in another number text, and a late delete."""
     old = "2025-10-07 00:00:00"
@@ -423,7 +423,7 @@ def test_deletes_of_a_change_feed(spark, folder, read):
     assert not os.path.exists(folder + "/c/year=2025/month=10/day=07")
 
 
-@pytest.mark.parametrize("read", ["inferred", "declared"])
+@pytest.mark.parametrize("read", ["inferred", "declared", "variant"])
 def test_change_files_of_deletes_alone_are_applied(spark, folder, read):
     feed(folder, "full", "Item", [(("a", "1"), None, record("a", "1", 1, 1)), (("a", "2"), 100, record("a", "2", 1, 1))])
     applied(spark, folder, FULL, read)

@@ -1,3 +1,7 @@
+import json
+import os
+from collections import Counter
+
 import pytest
 
 from tagloom.context import RunContext, fill
@@ -11,8 +15,10 @@ from tagloom.sources import (
     read_tagged,
     table_exists,
 )
+from tagloom.operators import flatten_tagged
 from tagloom.schema import schema_from_spec
 from tagloom.scratch import scratch_path, scratch_root, staged
+from tagloom.sources.variant import inferred_type, read_tagged_variant
 
 FULL = RunContext.of("2025-04-06")
 INC = RunContext.of("2025-04-06", "INC")
@@ -178,3 +184,61 @@ def test_declared_schema_of_other_formats(spark, folder):
     assert load("csv", "csv").schema.simpleString() == "struct<a:bigint,b:string>" and load("csv", "csv").first() == (1, "07")
     assert load("orc", "orc").columns == ["a", "b"] and load("orc", "orc").first() == (1, "07")
     assert load("tagged", "parquet").columns == ["Item"]
+
+
+# --- one read without a declared schema ------------------------------------------------------
+
+MIXED = [
+    {"Item": {"a": {"S": "x"}, "n": {"N": "1"}, "l": {"L": [{"S": "q"}, {"M": {"z": {"N": "2"}}}, {"NULL": True}]}, "ss": {"SS": ["b", "a"]}, "e": {"M": {}}, "mix": {"S": "t"}}},
+    {"Item": {"a": {"N": "7"}, "b": {"BOOL": True}, "mix": {"L": [{"S": "u"}]}, "nul": {"NULL": True}, "odd": {"S": 5}, "em": {"L": []}, "conf": {"M": {"q": "plain"}}}},
+    {"Item": {"conf": {"M": {"q": {"S": "tagged"}}}, "odd": {"S": "x"}, "num": {"N": 1.5}, "big": {"N": 12345678901234567890123}, "int": {"N": 3}}},
+    {"Keys": {"a": {"S": "x"}}, "OldImage": {"a": {"S": "unread"}}},
+    {"Item": {"with space": {"S": "1"}, "a.b": {"S": "2"}, "tick`s": {"S": "3"}, "OBJECT<": {"S": "4"}, "VOID": {"S": "5"}, "1e5": {"N": "6"}, "é": {"S": "7"}, "struct": {"M": {"x: y": {"S": "8"}}}}},
+    {"Item": None, "Metadata": {"WriteTimestampMicros": {"N": "9"}}},
+]
+
+
+def lines(folder, *records, name="part.json"):
+    with open(f"{folder}/{name}", "w", encoding="utf-8") as file:
+        file.writelines((r if isinstance(r, str) else json.dumps(r, separators=(",", ":"))) + "\n" for r in records)
+    return f"{folder}/{name}"
+
+
+def test_variant_read_equals_the_inferred_one(spark, folder):
+    path = lines(folder, *MIXED, "no json", '{"Item": {"a"', "7", '["x"]')
+    inferred, variant = spark.read.json(path).select("Item", "Keys", "Metadata"), read_tagged_variant(spark, path, "Item")
+    types = {f.name: f.dataType for f in inferred.schema.fields}
+    assert {f.name: f.dataType.simpleString() for f in variant.schema.fields} == {n: t.simpleString() for n, t in types.items()}
+    blanks = lambda rows: Counter(str(r.asDict(True)).replace('": ', '":') for r in rows)
+    assert blanks(variant.select("Item", "Keys", "Metadata").collect()) == blanks(inferred.collect())
+
+
+def test_variant_read_scans_json_once(spark, folder):
+    path = lines(folder, *MIXED)
+    records = read_tagged_variant(spark, path, "Item")
+    os.remove(path)
+    assert records.where("Item IS NOT NULL").count() == 4
+    plan = flatten_tagged(records.select("Item"), "Item", on_collision="coalesce")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "FileScan json" not in plan and "Keys" not in plan.split("ReadSchema")[1]
+    assert os.path.isdir(records.staged_path.removeprefix("file:"))
+
+
+def test_variant_read_of_little(spark, folder):
+    os.makedirs(folder + "/a")
+    records = read_tagged_variant(spark, lines(folder, name="a/empty.json").rsplit("/", 1)[0], "Item")
+    assert records.collect() == [] and "Item" not in records.columns
+    deletes = read_tagged_variant(spark, lines(folder, {"Keys": {"k": {"S": "x"}}}, {"Keys": {"k": {"N": "1"}}}), "NewImage")
+    assert deletes.columns == ["Keys"] and deletes.select("Keys.k.*").columns == ["N", "S"]
+
+
+@pytest.mark.parametrize(
+    "spelled, kind",
+    [
+        (None, None), ("VOID", None), ("OBJECT<>", None), ("STRING", "string"), ("OBJECT<a: VARIANT, b: VOID>", "struct<a:string,b:string>"),
+        ("OBJECT<a: OBJECT<>, b: BIGINT>", "struct<b:bigint>"), ("OBJECT<a: ARRAY<OBJECT<>>>", None), ("OBJECT<a: ARRAY<VOID>>", "struct<a:array<string>>"),
+        ("OBJECT<a: DECIMAL(3,1), b: DECIMAL(20,0)>", "struct<a:double,b:decimal(20,0)>"),
+    ],
+)
+def test_types_of_variants(spark, spelled, kind):
+    found = inferred_type(spelled)
+    assert (found.simpleString() if found is not None else None) == kind
