@@ -125,6 +125,11 @@ ORACLES: dict[str, str] = {
                CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS amount, ts,
                strftime(ts, '%Y-%m-%d') AS on_day, value > 10 AS large
         FROM events""",
+    "align_rejects": """
+        SELECT event_id, name, raw, wanted FROM events, (VALUES
+          ('user_id', 'n/a', 'int', 'error'), ('small', '999999999999', 'int', 'view'), ('detail.inner.user_id', 'n/a', 'bigint', 'error'),
+          ('numbers[1]', 'n/a', 'bigint', 'error'), ('items[1].qty', 'n/a', 'bigint', 'error'), ('props', '{broken', 'struct<k:bigint>', 'error')
+        ) AS bad(name, raw, wanted, kind) WHERE event_type = kind""",
     "align_missing": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(NULL AS VARCHAR) AS o_comment,
                CAST(NULL AS INTEGER) AS o_clerk, CAST(NULL AS DOUBLE) AS o_rate, CAST(NULL AS VARCHAR) AS o_closed

@@ -23,6 +23,7 @@ from tagloom.operators import (
     row_count,
     select_columns,
     sorted_projection,
+    split_rejects,
     sql_columns,
     surrogate_id,
     utc_to_local,
@@ -402,6 +403,37 @@ def align_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(events, schema).withColumns({"ts": plain("ts"), **texts})
 
 
+def align_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that do not fit: plain ones, in a struct, in lists of scalars and of maps, in JSON text."""
+    error, user = F.col("event_type") == "error", F.col("user_id").cast("string")
+    bad = F.when(error, F.lit("n/a")).otherwise(user)
+    events = tag.table(spark, sf_dir, "events").select(
+        F.col("event_id"),
+        bad.alias("user_id"),
+        F.when(F.col("event_type") == "view", "9" * 12).otherwise(user).alias("small"),
+        F.struct(F.struct(bad.alias("Userid")).alias("inner"), F.col("event_type").alias("code")).alias("detail"),
+        F.array(user, bad, F.lit(None)).alias("numbers"),
+        F.struct(F.array(F.struct(F.struct(tag.number(user).alias("qty"), tag.text("event_type").alias("kind")).alias("M")), F.struct(F.struct(tag.number(bad).alias("qty"), tag.text("event_type").alias("kind")).alias("M"))).alias("L")).alias("items"),
+        F.when(error, "{broken").otherwise(F.to_json(F.struct(user.alias("k")))).alias("props"),
+        wall_text("ts").alias("ts"),
+    )
+    inner = {"Name": "inner", "Type": "row", "Columns": [{"Name": "user_id", "Type": "bigint"}]}
+    schema = schema_from_spec(
+        [
+            {"Name": "event_id", "Type": "bigint"},
+            {"Name": "user_id", "Type": "integer"},
+            {"Name": "small", "Type": "integer"},
+            {"Name": "detail", "Type": "row", "Columns": [inner, {"Name": "code", "Type": "varchar"}]},
+            {"Name": "items", "Type": "array", "Columns": [{"Name": "qty", "Type": "bigint"}, {"Name": "kind", "Type": "varchar"}]},
+            {"Name": "props", "Type": "row", "Columns": [{"Name": "k", "Type": "bigint"}]},
+            {"Name": "ts", "Type": "timestamp"},
+        ]
+    )
+    numbers = T.StructField("numbers", T.ArrayType(T.LongType()))
+    aligned = align(events, T.StructType([*schema.fields, numbers]), rejects="rejects")
+    return split_rejects(aligned, "rejects", ["event_id"])[1]
+
+
 def align_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = schema_from_spec(
         [
@@ -941,6 +973,7 @@ QUERIES: dict[str, Query] = {
     "latest_per_key_composite": latest_per_key_composite,
     "row_count": row_count_query,
     "align_cast": align_cast,
+    "align_rejects": align_rejects,
     "align_missing": align_missing,
     "align_struct": align_struct,
     "align_array_cast": align_array_cast,

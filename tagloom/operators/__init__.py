@@ -3,6 +3,7 @@
 from tagloom.operators.align import align, cast_to
 from tagloom.operators.flatten import flatten_tagged
 from tagloom.operators.metadata import add_metadata, utc_to_local
+from tagloom.operators.rejects import split_rejects
 from tagloom.operators.shape import (
     is_empty,
     keep_keyed,
@@ -29,6 +30,7 @@ __all__ = [
     "row_count",
     "select_columns",
     "sorted_projection",
+    "split_rejects",
     "sql_columns",
     "surrogate_id",
     "utc_to_local",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +11,14 @@ from pyspark.sql import types as T
 
 from tagloom.functions.names import MAP_TAG, NULL_TAG, match_key, quoted
 from tagloom.functions.times import epoch_seconds
+from tagloom.operators.rejects import REJECT_LIST, all_of, rejected_elements, rejected_value
 from tagloom.operators.untag import is_tagged, map_element, same_type, scalar_fields, untagged
 from tagloom.schema import source_path
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
-def align(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+def align(df: DataFrame, schema: T.StructType, strict: bool = False, rejects: str | None = None) -> DataFrame:
     """``df`` with exactly the columns of ``schema``, in its order.
 
     Columns that are missing become typed NULLs, others are dropped. Values that do
@@ -24,9 +26,20 @@ def align(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFram
     of structs are rebuilt field by field; inside them names match regardless of case
     and underscores, tagged values lose their tags, JSON texts are parsed, and digits
     for a timestamp are epoch seconds.
+
+    ``rejects`` names one more column, for the values that became NULL because they do not
+    fit: a list of (name, raw, wanted), empty where all fit. Names are paths, as ``items[2].price``;
+    ``raw`` is the value as text. The other columns are the same with it and without.
     """
     have = {field.name: field.dataType for field in df.schema.fields}
-    return df.select(*[_column(f.name, have.get(f.name), f.dataType, strict) for f in schema.fields])
+    columns = [_column(f.name, have.get(f.name), f.dataType, strict) for f in schema.fields]
+    if rejects is None:
+        return df.select(*columns)
+    if rejects in schema.names:
+        raise ValueError(f"the schema has a column {rejects!r} already")
+    lists = [rejected(F.lit(f.name), F.col(quoted(f.name)), have[f.name], f.dataType) for f in schema.fields if f.name in have]
+    found = [each for each in lists if each is not None] or [F.array().cast(REJECT_LIST)]
+    return df.select(*columns, F.concat(*found).alias(rejects))
 
 
 def _column(name: str, have: T.DataType | None, want: T.DataType, strict: bool) -> Column:
@@ -182,3 +195,73 @@ def _text_type(kind: T.DataType) -> T.DataType:
     if isinstance(kind, T.ArrayType):
         return T.ArrayType(_text_type(kind.elementType))
     return T.StringType()
+
+
+# --- values that do not fit ------------------------------------------------------------------
+
+
+def rejected(name: Column, value: Column, have: T.DataType, want: T.DataType, nested: bool = False) -> Column | None:
+    """The list of what :func:`align` makes NULL because it does not fit; None if everything fits.
+
+    ``name`` is the path of ``value``. The cases are those of aligning a value.
+    """
+    if same_type(have, want):
+        return None
+    if is_tagged(have):
+        typed = [f for f in have.fields if f.name != NULL_TAG]
+        if isinstance(want, T.StructType) and [f.name for f in typed] == [MAP_TAG]:
+            return rejected(name, value.getField(MAP_TAG), typed[0].dataType, want, True)
+        kind, rewrite = untagged(have)
+        return rejected(name, rewrite(value), kind, want, True)
+    if isinstance(have, T.StringType) and isinstance(want, (T.StructType, T.ArrayType)):
+        text = _text_type(want)
+        inside = rejected(name, F.from_json(value, text), text, want, True)
+        whole = rejected_value(name, value, F.try_parse_json(value), want)
+        return whole if inside is None else F.concat(whole, inside)
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        return _rejected_fields(name, value, have, want)
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return _rejected_elements(name, value, have, want)
+    if isinstance(want, T.StringType):
+        return None
+    return rejected_value(name, value, _aligned(value, have, want, False, nested), want)
+
+
+def _rejected_fields(name: Column, value: Column, have: T.StructType, want: T.StructType) -> Column | None:
+    found = _matches(have.names, want)
+    return all_of(
+        rejected(F.concat(name, F.lit(f".{f.name}")), value.getField(found[f.name]), have[found[f.name]].dataType, f.dataType, True)
+        for f in want.fields
+        if f.name in found
+    )
+
+
+def _rejected_elements(name: Column, value: Column, have: T.ArrayType, want: T.ArrayType) -> Column | None:
+    if isinstance(want.elementType, T.StructType) and not isinstance(have.elementType, T.StringType):
+        inside, body = map_element(have.elementType)
+        if body is not None:
+            wanted, fits = want.elementType, _all_fit(value, have, want.elementType)
+            return rejected_elements(name, value, lambda at, x: _rejected_fields(at, inside(x), body, wanted), fits)
+    fits = None
+    if not isinstance(have.elementType, _NESTED) and not isinstance(want.elementType, (*_NESTED, T.TimestampType)):
+        fits = _as_many(value, _cast_array(value, have.elementType, want.elementType, False))
+    return rejected_elements(name, value, lambda at, x: rejected(at, x, have.elementType, want.elementType, True), fits)
+
+
+def _as_many(raw: Column, cast: Column) -> Column:
+    return F.size(F.array_compact(raw)) == F.size(F.array_compact(cast))
+
+
+def _all_fit(value: Column, have: T.ArrayType, want: T.StructType) -> Column | None:
+    """Whether all fields of all elements fit, by whole arrays; None where that cannot be told."""
+    fields = scalar_fields(have)
+    found = _matches(list(fields or ()), want)
+    if not found or any(isinstance(f.dataType, (*_NESTED, T.TimestampType)) for f in want.fields if f.name in found):
+        return None
+    checks = []
+    for target in want.fields:
+        if target.name in found:
+            kind, take = fields[found[target.name]]
+            if not same_type(kind, target.dataType):
+                checks.append(_as_many(take(value), _cast_array(take(value), kind, target.dataType, False)))
+    return reduce(Column.__and__, checks, F.lit(True))

@@ -21,6 +21,7 @@ from tagloom.operators import (
     rename_columns,
     select_columns,
     sorted_projection,
+    split_rejects,
     sql_columns,
     surrogate_id,
 )
@@ -33,7 +34,7 @@ from tagloom.sinks import apply_changes, read_upserted, write_files, write_table
 from tagloom.sinks.merge import Merged, is_upserted
 from tagloom.sources import Hook, load_source
 
-_IMAGE = "__tagloom_image"
+_IMAGE, _REJECTS = "__tagloom_image", "__tagloom_rejects"
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,8 @@ class JobResult:
     ``rows`` in the table it wrote, whether it ``upserted`` them, how many keys (per partition)
     it ``merged`` and how many stored rows its deletes removed (``deleted``). Counted while
     the export was read: its ``records``, those with an image (``images``) and with all keys
-    (``keyed``), and the records of deletes (``deletes``, where they are applied).
+    (``keyed``), and the records of deletes (``deletes``, where they are applied). ``rejected`` are the
+    values that did not fit their type, where the job was given a folder for them.
     """
 
     rows: int
@@ -54,6 +56,7 @@ class JobResult:
     images: int = 0
     keyed: int = 0
     deletes: int = 0
+    rejected: int = 0
 
 
 def transform(df: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame:
@@ -83,7 +86,7 @@ def _flattened(df: DataFrame, spec: ExportSpec, context: RunContext) -> DataFram
     return _needed(flat, work)
 
 
-def _finished(flat: DataFrame, spec: ExportSpec, context: RunContext) -> DataFrame:
+def _finished(flat: DataFrame, spec: ExportSpec, context: RunContext, rejects: bool = False) -> DataFrame:
     work = spec.processing
     images = keep_keyed(flat.drop(_IMAGE), work.key_columns)
     if work.applies_deletes and context.incremental:
@@ -96,10 +99,11 @@ def _finished(flat: DataFrame, spec: ExportSpec, context: RunContext) -> DataFra
         tiebreak=work.tiebreak_columns,
         key_types={key: kind for key, kind in work.key_types.items() if key in images.columns},
     )
-    aligned = align(latest, work.row_schema) if work.row_schema is not None else latest
+    aligned = align(latest, work.row_schema, rejects=_REJECTS if rejects else None) if work.row_schema is not None else latest
     selected = work.select_columns
-    if selected and work.applies_deletes and CHANGED not in selected:
-        selected = (*selected, CHANGED)
+    if selected:
+        own = [CHANGED] * work.applies_deletes + [_REJECTS] * rejects
+        selected = (*selected, *(name for name in own if name not in selected))
     return (
         aligned.transform(surrogate_id, work.key_columns)
         .transform(sorted_projection)
@@ -190,6 +194,7 @@ def run_job(
     table: str,
     table_path: str | None = None,
     curated_path: str | None = None,
+    rejects_path: str | None = None,
     hook: Hook | None = None,
     files: int | None = None,
 ) -> JobResult | None:
@@ -200,11 +205,15 @@ def run_job(
     declared type, which ends the job with their number: as NULLs they would overwrite each
     other. Then ``table`` is written (replaced, in ``files`` files if given), and from its
     files the declared extra output and the upsert into ``curated_path``, by the key columns.
+    With ``rejects_path`` the values of the table's rows that did not fit their declared type,
+    NULL there, are written to that folder (replaced), a row for each with the row's keys.
     Where the spec says ``deletes: apply``, rows of deleted items leave ``curated_path``.
     """
     work = spec.processing
     if curated_path and not (work.record_keys and work.precombine_key):
         raise ValueError("an upsert needs key_columns and a precombine_key")
+    if rejects_path and work.schema is None:
+        raise ValueError("values are rejected by a declared schema, and the spec has none")
     source = load_source(spark, spec.source, context, spec.read_schema, work.key_columns if work.applies_deletes else ())
     temporary = [source.staged_path] if hasattr(source, "staged_path") else []
     if hook is not None:
@@ -221,13 +230,15 @@ def run_job(
             raise ValueError(f"{misfits} rows have keys that do not fit their declared types {work.key_types}")
         if not counts["images"] and not counts["deletes"]:
             return None
-        return _written(spark, flat, counts, spec, context, table, table_path, curated_path, files)
+        return _written(spark, flat, counts, spec, context, table, table_path, curated_path, rejects_path, files, temporary)
     finally:
         discard(spark, *temporary)
 
 
-def _written(spark, flat: DataFrame, counts: dict[str, int], spec: ExportSpec, context: RunContext, table, table_path, curated_path, files) -> JobResult | None:
-    """All writes of :func:`run_job`, from the flattened records."""
+def _written(
+    spark, flat: DataFrame, counts: dict[str, int], spec: ExportSpec, context: RunContext, table, table_path, curated_path, rejects_path, files, temporary: list[str]
+) -> JobResult | None:
+    """All writes of :func:`run_job`, from the flattened records; adds folders to delete to ``temporary``."""
     work = spec.processing
     changed = work.renamed(CHANGED) if work.applies_deletes else None
     deletes = None
@@ -239,10 +250,16 @@ def _written(spark, flat: DataFrame, counts: dict[str, int], spec: ExportSpec, c
         none = read_upserted(spark, curated_path).limit(0)
         done = apply_changes(none, deletes, curated_path, work.record_keys, work.renamed(work.precombine_key), PARTITION_COLUMNS, changed=changed)
         return JobResult(0, True, 0, done.deleted, **counts)
-    result = with_metadata(_finished(flat.withColumn(_IMAGE, F.lit(True)), spec, context), spec, context)
+    result = with_metadata(_finished(flat.withColumn(_IMAGE, F.lit(True)), spec, context, bool(rejects_path)), spec, context)
     missing = [name for name in work.record_keys if name not in result.columns]
     if curated_path and missing:
         raise ValueError(f"an upsert needs the key columns {missing}, which the spec's selection leaves out")
+    if rejects_path:  # made once, for the table and the rejects
+        result, folder = staged(result, "job-result", with_path=True)
+        temporary.append(folder)
+        result, rejects = split_rejects(result, _REJECTS, [name for name in work.record_keys if name in result.columns])
+        write_files(rejects, rejects_path)
+        counts["rejected"] = spark.read.schema(rejects.schema).parquet(rejects_path).count()
     written = write_table(result, table, table_path, files=files)
     if spec.output.path:
         write_files(

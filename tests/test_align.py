@@ -3,8 +3,9 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tagloom.operators import align, cast_to, flatten_tagged
+from tagloom.operators import align, cast_to, flatten_tagged, split_rejects
 from tagloom.operators.align import _cast_array, cast_sql
 from tagloom.schema import schema_from_spec
 
@@ -199,3 +200,84 @@ def test_both_forms_of_the_cast_agree(spark, frame, want):
     array = _cast_array(F.array("t"), df.schema["t"].dataType, kind, False)[0]
     for one, two, three in df.select(column, sql, array).collect():
         assert one == two == three
+
+
+# --- rejects -------------------------------------------------------------------------------
+
+
+def rejects_of(df, schema):
+    """(name, raw, wanted) of each row; and that the other columns are what they are without."""
+    aligned = align(df, schema, rejects="bad")
+    assert rows(aligned.drop("bad")) == rows(align(df, schema))
+    assert aligned.schema["bad"].dataType.simpleString() == "array<struct<name:string,raw:string,wanted:string>>"
+    return [[tuple(r) for r in row.bad] for row in aligned.select("bad").collect()]
+
+
+def test_rejects_of_scalars(frame):
+    df = frame([("1", "x", "2024-13-01", 300, "y"), ("1.5", "2", None, 3, None), ("", " 7 ", "2024-01-01", None, "z")], "a string, b string, c string, d int, e string")
+    schema = declared(column("a", "integer"), column("b", "double"), column("c", "date"), column("d", "decimal", Precision=4, Scale=2), column("e", "varchar"), column("gone", "bigint"))
+    assert rejects_of(df, schema) == [
+        [("b", "x", "double"), ("c", "2024-13-01", "date"), ("d", "300", "decimal(4,2)")],
+        [],
+        [("a", "", "int")],
+    ]
+
+
+def test_rejects_inside_structs_and_tags(exported):
+    df = exported(
+        {"s": {"M": {"custId": {"S": "7x"}, "at": {"S": "soon"}, "deep": {"M": {"flag": {"S": "maybe"}}}}}, "u": {"S": "no"}},
+        {"s": {"M": {"custId": {"N": "7"}, "at": {"N": "1760544780"}, "deep": {"M": {"flag": {"BOOL": True}}}}}, "u": {"N": "3"}},
+        {"x": {"S": "1"}},
+    )
+    deep = column("deep", "row", Columns=[column("flag", "boolean")])
+    schema = declared(column("s", "row", Columns=[column("cust_id", "bigint"), column("at", "timestamp"), deep]), column("u", "integer"))
+    want = [[("s.cust_id", "7x", "bigint"), ("s.at", "soon", "timestamp"), ("s.deep.flag", "maybe", "boolean"), ("u", "no", "int")], [], []]
+    assert rejects_of(df.select("Item.s", "Item.u"), schema) == want
+
+
+@pytest.mark.parametrize("union", [False, True])
+def test_rejects_inside_lists_of_maps(exported, union):
+    """As whole arrays where each field has one tag, else element by element."""
+    more = {"sku": {"N": "5"}} if union else {}
+    df = exported(
+        {"items": {"L": [{"M": {"unitPrice": {"N": "1.5"}, "QTY": {"N": "2.0"}, "sku": {"S": "a"}}}, {"NULL": True}, {"M": {"unitPrice": {"N": "x"}, "QTY": {"N": "y"}, **more}}]}},
+        {"items": {"L": [{"M": {"QTY": {"N": "7"}}}]}},
+        {"items": {"L": []}},
+        {"x": {"S": "1"}},
+    )
+    want = [[("items[2].unit_price", "x", "double"), ("items[2].qty", "y", "bigint")], [], [], []]
+    assert rejects_of(df.select("Item.items"), ITEMS) == want
+    assert rejects_of(df.select(F.col("Item.items.L").alias("items")), ITEMS) == want
+    assert rejects_of(flatten_tagged(df, "Item").select("items"), ITEMS) == want
+
+
+def test_rejects_inside_arrays_and_json(frame):
+    df = frame(
+        [(["1", "x", None, "2.9"], '{"k":"v","n":[1,"2","q"]}', ['{"k":3}', "{", '{"k":"z"}', None]), ([], "nothing", []), (None, None, None)],
+        "a array<string>, j string, l array<string>",
+    )
+    k = column("k", "bigint")
+    schema = declared(column("j", "row", Columns=[k]), column("l", "array", Columns=[k]))
+    numbers = T.StructType([T.StructField("a", T.ArrayType(T.IntegerType())), *schema.fields])
+    assert rejects_of(df, numbers) == [
+        [("a[1]", "x", "int"), ("j.k", "v", "bigint"), ("l[1]", "{", "struct<k:bigint>"), ("l[2].k", "z", "bigint")],
+        [("j", "nothing", "struct<k:bigint>")],
+        [],
+    ]
+
+
+def test_rejects_are_one_projection(frame):
+    df = frame([("1", "2")], "a string, b string")
+    schema = declared(column("a", "integer"), column("b", "integer"))
+    plan = align(df, schema, rejects="bad")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") <= 1 and plan.count("Relation") <= 1
+    with pytest.raises(ValueError, match="'a'"):
+        align(df, schema, rejects="a")
+    assert align(df, declared(column("z", "integer")), rejects="bad").first() == (None, [])
+
+
+def test_split_rejects(frame):
+    df = align(frame([("1", "x"), ("2", "y"), ("3", "4")], "k string, n string"), declared(column("k", "varchar"), column("n", "integer")), rejects="bad")
+    clean, bad = split_rejects(df, "bad", ["k"])
+    assert clean.columns == ["k", "n"] and clean.count() == 3
+    assert sorted(tuple(r) for r in bad.collect()) == [("1", "n", "x", "int"), ("2", "n", "y", "int")]

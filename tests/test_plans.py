@@ -486,3 +486,17 @@ def test_export_is_parsed_once(spark, folder):
 
     result = run_job(spark, spec, FULL, table="tagloom_test.once", table_path=folder + "/a", curated_path=folder + "/c", hook=hook)
     assert (result.rows, result.records, read.value) == (50, 50, 50)
+
+
+def test_rejected_values_are_split_off(spark, folder):
+    lay_out(folder, full=[record("a", "1", "x", 1), record("a", "2", 2, "y"), record("a", "3", 3, 3)])
+    spec = make(folder, rename_columns=[{"old_name": "account", "new_name": "number"}], select_columns=["branch", "account", "balance", "version", "created_at"])
+    result = run_job(spark, spec, FULL, table="tagloom_test.rejecting", table_path=folder + "/a", curated_path=folder + "/c", rejects_path=folder + "/r")
+    assert (result.rows, result.rejected) == (3, 2)
+    assert sorted(tuple(r) for r in spark.read.parquet(folder + "/r").select("branch", "number", "name", "raw", "wanted").collect()) == [
+        ("a", "1", "balance", "x", "double"), ("a", "2", "version", "y", "bigint"),
+    ]
+    assert not [c for c in spark.table("tagloom_test.rejecting").columns if "tagloom" in c]
+    assert curated(spark, folder, "number", "balance") == [("1", None), ("2", 2.0), ("3", 3.0)]
+    with pytest.raises(ValueError, match="declared schema"):
+        run_job(spark, make(folder, schema_name=None, schema=None), FULL, table="tagloom_test.x", rejects_path=folder + "/r")
