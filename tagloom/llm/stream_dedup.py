@@ -3,36 +3,31 @@
 Two queries follow each other; both go on where they stopped, so a later call with the same
 ``state`` folder reads only the files that are new.
 
-1. *copies*: each Arrow batch of the table is combined by the texts' bytes. Equal texts of a
-   batch are one row: digest, locator (file and row number) of the first, ids of all.
-   This is what keeps a text that fills a third of the table from reaching one task whole.
-2. *links*: keyed by digest, RocksDB keeps for every text ever seen its digest, the
-   identifier that stays so far, and the locator of the first text. A row with a
-   known digest is a hit and is linked to that locator.
-
-A digest is no proof: the texts of a run's hits and of what they were linked to are then read
-back from the table by their locators and compared byte by byte, smallest against largest of a
-digest. Digests with differing texts are grouped anew by the texts themselves.
+1. *rows*: the digest of each text with the row's id and its locator (file and row number).
+2. *groups*: an aggregation by digest without a watermark, kept in RocksDB. For every text ever
+   seen the state retains its digest, the identifier that stays so far, the locator of one of
+   its texts, and how many there are. Rows are combined before they are shuffled, so a text
+   that fills a third of the table reaches its task as one row from each other task.
+
+A digest is no proof. Rows whose digest is known are hits: their texts, and the one at the
+locator in the state, are read back from the table and compared byte by byte, the smallest of a
+digest against the largest. Digests with differing texts are grouped anew by the texts themselves.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tagloom import scratch
-from tagloom.llm.shipping import ship
+from tagloom.llm.common import staged
 
-_KEEP = ("has_id", "id", "keep_file", "keep_row")
+_CHUNK = 4096  # rows of a file that share a join key
+_KEEP = "struct<has_id:boolean,id:{},file:string,row:long>"
 
 
 def exact_duplicates(
@@ -57,57 +52,34 @@ def exact_duplicates(
       greatest id, one of them is kept: the one in the last file and row.
     - Empty table: no rows. Other columns are not read, whatever their names.
     """
-    ship(spark)
     state = (state or scratch.scratch_path(spark, "stream-dedup")).rstrip("/")
     table = spark.read.parquet(path)
     kind = table.schema[id_col].dataType
     if not isinstance(kind, (T.IntegralType, T.StringType)):
         raise TypeError(f"ids are integers or texts, not {kind.simpleString()}")
     session = _streaming_session(spark)
+    body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    at = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     source = _source(session, path, table.schema, files_per_batch)
-    texts = source.select(
-        F.col(f"`{id_col}`").alias("id"), _body(text_col).alias("body"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    ).withColumn("digest", digest(F.col("body")))
-    run = uuid.uuid4().hex
-    copies, links = _copies_schema(kind), _links_schema(kind)
-    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in copies.fields])
-    _run(texts.mapInArrow(_combine(arrow), copies), state, "copies")
-    seen = session.readStream.schema(copies).option("maxFilesPerTrigger", files_per_batch).parquet(f"{state}/copies")
-    rows = _numbered(seen, kind).groupBy("digest").applyInPandasWithState(
-        _link, links, _state_schema(kind), "append", GroupStateTimeout.NoTimeout
-    )
-    _run(rows.withColumn("run", F.lit(run)), state, "links")
-    linked = spark.read.schema(T.StructType([*links.fields, T.StructField("run", T.StringType())])).parquet(f"{state}/links")
-    held = spark.read.schema(copies).parquet(f"{state}/copies")
-    bodies = table.select(F.col("_metadata.file_path").alias("t_file"), F.col("_metadata.row_index").alias("t_row"), _body(text_col).alias("body"))
-    _check(spark, linked, bodies, state)
+    _run(source.select(digest(body).alias("digest"), F.col(f"`{id_col}`").alias("id"), *at, F.lit(uuid.uuid4().hex).alias("run")), state, "rows", "append")
+    written = T.StructType.fromDDL(f"digest string, id {kind.simpleString()}, file string, row long, run string")
+    seen = session.readStream.schema(written).option("maxFilesPerTrigger", files_per_batch).parquet(f"{state}/rows")
+    _run(_grouped(seen), state, "groups", "update")
+
+    rows = spark.read.schema(written).parquet(f"{state}/rows")
+    attached = staged(_attached(rows, _kept(session, spark, state, kind)), "dedup-attached")
+    bodies = table.select(at[0].alias("t_file"), at[1].alias("t_row"), body.alias("body"))
+    _check(spark, attached, bodies, state)
     refuted = spark.read.schema("digest string, run string").parquet(f"{state}/checked").select("digest").distinct()
-    groups = _groups(held, linked, bodies, refuted, kind)
-    each = held.select("digest", "file", "row", F.explode("members").alias("m"))
-    joined = each.join(groups, ["file", "row"])
-    own = (F.col("file") == F.col("keep_file")) & (F.col("m.row") == F.col("keep_row"))
-    return joined.select(
-        F.col("m.id").alias(id_col), F.when(F.col("has_id"), F.col("id")).alias("keep_id"), F.col("copies").alias("group_size"),
+    if not refuted.isEmpty():
+        attached = _regrouped(attached, refuted, bodies)
+    own = (F.col("file") == F.col("keep.file")) & (F.col("row") == F.col("keep.row"))
+    return attached.select(
+        F.col("id").alias(id_col), F.when(F.col("keep.has_id"), F.col("keep.id")).alias("keep_id"), F.col("copies").alias("group_size"),
         own.alias("kept"), "digest",
     )
 
 
-def _body(text_col: str) -> Column:
-    return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-
-
-def _copies_schema(kind: T.DataType) -> T.StructType:
-    return T.StructType.fromDDL(f"digest string, file string, row long, members array<struct<id:{kind.simpleString()},row:long>>")
-
-
-def _state_schema(kind: T.DataType) -> T.StructType:
-    return T.StructType.fromDDL(f"has_id boolean, id {kind.simpleString()}, keep_file string, keep_row long, copies long, base_file string, base_row long")
-
-
-def _links_schema(kind: T.DataType) -> T.StructType:
-    return T.StructType([*T.StructType.fromDDL("digest string, file string, row long").fields, *_state_schema(kind).fields])
-
-
 def _streaming_session(spark: SparkSession) -> SparkSession:
     """The caller's settings and a state store on disk, in a session of their own."""
     session = spark.newSession()
@@ -132,107 +104,73 @@ def _source(session: SparkSession, path: str, schema: T.StructType, files: int)
     return reader.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
 
 
-def _run(stream: DataFrame, state: str, name: str) -> None:
-    """Run a streaming query over what there is now, into ``state/name``."""
-    writer = stream.writeStream.format("parquet").option("path", f"{state}/{name}").option("checkpointLocation", f"{state}/{name}-progress")
-    query = writer.outputMode("append").trigger(availableNow=True).start()
+def _run(stream: DataFrame, state: str, name: str, mode: str) -> None:
+    """Run a streaming query over what there is now; appended rows go to ``state/name``."""
+    writer = stream.writeStream.option("checkpointLocation", f"{state}/{name}-progress").outputMode(mode)
+    writer = writer.format("parquet").option("path", f"{state}/{name}") if mode == "append" else writer.format("noop")
+    query = writer.trigger(availableNow=True).start()
     try:
         query.awaitTermination()
     finally:
         query.stop()
 
 
-# --- copies ---------------------------------------------------------------------------------
+def _best() -> Column:
+    """A row as a value whose greatest is the one that stays: null ids are lowest."""
+    return F.struct(F.col("id").isNotNull().alias("has_id"), "id", "file", "row")
 
 
-def _combine(schema: pa.Schema):
-    """One row per text and file of a batch; dictionary encoding compares the bytes."""
+def _grouped(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("digest").agg(F.max(_best()).alias("keep"), F.min(F.struct("file", "row")).alias("base"), F.count("*").alias("copies"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            body = batch.column("body").dictionary_encode()
-            file = batch.column("file").dictionary_encode()
-            code = file.indices.to_numpy().astype(np.int64) * len(body.dictionary) + body.indices.to_numpy()
-            order = np.argsort(code, kind="stable")
-            first = np.flatnonzero(np.diff(code[order], prepend=-1))
-            rows, heads = pa.array(order), pa.array(order[first])
-            member = pa.StructArray.from_arrays([batch.column("id").take(rows), batch.column("row").take(rows)], ["id", "row"])
-            offsets = pa.array(np.append(first, len(order)).astype(np.int32))
-            columns = [batch.column(name).take(heads) for name in ("digest", "file", "row")]
-            arrays = [*columns, pa.ListArray.from_arrays(offsets, member)]
-            yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, schema)], schema=schema)
 
-    return run
+def _kept(session: SparkSession, spark: SparkSession, state: str, kind: T.DataType) -> DataFrame:
+    """What the state retains: (digest, keep, base, copies)."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/groups-progress/state")
+    if not files.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(files):
+        return spark.createDataFrame([], f"digest string, keep {_KEEP.format(kind.simpleString())}, base struct<file:string,row:long>, copies long")
+    held = spark.read.format("statestore").load(f"{state}/groups-progress")
+    return held.select("key.digest", F.col("value.max").alias("keep"), F.col("value.min").alias("base"), F.col("value.count").alias("copies"))
 
 
-def _numbered(copies: DataFrame, kind: T.DataType) -> DataFrame:
-    """Narrow rows of the copies: the member that would stay, and how many there are.
+def _attached(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Each row with its group.
 
-    Ids come as values that are never null, which pandas would turn into floats.
+    Joined by way of the chunks of files that a digest occurs in: a text that fills a third of
+    the table has few of them, and no chunk holds more than its rows.
     """
-    none = "''" if isinstance(kind, T.StringType) else f"CAST(0 AS {kind.simpleString()})"
-    best = F.expr(f"array_max(transform(members, m -> named_struct('has_id', m.id IS NOT NULL, 'id', coalesce(m.id, {none}), 'keep_file', file, 'keep_row', m.row)))")
-    rows = copies.select("digest", "file", "row", best.alias("best"), F.size("members").cast("long").alias("n"))
-    return rows.select("digest", "file", "row", "best.*", "n")
-
-
-# --- links ----------------------------------------------------------------------------------
-
+    chunked = rows.withColumn("chunk", F.floor(F.col("row") / _CHUNK))
+    chunks = chunked.select(F.col("digest").alias("c_digest"), F.col("file").alias("c_file"), F.col("chunk").alias("c_chunk")).distinct()
+    known = chunks.join(groups, F.col("c_digest") == F.col("digest")).select("c_digest", "c_file", "c_chunk", "keep", "base", "copies")
+    same = (F.col("digest") == F.col("c_digest")) & (F.col("file") == F.col("c_file")) & (F.col("chunk") == F.col("c_chunk"))
+    return chunked.join(known, same).select(*rows.columns, "keep", "base", "copies")
 
-def _link(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Rows of one digest: what is kept of it, and the locator they are linked to."""
-    held = state.get if state.exists else None
-    for frame in frames:
-        files, rows = frame["file"].tolist(), frame["row"].tolist()
-        best = max(zip(*(frame[c].tolist() for c in _KEEP)))
-        n = int(frame["n"].sum())
-        if held is None:
-            held = (*best, n, files[0], rows[0])
-        else:
-            held = (*max(best, tuple(held[:4])), held[4] + n, *held[5:])
-        state.update(held)
-        out = {"digest": [key[0]] * len(rows), "file": files, "row": rows}
-        out |= {name: [value] * len(rows) for name, value in zip((*_KEEP, "copies", "base_file", "base_row"), held)}
-        yield pd.DataFrame(out)
 
-
-def _check(spark: SparkSession, links: DataFrame, bodies: DataFrame, state: str) -> None:
+def _check(spark: SparkSession, attached: DataFrame, bodies: DataFrame, state: str) -> None:
     """Compare the texts of hits that no earlier run has compared; digests that differ are written down."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(state)
-    files = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    runs = [row.run for row in links.select("run").distinct().collect()]  # one per call that saw new files
-    if not runs and not files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{state}/checked")):
+    root = spark._jvm.org.apache.hadoop.fs.Path(state)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    exists = lambda name: files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{state}/{name}"))
+    runs = [row.run for row in attached.select("run").distinct().collect()]  # one per call that saw new files
+    if not runs and not exists("checked"):
         spark.createDataFrame([], "digest string, run string").write.partitionBy("run").parquet(f"{state}/checked")
     for run in runs:
-        target = f"{state}/checked/run={run}"
-        if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")):
+        if exists(f"checked/run={run}/_SUCCESS"):
             continue
-        hits = links.where((F.col("run") == run) & ~((F.col("file") == F.col("base_file")) & (F.col("row") == F.col("base_row"))))
-        wanted = hits.select("digest", "file", "row").union(hits.select("digest", "base_file", "base_row")).distinct()
+        hits = attached.where((F.col("run") == run) & (F.col("copies") > 1))
+        wanted = hits.select("digest", "file", "row").union(hits.select("digest", "base.file", "base.row")).distinct()
         lost = F.raise_error(F.concat(F.lit("no text any more at "), "file", F.lit(" row "), F.col("row").cast("string")))
         texts = wanted.join(bodies, (F.col("file") == F.col("t_file")) & (F.col("row") == F.col("t_row")), "left").select(
             "digest", F.coalesce("body", lost.cast("string")).alias("body")
         )
         ends = texts.groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high"))
-        ends.where("low != high").select("digest").write.mode("overwrite").parquet(target)
-
+        ends.where("low != high").select("digest").write.mode("overwrite").parquet(f"{state}/checked/run={run}")
 
-def _groups(copies: DataFrame, links: DataFrame, bodies: DataFrame, refuted: DataFrame, kind: T.DataType) -> DataFrame:
-    """(file, row, has_id, id, keep_file, keep_row, copies) of each row of ``copies``.
 
-    Members are left out, so the rows of a frequent text are few and narrow.
-    """
-    rows = _numbered(copies, kind)
-    keep = F.struct(*_KEEP).alias("keep")
-    whole = links.groupBy("digest").agg(F.max(keep).alias("keep"), F.max("copies").alias("copies"))
-    plain = rows.select("digest", "file", "row").join(whole, "digest").select("digest", "file", "row", "keep.*", "copies")
-    if refuted.isEmpty():
-        return plain.drop("digest")
-    doubtful = rows.join(refuted, "digest", "left_semi")
-    texts = doubtful.join(bodies, (F.col("file") == F.col("t_file")) & (F.col("row") == F.col("t_row")))
-    texts = texts.select("digest", "body", "file", "row", keep, "n")
-    exact = texts.groupBy("digest", "body").agg(F.max("keep").alias("keep"), F.sum("n").alias("copies"))
-    anew = texts.select("digest", "body", "file", "row").join(exact, ["digest", "body"]).select("file", "row", "keep.*", "copies")
-    return plain.join(refuted, "digest", "left_anti").drop("digest").union(anew)
+def _regrouped(attached: DataFrame, refuted: DataFrame, bodies: DataFrame) -> DataFrame:
+    """``attached`` with the rows of refuted digests in groups of equal texts."""
+    doubtful = attached.join(refuted, "digest", "left_semi").drop("keep", "base", "copies")
+    texts = doubtful.join(bodies, (F.col("file") == F.col("t_file")) & (F.col("row") == F.col("t_row"))).drop("t_file", "t_row")
+    exact = texts.groupBy("digest", "body").agg(F.max(_best()).alias("keep"), F.min(F.struct("file", "row")).alias("base"), F.count("*").alias("copies"))
+    anew = texts.join(exact, ["digest", "body"]).select(*attached.columns)
+    return attached.join(refuted, "digest", "left_anti").select(*attached.columns).union(anew)

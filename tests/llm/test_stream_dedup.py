@@ -52,10 +52,11 @@ def test_known_files_are_not_read_again(spark, folder):
         exact_duplicates(spark, path, state=state).collect()
     spark.createDataFrame([(2, "a", "", 0)], DDL).coalesce(1).write.mode("append").parquet(path)
     exact_duplicates(spark, path, state=state).collect()
-    linked = spark.read.parquet(f"{state}/links")
-    assert linked.count() == 2 and linked.select("run").distinct().count() == 2
-    first, second = sorted(linked.collect(), key=lambda r: r.copies)
-    assert (second.base_file, second.base_row) == (first.file, first.row) and (second.id, second.copies) == (2, 2)
+    rows = {r.id: r for r in spark.read.parquet(f"{state}/rows").collect()}
+    assert sorted(rows) == [1, 2] and rows[1].run != rows[2].run
+    (held,) = spark.read.format("statestore").load(f"{state}/groups-progress").select("key.digest", "value.*").collect()
+    assert (held["digest"], held["max"].id, held["count"]) == (rows[1].digest, 2, 2)
+    assert tuple(held["min"]) == min((r.file, r.row) for r in rows.values())
 
 
 def test_hits_are_checked_by_their_bytes(spark, folder):
