@@ -91,6 +91,8 @@ def _streaming_session(spark: SparkSession) -> SparkSession:
     session.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
     session.conf.set(f"{store}.rocksdb.boundedMemoryUsage", "true")
     session.conf.set(f"{store}.rocksdb.maxMemoryUsageMB", "256")
+    # Disk is not set aside in advance: four megabytes for each of thousands of partitions.
+    session.conf.set(f"{store}.rocksdb.allowFAllocate", "false")
     return session
 
 
