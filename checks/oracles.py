@@ -100,6 +100,10 @@ ORACLES: dict[str, str] = {
         SELECT CAST(l_orderkey AS VARCHAR) AS order_key, CAST(l_partkey AS VARCHAR) AS part_key,
                kind AS "measureKind", CAST(amount AS VARCHAR) AS amount
         FROM ({_MEASURES})""",
+    "flatten_nested_lists": """
+        SELECT o_orderkey, slot::INT AS slot, 'k' || slot AS kind, CASE WHEN o_orderstatus = 'O' THEN '' ELSE 'c' END || (o_orderkey + slot) AS code,
+               o_orderdate::TIMESTAMP + to_seconds(slot) AS seen_at, part::INT AS part, o_custkey * 2 + part AS amount, o_orderpriority AS note
+        FROM orders, (VALUES (0), (1)) AS a(slot), (VALUES (0), (1)) AS b(part)""",
     "flatten_union_tags": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
                o_orderpriority AS o_custkey_note

@@ -259,6 +259,30 @@ def flatten_list_of_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("order_key", "part_key", F.inline_outer("measures"))
 
 
+def flatten_nested_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of maps that hold lists of maps, attributes under two tags, and epoch times; flattened, aligned, unnested."""
+    orders = tag.table(spark, sf_dir, "orders")
+    key, is_open = F.col("o_orderkey"), F.col("o_orderstatus") == "O"
+
+    def element(i: int) -> Column:
+        text = (key + i).cast("string")
+        return tag.mapped(
+            kind=tag.text(F.lit(f"k{i}")),
+            code=F.struct(F.when(is_open, text).alias("N"), F.when(~is_open, F.concat(F.lit("c"), text)).alias("S")),
+            seenAt=tag.number(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + i),
+            parts=tag.listed(*[tag.mapped(Amount=tag.number(F.col("o_custkey") * 2 + j), note=tag.text("o_orderpriority")) for j in range(2)]),
+        )
+
+    item = _tagged(orders, o_orderkey=tag.number(key), lines=tag.listed(element(0), element(1)))
+    parts = {"Name": "parts", "Type": "array", "Columns": [{"Name": "amount", "Type": "bigint"}, {"Name": "note", "Type": "varchar"}]}
+    line = [{"Name": "kind", "Type": "varchar"}, {"Name": "code", "Type": "varchar"}, {"Name": "seen_at", "Type": "timestamp"}, parts]
+    schema = schema_from_spec([{"Name": "o_orderkey", "Type": "bigint"}, {"Name": "lines", "Type": "array", "Columns": line}])
+    aligned = align(flatten_tagged(item, "Item"), schema)
+    outer = aligned.select("o_orderkey", F.posexplode("lines").alias("slot", "line"))
+    inner = outer.select("o_orderkey", "slot", "line.*").select("o_orderkey", "slot", "kind", "code", plain("seen_at").alias("seen_at"), F.posexplode("parts").alias("part", "p"))
+    return inner.select("o_orderkey", "slot", "kind", "code", "seen_at", "part", "p.amount", "p.note")
+
+
 def flatten_union_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tag.table(spark, sf_dir, "orders")
     is_open = F.col("o_orderstatus") == "O"
@@ -965,6 +989,7 @@ QUERIES: dict[str, Query] = {
     "flatten_names": flatten_names,
     "flatten_scalar_set": flatten_scalar_set,
     "flatten_list_of_maps": flatten_list_of_maps,
+    "flatten_nested_lists": flatten_nested_lists,
     "flatten_union_tags": flatten_union_tags,
     "flatten_collision_coalesce": flatten_collision_coalesce,
     "flatten_null_tag": flatten_null_tag,

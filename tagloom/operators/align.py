@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tagloom.functions.names import MAP_TAG, NULL_TAG, match_key, quoted
 from tagloom.functions.times import epoch_seconds
 from tagloom.operators.rejects import REJECT_LIST, all_of, rejected_elements, rejected_value
-from tagloom.operators.untag import is_tagged, map_element, same_type, scalar_fields, untagged
+from tagloom.operators.untag import ElementField, element_fields, is_tagged, map_element, same_type, untagged
 from tagloom.schema import source_path
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
@@ -147,9 +147,9 @@ def _elements(value: Column, have: T.ArrayType, want: T.DataType, strict: bool)
 
 
 def _zipped(value: Column, have: T.ArrayType, want: T.StructType, strict: bool) -> Column | None:
-    """A list of maps rebuilt from arrays of its fields, where each field can be cast as
-    a whole array (see :func:`scalar_fields` for why); None where it cannot."""
-    fields = scalar_fields(have)
+    """A list of maps rebuilt from arrays of its fields (see :func:`element_fields` for why),
+    those that can be cast as whole arrays without a lambda; None if it is no list of maps."""
+    fields = element_fields(have)
     found = _matches(list(fields or ()), want)
     if not found:
         return None
@@ -159,13 +159,21 @@ def _zipped(value: Column, have: T.ArrayType, want: T.StructType, strict: bool)
             # zipping fills up the shorter array with NULLs
             arrays.append(F.array().cast(T.ArrayType(target.dataType)).alias(target.name))
             continue
-        kind, take = fields[found[target.name]]
-        if isinstance(target.dataType, (*_NESTED, T.TimestampType)):
-            return None
-        arrays.append(_cast_array(take(value), kind, target.dataType, strict).alias(target.name))
+        field = fields[found[target.name]]
+        arrays.append(_whole(field, field.take(value), target.dataType, strict).alias(target.name))
     return F.arrays_zip(*arrays)
 
 
+def _whole(field: ElementField, array: Column, want: T.DataType, strict: bool) -> Column:
+    """The array of a field's values, aligned."""
+    if field.scalar and not isinstance(want, (*_NESTED, T.TimestampType)):
+        return _cast_array(array, field.kind, want, strict)
+    if isinstance(field.kind, T.StructType) and not is_tagged(field.kind) and not isinstance(want, T.StructType):
+        kind, rewrite = untagged(field.kind)
+        return F.transform(array, lambda x: _aligned(rewrite(x), kind, want, strict, True))
+    return F.transform(array, lambda x: _aligned(x, field.kind, want, strict, True))
+
+
 def _cast_array(value: Column, have: T.DataType, want: T.DataType, strict: bool) -> Column:
     """:func:`cast_to` for all elements at once."""
     if same_type(have, want):
@@ -254,14 +262,14 @@ def _as_many(raw: Column, cast: Column) -> Column:
 
 def _all_fit(value: Column, have: T.ArrayType, want: T.StructType) -> Column | None:
     """Whether all fields of all elements fit, by whole arrays; None where that cannot be told."""
-    fields = scalar_fields(have)
+    fields = element_fields(have)
     found = _matches(list(fields or ()), want)
-    if not found or any(isinstance(f.dataType, (*_NESTED, T.TimestampType)) for f in want.fields if f.name in found):
+    pairs = [(fields[found[f.name]], f.dataType) for f in want.fields if f.name in found]
+    if not pairs or any(not field.scalar or isinstance(kind, (*_NESTED, T.TimestampType)) for field, kind in pairs):
         return None
-    checks = []
-    for target in want.fields:
-        if target.name in found:
-            kind, take = fields[found[target.name]]
-            if not same_type(kind, target.dataType):
-                checks.append(_as_many(take(value), _cast_array(take(value), kind, target.dataType, False)))
+    checks = [
+        _as_many(field.take(value), _cast_array(field.take(value), field.kind, kind, False))
+        for field, kind in pairs
+        if not same_type(field.kind, kind)
+    ]
     return reduce(Column.__and__, checks, F.lit(True))

@@ -8,6 +8,7 @@ the result is one JVM expression per column.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column
@@ -50,11 +51,11 @@ def array_of_untagged(kind: T.ArrayType) -> Rewrite:
     """
     if not isinstance(kind.elementType, (T.StructType, T.ArrayType)):
         return kind, lambda value: value
-    fields = scalar_fields(kind)
+    fields = element_fields(kind)
     if fields is not None:
         return _zipped(fields)
-    inside, body = map_element(kind.elementType)
-    element, rewrite = _struct(body, False) if body is not None else untagged(kind.elementType)
+    inside, _ = map_element(kind.elementType)
+    element, rewrite = untagged(kind.elementType)
     return T.ArrayType(element), lambda value: F.transform(value, lambda x: rewrite(inside(x)))
 
 
@@ -69,38 +70,59 @@ def map_element(kind: T.DataType) -> tuple[Callable[[Column], Column], T.StructT
     return lambda x: x, None
 
 
-def scalar_fields(kind: T.ArrayType) -> dict[str, tuple[T.DataType, Callable[[Column], Column]]] | None:
-    """The fields of a list of maps if all of them are scalars under one tag, None
-    otherwise: per name the scalar's type, and how to get the array of them.
+@dataclass(frozen=True)
+class ElementField:
+    """A field of the maps in a list: its type, without the tag if it has only one, how to get
+    the array of its values, and a value's type and expression without tags."""
+
+    kind: T.DataType
+    take: Callable[[Column], Column]
+    rewrite: Rewrite
+
+    @property
+    def scalar(self) -> bool:
+        return not isinstance(self.kind, (T.StructType, T.ArrayType, T.MapType))
+
+
+def element_fields(kind: T.ArrayType) -> dict[str, ElementField] | None:
+    """The fields of a list of maps by name; None if its elements are not simply maps.
 
     Taking fields out of a whole array and zipping them again is compiled code, unlike
-    ``transform``, whose lambda is interpreted for every element: about ten times as fast.
+    ``transform``, whose lambda is interpreted for every element: about ten times as fast. So a
+    list is rewritten field by field: those of scalars under one tag as whole arrays, only the
+    others (unions, maps, lists) by a lambda, over their own values. In it a list is
+    rewritten as a whole again.
     """
     inside, body = map_element(kind.elementType)
     if body is None or len(body) == 0:
         return None
-    fields: dict[str, tuple[T.DataType, Callable[[Column], Column]]] = {}
+    fields: dict[str, ElementField] = {}
     for field in body.fields:
-        scalar, steps = field.dataType, [field.name]
-        if is_tagged(scalar):
-            typed = [f for f in scalar.fields if f.name != NULL_TAG]
-            if len(typed) != 1:
-                return None
-            scalar = typed[0].dataType
-            steps.append(typed[0].name)
-        if isinstance(scalar, (T.StructType, T.ArrayType, T.MapType)):
-            return None
-        fields[field.name] = scalar, lambda value, steps=steps: reduce(Column.getField, steps, inside(value))
+        inner, steps, rewrite = field.dataType, [field.name], None
+        if is_tagged(inner):
+            typed = [f for f in inner.fields if f.name != NULL_TAG]
+            if len(typed) == 1:
+                inner, rewrite = typed[0].dataType, untag_field(typed[0])
+                steps.append(typed[0].name)
+        take = lambda value, steps=steps: reduce(Column.getField, steps, inside(value))
+        fields[field.name] = ElementField(inner, take, rewrite or untagged(inner))
     return fields
 
 
-def _zipped(fields: dict[str, tuple[T.DataType, Callable[[Column], Column]]]) -> Rewrite:
+def _zipped(fields: dict[str, ElementField]) -> Rewrite:
     def rewrite(value: Column) -> Column:
-        arrays = [(n, k, take(value)) for n, (k, take) in fields.items()]
-        texts = [(n, a if isinstance(k, T.StringType) else a.cast("array<string>")) for n, k, a in arrays]
-        return F.arrays_zip(*[array.alias(name) for name, array in texts])
+        return F.arrays_zip(*[_whole(field, field.take(value)).alias(name) for name, field in fields.items()])
+
+    kinds = {name: T.StringType() if field.scalar else field.rewrite[0] for name, field in fields.items()}
+    return T.ArrayType(T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])), rewrite
+
 
-    return T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in fields])), rewrite
+def _whole(field: ElementField, array: Column) -> Column:
+    """The array of a field's values without tags."""
+    if field.scalar:
+        return array if isinstance(field.kind, T.StringType) else array.cast("array<string>")
+    result, rewrite = field.rewrite
+    return array if same_type(result, field.kind) else F.transform(array, rewrite)
 
 
 def merged_type(kinds: list[T.DataType]) -> T.DataType:
@@ -148,12 +170,11 @@ def _text(kind: T.DataType) -> Rewrite:
     return T.StringType(), lambda value: value.cast("string")
 
 
-def _struct(kind: T.StructType, keep_null: bool = True) -> Rewrite:
+def _struct(kind: T.StructType) -> Rewrite:
     rewrites = [(f.name, *untagged(f.dataType)) for f in kind.fields]
     result = T.StructType([T.StructField(name, k) for name, k, _ in rewrites])
 
     def rewrite(value: Column) -> Column:
-        fields = F.struct(*[fn(value.getField(name)).alias(name) for name, _, fn in rewrites])
-        return F.when(value.isNotNull(), fields) if keep_null else fields
+        return F.when(value.isNotNull(), F.struct(*[fn(value.getField(name)).alias(name) for name, _, fn in rewrites]))
 
     return result, rewrite

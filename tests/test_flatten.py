@@ -241,3 +241,38 @@ def without_nulls(value):
 def test_equals_a_model_in_python(exported, records):
     flat = rows(flatten_tagged(exported(*records), "Item"))
     assert [without_nulls(r) for r in flat] == [without_nulls(model(r)) for r in records]
+
+
+def nested(exported):
+    part = lambda n, **more: {"M": {"amount": {"N": str(n)}, **more}}
+    return exported(
+        {"lines": {"L": [{"M": {"kind": {"S": "a"}, "code": {"N": "1"}, "parts": {"L": [part(1), part(2, note={"S": "x"})]}, "tags": {"SS": ["t", "u"]}}}, {"NULL": True}, {"M": {"code": {"S": "z"}, "parts": {"L": []}, "at": {"M": {"city": {"S": "c"}}}}}]}},
+        {"lines": {"L": [{"M": {"parts": {"L": [part(3), {"NULL": True}]}}}]}},
+        {"lines": {"L": []}},
+        {"other": {"S": "1"}},
+    )
+
+
+def test_lists_inside_lists(exported):
+    df = flatten_tagged(nested(exported), "Item").select("lines")
+    none = {"at": None, "code": None, "kind": None, "parts": None, "tags": None}
+    part = lambda amount, note=None: {"amount": amount, "note": note}
+    assert [r.asDict(True)["lines"] for r in df.collect()] == [
+        [
+            none | {"kind": "a", "code": "1", "parts": [part("1"), part("2", "x")], "tags": ["t", "u"]},
+            none,
+            none | {"code": "z", "parts": [], "at": {"city": "c"}},
+        ],
+        [none | {"parts": [part("3"), part(None)]}],
+        [],
+        None,
+    ]
+
+
+def test_no_lambda_over_the_elements_of_inner_lists(exported):
+    """One lambda each for the union, the map and the inner list, over their own values; none for scalars and sets."""
+    plan = flatten_tagged(nested(exported), "Item").select("lines")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(") == 3 and "arrays_zip" in plan
+    (inner,) = [part for part in plan.split("transform(")[1:] if "parts" in part.split(",")[0]]
+    body = inner.split("lambdafunction(")[1]
+    assert body.startswith("arrays_zip(")
