@@ -69,6 +69,11 @@ ORACLES: dict[str, str] = {
     "scan_dated_partition": """
         SELECT event_id, event_type FROM events
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""",
+    "scan_new_files": """
+        SELECT event_id, event_type, run FROM events, (VALUES (1), (2)) AS runs(run)
+        WHERE (run = 1 AND (event_type = 'click' AND day(ts) IN (14, 15) OR event_type = 'view' AND day(ts) = 15))
+           OR (run = 2 AND (event_type NOT IN ('click', 'view') AND day(ts) = 15 OR event_type = 'view' AND day(ts) = 14
+                            OR event_type = 'view' AND day(ts) = 15 AND event_id % 2 = 0))""",
     "scan_catalog": """
         SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders""",
     "scan_catalog_pruned": """

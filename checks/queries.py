@@ -30,9 +30,10 @@ from tagloom.operators import (
 )
 from tagloom.plans import ExportSpec, JobResult, build, run_job
 from tagloom.schema import schema_from_spec
-from tagloom.scratch import scratch_path
+from tagloom.scratch import scratch_path, staged
 from tagloom.sinks import read_upserted, upsert, write_files, write_partitioned, write_table
 from tagloom.sources import (
+    load_source,
     load_sources,
     read_catalog,
     read_dated,
@@ -140,6 +141,37 @@ def _orders_table(spark: SparkSession, sf_dir: str) -> str:
     return name
 
 
+def scan_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the changes of the 15th and the day before; by the second, files came for both
+    days and an old one was written anew."""
+    events = tag.table(spark, sf_dir, "events")
+    base, ledger = scratch_path(spark, "feed"), scratch_path(spark, "ledger")
+
+    def put(day: int, name: str, mode: str, rows: Column) -> None:
+        part = events.where((F.dayofmonth("ts") == day) & rows).select(F.struct(tag.number("event_id").alias("eventId"), tag.text("event_type").alias("eventType")).alias("NewImage"))
+        part.write.mode(mode).json(f"{base}/day={day}/hour={name}/data")
+
+    context = RunContext(date(2024, 1, 15), "INC")
+    details = {"path_template_inc": base + "/day={process_day}/{process_hour}data", "ledger": ledger, "days_back": 1}
+    schema = schema_from_spec([{"Name": "event_id", "Type": "bigint", "Source": "eventId"}, {"Name": "event_type", "Type": "varchar", "Source": "eventType"}])
+
+    def run(number: int) -> DataFrame:
+        source = load_source(spark, {"connection_type": "s3_path", "s3_details": details}, context, schema)
+        rows = staged(align(flatten_tagged(source, "NewImage", schema), schema).withColumn("run", F.lit(number)))
+        source.taken.remember()
+        return rows
+
+    click, view = F.col("event_type") == "click", F.col("event_type") == "view"
+    put(15, "01", "overwrite", click)
+    put(14, "01", "overwrite", click)
+    put(15, "02", "overwrite", view)
+    first = run(1)
+    put(15, "03", "overwrite", ~click & ~view)
+    put(14, "02", "overwrite", view)
+    put(15, "02", "overwrite", view & (F.col("event_id") % 2 == 0))
+    return first.union(run(2))
+
+
 def scan_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_catalog(spark, None, _orders_table(spark, sf_dir))
 
@@ -980,6 +1012,7 @@ QUERIES: dict[str, Query] = {
     "scan_tagged_json": scan_tagged_json,
     "scan_tagged_variant": scan_tagged_variant,
     "scan_dated_partition": scan_dated_partition,
+    "scan_new_files": scan_new_files,
     "scan_catalog": scan_catalog,
     "scan_catalog_pruned": scan_catalog_pruned,
     "scan_format": scan_format,

@@ -36,3 +36,8 @@ def quoted(name: str) -> str:
 def listing(names: Iterable[str], suffix: str = "") -> str:
     """The names quoted and separated by commas, each followed by ``suffix``."""
     return ", ".join(quoted(name) + suffix for name in names)
+
+
+def literal_path(path: str) -> str:
+    """Path pattern that matches this path only."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)

@@ -207,7 +207,8 @@ def run_job(
     files the declared extra output and the upsert into ``curated_path``, by the key columns.
     With ``rejects_path`` the values of the table's rows that did not fit their declared type,
     NULL there, are written to that folder (replaced), a row for each with the row's keys.
-    Where the spec says ``deletes: apply``, rows of deleted items leave ``curated_path``.
+    Where the spec says ``deletes: apply``, rows of deleted items leave ``curated_path``. Where its
+    source names a ``ledger``, only files that it does not list are read, and it lists them afterwards.
     """
     work = spec.processing
     if curated_path and not (work.record_keys and work.precombine_key):
@@ -216,9 +217,14 @@ def run_job(
         raise ValueError("values are rejected by a declared schema, and the spec has none")
     source = load_source(spark, spec.source, context, spec.read_schema, work.key_columns if work.applies_deletes else ())
     temporary = [source.staged_path] if hasattr(source, "staged_path") else []
+    taken = getattr(source, "taken", None)
+    if taken is not None:
+        temporary.append(taken.folder)
     if hook is not None:
         source = hook(source)
     try:
+        if taken is not None and taken.files.isEmpty():
+            return None
         if context.root not in source.columns and not work.applies_deletes and _nothing_in(source, context):
             return None
         observation = Observation()
@@ -228,9 +234,12 @@ def run_job(
         misfits = counts.pop("misfits")
         if misfits:
             raise ValueError(f"{misfits} rows have keys that do not fit their declared types {work.key_types}")
-        if not counts["images"] and not counts["deletes"]:
-            return None
-        return _written(spark, flat, counts, spec, context, table, table_path, curated_path, rejects_path, files, temporary)
+        result = None
+        if counts["images"] or counts["deletes"]:
+            result = _written(spark, flat, counts, spec, context, table, table_path, curated_path, rejects_path, files, temporary)
+        if taken is not None:
+            taken.remember()
+        return result
     finally:
         discard(spark, *temporary)
 

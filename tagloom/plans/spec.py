@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tagloom.context import RunContext, fill, unfilled
 from tagloom.operators.changes import CHANGED
 from tagloom.schema import schema_from_spec
+from tagloom.sources.scan import with_earlier_paths
 
 # Output options of a spec and the writer options they set.
 _WRITER_OPTIONS = {
@@ -132,6 +133,8 @@ class ExportSpec:
         if not data:
             raise ValueError("empty spec")
         if context is not None:
+            if data.get("source_config"):
+                data = {**data, "source_config": with_earlier_paths(data["source_config"], context)}
             data = fill(dict(data), context.placeholders())
             # A reader takes braces for a pattern: a misspelt name would match nothing, or too much.
             left = unfilled([data.get("source_config"), (data.get("output_config") or {}).get("path_template")])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.functions.names import quoted
+from tagloom.functions.names import literal_path, quoted
 from tagloom.operators.shape import latest_per_key
 from tagloom.scratch import discard, scratch_path
 from tagloom.scratch import staged as stage
@@ -305,11 +305,7 @@ def _existing(spark: SparkSession, path: str, folders: list[str]) -> list[str]:
 def _stored_rows(spark: SparkSession, path: str, folders: list[str], table: T.StructType) -> DataFrame:
     """The rows of these partitions, with all columns of the table."""
     # A path is a pattern to the reader; partition values may hold the pattern's signs.
-    return spark.read.option("basePath", path).schema(table).parquet(*[_literal(f"{path}/{folder}") for folder in folders])
-
-
-def _literal(path: str) -> str:
-    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+    return spark.read.option("basePath", path).schema(table).parquet(*[literal_path(f"{path}/{folder}") for folder in folders])
 
 
 def _merged(stored: DataFrame, incoming: DataFrame, keys, precombine: str, partition_by) -> DataFrame:

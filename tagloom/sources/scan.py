@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
+from datetime import timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from tagloom.context import RunContext, fill, unfilled
 from tagloom.schema import tagged_read_schema
+from tagloom.sources.ledger import take_new_files
 from tagloom.sources.variant import read_tagged_variant
 
 Hook = Callable[[DataFrame], DataFrame]
@@ -116,20 +119,23 @@ def load_source(
     ``table_name``). Mode and run date come from ``context`` (S3, S7, S10). JSON is read with
     the tagged form of a declared ``schema`` (and ``keys``, see :func:`read_tagged`), other
     formats with the schema itself, unless their files describe themselves and hold tagged records.
-    ``read_schema: variant`` reads JSON by :func:`read_tagged_variant`."""
-    source = fill(dict(source), context.placeholders())
+    ``read_schema: variant`` reads JSON by :func:`read_tagged_variant`.
+
+    With a ``ledger`` (a folder) in ``s3_details`` only files that are not in it are read, those
+    of the ``days_back`` days before the run date among them. The result's ``taken`` lists them: its
+    ``remember()`` enters them into the ledger, which is for the caller to do once what was
+    made of them is written. It is None where no ledger is named."""
+    source = fill(with_earlier_paths(source, context), context.placeholders())
     kind = source.get("connection_type") or source.get("origin")
     if kind in ("s3_path", "s3"):
         path, data_format, options = _file_source(source, context)
-        if data_format == "json" and source.get("read_schema") == "variant":
-            return read_tagged_variant(spark, path, context.root, options)
-        if data_format == "json":
-            return read_tagged(spark, path, context.root, schema, options, keys)
-        if schema is not None and data_format in _SELF_DESCRIBING:
-            found = read_format(spark, data_format, path, options)
-            if context.root in found.columns:
-                return found
-        return read_format(spark, data_format, path, options, schema)
+        details = source.get("s3_details") or {}
+        if details.get("ledger"):
+            taken = take_new_files(spark, [path, *details.get("earlier_paths", ())], details["ledger"], context.run_date)
+            df = _load_files(spark, source, taken.paths, data_format, options, context, schema, keys)
+            df.taken = taken
+            return df
+        return _load_files(spark, source, path, data_format, options, context, schema, keys)
     if kind == "catalog":
         details = source.get("catalog_details") or (source if "origin" in source else None)
         if not details or not details.get("table_name"):
@@ -143,6 +149,35 @@ def load_source(
     raise ValueError(f"unknown kind of source: {kind!r}")
 
 
+def with_earlier_paths(source: Mapping[str, Any], context: RunContext) -> dict[str, Any]:
+    """The source with the paths of ``days_back`` earlier days, made while its templates still have placeholders."""
+    details = source.get("s3_details") or {}
+    days = int(details.get("days_back") or 0)
+    if not days or "earlier_paths" in details:
+        return dict(source)
+    template = details.get("path_template_inc" if context.incremental else "path_template_full") or ""
+    earlier = [replace(context, run_date=context.run_date - timedelta(days=d)) for d in range(1, days + 1)]
+    return {**source, "s3_details": {**details, "earlier_paths": [fill(template, day.placeholders()) for day in earlier]}}
+
+
+def _load_files(
+    spark: SparkSession, source: Mapping[str, Any], path: str | list[str], data_format: str, options: dict[str, Any],
+    context: RunContext, schema: T.StructType | None, keys: Sequence[str],
+) -> DataFrame:
+    if not path:
+        tagged = tagged_read_schema(schema, context.root, keys) if schema is not None and data_format == "json" else schema
+        return spark.createDataFrame([], tagged or T.StructType([]))
+    if data_format == "json" and source.get("read_schema") == "variant":
+        return read_tagged_variant(spark, path, context.root, options)
+    if data_format == "json":
+        return read_tagged(spark, path, context.root, schema, options, keys)
+    if schema is not None and data_format in _SELF_DESCRIBING:
+        found = read_format(spark, data_format, path, options)
+        if context.root in found.columns:
+            return found
+    return read_format(spark, data_format, path, options, schema)
+
+
 def _file_source(source: Mapping[str, Any], context: RunContext) -> tuple[str, str, dict[str, Any]]:
     if "origin" in source:
         if not source.get("bucket") or not source.get("prefix"):

@@ -500,3 +500,27 @@ def test_rejected_values_are_split_off(spark, folder):
     assert curated(spark, folder, "number", "balance") == [("1", None), ("2", 2.0), ("3", 3.0)]
     with pytest.raises(ValueError, match="declared schema"):
         run_job(spark, make(folder, schema_name=None, schema=None), FULL, table="tagloom_test.x", rejects_path=folder + "/r")
+
+
+def test_job_takes_each_file_once(spark, folder):
+    """Late files of the day before come with the next run; a run that fails takes its files again."""
+
+    def run(day=16, **more):
+        context = RunContext(dt.date(2025, 4, day), "INC", ingested_at=INGESTED)
+        data = spec_dict(folder, **more)
+        data["source_config"]["s3_details"] |= {"ledger": folder + "/ledger", "days_back": 1}
+        spec = ExportSpec.from_dict(data, context, {"accounts_final": KEYED})
+        return run_job(spark, spec, context, table="tagloom_test.once_" + os.path.basename(folder).replace("-", "_"), table_path=folder + "/a", curated_path=folder + "/c")
+
+    lay_out(folder, inc=[record("a", "1", 1, 1)])
+    assert run().records == 1 and run() is None
+    os.makedirs(folder + "/incremental/day=17/hour=01/data")
+    for day, name, account in ((16, "hour=07/data/late.json", "2"), (17, "hour=01/data/new.json", "x")):
+        with open(f"{folder}/incremental/day={day}/{name}", "w", encoding="utf-8") as file:
+            file.write(json.dumps({"NewImage": record("a", account, 2, 1)}) + "\n")
+    with pytest.raises(ValueError, match="1 rows have keys"):
+        run(17)
+    with open(folder + "/incremental/day=17/hour=01/data/new.json", "w", encoding="utf-8") as file:
+        file.write(json.dumps({"NewImage": record("a", "3", 3, 1)}) + "\n")
+    assert run(17).records == 2 and run(17) is None
+    assert curated(spark, folder, "account", "balance") == [(1, 1.0), (2, 2.0), (3, 3.0)]

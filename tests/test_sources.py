@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 from collections import Counter
@@ -18,6 +19,7 @@ from tagloom.sources import (
 from tagloom.operators import flatten_tagged
 from tagloom.schema import schema_from_spec
 from tagloom.scratch import scratch_path, scratch_root, staged
+from tagloom.sources.ledger import take_new_files
 from tagloom.sources.variant import inferred_type, read_tagged_variant
 
 FULL = RunContext.of("2025-04-06")
@@ -242,3 +244,66 @@ def test_variant_read_of_little(spark, folder):
 def test_types_of_variants(spark, spelled, kind):
     found = inferred_type(spelled)
     assert (found.simpleString() if found is not None else None) == kind
+
+
+# --- files taken once ------------------------------------------------------------------------
+
+
+def taken_source(folder, **more):
+    details = {"path_template_inc": folder + "/day={process_day}/{process_hour}data", "ledger": folder + "/ledger", **more}
+    return {"connection_type": "s3_path", "s3_details": details}
+
+
+def drop_file(folder, day, name, *values):
+    path = f"{folder}/day={day:02}/hour=07/data"
+    os.makedirs(path, exist_ok=True)
+    lines(path, *[{"NewImage": {"a": {"S": v}}} for v in values], name=name)
+    return f"{path}/{name}"
+
+
+def values_of(df):
+    return sorted(r.S for r in df.select("NewImage.a.S").collect())
+
+
+def test_files_are_taken_once(spark, folder):
+    context = RunContext.of("2025-04-16", "INC")
+    load = lambda day=context, **more: load_source(spark, taken_source(folder, **more), day)
+    first = drop_file(folder, 16, "part-{1}[x].json", "one")
+    drop_file(folder, 16, "b c.json", "two")
+    df = load()
+    assert values_of(df) == ["one", "two"]
+    drop_file(folder, 16, "late.json", "three")  # after the listing: the next run's
+    assert values_of(df) == ["one", "two"]
+    df.taken.remember()
+    drop_file(folder, 15, "earlier.json", "four")
+    df = load()
+    assert values_of(df) == ["three"] and not os.path.exists(folder + "/never")
+    df.taken.release()  # not remembered: taken again
+    df = load(days_back=2)
+    assert values_of(df) == ["four", "three"]
+    df.taken.remember()
+    os.utime(first, (1, 1))
+    df = load(days_back=2)
+    assert values_of(df) == ["one"]
+    df.taken.remember()
+    df = load(days_back=2)
+    assert df.columns == [] and df.taken.paths == []
+    ledger = spark.read.parquet(folder + "/ledger")
+    assert ledger.count() == 5 and ledger.select("path").distinct().count() == 4
+    assert len(load(RunContext.of("2025-04-17", "INC"), days_back=1, ledger=folder + "/other").taken.paths) == 3
+
+
+def test_declared_read_of_no_new_files(spark, folder):
+    schema = schema_from_spec([{"Name": "a", "Type": "varchar"}])
+    df = load_source(spark, taken_source(folder), RunContext.of("2025-04-16", "INC"), schema)
+    assert df.columns == ["NewImage"] and df.collect() == []
+    df.taken.remember()
+    assert spark.read.parquet(folder + "/ledger").count() == 0
+
+
+def test_listing_opens_no_file(spark, folder):
+    drop_file(folder, 16, "a.json", "x")
+    taken = take_new_files(spark, [folder + "/day=16/*/data", folder + "/none/*"], folder + "/ledger", dt.date(2025, 4, 16))
+    assert [p.rsplit("/", 1)[1] for p in taken.paths] == ["a.json"]
+    found = spark.read.format("binaryFile").load(folder + "/day=16/*/data").select("path", "modificationTime")
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp>" in found._jdf.queryExecution().executedPlan().toString()
