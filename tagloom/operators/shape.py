@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,9 +102,36 @@ def rename_columns(df: DataFrame, renames: Mapping[str, str] | Iterable[tuple[st
 
 
 def sql_columns(df: DataFrame, columns: Mapping[str, str] | Iterable[tuple[str, str]]) -> DataFrame:
-    """SQL expression columns in order, each seeing those before it."""
-    pairs = columns.items() if isinstance(columns, Mapping) else columns
-    return reduce(lambda d, pair: d.withColumn(pair[0], F.expr(pair[1])), pairs, df)
+    """SQL expression columns in order, each seeing those before it.
+
+    New columns that follow each other are one projection, in which an expression may name
+    the aliases before it; a column that replaces another is a projection of its own, as
+    an alias would not hide the column it replaces. So hundreds of them are analysed at once.
+    """
+    pairs = list(columns.items() if isinstance(columns, Mapping) else columns)
+    while pairs:
+        names = {name.lower() for name in df.columns}
+        new = []
+        for name, sql in pairs:
+            if name.lower() in names:
+                break
+            names.add(name.lower())
+            new.append((name, sql))
+        if new:
+            df = _with_new(df, new)
+        else:
+            name, sql = pairs[0]
+            df = df.withColumn(name, F.expr(sql))
+        pairs = pairs[max(len(new), 1) :]
+    return df
+
+
+def _with_new(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    try:
+        return df.select("*", *[F.expr(sql).alias(name) for name, sql in pairs])
+    except AnalysisException:
+        # a window over an alias, say; or a mistake, which is then named without the others
+        return reduce(lambda d, pair: d.withColumn(pair[0], F.expr(pair[1])), pairs, df)
 
 
 def select_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.context import RunContext
-from tagloom.functions import to_time_column
 from tagloom.functions.names import quoted
 from tagloom.operators import (
     add_metadata,
@@ -17,18 +16,14 @@ from tagloom.operators import (
     is_empty,
     keep_keyed,
     latest_per_key,
-    post_filters,
-    rename_columns,
     select_columns,
-    sorted_projection,
     split_rejects,
-    sql_columns,
-    surrogate_id,
 )
 from tagloom.operators.align import cast_sql
 from tagloom.operators.changes import CHANGED, change_time, deleted_keys, gone_name, outliving, tombstones
 from tagloom.operators.metadata import DEFAULT_PARTITION_DATE, PARTITION_COLUMNS
 from tagloom.plans.spec import ExportSpec, ProcessingSpec
+from tagloom.plans.steps import shaped
 from tagloom.scratch import discard, staged
 from tagloom.sinks import apply_changes, read_upserted, write_files, write_table
 from tagloom.sinks.merge import Merged, is_upserted
@@ -100,19 +95,8 @@ def _finished(flat: DataFrame, spec: ExportSpec, context: RunContext, rejects: b
         key_types={key: kind for key, kind in work.key_types.items() if key in images.columns},
     )
     aligned = align(latest, work.row_schema, rejects=_REJECTS if rejects else None) if work.row_schema is not None else latest
-    selected = work.select_columns
-    if selected:
-        own = [CHANGED] * work.applies_deletes + [_REJECTS] * rejects
-        selected = (*selected, *(name for name in own if name not in selected))
-    return (
-        aligned.transform(surrogate_id, work.key_columns)
-        .transform(sorted_projection)
-        .transform(to_time_column, work.partition_date)
-        .transform(post_filters, work.post_read_filters)
-        .transform(select_columns, selected)
-        .transform(rename_columns, work.rename_columns)
-        .transform(sql_columns, work.sql_transformations)
-    )
+    own = [CHANGED] * work.applies_deletes + [_REJECTS] * rejects
+    return shaped(aligned, work, own)
 
 
 def _needed(df: DataFrame, work: ProcessingSpec) -> DataFrame:

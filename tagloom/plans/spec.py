@@ -6,10 +6,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tagloom.context import RunContext, fill, unfilled
 from tagloom.operators.changes import CHANGED
+from tagloom.plans.steps import check_sql
 from tagloom.schema import schema_from_spec
 from tagloom.sources.scan import with_earlier_paths
 
@@ -128,7 +130,8 @@ class ExportSpec:
 
         The declared schema is ``processing_config.schema`` (a list of column specs),
         or the one called ``schema_name`` in ``schemas``. Placeholders are filled in
-        from ``context``. What is missing or malformed raises ``ValueError``.
+        from ``context``. What is missing or malformed raises ``ValueError``; so do, where a
+        session is active, keys, selections and SQL that do not fit the declared columns.
         """
         if not data:
             raise ValueError("empty spec")
@@ -148,6 +151,9 @@ class ExportSpec:
         processing = _processing(data.get("processing_config") or {}, schemas or {})
         if source.get("read_schema") == "declared" and processing.schema is None:
             raise ValueError("read_schema is 'declared', but the spec declares no schema")
+        session = SparkSession.getActiveSession()
+        if context is not None and session is not None:
+            check_sql(session, processing)
         return cls(
             source=source,
             processing=processing,

@@ -1,11 +1,13 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom.context import RunContext
+from tagloom.operators import sql_columns
 from tagloom.operators.metadata import PARTITION_COLUMNS
 from tagloom.plans import ExportSpec, build, run_job, transform, with_metadata
 from tagloom.schema import schema_from_spec
@@ -524,3 +526,46 @@ def test_job_takes_each_file_once(spark, folder):
         file.write(json.dumps({"NewImage": record("a", "3", 3, 1)}) + "\n")
     assert run(17).records == 2 and run(17) is None
     assert curated(spark, folder, "account", "balance") == [(1, 1.0), (2, 2.0), (3, 3.0)]
+
+
+# --- SQL of a spec -----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "processing, message",
+    [
+        ({"sql_transformations": [{"name": "x", "sql": "balanse * 2"}]}, "balanse"),
+        ({"sql_transformations": [{"name": "x", "sql": "balance * 2"}, {"name": "y", "sql": "upper(x, 1)"}]}, "(?i)upper"),
+        ({"sql_transformations": [{"name": "x", "sql": "balance +"}]}, "(?i)syntax"),
+        ({"post_read_filters": ["versoin > 1"]}, "versoin"),
+        ({"select_columns": ["branch", "no_such"]}, "no_such"),
+        ({"key_columns": ["branch", "number"]}, "number"),
+    ],
+)
+def test_mistakes_in_a_spec_are_found_when_it_is_read(spark, processing, message):
+    with pytest.raises(ValueError, match=message):
+        make("/nowhere", **processing)
+
+
+def test_expressions_that_fit_are_accepted(spark):
+    sqls = [
+        {"name": "twice", "sql": "balance * 2"}, {"name": "balance", "sql": "twice + 1"}, {"name": "note", "sql": "concat(note, balance)"},
+        {"name": "thrice", "sql": "balance + twice"}, {"name": "nth", "sql": "row_number() OVER (PARTITION BY branch ORDER BY thrice)"},
+    ]
+    make("/nowhere", sql_transformations=sqls, post_read_filters=["id <> '' AND year(created_at) > 2000"], rename_columns=[{"old_name": "x", "new_name": "y"}])
+    df = spark.createDataFrame([("b", 1.0, "n")], "branch string, balance double, note string")
+    out = sql_columns(df, [(s["name"], s["sql"]) for s in sqls])
+    assert out.columns == ["branch", "balance", "note", "twice", "thrice", "nth"] and tuple(out.first()) == ("b", 3.0, "n3.0", 2.0, 5.0, 1)
+
+
+def test_hundreds_of_expressions(spark):
+    """Each on a column, every tenth on the one before; the plan is made at once."""
+    df = spark.createDataFrame([(1, 2)], "a bigint, b bigint")
+    pairs = [(f"c{i}", f"c{i - 1} + a" if i % 10 == 9 else f"a + b + {i}") for i in range(300)]
+    sql_columns(df, pairs[:10]).schema
+    start = time.perf_counter()
+    out = sql_columns(df, pairs)
+    out.schema
+    assert time.perf_counter() - start < 3  # under a second on an idle machine
+    row = out.first()
+    assert len(row) == 302 and (row.c298, row.c299) == (301, 302)
