@@ -6,7 +6,8 @@ start of a record only if the member there decodes and opens with a WARC header,
 every record that starts inside its range; the last one may end beyond it.
 
 Files are opened through Arrow's file systems, so archives can be wherever a URI leads
-(``file:``, ``hdfs:``, ``s3:``, ``gs:``).
+(``file:``, ``hdfs:``, ``s3:`` or ``s3a:``, ``gs:``); a path without a scheme is one of the
+cluster's default file system, as it is to Spark.
 """
 
 from __future__ import annotations
@@ -42,10 +43,18 @@ def _store(uri: str) -> tuple[fs.FileSystem, str]:
         parts = urlparse(uri)
         if parts.scheme == "file":
             return fs.LocalFileSystem(), parts.path
-        return fs.FileSystem.from_uri(uri)
+        # Hadoop's names of the same store
+        return fs.FileSystem.from_uri("s3" + uri[3:] if parts.scheme in ("s3a", "s3n") else uri)
     return fs.LocalFileSystem(), uri
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI every executor reads alike; as it is if it is on the local disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+    return folder if whole.startswith("file:") else whole
+
+
 def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -86,8 +95,9 @@ def _write(folder: str, file_bytes: int):
                 name, url, body, digest, refers = (x.as_py() for x in row)
                 if out is None:
                     # A name of its own for every attempt: what a lost task left is in no manifest.
-                    path = f"{root}/part-{uuid.uuid4().hex}.warc.gz"
-                    out, size, records = store.open_output_stream(path, compression=None), 0, 0
+                    name_of_file = f"part-{uuid.uuid4().hex}.warc.gz"
+                    path = f"{folder}/{name_of_file}"
+                    out, size, records = store.open_output_stream(f"{root}/{name_of_file}", compression=None), 0, 0
                 member = _member(_record("revisit" if refers else "response", name, url or "", body or b"", digest, refers))
                 out.write(member)
                 size += len(member)
@@ -119,6 +129,7 @@ def write_warc(
     """
     spark = pages.sparkSession
     ship(spark)
+    folder = _qualified(spark, folder.rstrip("/"))
     _make(folder)
     body = F.encode(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "UTF-8")
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"), body.alias("body")).withColumn("sha1", F.sha1("body"))
@@ -158,7 +169,7 @@ class _Window:
     """Bytes of a file from a place on, read ahead in steps."""
 
     def __init__(self, file, at: int, step: int = 1 << 20):
-        self.file, self.at, self.data, self.step = file, at, b"", step
+        self.file, self.at, self.data, self.step = file, at, bytearray(), step
         file.seek(at)
 
     def more(self) -> bool:
@@ -168,7 +179,7 @@ class _Window:
 
     def drop(self, n: int) -> None:
         self.at += n
-        self.data = self.data[n:]
+        del self.data[:n]
 
 
 def _records_in(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
@@ -215,7 +226,7 @@ def _decode(window: _Window) -> tuple[int, bytes] | None:
     place, unpack, out, used = window.at, zlib.decompressobj(31), io.BytesIO(), 0
     try:
         while not unpack.eof:
-            part = window.data[used : used + _HEAD]
+            part = bytes(window.data[used : used + _HEAD])
             if not part:
                 if not window.more():
                     return None
@@ -237,7 +248,7 @@ def _headers(lines: bytes) -> dict[str, str]:
     out = {}
     for line in lines.split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
-        out[name.decode("latin-1").strip().lower()] = value.decode().strip()
+        out[name.decode("latin-1").strip().lower()] = value.decode(errors="replace").strip()
     return out
 
 
@@ -250,23 +261,37 @@ _RECORDS = pa.schema([
 def _parsed(path: str, place: int, record: bytes, keep: bool) -> dict:
     head, _, rest = record.partition(b"\r\n\r\n")
     fields = _headers(head)
-    block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    told = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    kind = fields["warc-type"]
-    size, digest = len(payload), told
+    length = _number(fields.get("content-length"))
+    block = rest.removesuffix(b"\r\n\r\n") if length is None else rest[:length]
+    whole = length is None or len(block) == length
+    http, payload = b"", block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+    told = fields.get("warc-payload-digest")
+    told = told.removeprefix("sha1:") if told is not None else None
+    kind = fields.get("warc-type", "unknown")
+    size, digest, intact = len(payload), told, whole
     if kind == "revisit":
-        size = int(_headers(http).get("content-length", 0))
+        size = _number(_headers(http).get("content-length")) or 0
     else:
         digest = payload_digest(payload)
+        # other algorithms' digests cannot be compared
+        intact = whole and (told is None or ":" in told or digest == told)
     return {
-        "path": path, "place": place, "record_type": kind, "record_id": fields["warc-record-id"].strip("<>"),
-        "url": fields.get("warc-target-uri"), "payload_bytes": size, "payload_digest": digest,
-        "refers_to": fields["warc-refers-to"].strip("<>") if "warc-refers-to" in fields else None,
-        "payload": payload if keep and kind != "revisit" else None, "intact": digest == told,
+        "path": path, "place": place, "record_type": kind, "record_id": _bare(fields.get("warc-record-id")),
+        "url": _bare(fields.get("warc-target-uri")), "payload_bytes": size, "payload_digest": digest,
+        "refers_to": _bare(fields.get("warc-refers-to")), "payload": payload if keep and kind != "revisit" else None, "intact": intact,
     }
 
 
+def _number(text: str | None) -> int | None:
+    return int(text) if text is not None and text.isdecimal() else None
+
+
+def _bare(name: str | None) -> str | None:
+    return name.strip("<>") if name is not None else None
+
+
 def _read(keep: bool):
     def run(batches):
         rows, held = [], 0
@@ -286,20 +311,32 @@ def _read(keep: bool):
     return run
 
 
-def read_warc(files: DataFrame, split_bytes: int = 8 << 20, payloads: bool = True) -> DataFrame:
+def read_warc(files: DataFrame, split_bytes: int = 8 << 20, payloads: bool = True, task_bytes: int = 128 << 20) -> DataFrame:
     """The records of the archives in ``files`` (path, bytes), read in byte ranges.
 
+    Ranges of ``split_bytes`` are dealt to one task for each ``task_bytes`` of all archives, and
+    to no fewer than keep the cluster busy.
+
     Returns path, place (of the member in the file), record_type, record_id, url,
     payload_bytes, payload_digest, refers_to, payload (null for revisits, or unless
     ``payloads``) and intact. Size and digest are those of the full payload: computed for
     responses, as told by the record for revisits; ``intact`` is whether the record's digest
     agrees. Where a range starts makes no difference to the records found.
+
+    Archives of others: the payload of an ``application/http`` record is what follows the HTTP
+    header, of any other record its whole block. Without a content length the block is the
+    rest of the member; without a type a record is ``unknown``; a record without a digest, or
+    with one of another algorithm, is intact if it has its length. What a member cut off at
+    the end of a file holds is no record. A record is held whole in its task, however long.
     """
     spark = files.sparkSession
     ship(spark)
+    sizes = files.agg(F.sum("bytes"), F.sum(F.ceil(F.greatest(F.col("bytes"), F.lit(1)) / split_bytes))).first()
+    # Ranges are few short rows: their own size says nothing about the work.
+    tasks = max(1, min(sizes[1] or 1, max(-(-(sizes[0] or 0) // task_bytes), 4 * spark.sparkContext.defaultParallelism)))
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0).cast("long")), F.lit(split_bytes).cast("long")))
     ranges = files.select("path", "bytes", start.alias("start")).select("path", "start", F.least(F.col("start") + split_bytes, F.col("bytes")).alias("end"))
-    dealt = ranges.repartition(F.col("path"), F.col("start"))
+    dealt = ranges.repartition(tasks, F.col("path"), F.col("start"))
     return dealt.mapInArrow(
         _read(payloads),
         "path string, place long, record_type string, record_id string, url string, payload_bytes long, payload_digest string, "

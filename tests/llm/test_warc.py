@@ -1,7 +1,9 @@
 import gzip
 import hashlib
 import os
+from types import SimpleNamespace
 
+from tagloom.llm import warc
 from tagloom.llm.warc import payload_digest, read_warc, write_warc
 
 DDL = "page_id bigint, url string, html string, path string"
@@ -60,3 +62,72 @@ def test_least_revisit_and_empty_table(spark, folder):
 def test_digest():
     assert payload_digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
     assert len(payload_digest(hashlib.sha1(b"x").digest())) == 32
+
+
+def foreign(folder, *records, cut=0):
+    """An archive of another writer, as a manifest."""
+    path = f"{folder}/foreign.warc.gz"
+    data = b"".join(gzip.compress(r) for r in records)
+    with open(path, "wb") as out:
+        out.write(data[: len(data) - cut])
+    return path, len(data) - cut
+
+
+def head(*lines, block=b""):
+    return b"WARC/1.0\r\n" + b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\nbody\r\n\r\nmore"
+FOREIGN = [
+    head(b"WARC-Type: warcinfo", b"Content-Type: application/warc-fields", b"Content-Length: 16", block=b"a: b\r\n\r\nc: defgh"),
+    head(b"WARC-Type: request", b"WARC-Record-ID: <urn:1>", b"Content-Type: application/http; msgtype=request", b"Content-Length: 18", block=b"GET / HTTP/1.0\r\n\r\n"),
+    head(b"WARC-Type: response", b"WARC-Record-ID: <urn:2>", b"WARC-Target-URI: <http://x>", b"Content-Type: application/http", b"Content-Length: %d" % len(HTTP), block=HTTP),
+    head(b"WARC-Record-ID: urn:3", block=b"no type, no length"),
+    head(b"WARC-Type: metadata", b"Content-Length: 99", b"WARC-Payload-Digest: md5:abc", block=b"too short"),
+    head(b"WARC-Type: resource", b"Content-Length: 4", b"WARC-Payload-Digest: md5:abc", block=b"\x00\xff\r\n"),
+    head(b"WARC-Type: resource", b"Content-Length: x", b"WARC-Payload-Digest: sha1:WRONG", block=b"odd"),
+]
+
+
+def test_archives_of_other_writers(spark, folder):
+    path, size = foreign(folder, *FOREIGN)
+    files = spark.createDataFrame([(path, size)], "path string, bytes long")
+    for split in (50, 1 << 20):
+        got = [(r.record_type, r.record_id, r.url, bytes(r.payload), r.intact) for r in read_warc(files, split_bytes=split).orderBy("place").collect()]
+        assert got == [
+            ("warcinfo", None, None, b"a: b\r\n\r\nc: defgh", True), ("request", "urn:1", None, b"", True), ("response", "urn:2", "http://x", b"body\r\n\r\nmore", True),
+            ("unknown", "urn:3", None, b"no type, no length", True), ("metadata", None, None, b"too short\r\n\r\n", False),
+            ("resource", None, None, b"\x00\xff\r\n", True), ("resource", None, None, b"odd", False),
+        ]
+
+
+def test_member_cut_off_at_the_end_is_no_record(spark, folder):
+    path, size = foreign(folder, *FOREIGN[:3], cut=9)
+    files = spark.createDataFrame([(path, size)], "path string, bytes long")
+    assert [r.record_type for r in read_warc(files, split_bytes=64).orderBy("place").collect()] == ["warcinfo", "request"]
+
+
+def test_record_far_longer_than_a_range(spark, folder):
+    text = os.urandom(12 << 20).hex()
+    files, _ = run(spark, folder, [(1, "http://x", text, None), (2, "http://y", "short", None), (3, "http://z", text, None)])
+    rows = {r.record_id: r for r in read_warc(files, split_bytes=1 << 20, payloads=False).collect()}
+    assert rows["urn:pages:1"].payload_bytes == rows["urn:pages:3"].payload_bytes == 24 << 20 and len(rows) == 3
+    assert rows["urn:pages:1"].payload_digest == payload_digest(text.encode())
+
+
+def test_ranges_are_dealt_to_as_many_tasks(spark, folder):
+    files, _ = run(spark, folder, [(i, "http://x", os.urandom(700).hex(), None) for i in range(60)])
+    assert read_warc(files, split_bytes=1_000).rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    total = files.agg({"bytes": "sum"}).first()[0]
+    assert read_warc(files, split_bytes=100, task_bytes=200).rdd.getNumPartitions() == -(-total // 200)
+    assert read_warc(files).rdd.getNumPartitions() == files.count()
+
+
+def test_stores_by_their_names(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(warc, "fs", SimpleNamespace(FileSystem=SimpleNamespace(from_uri=asked.append), LocalFileSystem=lambda: "disk"))
+    for uri in ("s3a://b/a.gz", "s3n://b/a.gz", "s3://b/a.gz", "hdfs://n/a.gz"):
+        warc._store(uri)
+    assert asked == ["s3://b/a.gz", "s3://b/a.gz", "s3://b/a.gz", "hdfs://n/a.gz"]
+    assert warc._store("file:/x/y") == warc._store("/x/y") == ("disk", "/x/y")
+    assert warc._qualified(spark, "/x/y") == "/x/y"
