@@ -295,20 +295,24 @@ def _labelled(sets: DataFrame, names: DataFrame, known: DataFrame, id_col: str)
     )
 
 
+_KEPT_ID, _KEPT_HASH = "__tagloom_kept_id", "__tagloom_kept_hash"
+
+
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without near duplicates: of each component the document with the smallest id stays.
 
     Documents without words and rows without an id stay. Of rows that repeat the id that
-    stays, the one with the smallest text hash does (of equal texts, the smallest row).
+    stays, the one with the smallest text hash does (of equal texts, the first one as JSON text).
+    An empty table stays empty. All columns are kept as they are, whatever their names and types.
     """
     placed = staged(jaccard_components(docs, id_col, text_col, n, percent), "ngram-placed")
     same = placed.where(F.col(id_col) == F.col("component_id"))
-    kept = staged(same.groupBy(F.col(id_col).alias("kept_id")).agg(F.min("text_hash").alias("kept_hash"), F.count("*").alias("kept_rows")), "ngram-kept")
+    kept = staged(same.groupBy(F.col(id_col).alias(_KEPT_ID)).agg(F.min("text_hash").alias(_KEPT_HASH), F.count("*").alias("kept_rows")), "ngram-kept")
     key, text_hash = F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    stay = docs.join(kept.hint("shuffle_hash"), (key == F.col("kept_id")) & (text_hash == F.col("kept_hash")), "left_semi")
+    stay = docs.join(kept.hint("shuffle_hash"), (key == F.col(_KEPT_ID)) & (text_hash == F.col(_KEPT_HASH)), "left_semi")
     if kept.where("kept_rows > 1").limit(1).count():  # repeated ids: the same rows, one of each
         row = F.struct(*columns)
-        stay = stay.groupBy(key.alias("kept_id")).agg(F.min(row).alias("row")).select("row.*")
+        stay = stay.groupBy(key.alias(_KEPT_ID)).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
     return stay.select(*columns).union(docs.where(key.isNull()).select(*columns))
 

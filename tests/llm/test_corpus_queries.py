@@ -1,4 +1,6 @@
 import hashlib
+import itertools
+import re
 import zlib
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 import corpus_pipeline
 from checks.compare import _rows, oracle_connection
+from tagloom.llm import quality
 from tagloom.llm.common import staged
 from tagloom.llm.queries import QUERIES, held_out, quality_model
 from tagloom.llm.sentencepiece import tokenizer_path
@@ -60,12 +63,51 @@ def test_quality_of_held_out_documents(spark):
     assert sum(r.kept == (r.quality == 1) for r in graded) >= 0.93 * len(graded)
 
 
+#: The base kinds of secrets.
+SECRETS = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(?P<assign>[A-Za-z0-9+/_.=-]+)|(?P<access>AKIA[A-Z0-9]+)|(?P<hex>[0-9a-f]{24,})""")
+
+
+def long_enough(found):
+    return any(found[kind] and len(found[kind]) >= least for kind, least in (("assign", 6), ("access", 20), ("hex", 24)))
+
+
+def windows(text):
+    """All 10 consecutive words of letters, digits and what is beyond ASCII; a shorter text is one."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    return {tuple(words[i : i + 10]) for i in range(max(1, len(words) - 9))} - {()}
+
+
+def smallest_of_groups(texts):
+    """The smallest id of each group of documents linked by 5-word shingles of a similarity of 0.8 or more."""
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for i, t in texts.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
+    group = {i: i for i in sets}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            low, high = sorted((root(a), root(b)))
+            group[high] = low
+    return {i for i in sets if root(i) == i}
+
+
 def test_pipeline(spark):
-    """Each stage against what its decision should be, on a small table with planted cases."""
+    """Each stage against a brute-force version, on a small table with planted cases that reach their stage."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
-    clean = docs.join(spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1 AND toxic = 0"), "doc_id").where("n_chars > 600").orderBy("doc_id").first()
-    planted = [(10_001, clean.text), (10_002, clean.text + " end"), (10_003, "Begin here. " + item + " And on it goes with more."), (10_004, clean.text[:300] + ' password = "hunter22x" ' + clean.text[300:]), (10_005, None), (10_006, "")]
+    items = [r.text for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    item = items[0]
+    good = docs.join(spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1 AND toxic = 0"), "doc_id").where("n_chars > 900 AND lang = 'en'")
+    clean, *others = good.orderBy("doc_id").limit(5).collect()
+    # Halves of two documents each, so that a case is no near copy of either.
+    half = [o.text[: len(o.text) // 2] + " " for o in others] + [" " + o.text[len(o.text) // 2 :] for o in others]
+    planted = [
+        (10_001, clean.text), (10_002, clean.text + " end"), (10_003, half[0] + item + half[5]),
+        (10_004, half[1] + 'password = "hunter22x"' + half[6]), (10_005, None), (10_006, ""), (10_007, half[2] + "AKIA" + "Q7" * 10 + " and " + "0a1b" * 8 + half[7]),
+    ]
     extra = spark.createDataFrame([(i, t, "en", "planted", len(t) if t else 0) for i, t in planted], docs.schema)
     now, seen = docs.union(extra), {}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "benchmark", "secrets", "encode"]
@@ -74,13 +116,29 @@ def test_pipeline(spark):
         seen[name] = {r.doc_id: r for r in now.collect()}
         if name != "encode":
             assert now.columns == before.columns
-    assert clean.doc_id in seen["quality"] and {10_001, 10_002} <= set(seen["quality"])
+    graded = quality.grade(docs.union(extra), quality_model(docs.union(extra), spark.read.parquet(f"{SF_DIR}/labels.parquet"))).collect()
+    assert set(seen["quality"]) == {r.doc_id for r in graded if r.tails[0] >= 0.5}
+    assert clean.doc_id in seen["quality"] and {10_001, 10_002, 10_003, 10_004, 10_007} <= set(seen["quality"])
+    assert set(seen["near_duplicates"]) == smallest_of_groups({i: r.text for i, r in seen["quality"].items()})
     assert clean.doc_id in seen["near_duplicates"] and not {10_001, 10_002} & set(seen["near_duplicates"])
-    if 10_003 in seen["benchmark"]:
-        cut = seen["benchmark"][10_003]
-        assert item not in cut.text and cut.text.startswith("Begin here. ") and cut.n_chars == len(cut.text)
-    for i, r in seen["secrets"].items():
-        assert "hunter22x" not in (r.text or "")
+    assert {10_003, 10_004, 10_007} <= set(seen["near_duplicates"])
+    phrases = {window for text in items for window in windows(text)}
+    for i, r in seen["near_duplicates"].items():
+        after = seen["benchmark"][i]
+        if phrases.isdisjoint(windows(r.text or "")):
+            assert after.text == r.text
+        else:
+            assert len(after.text) < len(r.text) and after.n_chars == len(after.text)
+    cut = seen["benchmark"][10_003].text
+    assert phrases.isdisjoint(windows(cut)) and cut.startswith(half[0].rstrip()[:-20]) and cut.endswith(half[5].lstrip()[20:])
+    found = 0
+    for i, r in seen["benchmark"].items():
+        after, secret = seen["secrets"][i].text or "", [m for m in SECRETS.finditer(r.text or "") if long_enough(m)]
+        if not re.search("PRIVATE KEY|eyJ", r.text or ""):  # kinds beyond the base ones
+            assert (after == (r.text or "")) == (not secret)
+        assert not [m for m in SECRETS.finditer(after) if long_enough(m)]
+        found += bool(secret)
+    assert found > 1 and "hunter22x" in seen["benchmark"][10_004].text and "hunter22x" not in seen["secrets"][10_004].text
     assert set(seen["encode"]) == set(seen["secrets"]) == set(seen["benchmark"]) == set(seen["near_duplicates"])
     library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
     for i, r in seen["encode"].items():

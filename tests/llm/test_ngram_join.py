@@ -102,3 +102,15 @@ def test_suffix_filter_never_rejects_near_sets():
         y = np.unique(np.concatenate((x[rng.random(len(x)) < 0.8], rng.integers(0, 400, 12).astype(np.uint64))))
         apart = len(np.setxor1d(x, y))
         assert not _too_far(x, y, apart, 3)
+
+
+def test_one_of_each_group_keeps_any_columns(spark):
+    """Columns called like the operator's own, a map, and repeated rows of one id."""
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text, 7, 8, {"a": 1}), (1, text, 7, 8, {"a": 2}), (2, text + " end", 0, 0, None), (3, "else " * 3 + "where", 1, 1, {}), (None, text, 2, 2, None), (None, None, 3, 3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, kept_id int, kept_hash int, m map<string,int>")
+    got = one_of_each_group(docs)
+    assert got.columns == docs.columns
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.kept_id)
+    assert [tuple(r) for r in sorted(got.collect(), key=key)] == [rows[0], rows[3], rows[4], rows[5]]
+    assert one_of_each_group(docs.limit(0)).collect() == []
