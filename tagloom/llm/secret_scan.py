@@ -40,6 +40,7 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 
+_RUN = 512  # matches whose places are added up together
 _MOST = 64  # alternatives of a query; beyond, a part of the pattern counts as unknown
 
 
@@ -98,8 +99,9 @@ def _candidates(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame | None:
     triples = sorted(set().union(*(query for _, _, query in queries)))
     # lower() folds more than ASCII; that only adds candidates.
     folded = texts.withColumn("folded", F.lower("body"))
-    held = F.array_compact(F.array(*(F.when(F.contains("folded", F.lit(t)), F.lit(t)) for t in triples)))
-    postings = staged(folded.select("k_id", "k_sig", held.alias("held")).where("size(held) > 0").select(F.explode("held").alias("triple"), "k_id", "k_sig").distinct(), "trigrams")
+    # Tested after the explode: a test of the array would be pushed below it and fold the text for each triple.
+    held = F.explode(F.array(*(F.when(F.contains("folded", F.lit(t)), F.lit(t)) for t in triples)))
+    postings = staged(folded.select("k_id", "k_sig", held.alias("triple")).where("triple IS NOT NULL").distinct(), "trigrams")
     # One row per triple of a query: its number is fixed by the rules.
     rows = [
         F.struct(F.lit(t).alias("triple"), F.lit(kind).alias("kind"), F.lit(n).alias("part"), F.lit(len(query)).alias("parts"))
@@ -114,7 +116,8 @@ def _spans(rule: Rule, order: int) -> Column:
     """Array of (start, order, end, kind) of the rule's matches, in code points.
 
     The pattern splits the text into pieces between matches; lengths of pieces and matches
-    add up to places.
+    add up to places. They are added up in runs of ``_RUN`` matches, each from the sum of the
+    runs before, so that the arrays that grow stay short however many matches a text has.
     """
     pattern = F.lit(rule.pattern)
     parts = F.arrays_zip(
@@ -124,6 +127,7 @@ def _spans(rule: Rule, order: int) -> Column:
     )
     kind = F.lit(rule.kind)
     none = F.expr("cast(array() as array<struct<start: bigint, ord: int, end: bigint, kind: string>>)")
+    nought = F.lit(0).cast("long")
 
     def add(state: Column, part: Column) -> Column:
         start = state["at"] + F.char_length(part["before"])
@@ -132,8 +136,23 @@ def _spans(rule: Rule, order: int) -> Column:
         more = F.when(F.char_length(part["counted"]) >= rule.least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
         return F.struct(end.alias("at"), more.alias("spans"))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
-    return F.aggregate(F.filter(parts, lambda p: p["match"].isNotNull()), start, add, lambda s: s["spans"])
+    def length(total: Column, part: Column) -> Column:
+        return total + F.char_length(part["before"]) + F.char_length(part["match"])
+
+    def runs(found: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _RUN).cast("int"))
+        cut = F.transform(numbers, lambda c: F.slice(found, c * _RUN + 1, F.lit(_RUN)))
+        return F.transform(F.array(cut), lambda each: F.transform(F.array(F.transform(each, lambda run: F.aggregate(run, nought, length))), lambda sums: placed(each, sums))[0])[0]
+
+    def placed(each: Column, sums: Column) -> Column:
+        def spans(run: Column, c: Column) -> Column:
+            first = F.aggregate(F.slice(sums, F.lit(1), c), nought, lambda a, b: a + b)
+            return F.aggregate(run, F.struct(first.alias("at"), none.alias("spans")), add, lambda s: s["spans"])
+
+        return F.flatten(F.transform(each, spans))
+
+    matched = F.filter(parts, lambda p: p["match"].isNotNull())
+    return F.transform(F.array(matched), lambda found: F.when(F.size(found) > 0, runs(found)).otherwise(none))[0]
 
 
 def _certain(rule: Rule) -> str:

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -78,3 +79,20 @@ def test_least_counts_the_whole_match_of_any_rule(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_spans(df, rules=rules).collect()}
     assert got == {0: [("k", 2, 22)], 1: [], 2: [("g", 0, 7)], 3: [("two", 0, 24), ("one", 0, 24)]}
+
+
+def test_places_of_many_matches(spark):
+    """More matches than are added up together, of two kinds, with wide characters between."""
+    one = "é token=abcdef" + "x" * 3 + " AKIA" + "B" * 20 + " ü "
+    for n in (1, 511, 512, 513, 1500):
+        (row,) = secret_spans(spark.createDataFrame([(1, one * n)], "doc_id bigint, text string")).collect()
+        spans = [(s.start, s.end, s.kind) for s in row.spans]
+        want = [(i * len(one) + a, i * len(one) + b, k) for i in range(n) for a, b, k in ((2, 17, "assign"), (18, 42, "access"))]
+        assert spans == want, n
+
+
+def test_a_text_of_a_hundred_thousand_hashes(spark):
+    start = time.perf_counter()
+    (row,) = secret_spans(spark.createDataFrame([(1, ("0123456789abcdef" * 2 + " ") * 100_000)], "doc_id bigint, text string")).select("spans").collect()
+    assert len(row.spans) == 100_000 and tuple(row.spans[-1])[0] == 33 * 99_999
+    assert time.perf_counter() - start < 60
