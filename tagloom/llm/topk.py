@@ -1,14 +1,16 @@
 """Exact top-k inner products by no-random-access aggregation of sorted lists.
 
 Each component of the candidate vectors is a list sorted by value, read from the top for
-queries that weigh it positively and from the bottom for others. After reading to some
-depth, a component not yet seen is worth at most the value at the reading position and at
-least the list's last value. With that every candidate has an upper and a lower bound,
-seen or not. Reading stops when few candidates have an upper bound that reaches the k-th
-best lower bound, and the scores of those are resolved.
-
-All queries read all lists to the same depths, so the bounds of a block of candidates for
-a block of queries are matrix products. Scores already resolved carry over from one block
+queries that weigh it positively and from the bottom for others. Lists are read in steps;
+what was read of a candidate adds up to the known part of its score. A component not read yet
+is worth at most the value at the reading position and at least the list's last value, so
+every candidate, seen or not, has an upper and a lower bound. A query stops reading when
+few outsiders are left whose upper bound reaches the k-th best lower bound; it resolves
+the scores of those, and computes no other. Vectors without structure are read nearly to the
+end before that happens: bounds of many components are loose.
+
+The queries of a block read the same lists, each to its own depth, so a step is matrix
+products over the entries that it reads. Scores already resolved carry over from one block
 of candidates to the next as lower bounds.
 
 Spark deals every pair of a query block and a candidate block to a task; each task sends
@@ -25,8 +27,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tagloom.llm.shipping import ship
 
-_DEPTHS = (0.5, 0.75)  # parts of the lists read before checking the bounds
-_RESOLVE = 0.02  # part of the pairs that may be left for resolving one by one
+_STEPS = (0.5, 0.75, 0.875, 0.9375, 0.96875, 1.0)  # parts of the lists read before checking the bounds
+_RESOLVE = 0.02  # part of the candidates that may be left for resolving one by one
 _ROWS = 4096  # candidates whose lists are read together
 
 
@@ -60,56 +62,72 @@ class _Best:
         self.rows, self.scores, self.ids = rows[keep], scores[keep], ids[keep]
 
 
-def nearest(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
-    """(query row, score, id) of each query's k best vectors; vectors with the query's own id are not candidates."""
+def nearest(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, trace: list | None = None):
+    """(query row, score, id) of each query's k best vectors; vectors with the query's own id are not candidates.
+
+    ``trace`` takes, for each block of candidates, the depth to which each query read the
+    lists and the number of scores it resolved.
+    """
     order = np.argsort(ids, kind="stable")
     vectors, ids = vectors[order], ids[order]
     kind = _number_type(queries, vectors)
     best = _Best(len(queries), k)
     q = queries.astype(kind)
-    plus, minus = np.maximum(q, 0), np.minimum(q, 0)
-    sides = np.concatenate((plus, minus), axis=1)
     for low in range(0, len(ids), _ROWS):
         block, names = vectors[low : low + _ROWS].astype(kind), ids[low : low + _ROWS]
-        n = len(names)
-        own = _own(query_ids, names)
-        lists = np.sort(block, axis=0)
-        alive = None
-        for part in _DEPTHS if kind is not object else ():
-            depth = max(1, int(n * part))
-            top, bottom = lists[n - depth], lists[depth - 1]
-            upper = sides @ np.concatenate((np.maximum(block, top), np.minimum(block, bottom)), axis=1).T
-            seen_top, seen_bottom = block >= top, block <= bottom
-            lower = sides @ np.concatenate((np.where(seen_top, block, lists[0]), np.where(seen_bottom, block, lists[-1])), axis=1).T
-            lower[own] = -np.inf
-            # Ids ascend from block to block, so a tie with earlier scores loses.
-            alive = upper > best.full[:, None].astype(kind)
-            if n > k:
-                alive &= upper >= np.partition(lower, n - k, axis=1)[:, n - k][:, None]
-            alive[own] = False
-            if np.count_nonzero(alive) <= _RESOLVE * alive.size:
-                rows, cols = np.nonzero(alive)
-                scores = _pairs(q, block, rows, cols)
-                break
-        else:
-            exact = q @ block.T
-            alive = np.ones(exact.shape, bool) if alive is None else alive
-            alive[own] = False
-            if n > k and kind is not object:
-                shown = np.where(alive, exact, -np.inf)
-                alive &= shown >= np.partition(shown, n - k, axis=1)[:, n - k][:, None]
-            rows, cols = np.nonzero(alive)
-            scores = exact[rows, cols]
-        better = np.ones(len(rows), bool) if kind is object else scores > best.full[rows]
+        rows, cols, depths = _survivors(q, block, _own(query_ids, names), best.full, k)
+        scores = _pairs(q, block, rows, cols)
+        if trace is not None:
+            trace.append((depths, np.bincount(rows, minlength=len(q))))
+        # Ids ascend from block to block, so a tie with earlier scores loses.
+        better = np.array([score > best.full[row] for row, score in zip(rows, scores)], bool) if kind is object else scores > best.full[rows]
         best.add(rows[better], scores[better], names[cols[better]])
     return best.rows, best.scores, best.ids
 
 
+def _survivors(q: np.ndarray, block: np.ndarray, own: tuple[np.ndarray, np.ndarray], full: np.ndarray, k: int):
+    """(query row, candidate) of the pairs whose scores are to be resolved, and the depth each query read to.
+
+    ``full`` is the k-th score that each query has already.
+    """
+    n, lists = len(block), np.sort(block, axis=0)
+    sides = np.concatenate((np.maximum(q, 0), np.minimum(q, 0)), axis=1)
+    both, last = np.concatenate((block, block), axis=1), np.concatenate((lists[0], lists[-1]))
+    barred = np.zeros((len(q), n), bool)
+    barred[own] = True
+    reading, depths = np.arange(len(q)), np.zeros(len(q))
+    known, read = np.zeros((len(q), n), q.dtype), np.zeros(both.shape, bool)
+    rows, cols = [], []
+    for part in _STEPS if q.dtype != object else _STEPS[-1:]:
+        depth = max(1, int(n * part))
+        at = np.concatenate((lists[n - depth], lists[depth - 1]))
+        reached = np.concatenate((block >= at[: block.shape[1]], block <= at[block.shape[1] :]), axis=1)
+        known += sides @ np.where(reached & ~read, both, 0).T
+        read = reached
+        unread = (~read).astype(q.dtype)
+        upper, lower = known + (sides * at) @ unread.T, known + (sides * last) @ unread.T
+        lower[barred] = -np.inf
+        alive = (upper > full[reading][:, None]) & ~barred
+        if n > k:
+            alive &= upper >= np.partition(lower, n - k, axis=1)[:, n - k][:, None]
+        stop = np.count_nonzero(alive, axis=1) <= max(2 * k, _RESOLVE * n)
+        stop |= part == _STEPS[-1]
+        found, which = np.nonzero(alive & stop[:, None])
+        rows.append(reading[found])
+        cols.append(which)
+        depths[reading[stop]] = part
+        reading, known, sides, barred = reading[~stop], known[~stop], sides[~stop], barred[~stop]
+        if not len(reading):
+            break
+    return np.concatenate(rows), np.concatenate(cols), depths
+
+
 def _pairs(q: np.ndarray, block: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Scores of single pairs, in bounded pieces."""
     out = np.empty(len(rows), q.dtype)
     for low in range(0, len(rows), 1 << 16):
         part = slice(low, low + (1 << 16))
-        out[part] = np.einsum("ij,ij->i", q[rows[part]], block[cols[part]])
+        out[part] = (q[rows[part]] * block[cols[part]]).sum(axis=1)
     return out
 
 
@@ -154,12 +172,15 @@ def top_k(
     """(query_id, rank, vec_id, score): the k best candidates of each query, ties to the smaller id.
 
     Components become floor(scale * x); the score is the integer inner product. Candidates are
-    all vectors but those with the query's own id. Block sizes only group the work.
+    all vectors but those with the query's own id. Block sizes only group the work; candidate
+    blocks are smaller where there would be too few for the cluster.
 
     - Null ids, null vectors, and vectors with null, NaN or infinite components take no part.
     - A query meets vectors of its own length only. Vectors of length 0 score 0.
-    - A query repeated with the same vector is one query, with another vector a second one;
-      repeated candidates each take a rank. Fewer than k candidates: all of them.
+    - A query repeated with the same vector is one query, as both would have the same rows;
+      with another vector it is a second one. Repeated candidates each take a rank.
+      Very long vectors are read whole; a task holds a block of each side, so blocks are to be
+      smaller for them. Fewer than k candidates: all of them.
     - Scores beyond 64 bits are shown as the nearest 64-bit number. An empty table gives no
       rows. Other columns are not read.
     """
@@ -172,7 +193,9 @@ def top_k(
     candidates = plain.select(*shown)
     queries = plain.where(is_query).select(*shown).withColumn("mark", F.xxhash64("vec")).dropDuplicates(["id", "mark"])
     n, n_queries = candidates.count(), queries.count()
-    query_groups, groups = max(1, -(-n_queries // query_block)), max(1, -(-n // candidate_block))
+    query_groups = max(1, -(-n_queries // query_block))
+    wanted = -(-2 * spark.sparkContext.defaultParallelism // query_groups)  # groups that keep all cores busy
+    groups = max(1, -(-n // candidate_block), min(wanted, n // _ROWS))
     # Rows are dealt by their place in the input, so equal vectors spread evenly.
     dealt = candidates.withColumn("c_group", F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int"))
     dealt = dealt.withColumn("q_group", F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1))))

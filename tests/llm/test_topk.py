@@ -62,3 +62,28 @@ def test_reading_stops_early(monkeypatch):
     vectors = np.floor(64 * rng.normal(0, 0.125, (20_000, 64)))
     nearest(vectors[:50], np.arange(50), vectors, np.arange(20_000), 20)
     assert resolved and sum(resolved) < 0.02 * 50 * 20_000
+
+
+def test_depths_on_the_given_table(spark):
+    """No score but the survivors' is computed, a few in a hundred; nothing is read beyond what the bounds ask for."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    vectors, ids = np.floor(64.0 * np.array([r.embedding for r in rows], np.float64)), np.array([r.vec_id for r in rows])
+    asked, trace = ids % 20 == 0, []
+    got = nearest(vectors[asked], ids[asked], vectors, ids, 20, trace)
+    exact = vectors[asked] @ vectors.T
+    exact[ids[asked][:, None] == ids[None, :]] = -np.inf
+    for q in range(int(asked.sum())):
+        order = sorted(range(len(ids)), key=lambda j: (-exact[q, j], ids[j]))[:20]
+        assert sorted(zip(-got[1][got[0] == q], got[2][got[0] == q])) == [(-exact[q, j], ids[j]) for j in order]
+    ((depths, resolved),) = trace
+    assert resolved.sum() <= 0.03 * asked.sum() * len(ids) and set(depths) <= set(topk._STEPS)
+    print("depths", dict(zip(*np.unique(depths, return_counts=True))), "resolved", resolved.sum() / (asked.sum() * len(ids)))
+
+
+def test_near_vectors_stop_the_reading_early():
+    """Clusters: a query's own cluster stands out, so half of the lists is enough."""
+    rng, trace = np.random.default_rng(2), []
+    centres = rng.normal(0, 1, (100, 16))
+    vectors = np.floor(64 * (np.repeat(centres, 40, axis=0) + rng.normal(0, 0.02, (4000, 16))))
+    nearest(vectors[::40], np.arange(0, 4000, 40), vectors, np.arange(4000), 20, trace)
+    assert np.mean(trace[0][0] < 1) == 1 and trace[0][1].max() <= 80
