@@ -8,6 +8,9 @@ the new shard, and no table of ring positions is kept.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,8 +87,11 @@ def jump_shards(
     shard with one more of them. ``slot`` numbers the rows of a shard from 0 without gaps, by
     (key modulo ``buckets``, checksum modulo ``splits``, key, checksum, size): each such bucket
     of a shard is numbered on its own and moved up by the rows of those before it, so no task
-    holds a whole shard, and the texts of a repeated key are spread too. ``size`` is the text's
-    UTF-8 bytes plus 1, so that empty documents count too.
+    holds a whole shard, and the texts of a repeated key are spread too. Rows that are equal in all
+    of these are numbered by the part of the input they are in, so one row that is repeated over
+    a third of the table is spread as well. ``size`` is the text's UTF-8 bytes plus 1, so that
+    empty documents count too. The walk takes up to ``shards`` + 1 interpreted steps a row: fit
+    for tens of shards, slow for thousands.
 
     - Null text: size 1, checksum of no bytes. Null key: the shard of key 0; all null keys
       share one bucket, and null keys sort first.
@@ -103,6 +109,7 @@ def jump_shards(
         rows.withColumn("walk", jump_walk(key, shards)).select(
             "key", "size", "text_crc32", F.col("walk.shard").alias("shard"), F.col("walk.grown").alias("grown_shard"),
             (F.pmod(key, F.lit(buckets)) * splits + F.pmod("text_crc32", F.lit(splits))).cast("int").alias("bucket"),
+            F.spark_partition_id().alias("lane"),
         ),
         "shards",
     )
@@ -112,11 +119,22 @@ def jump_shards(
 
 
 def _numbered(placed: DataFrame) -> DataFrame:
-    """``slot`` of each row within its shard."""
-    counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
+    """``slot`` of each row within its shard.
+
+    A cell is the equal rows of one lane, a part of the input: rows are numbered within their cell, and
+    cells, one short row each, within their bucket.
+    """
+    same = ["shard", "bucket", "key", "text_crc32", "size", "lane"]
+    cells = placed.groupBy(*same).agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("shard", "bucket").orderBy("key", "text_crc32", "size", "lane").rowsBetween(Window.unboundedPreceding, -1)
+    cells = staged(cells.withColumn("first", F.coalesce(F.sum("rows").over(before), F.lit(0))), "shard-cells")
+    counts = cells.groupBy("shard", "bucket").agg(F.sum("rows").alias("rows"))
     above = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     # At most shards * buckets * splits short rows, whatever the input.
     offsets = staged(counts.select("shard", "bucket", F.coalesce(F.sum("rows").over(above), F.lit(0)).alias("offset")), "shard-offsets")
-    order = Window.partitionBy("shard", "bucket").orderBy("key", "text_crc32", "size")
-    numbered = placed.withColumn("place", F.row_number().over(order))
-    return numbered.join(F.broadcast(offsets), ["shard", "bucket"]).withColumn("slot", F.col("offset") + F.col("place") - 1)
+    # Which of equal rows gets which number makes no difference.
+    numbered = placed.withColumn("nth", F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))))
+    start = cells.select(*(F.col(c).alias(f"c_{c}") for c in same), "first")
+    met = [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in same]
+    joined = numbered.join(start, reduce(and_, met)).join(F.broadcast(offsets), ["shard", "bucket"])
+    return joined.withColumn("slot", F.col("offset") + F.col("first") + F.col("nth") - 1)

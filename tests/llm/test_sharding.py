@@ -51,3 +51,23 @@ def test_text_keys_and_empty_tables(spark):
 def test_plan_has_no_python(spark):
     plan = jump_shards(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_one_row_repeated_over_a_third_of_the_table(spark):
+    """Slots have no gaps, and no window holds all of the equal rows."""
+    rows = [(7, "same")] * 3000 + [(None, None)] * 1000 + [(i, f"t{i}") for i in range(4000)] + [(7, "other")] * 10
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    got = jump_shards(df)
+    out = got.collect()
+    for shard in range(16):
+        slots = sorted(r.slot for r in out if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert Counter(r.doc_id for r in out) == Counter(i for i, _ in rows)
+    order = sorted(out, key=lambda r: (r.shard, r.slot))
+    for a, b in zip(order, order[1:]):
+        if a.shard == b.shard:
+            key = lambda r: ((r.doc_id or 0) % 256, r.text_crc32 % 8, r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size)
+            assert key(a) <= key(b)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "row_number" in line]
+    assert windows and all("lane#" in line.split("], [")[1] for line in windows)
