@@ -10,6 +10,8 @@ the matches into places, and these merge into removal spans per text.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from tagloom.llm.common import (
     arrow_id_type,
     blocks,
+    drop,
     id_type,
     keyed,
     lowered,
@@ -172,13 +175,15 @@ def contamination(
     distinct) of items with an occurring phrase.
 
     The benchmark reaches the tasks in blocks of at most ``broadcast_bytes`` of text (a larger
-    item is a block of its own). Each block is searched for in all documents, and the results
-    of several blocks are merged per document.
+    item is a block of its own), by way of the driver, which holds one block at a time. Each
+    block is searched for in all documents; where there are several, the results of one are
+    written before the next is read, and merged per document at the end.
 
     - Null or empty texts have no words; items without words have no phrase; an empty
       benchmark contaminates nothing; an empty table gives no rows.
     - Items with a null id are searched and removed, but not listed. Repeated item ids are one
-      item. Rows that repeat a document are judged one by one.
+      item. Rows that repeat a document are judged one by one, however many there are.
+    - Very long texts are indexed as a shard of their own.
     - Other columns are not read, whatever their names.
     """
     texts = keyed(docs, id_col, text_col)
@@ -186,15 +191,19 @@ def contamination(
     out = pa.schema([("k_id", arrow_id_type(texts)), ("k_sig", pa.int64()), ("n_words", pa.int64()),
                      ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
     ddl = f"k_id {kind}, k_sig long, n_words long, spans array<long>, items array<string>"
-    parts = [texts.mapInArrow(_search(block, length, out), ddl) for block in _item_blocks(benchmark, item_col, item_text_col, broadcast_bytes)]
-    if not parts:
-        parts = [texts.mapInArrow(_search([], length, out), ddl)]
-    found = parts[0]
-    if len(parts) > 1:
-        for part in parts[1:]:
-            found = found.union(part)
-        each = found.groupBy("k_id", "k_sig").agg(
-            F.first("n_words").alias("n_words"), F.count("*").alias("rows"),
+    blocks_of_items = _item_blocks(benchmark, item_col, item_text_col, broadcast_bytes)
+    block, following = next(blocks_of_items, []), next(blocks_of_items, None)
+    found = texts.mapInArrow(_search(block, length, out), ddl)
+    if following is not None:
+        found = first = staged(found, "phrase-block")
+        parts = [first]
+        while following is not None:
+            part = texts.mapInArrow(_search(following, length, out), ddl)
+            parts.append(staged(part.where("size(spans) > 0"), "phrase-block"))
+            following = next(blocks_of_items, None)
+        # Rows equal in id and text have equal results: one of each part stands for them.
+        hits = reduce(DataFrame.union, [part.where("size(spans) > 0").dropDuplicates(["k_id", "k_sig"]) for part in parts])
+        each = hits.groupBy("k_id", "k_sig").agg(
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
             F.array_sort(F.flatten(F.collect_list(F.expr(
                 "filter(transform(spans, (x, i) -> named_struct('a', x, 'b', get(spans, i + 1), 'i', i)), s -> s.i % 2 = 0)"
@@ -204,8 +213,10 @@ def contamination(
             "aggregate(pairs, cast(array() as array<bigint>), (m, s) -> IF(size(m) > 0 AND s.a <= element_at(m, -1), "
             "concat(slice(m, 1, size(m) - 1), array(greatest(element_at(m, -1), s.b))), concat(m, array(s.a, s.b))))"
         )
-        # One row for each row there was: equal rows have equal results.
-        found = each.withColumn("spans", merged).withColumn("again", F.explode(F.sequence(F.lit(1), (F.col("rows") / len(parts)).cast("int"))))
+        told = staged(each.select(F.col("k_id").alias("h_id"), F.col("k_sig").alias("h_sig"), merged.alias("h_spans"), F.col("items").alias("h_items")), "phrase-hits")
+        drop(*parts[1:])
+        rows = first.join(told, F.col("k_id").eqNullSafe(F.col("h_id")) & (F.col("k_sig") == F.col("h_sig")), "left")
+        found = rows.select("k_id", "k_sig", "n_words", F.coalesce("h_spans", "spans").alias("spans"), F.coalesce("h_items", "items").alias("items"))
     key = ["k_id", "k_sig"] if keyed_rows else [F.col("k_id").alias(id_col)]
     return found.select(*key, "n_words", "spans", F.array_sort("items").alias("items"))
 
@@ -255,14 +266,16 @@ def decontaminated(
     return cut.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
 
 
-def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> list[list[tuple[str, str]]]:
-    """The items in blocks of at most ``limit`` bytes, one block at a time in the driver."""
+def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> Iterator[list[tuple[str, str]]]:
+    """The items in blocks of at most ``limit`` bytes; one of them, and a partition, is in the driver at a time."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL")
-    blocks_, size = [[]], 0
+    block, size = [], 0
     for row in items.toLocalIterator():
-        if size + len(row.text) > limit and blocks_[-1]:
-            blocks_.append([])
-            size = 0
-        size += len(row.text)
-        blocks_[-1].append((row.item, row.text))
-    return [block for block in blocks_ if block]
+        more = len(row.text.encode())
+        if block and size + more > limit:
+            yield block
+            block, size = [], 0
+        size += more
+        block.append((row.item, row.text))
+    if block:
+        yield block

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tagloom.llm import decontamination as module
-from tagloom.llm.decontamination import contamination, decontaminated
+from tagloom.llm.decontamination import _item_blocks, contamination, decontaminated
 from tagloom.llm.fm_index import FMIndex, suffix_order
 
 DOCS = "doc_id bigint, text string, spans string, items int"
@@ -102,3 +102,21 @@ def test_index_counts_and_places():
 def test_suffix_order_with_long_repeats():
     text = np.array([3, 1, 2] * 70 + [0])
     assert suffix_order(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+
+
+def test_blocks_and_a_text_in_a_third_of_the_rows(spark):
+    """Several blocks of items give what one gives, also for a row that is repeated many times."""
+    items = [(f"i{n}", " ".join(f"w{n}x{k}" for k in range(14))) for n in range(8)] + [(None, "é " * 12), ("short", "only three words")]
+    hot = "start " + items[1][1] + " middle " + items[6][1] + " " + items[7][1] + " end"
+    rows = [(1, hot)] * 60 + [(i, f"{items[i % 8][1]} and only three words {i}") for i in range(2, 60)] + [(None, None), (70, ""), (71, "é " * 30), (1, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    one, many = (sorted((tuple(r) for r in contamination(docs, bench, broadcast_bytes=size).collect()), key=key) for size in (1 << 20, 150))
+    assert len(one) == len(rows) and one == many and one[0][3] in (["i1", "i6", "i7"], [])
+
+
+def test_blocks_are_cut_by_bytes(spark):
+    bench = spark.createDataFrame([(str(i), "é" * 50) for i in range(6)], "item_id string, text string").coalesce(1)
+    assert [len(b) for b in _item_blocks(bench, "item_id", "text", 200)] == [2, 2, 2]
+    assert list(_item_blocks(bench.limit(0), "item_id", "text", 200)) == [] and [len(b) for b in _item_blocks(bench, "item_id", "text", 1)] == [1] * 6
