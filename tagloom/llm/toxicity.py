@@ -139,13 +139,15 @@ def viterbi(token: bytes, model: CharacterModel, edges: str = "both", parted: bo
 
     Signs at its ends are letters, or stay as they are (``edges``: both, letters or signs).
     Separators are dropped or become spaces; where they are ``parted`` groups of letters, not
-    single ones, they are dropped or stay as they are. With ``join`` all are dropped.
+    single ones, they are dropped or stay as they are. With ``join`` all are dropped. Steps point
+    back to the one before, so that a long stretch costs no more a byte than a short one; of
+    readings that are as likely the greatest text is taken.
     """
     log = model.log
     lead = len(token) - len(token.lstrip(_EDGE))
     trail = len(token.rstrip(_EDGE))
-    # State: the last two restored classes and the last source byte; value: score and restored bytes.
-    states: dict[tuple[int, int, int], tuple[float, bytes]] = {(0, 0, 0): (0.0, b"")}
+    # State: the last two restored classes and the last source byte; value: score and last step.
+    states: dict[tuple[int, int, int], tuple[float, _Step]] = {(0, 0, 0): (0.0, None)}
     for i, byte in enumerate(token):
         char = chr(byte)
         edge = i < lead or i >= trail
@@ -161,7 +163,7 @@ def viterbi(token: bytes, model: CharacterModel, edges: str = "both", parted: bo
                 options += [(None, _JOINED if byte == 32 else _DROPPED), (byte, _AS_IS)] if parted else [(None, _DROPPED / 4), (32, _DROPPED * 2)]
         if edge and edges != "letters":
             options.append((byte, _ODD_MARK if char in "$@" or (char == "!" and i < lead) else _MARK))
-        after: dict[tuple[int, int, int], tuple[float, bytes]] = {}
+        after: dict[tuple[int, int, int], tuple[float, _Step]] = {}
         for (two, one, source), (score, text) in states.items():
             for letter, cost in options:
                 if letter is None:
@@ -169,11 +171,11 @@ def viterbi(token: bytes, model: CharacterModel, edges: str = "both", parted: bo
                 elif edge and letter == byte:
                     # A sign beside a word: it ends the word before, if there is one.
                     again = not one and source == byte
-                    found = (0, 0, byte), score + (max(cost, _SAME_MARK) if again else cost) + (log[two][one][0] if one else 0.0), text + token[i : i + 1]
+                    found = (0, 0, byte), score + (max(cost, _SAME_MARK) if again else cost) + (log[two][one][0] if one else 0.0), (text, byte)
                 else:
                     c = int(_CLASS[letter])
                     key = (one if c else 0, c, byte)
-                    found = key, score + cost + log[two if one else 0][one][c], text + bytes((letter,))
+                    found = key, score + cost + log[two if one else 0][one][c], (text, letter)
                 if found[0] not in after or after[found[0]][0] < found[1]:
                     after[found[0]] = found[1:]
             # Signs at an end are doubled letters rather than repeated ones.
@@ -183,10 +185,23 @@ def viterbi(token: bytes, model: CharacterModel, edges: str = "both", parted: bo
                     after[key] = score + cost, text
         states = after or states
     ends = [
-        (score + (0.0 if text[-1:] and text[-1] in _EDGE else log[two if one else 0][one][0]), text)
+        (score + (0.0 if text and text[1] in _EDGE else log[two if one else 0][one][0]), text)
         for (two, one, _), (score, text) in states.items()
     ]
-    return max(ends)[1]
+    best = max(score for score, _ in ends)
+    return max(_restored(text) for score, text in ends if score == best)
+
+
+#: The step before and the byte restored in this one; None before the first.
+_Step = tuple | None
+
+
+def _restored(step: _Step) -> bytes:
+    out = bytearray()
+    while step:
+        step, byte = step
+        out.append(byte)
+    return bytes(out[::-1])
 
 
 def _suspects(data: np.ndarray, at: np.ndarray, rare: np.ndarray) -> np.ndarray:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -182,3 +183,41 @@ def test_repeated_ids_are_learned_from_once(spark, monkeypatch):
     # Ids without a document are no examples.
     alone = toxicity.fit(docs, marks.where("doc_id < 10000"), F.lit(True))
     assert (alone.hashes == once.hashes).all() and alone.bias == pytest.approx(once.bias)
+
+
+def test_ordinal_fit_is_a_minimum_of_the_likelihood():
+    """The likelihood as a direct sum over examples: slopes by finite differences vanish, and any step away is worse."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (400, 3)).astype(np.float32)
+    grades = np.digitize(x @ np.array([1.0, -0.7, 0.3]) + rng.logistic(0, 1, 400), [-1.0, 0.8])
+    decay = 1e-3
+
+    def loss(theta):
+        cuts = [theta[3], theta[3] + np.exp(theta[4])]
+        total = 0.0
+        for row, grade in zip(x.astype(float), grades):
+            reach = [1.0] + [1 / (1 + np.exp(c - row @ theta[:3])) for c in cuts] + [0.0]
+            total -= np.log(reach[grade] - reach[grade + 1])
+        return total / len(x) + decay / 2 * theta[:3] @ theta[:3]
+
+    fitted = quality.learn(x, grades, 3, epochs=400, decay=decay, batch=400)
+    low, high = fitted.thresholds
+    theta = np.concatenate((fitted.weights.astype(float), [low, np.log(high - low)]))
+    here, start = loss(theta), loss(np.zeros(5))
+    steps = np.eye(5) * 1e-4
+    slopes = [(loss(theta + s) - loss(theta - s)) / 2e-4 for s in steps]
+    first = [(loss(s) - loss(-s)) / 2e-4 for s in steps]
+    assert np.abs(slopes).max() < 0.02 * np.abs(first).max() and here < start
+    for _ in range(40):
+        assert loss(theta + rng.normal(0, 0.15, 5)) > here
+
+
+def test_long_stretches_are_decoded_in_time_that_grows_with_them(model):
+    token = b"1d1ot5" * 2_000
+    times = []
+    for n in (1, 8):
+        start = time.perf_counter()
+        got = toxicity.viterbi(token * n, model.characters)
+        times.append(time.perf_counter() - start)
+        assert len(got) == len(token) * n
+    assert times[1] < 8 * 3 * times[0]
