@@ -7,18 +7,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Application and folder of those that were tried.
+_SHARED: set[tuple[str, str]] = set()
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder the cluster names in ``spark.checkpoint.dir``.
 
     Where none is named, a local session (tests) gets a fresh one; on a cluster a
-    machine-local folder would be lost with its machine, so that is an error.
+    machine-local folder would be lost with its machine, so that is an error. A ``file:``
+    folder may be a mount that all machines share, which its name does not tell: it is tried once.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if named.startswith(("file:", "/")) and not context.master.startswith("local"):
-            raise RuntimeError(f"spark.checkpoint.dir is local to a machine: {named}")
+            _try(spark, named.rstrip("/"))
         return named.rstrip("/")
     if not context.getCheckpointDir():
         if not context.master.startswith("local"):
@@ -27,6 +31,20 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def _try(spark: SparkSession, folder: str) -> None:
+    """Have the executors write to ``folder``; an error if some of it is not there afterwards, once an application."""
+    tried = (spark.sparkContext.applicationId, folder)
+    if tried in _SHARED:
+        return
+    path, parts = f"{folder}/tagloom/shared-{uuid.uuid4().hex}", max(2, spark.sparkContext.defaultParallelism)
+    spark.range(0, parts, 1, parts).write.parquet(path)
+    found = spark.read.schema("id long").parquet(path).count()
+    discard(spark, path)
+    if found < parts:
+        raise RuntimeError(f"spark.checkpoint.dir is local to a machine: of {parts} rows written to {folder}, {found} are found")
+    _SHARED.add(tried)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below :func:`scratch_root` that nothing has used before."""
     return f"{scratch_root(spark)}/tagloom/{label}-{uuid.uuid4().hex}"

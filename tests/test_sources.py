@@ -172,6 +172,31 @@ def test_a_cluster_has_to_name_its_shared_folder():
     assert scratch_root(Session()) == "s3a://shared"
 
 
+def test_a_file_folder_is_tried_on_a_cluster(spark, folder, monkeypatch):
+    """A ``file:`` folder can be a mount that all machines share; one that is not is found out."""
+
+    class Session:
+        def __init__(self, name, **other):
+            self.conf = {"spark.checkpoint.dir": f"{folder}/{name}/"}
+            self.__dict__.update(other)
+
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    for scheme in ("", "file:", "file://"):
+        shared = Session("shared")
+        shared.conf = {"spark.checkpoint.dir": f"{scheme}{folder}/shared/"}
+        assert scratch_root(shared) == f"{scheme}{folder}/shared"
+    assert os.listdir(f"{folder}/shared/tagloom") == []
+    # the executors' rows stay on their machines
+    apart = Session("apart", range=lambda *_: spark.range(0))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir is local to a machine"):
+        scratch_root(apart)
+    # tried once
+    assert scratch_root(Session("shared", range=None)) == f"{folder}/shared"
+
+
 def test_declared_schema_of_other_formats(spark, folder):
     """CSV is read with the declared types; files that hold tagged records keep their own."""
     schema = schema_from_spec([{"Name": "a", "Type": "bigint"}, {"Name": "b", "Type": "varchar"}])
