@@ -43,6 +43,10 @@ def rejected_elements(
 
 
 def split_rejects(df: DataFrame, column: str, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """``df`` without the list, and a row for each rejected value: the ``keys`` of its row, name, raw, wanted."""
-    bad = df.where(F.size(quoted(column)) > 0).select(*map(quoted, keys), F.explode(quoted(column)).alias("__tagloom_reject"))
-    return df.drop(column), bad.select(*map(quoted, keys), "__tagloom_reject.*")
+    """``df`` without the list, and a row for each rejected value: the ``keys`` of its row, name, raw, wanted.
+
+    The outer explode keeps the optimiser from asking first which lists are empty: that
+    filter, moved below the aligning projection, made every list twice.
+    """
+    each = df.select(*map(quoted, keys), F.explode_outer(quoted(column)).alias("__tagloom_reject"))
+    return df.drop(column), each.where("__tagloom_reject IS NOT NULL").select(*map(quoted, keys), "__tagloom_reject.*")

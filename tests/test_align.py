@@ -281,3 +281,12 @@ def test_split_rejects(frame):
     clean, bad = split_rejects(df, "bad", ["k"])
     assert clean.columns == ["k", "n"] and clean.count() == 3
     assert sorted(tuple(r) for r in bad.collect()) == [("1", "n", "x", "int"), ("2", "n", "y", "int")]
+
+
+def test_split_rejects_lists_once(frame):
+    """No filter on the list is moved below the projection that makes it."""
+    df = align(frame([("1", "x", None), ("2", "3", None)], "k string, n string, z string"), declared(column("k", "varchar"), column("n", "integer")), rejects="bad")
+    bad = split_rejects(df, "bad", ["k"])[1]
+    assert bad._jdf.queryExecution().optimizedPlan().toString().count("array(struct(name") == 1
+    empty = df.withColumn("bad", F.lit(None).cast(df.schema["bad"].dataType))
+    assert [tuple(r) for r in bad.collect()] == [("1", "n", "x", "int")] and split_rejects(empty, "bad")[1].collect() == []
