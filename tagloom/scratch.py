@@ -7,42 +7,44 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Application and folder of those that were tried.
-_SHARED: set[tuple[str, str]] = set()
+# Whether all machines share a folder, by application and folder.
+_SHARED: dict[tuple[str, str], bool] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder the cluster names in ``spark.checkpoint.dir``.
+    """Folder the cluster names in ``spark.checkpoint.dir``, or one in its warehouse.
 
     Where none is named, a local session (tests) gets a fresh one; on a cluster a
-    machine-local folder would be lost with its machine, so that is an error. A ``file:``
-    folder may be a mount that all machines share, which its name does not tell: it is tried once.
+    machine-local folder would be lost with its machine. A ``file:`` folder may be a mount
+    that all machines share, which its name does not tell: it is tried once. Where it is none, or
+    nothing is named, the warehouse is taken, which all machines of a cluster share; that they do is
+    tried as well, and if they do not, that is an error.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if named.startswith(("file:", "/")) and not context.master.startswith("local"):
-            _try(spark, named.rstrip("/"))
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if context.master.startswith("local"):
+        if not named:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+            named = context.getCheckpointDir()
         return named.rstrip("/")
-    if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return context.getCheckpointDir().rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    for folder in (named, warehouse and warehouse.rstrip("/") + "/tagloom-scratch"):
+        if folder and (not folder.startswith(("file:", "/")) or _shared(spark, folder.rstrip("/"))):
+            return folder.rstrip("/")
+    if named:
+        raise RuntimeError(f"spark.checkpoint.dir is local to a machine: {named}")
+    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
-def _try(spark: SparkSession, folder: str) -> None:
-    """Have the executors write to ``folder``; an error if some of it is not there afterwards, once an application."""
+def _shared(spark: SparkSession, folder: str) -> bool:
+    """Whether what the executors write to ``folder`` is there afterwards, tried once an application."""
     tried = (spark.sparkContext.applicationId, folder)
-    if tried in _SHARED:
-        return
-    path, parts = f"{folder}/tagloom/shared-{uuid.uuid4().hex}", max(2, spark.sparkContext.defaultParallelism)
-    spark.range(0, parts, 1, parts).write.parquet(path)
-    found = spark.read.schema("id long").parquet(path).count()
-    discard(spark, path)
-    if found < parts:
-        raise RuntimeError(f"spark.checkpoint.dir is local to a machine: of {parts} rows written to {folder}, {found} are found")
-    _SHARED.add(tried)
+    if tried not in _SHARED:
+        path, parts = f"{folder}/tagloom/shared-{uuid.uuid4().hex}", max(2, spark.sparkContext.defaultParallelism)
+        spark.range(0, parts, 1, parts).write.parquet(path)
+        _SHARED[tried] = spark.read.schema("id long").parquet(path).count() == parts
+        discard(spark, path)
+    return _SHARED[tried]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -82,7 +82,7 @@ def upsert(
     in a second write. Spark deletes a partition before it moves the new one into place, so
     a crash in the second write can leave partitions missing. They are in the scratch
     folder: :class:`UnfinishedCommit` names it (after a lost driver it is the newest
-    ``upsert-merged-*`` below ``spark.checkpoint.dir``), and ``resume_from`` repeats the second
+    ``upsert-merged-*`` below the folder of :mod:`tagloom.scratch`), and ``resume_from`` repeats the second
     write from it, which needs ``path`` and ``partition_by`` alone and may be done any number
     of times. Scratch folders are deleted after success. One writer at a time.
     """

@@ -197,6 +197,34 @@ def test_a_file_folder_is_tried_on_a_cluster(spark, folder, monkeypatch):
     assert scratch_root(Session("shared", range=None)) == f"{folder}/shared"
 
 
+@pytest.mark.parametrize("named", [True, False])
+def test_a_cluster_without_a_shared_folder_uses_its_warehouse(spark, folder, monkeypatch, named):
+    """The warehouse is shared by all machines; a folder named beside it may not be."""
+    local = f"{folder}/apart"
+
+    def written(*counts):
+        # rows that go to the folder that is tried first stay on the executors' machines
+        return spark.range(0) if named and not os.path.exists(local) else spark.range(*counts)
+
+    class Session:
+        range = staticmethod(written)
+
+        def __init__(self, warehouse):
+            self.conf = {"spark.sql.warehouse.dir": warehouse} | ({"spark.checkpoint.dir": local} if named else {})
+
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: None)
+    assert scratch_root(Session(f"file:{folder}/shared/")) == f"file:{folder}/shared/tagloom-scratch"
+    assert scratch_root(Session("s3a://shared/warehouse")) == "s3a://shared/warehouse/tagloom-scratch"
+    # nor the warehouse
+    monkeypatch.setattr(Session, "range", staticmethod(lambda *_: spark.range(0)))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir is local" if named else "set spark.checkpoint.dir"):
+        scratch_root(Session(f"{folder}/neither"))
+
+
 def test_declared_schema_of_other_formats(spark, folder):
     """CSV is read with the declared types; files that hold tagged records keep their own."""
     schema = schema_from_spec([{"Name": "a", "Type": "bigint"}, {"Name": "b", "Type": "varchar"}])
