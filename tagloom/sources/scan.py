@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from datetime import timedelta
@@ -191,7 +192,7 @@ def _file_source(source: Mapping[str, Any], context: RunContext) -> tuple[str, s
     path = details.get(key)
     if not path:
         raise ValueError(f"s3_details needs {key} for mode {context.mode}")
-    if "://" not in path and not path.startswith("/"):
+    if "://" not in path and not re.match(r"([A-Za-z][\w+.-]*:)?/", path):  # Hadoop writes file:/x
         raise ValueError(f"{key} has to be an absolute path or a URI: {path!r}")
     return path, details.get("data_format", "json"), dict(details.get("format_options") or {})
 

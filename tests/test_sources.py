@@ -155,6 +155,16 @@ def test_scratch_paths_are_shared_and_new(spark):
     assert df.count() == 3 and "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("start", ["", "file:", "file://"])
+def test_paths_are_absolute_or_uris(spark, folder, start):
+    """``file:/x`` is how Hadoop writes a local path, those of the checkpoint folder among them."""
+    spark.createDataFrame([((("a",),),)], "Item struct<k: struct<S: string>>").write.json(f"{folder}/export")
+    read = load_source(spark, files(f"{start}{folder}/export"), RunContext.of("2024-01-15"))
+    assert [r.Item.k.S for r in read.collect()] == ["a"]
+    with pytest.raises(ValueError, match="absolute path or a URI"):
+        load_source(spark, files(f"file:{folder[1:]}/export"), RunContext.of("2024-01-15"))
+
+
 def test_a_cluster_has_to_name_its_shared_folder():
     class Context:
         master = "yarn"
